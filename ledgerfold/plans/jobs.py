@@ -1,0 +1,106 @@
+"""The whole job: merge an increment into a replica on storage, or finish a broken run."""
+
+from __future__ import annotations
+
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ledgerfold.functions.columns import named, outside_open_partition
+from ledgerfold.operators.merge import (
+    changes_closed_key,
+    changes_closed_key_by_subpartition,
+    changes_latest,
+)
+from ledgerfold.sources import runs
+from ledgerfold.sources.replica import read_increment, read_replica
+from ledgerfold.sources.staging import append_closed, drop_staging, publish_open_slice, stage
+from ledgerfold.spec import DEFAULT, ScdSpec
+
+STRATEGIES = {
+    "closed_key": changes_closed_key,
+    "closed_key_by_subpartition": changes_closed_key_by_subpartition,
+    "latest": changes_latest,
+}
+
+
+def apply_increment(
+    spark: SparkSession,
+    replica_path: str,
+    increment_path: str,
+    staging_root: str,
+    strategy: str = "closed_key",
+    spec: ScdSpec = DEFAULT,
+    run_id: str | None = None,
+    rebalance: bool = True,
+) -> DataFrame:
+    """Stage the changes of one increment, publish them and scan the new replica.
+
+    Refuses to start while an earlier run is unfinished. A ``run_id`` given by
+    the caller is also refused when it was used before, which guards against
+    applying one increment twice.
+    """
+    broken = runs.unfinished_runs(spark, staging_root)
+    if not broken.isEmpty():
+        raise RuntimeError(f"{staging_root} holds an unfinished run; finish it with resume_run")
+    run_id = run_id or uuid4().hex
+    if runs.PUBLISHED in runs.steps_of(spark, staging_root, run_id):
+        raise RuntimeError(f"run {run_id} was published before")
+    replica = read_replica(spark, replica_path, spec)
+    increment = read_increment(spark, increment_path)
+    changes = STRATEGIES[strategy](replica, increment, spec)
+    path = runs.staged_path(staging_root, run_id)
+    runs.record(spark, staging_root, run_id, runs.STARTED)
+    stage(changes, path, spec, rebalance)
+    runs.record(spark, staging_root, run_id, runs.STAGED)
+
+    staged = read_replica(spark, path, spec, replica.schema)
+    append_closed(staged, replica_path, spec)
+    runs.record(spark, staging_root, run_id, runs.CLOSED)
+    publish_open_slice(staged, replica_path, spec)
+    runs.record(spark, staging_root, run_id, runs.PUBLISHED)
+    drop_staging(spark, path, replica.schema)
+    return read_replica(spark, replica_path, spec, replica.schema)
+
+
+def resume_run(
+    spark: SparkSession,
+    replica_path: str,
+    staging_root: str,
+    run_id: str,
+    spec: ScdSpec = DEFAULT,
+) -> DataFrame:
+    """Finish a run that broke off; one that broke while staging is given up.
+
+    Replacing the open slice can be repeated. Of the closed rows only those the
+    replica lacks are appended, since the break may have come in between.
+    """
+    steps = runs.steps_of(spark, staging_root, run_id)
+    path = runs.staged_path(staging_root, run_id)
+    if runs.PUBLISHED in steps:
+        return read_replica(spark, replica_path, spec)
+    if runs.STAGED not in steps:
+        runs.record(spark, staging_root, run_id, runs.ABANDONED)
+        return read_replica(spark, replica_path, spec)
+    staged = read_replica(spark, path, spec)
+    if runs.CLOSED not in steps:
+        append_closed(_not_there(spark, staged, replica_path, spec), replica_path, spec)
+        runs.record(spark, staging_root, run_id, runs.CLOSED)
+    publish_open_slice(staged, replica_path, spec)
+    runs.record(spark, staging_root, run_id, runs.PUBLISHED)
+    drop_staging(spark, path, staged.schema)
+    return read_replica(spark, replica_path, spec, staged.schema)
+
+
+def _not_there(
+    spark: SparkSession, staged: DataFrame, replica_path: str, spec: ScdSpec
+) -> DataFrame:
+    """Staged closed rows the replica lacks, looked for in their months only."""
+    rows = staged.filter(outside_open_partition(spec))
+    month = named(spec.part_to)
+    listed = [r[0] for r in rows.select(month).distinct().collect()]
+    replica = read_replica(spark, replica_path, spec, staged.schema)
+    there = replica.filter(outside_open_partition(spec)).filter(
+        month.isin([m for m in listed if m is not None]) | month.isNull()
+    )
+    return rows.exceptAll(there)

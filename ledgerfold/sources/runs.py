@@ -1,0 +1,48 @@
+"""A small append-only log of merge runs, kept next to their staged rows."""
+
+from __future__ import annotations
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+STAGED, CLOSED, PUBLISHED, ABANDONED = "staged", "closed", "published", "abandoned"
+STARTED = "started"
+_SCHEMA = "run_id string, step string, at timestamp"
+
+
+def staged_path(root: str, run_id: str) -> str:
+    return f"{root.rstrip('/')}/data/run_id={run_id}"
+
+
+def _log_path(root: str) -> str:
+    return f"{root.rstrip('/')}/log"
+
+
+def record(spark: SparkSession, root: str, run_id: str, step: str) -> None:
+    row = spark.range(1, numPartitions=1).select(
+        F.lit(run_id).alias("run_id"), F.lit(step).alias("step"), F.current_timestamp().alias("at")
+    )
+    row.write.mode("append").parquet(_log_path(root))
+
+
+def run_log(spark: SparkSession, root: str) -> DataFrame:
+    try:
+        return spark.read.schema(_SCHEMA).parquet(_log_path(root))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _SCHEMA)
+
+
+def unfinished_runs(spark: SparkSession, root: str) -> DataFrame:
+    """Runs that began and were neither published nor given up."""
+    log = run_log(spark, root)
+    over = log.filter(F.col("step").isin(PUBLISHED, ABANDONED)).select("run_id")
+    return log.select("run_id").distinct().join(over, "run_id", "left_anti")
+
+
+def steps_of(spark: SparkSession, root: str, run_id: str) -> set[str]:
+    """Steps one run has logged: a handful of rows."""
+    rows = run_log(spark, root).filter(F.col("run_id") == run_id).select("step").distinct()
+    return {r.step for r in rows.collect()}
