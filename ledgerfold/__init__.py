@@ -8,6 +8,8 @@ from ledgerfold.operators.merge import (
     merge_closed_key,
     merge_closed_key_by_subpartition,
     merge_latest,
+    touched_months,
+    unclosed,
 )
 from ledgerfold.operators.rank import latest_open, rank_versions
 from ledgerfold.operators.slices import (
@@ -22,17 +24,18 @@ from ledgerfold.operators.slices import (
 from ledgerfold.plans.jobs import apply_increment, resume_run
 from ledgerfold.sources.replica import read_increment, read_replica, seed
 from ledgerfold.sources.staging import (
-    append_closed,
+    append_rest,
     drop_staging,
     publish,
     publish_open_slice,
+    publish_subpartitions,
     stage,
 )
 from ledgerfold.spec import ScdSpec
 
 __all__ = [
     "ScdSpec",
-    "append_closed",
+    "append_rest",
     "apply_increment",
     "changes_closed_key",
     "changes_closed_key_by_subpartition",
@@ -50,6 +53,7 @@ __all__ = [
     "open_subpartitions",
     "publish",
     "publish_open_slice",
+    "publish_subpartitions",
     "rank_versions",
     "read_increment",
     "read_replica",
@@ -58,5 +62,7 @@ __all__ = [
     "seed",
     "split_rejects",
     "stage",
+    "touched_months",
+    "unclosed",
     "with_months",
 ]

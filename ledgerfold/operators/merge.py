@@ -6,7 +6,10 @@ it is afterwards. ``merge_*`` add the replica rows that stay where they are.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgerfold.functions.columns import is_closed_date, named, outside_open_partition
 from ledgerfold.operators.rank import ORIGIN, candidates, latest_open
@@ -17,26 +20,36 @@ from ledgerfold.spec import DEFAULT, ScdSpec
 MAX_LISTED_MONTHS = 4_000
 
 
-def _unclosed(open_rows: DataFrame, closed: DataFrame, spec: ScdSpec) -> DataFrame:
-    """Open rows whose version the increment did not close.
+def unclosed(
+    open_rows: DataFrame, closed: DataFrame, spec: ScdSpec = DEFAULT, broadcast: bool = False
+) -> DataFrame:
+    """Open rows whose version is not among the closed keys.
 
     The keys are made distinct together with their month, before the shuffle
     and again behind it. The join shuffles them anew by version, which leaves
     both of its inputs plain shuffles that adaptive execution may broadcast or
-    split where one version (or the null key) is very frequent.
+    split where one version (or the null key) is very frequent. Ask for
+    ``broadcast`` only after counting the distinct keys.
     """
     version = [spec.key, spec.eff_from]
     keys = closed.distinct().select(*[named(c) for c in version])
-    kept = open_rows.join(keys, version, "left_anti")
+    kept = open_rows.join(F.broadcast(keys) if broadcast else keys, version, "left_anti")
     return kept.select(*[named(c) for c in open_rows.columns])
 
 
+def touched_months(closed: DataFrame, spec: ScdSpec = DEFAULT) -> list[date] | None:
+    """Start months of the closed keys, or None where they are too many to list."""
+    months = closed.select(named(spec.part_from)).distinct().limit(MAX_LISTED_MONTHS + 1)
+    listed = [r[0] for r in months.collect()]
+    return None if len(listed) > MAX_LISTED_MONTHS else [m for m in listed if m is not None]
+
+
 def changes_closed_key(
     replica: DataFrame, increment: DataFrame, spec: ScdSpec = DEFAULT
 ) -> DataFrame:
     """The increment, and the open versions it does not close."""
     new = conform(increment, replica, spec)
-    return new.unionByName(_unclosed(open_slice(replica, spec), closed_keys(new, spec), spec))
+    return new.unionByName(unclosed(open_slice(replica, spec), closed_keys(new, spec), spec))
 
 
 def changes_closed_key_by_subpartition(
@@ -49,13 +62,13 @@ def changes_closed_key_by_subpartition(
     """
     new = conform(increment, replica, spec)
     closed, rows = closed_keys(new, spec), open_slice(replica, spec)
+    months = touched_months(closed, spec)
+    if months is None:
+        return new.unionByName(unclosed(rows, closed, spec))
     month = named(spec.part_from)
-    listed = closed.select(month).distinct().limit(MAX_LISTED_MONTHS + 1).collect()
-    if len(listed) > MAX_LISTED_MONTHS:
-        return new.unionByName(_unclosed(rows, closed, spec))
-    touched = month.isin([r[0] for r in listed if r[0] is not None])
-    return new.unionByName(rows.filter(~touched | month.isNull())).unionByName(
-        _unclosed(rows.filter(touched), closed, spec)
+    elsewhere = rows.filter(~month.isin(months) | month.isNull())
+    return new.unionByName(elsewhere).unionByName(
+        unclosed(rows.filter(month.isin(months)), closed, spec)
     )
 
 

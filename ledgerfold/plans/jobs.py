@@ -2,26 +2,53 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from datetime import date
 from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from ledgerfold.functions.columns import named, outside_open_partition
-from ledgerfold.operators.merge import (
-    changes_closed_key,
-    changes_closed_key_by_subpartition,
-    changes_latest,
-)
+from ledgerfold.functions.columns import named
+from ledgerfold.operators.merge import changes_latest, touched_months, unclosed
+from ledgerfold.operators.slices import closed_keys, conform, open_slice
 from ledgerfold.sources import runs
 from ledgerfold.sources.replica import read_increment, read_replica
-from ledgerfold.sources.staging import append_closed, drop_staging, publish_open_slice, stage
+from ledgerfold.sources.staging import (
+    append_rest,
+    by_month,
+    drop_staging,
+    publish_open_slice,
+    publish_subpartitions,
+    replaced_rows,
+    stage,
+)
 from ledgerfold.spec import DEFAULT, ScdSpec
 
-STRATEGIES = {
-    "closed_key": changes_closed_key,
-    "closed_key_by_subpartition": changes_closed_key_by_subpartition,
-    "latest": changes_latest,
-}
+CLOSED_KEY, BY_SUBPARTITION, LATEST = "closed_key", "closed_key_by_subpartition", "latest"
+STRATEGIES = (CLOSED_KEY, BY_SUBPARTITION, LATEST)
+
+# Closed keys the job broadcasts at most, by count: some 100 bytes each in memory.
+BROADCAST_KEYS = 1_000_000
+
+
+def _closed_key_changes(
+    replica: DataFrame, increment: DataFrame, spec: ScdSpec, by_subpartition: bool
+) -> DataFrame:
+    """What a closed-key run stages, brought together by month where that needs a shuffle.
+
+    Few closed keys are broadcast; the open rows then stay in the tasks that
+    scan them, which hold whole stretches of a month already.
+    """
+    new = conform(increment, replica, spec)
+    closed, rows = closed_keys(new, spec), open_slice(replica, spec)
+    months = touched_months(closed, spec) if by_subpartition else None
+    if months is not None:
+        rows = rows.filter(named(spec.part_from).isin(months))
+    if closed.distinct().count() <= BROADCAST_KEYS:
+        return by_month(new, spec).unionByName(unclosed(rows, closed, spec, broadcast=True))
+    return by_month(new.unionByName(unclosed(rows, closed, spec)), spec)
 
 
 def apply_increment(
@@ -29,38 +56,37 @@ def apply_increment(
     replica_path: str,
     increment_path: str,
     staging_root: str,
-    strategy: str = "closed_key",
+    strategy: str = CLOSED_KEY,
     spec: ScdSpec = DEFAULT,
     run_id: str | None = None,
-    rebalance: bool = True,
 ) -> DataFrame:
     """Stage the changes of one increment, publish them and scan the new replica.
 
-    Refuses to start while an earlier run is unfinished. A ``run_id`` given by
-    the caller is also refused when it was used before, which guards against
-    applying one increment twice.
+    By sub-partition, only start months with closed keys are read, staged and
+    replaced; open rows of other months stay in place. Refuses to start while an
+    earlier run is unfinished. A ``run_id`` given by the caller is also refused
+    when it was published before, which guards against applying one increment
+    twice.
     """
-    broken = runs.unfinished_runs(spark, staging_root)
-    if not broken.isEmpty():
+    if strategy not in STRATEGIES:
+        raise ValueError(f"unknown strategy {strategy}, not one of {', '.join(STRATEGIES)}")
+    if not runs.unfinished_runs(spark, staging_root).isEmpty():
         raise RuntimeError(f"{staging_root} holds an unfinished run; finish it with resume_run")
     run_id = run_id or uuid4().hex
-    if runs.PUBLISHED in runs.steps_of(spark, staging_root, run_id):
-        raise RuntimeError(f"run {run_id} was published before")
+    if runs.steps_of(spark, staging_root, run_id):
+        raise RuntimeError(f"run {run_id} was made before")
     replica = read_replica(spark, replica_path, spec)
     increment = read_increment(spark, increment_path)
-    changes = STRATEGIES[strategy](replica, increment, spec)
+    if strategy == LATEST:
+        changes = by_month(changes_latest(replica, increment, spec), spec)
+    else:
+        changes = _closed_key_changes(replica, increment, spec, strategy == BY_SUBPARTITION)
     path = runs.staged_path(staging_root, run_id)
-    runs.record(spark, staging_root, run_id, runs.STARTED)
-    stage(changes, path, spec, rebalance)
-    runs.record(spark, staging_root, run_id, runs.STAGED)
-
-    staged = read_replica(spark, path, spec, replica.schema)
-    append_closed(staged, replica_path, spec)
-    runs.record(spark, staging_root, run_id, runs.CLOSED)
-    publish_open_slice(staged, replica_path, spec)
-    runs.record(spark, staging_root, run_id, runs.PUBLISHED)
-    drop_staging(spark, path, replica.schema)
-    return read_replica(spark, replica_path, spec, replica.schema)
+    runs.record(spark, staging_root, run_id, runs.STARTED, strategy)
+    stage(changes, path, spec, rebalance=False)
+    runs.record(spark, staging_root, run_id, runs.STAGED, strategy)
+    run = _Run(replica_path, staging_root, run_id, strategy, replica.schema)
+    return _publish(spark, run, spec, resumed=False)
 
 
 def resume_run(
@@ -72,35 +98,74 @@ def resume_run(
 ) -> DataFrame:
     """Finish a run that broke off; one that broke while staging is given up.
 
-    Replacing the open slice can be repeated. Of the closed rows only those the
-    replica lacks are appended, since the break may have come in between.
+    Replacing open rows can be repeated. Of the rows to append only those the
+    replica lacks are written, since the break may have come after some were.
     """
     steps = runs.steps_of(spark, staging_root, run_id)
-    path = runs.staged_path(staging_root, run_id)
-    if runs.PUBLISHED in steps:
-        return read_replica(spark, replica_path, spec)
+    if not steps:
+        raise ValueError(f"no run {run_id} under {staging_root}")
+    strategy = next(iter(steps.values()))
     if runs.STAGED not in steps:
-        runs.record(spark, staging_root, run_id, runs.ABANDONED)
+        runs.record(spark, staging_root, run_id, runs.ABANDONED, strategy)
+    if runs.STAGED not in steps or runs.PUBLISHED in steps:
         return read_replica(spark, replica_path, spec)
-    staged = read_replica(spark, path, spec)
-    if runs.CLOSED not in steps:
-        append_closed(_not_there(spark, staged, replica_path, spec), replica_path, spec)
-        runs.record(spark, staging_root, run_id, runs.CLOSED)
-    publish_open_slice(staged, replica_path, spec)
-    runs.record(spark, staging_root, run_id, runs.PUBLISHED)
-    drop_staging(spark, path, staged.schema)
-    return read_replica(spark, replica_path, spec, staged.schema)
-
-
-def _not_there(
-    spark: SparkSession, staged: DataFrame, replica_path: str, spec: ScdSpec
+    schema = _known_schema(spark, [runs.staged_path(staging_root, run_id), replica_path], spec)
+    run = _Run(replica_path, staging_root, run_id, strategy, schema)
+    return _publish(spark, run, spec, resumed=True)
+
+
+@dataclass(frozen=True)
+class _Run:
+    replica_path: str
+    staging_root: str
+    run_id: str
+    strategy: str
+    schema: T.StructType
+
+
+def _known_schema(spark: SparkSession, paths: list[str], spec: ScdSpec) -> T.StructType:
+    """Schema of the first path that has rows: a broken run may leave one without."""
+    for path in paths[:-1]:
+        try:
+            return read_replica(spark, path, spec).schema
+        except AnalysisException as empty:
+            if empty.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+    return read_replica(spark, paths[-1], spec).schema
+
+
+def _publish(spark: SparkSession, run: _Run, spec: ScdSpec, resumed: bool) -> DataFrame:
+    path = runs.staged_path(run.staging_root, run.run_id)
+    staged = read_replica(spark, path, spec, run.schema)
+    replica = read_replica(spark, run.replica_path, spec, run.schema)
+    months = None
+    if run.strategy == BY_SUBPARTITION:
+        # staging holds the whole increment, so it gives the same months again
+        months = touched_months(closed_keys(staged, spec), spec)
+
+    def done(step: str) -> None:
+        runs.record(spark, run.staging_root, run.run_id, step, run.strategy)
+
+    if runs.APPENDED not in runs.steps_of(spark, run.staging_root, run.run_id):
+        rest = _lacking(staged, replica, months, spec) if resumed else staged
+        append_rest(rest, run.replica_path, spec, months)
+        done(runs.APPENDED)
+    if months is None:
+        publish_open_slice(staged, run.replica_path, spec)
+    else:
+        publish_subpartitions(staged, replica, run.replica_path, months, spec)
+    done(runs.PUBLISHED)
+    drop_staging(spark, path, run.schema)
+    return read_replica(spark, run.replica_path, spec, run.schema)
+
+
+def _lacking(
+    staged: DataFrame, replica: DataFrame, months: list[date] | None, spec: ScdSpec
 ) -> DataFrame:
-    """Staged closed rows the replica lacks, looked for in their months only."""
-    rows = staged.filter(outside_open_partition(spec))
-    month = named(spec.part_to)
-    listed = [r[0] for r in rows.select(month).distinct().collect()]
-    replica = read_replica(spark, replica_path, spec, staged.schema)
-    there = replica.filter(outside_open_partition(spec)).filter(
-        month.isin([m for m in listed if m is not None]) | month.isNull()
-    )
+    """Staged rows to append that the replica lacks, looked for in their months only."""
+    rows = staged.filter(~replaced_rows(spec, months))
+    there = replica.filter(~replaced_rows(spec, months))
+    for part in map(named, spec.partitioning):
+        listed = [r[0] for r in rows.select(part).distinct().collect()]
+        there = there.filter(part.isin([m for m in listed if m is not None]) | part.isNull())
     return rows.exceptAll(there)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerfold.functions.columns import named
-from ledgerfold.sources.staging import write_partitioned
+from ledgerfold.sources.staging import write_replica
 from ledgerfold.spec import DEFAULT, ScdSpec
 
 
@@ -39,5 +39,5 @@ def seed(spark: SparkSession, source: str, target: str, spec: ScdSpec = DEFAULT)
     Its files lie by month already, so the copy needs no shuffle.
     """
     pristine = read_replica(spark, source, spec)
-    write_partitioned(pristine, target, spec, mode="overwrite", rebalance=False)
+    write_replica(pristine, target, "overwrite", spec)
     return read_replica(spark, target, spec, pristine.schema)

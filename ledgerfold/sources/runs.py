@@ -6,9 +6,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-STAGED, CLOSED, PUBLISHED, ABANDONED = "staged", "closed", "published", "abandoned"
-STARTED = "started"
-_SCHEMA = "run_id string, step string, at timestamp"
+STARTED, STAGED, APPENDED = "started", "staged", "appended"
+PUBLISHED, ABANDONED = "published", "abandoned"
+_SCHEMA = "run_id string, step string, strategy string, at timestamp"
 
 
 def staged_path(root: str, run_id: str) -> str:
@@ -19,9 +19,12 @@ def _log_path(root: str) -> str:
     return f"{root.rstrip('/')}/log"
 
 
-def record(spark: SparkSession, root: str, run_id: str, step: str) -> None:
+def record(spark: SparkSession, root: str, run_id: str, step: str, strategy: str) -> None:
     row = spark.range(1, numPartitions=1).select(
-        F.lit(run_id).alias("run_id"), F.lit(step).alias("step"), F.current_timestamp().alias("at")
+        F.lit(run_id).alias("run_id"),
+        F.lit(step).alias("step"),
+        F.lit(strategy).alias("strategy"),
+        F.current_timestamp().alias("at"),
     )
     row.write.mode("append").parquet(_log_path(root))
 
@@ -42,7 +45,7 @@ def unfinished_runs(spark: SparkSession, root: str) -> DataFrame:
     return log.select("run_id").distinct().join(over, "run_id", "left_anti")
 
 
-def steps_of(spark: SparkSession, root: str, run_id: str) -> set[str]:
-    """Steps one run has logged: a handful of rows."""
-    rows = run_log(spark, root).filter(F.col("run_id") == run_id).select("step").distinct()
-    return {r.step for r in rows.collect()}
+def steps_of(spark: SparkSession, root: str, run_id: str) -> dict[str, str]:
+    """Steps one run has logged, with its strategy: a handful of rows."""
+    rows = run_log(spark, root).filter(F.col("run_id") == run_id).select("step", "strategy")
+    return {r.step: r.strategy for r in rows.distinct().collect()}

@@ -2,47 +2,95 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerfold.functions.columns import in_open_partition, named, outside_open_partition
+from ledgerfold.functions.columns import in_open_partition, named
 from ledgerfold.spec import DEFAULT, ScdSpec
 
 
-def write_partitioned(
-    df: DataFrame, path: str, spec: ScdSpec, mode: str, rebalance: bool = True
-) -> None:
-    """Write by month; rebalancing gives each month few files of even size.
+def by_month(df: DataFrame, spec: ScdSpec = DEFAULT) -> DataFrame:
+    """Bring the rows of a month together, in tasks of even size.
 
     A rebalance splits the large months over many tasks, which a plain
     repartition by month cannot do.
     """
-    rows = df.hint("rebalance", *[named(c) for c in spec.partitioning]) if rebalance else df
-    writer = rows.write.mode(mode).option("partitionOverwriteMode", "static")
-    writer.option("compression", "zstd").partitionBy(*spec.partitioning).parquet(path)
+    return df.hint("rebalance", *[named(c) for c in spec.partitioning])
+
+
+def _write(
+    df: DataFrame, path: str, mode: str, columns: tuple[str, ...], overwrite: str = "static"
+) -> None:
+    writer = df.write.mode(mode).option("partitionOverwriteMode", overwrite)
+    writer.option("compression", "zstd").partitionBy(*columns).parquet(path)
+
+
+def write_replica(df: DataFrame, path: str, mode: str, spec: ScdSpec = DEFAULT) -> None:
+    """Write rows to their months, as many files as tasks hold rows of a month."""
+    _write(df, path, mode, spec.partitioning)
 
 
 def stage(df: DataFrame, path: str, spec: ScdSpec = DEFAULT, rebalance: bool = True) -> None:
     """Write the rows of a run to a fresh path; an existing one is an error."""
-    write_partitioned(df, path, spec, "errorifexists", rebalance)
+    write_replica(by_month(df, spec) if rebalance else df, path, "errorifexists", spec)
+
 
+def _open_folder(replica_path: str, spec: ScdSpec) -> str:
+    return f"{replica_path.rstrip('/')}/{spec.part_to}={spec.open_month}"
 
-def publish_open_slice(staged: DataFrame, replica_path: str, spec: ScdSpec = DEFAULT) -> None:
+
+def replaced_rows(spec: ScdSpec, months: list[date] | None = None) -> Column:
+    """Staged rows that replace what the replica holds, not add to it; never null."""
+    test = in_open_partition(spec)
+    if months is not None:
+        test = test & named(spec.part_from).isin(months)
+    return F.coalesce(test, F.lit(False))
+
+
+def publish_open_slice(
+    staged: DataFrame, replica_path: str, spec: ScdSpec = DEFAULT
+) -> None:
     """Replace the whole open slice of the replica by the staged open rows.
 
     The target is the open month's folder itself, so start months that have no
     rows any more go as well, and closed months are not touched.
     """
-    target = f"{replica_path.rstrip('/')}/{spec.part_to}={spec.open_month}"
-    rows = staged.filter(in_open_partition(spec)).drop(spec.part_to)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.option("compression", "zstd").partitionBy(spec.part_from).parquet(target)
+    rows = staged.filter(replaced_rows(spec)).drop(spec.part_to)
+    _write(rows, _open_folder(replica_path, spec), "overwrite", (spec.part_from,))
 
 
-def append_closed(staged: DataFrame, replica_path: str, spec: ScdSpec = DEFAULT) -> None:
-    """Append all staged rows outside the open slice to their months."""
-    rows = staged.filter(outside_open_partition(spec))
-    write_partitioned(rows, replica_path, spec, "append", rebalance=False)
+def publish_subpartitions(
+    staged: DataFrame, replica: DataFrame, replica_path: str, months: list[date], spec: ScdSpec
+) -> None:
+    """Replace the listed start months of the open slice by the staged open rows.
+
+    Months of the list that have rows are replaced in one dynamic overwrite;
+    those left without rows, by an empty file each.
+    """
+    folder, month = _open_folder(replica_path, spec), named(spec.part_from)
+    rows = staged.filter(replaced_rows(spec, months)).drop(spec.part_to)
+    present = replica.filter(replaced_rows(spec, months)).select(month).distinct()
+    gone = present.join(rows.select(month).distinct(), spec.part_from, "left_anti")
+    emptied = [r[0] for r in gone.collect()]
+    if months:
+        _write(rows, folder, "overwrite", (spec.part_from,), "dynamic")
+    for start in emptied:
+        nothing = rows.drop(spec.part_from).limit(0)
+        nothing.write.mode("overwrite").parquet(f"{folder}/{spec.part_from}={start}")
+
+
+def append_rest(
+    staged: DataFrame,
+    replica_path: str,
+    spec: ScdSpec = DEFAULT,
+    months: list[date] | None = None,
+) -> None:
+    """Append the staged rows that replace nothing: closed ones, rows without an
+    end, and open ones outside the listed months."""
+    write_replica(staged.filter(~replaced_rows(spec, months)), replica_path, "append", spec)
 
 
 def publish(staged: DataFrame, replica_path: str, spec: ScdSpec = DEFAULT) -> None:
@@ -51,12 +99,11 @@ def publish(staged: DataFrame, replica_path: str, spec: ScdSpec = DEFAULT) -> No
     Two writes, and plain Parquet has no transaction around them: staging must
     stay until both are done.
     """
-    append_closed(staged, replica_path, spec)
+    append_rest(staged, replica_path, spec)
     publish_open_slice(staged, replica_path, spec)
 
 
 def drop_staging(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Free the space of a published run by overwriting it with no rows."""
-    spark.createDataFrame([], schema).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).parquet(path)
+    nothing = spark.createDataFrame([], schema)
+    nothing.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)

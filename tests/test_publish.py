@@ -1,0 +1,191 @@
+"""Staging, publishing and finishing broken runs, on the golden rows."""
+
+from collections import Counter
+from datetime import date
+
+import pytest
+from pyspark.errors import AnalysisException
+
+import golden
+import ledgerfold as lf
+from ledgerfold.plans import jobs
+from ledgerfold.sources import runs
+from ledgerfold.sources.staging import write_replica
+
+COLUMNS = ("id", "payload", "eff_from_dt", "eff_to_dt")
+
+
+def bag(df):
+    return Counter(tuple(r) for r in df.select(*COLUMNS).collect())
+
+
+class Stored:
+    """The golden replica and increment on disk."""
+
+    def __init__(self, spark, folder, replica=golden.REPLICA, increment=golden.INCREMENT):
+        self.spark = spark
+        self.replica, self.increment = f"{folder}/replica", f"{folder}/increment"
+        self.staging, self.folder = f"{folder}/staging", folder
+        rows = lf.with_months(spark.createDataFrame(replica, golden.SCHEMA))
+        write_replica(rows.coalesce(1), self.replica, "errorifexists")
+        spark.createDataFrame(increment, golden.SCHEMA).coalesce(1).write.parquet(self.increment)
+
+    def apply(self, strategy="closed_key", **options):
+        return lf.apply_increment(
+            self.spark, self.replica, self.increment, self.staging, strategy, **options
+        )
+
+    def read(self):
+        return lf.read_replica(self.spark, self.replica)
+
+    def months(self, slice_):
+        return {p.name for p in (self.folder / "replica" / slice_).iterdir() if p.is_dir()}
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    return Stored(spark, tmp_path)
+
+
+def expected(strategy):
+    return Counter(
+        golden.expected_latest() if strategy == "latest" else golden.expected_closed_key()
+    )
+
+
+def test_months_come_back_as_dates(stored):
+    types = dict(stored.read().dtypes)
+    assert (types["eff_to_month"], types["eff_from_month"]) == ("date", "date")
+
+
+def test_open_slice_is_a_partition_filter(stored, capsys):
+    lf.open_slice(stored.read()).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(eff_to_month" in plan
+    assert "5999-12-31" in plan
+
+
+def test_seed_overwrites_and_equals(spark, stored, tmp_path):
+    target = f"{tmp_path}/seeded"
+    write_replica(stored.read().limit(2), target, "errorifexists")
+    assert bag(lf.seed(spark, stored.replica, target)) == Counter(golden.REPLICA)
+
+
+@pytest.mark.parametrize("strategy", jobs.STRATEGIES)
+@pytest.mark.parametrize("few", [0, 1_000], ids=["shuffled", "broadcast"])
+def test_apply_increment(strategy, few, stored, monkeypatch):
+    monkeypatch.setattr(jobs, "BROADCAST_KEYS", few)
+    assert bag(stored.apply(strategy)) == expected(strategy)
+    assert bag(stored.read()) == expected(strategy)
+    assert runs.unfinished_runs(stored.spark, stored.staging).isEmpty()
+
+
+def test_a_vanished_subpartition_goes(stored):
+    gone = "eff_from_month=2024-04-30"
+    assert gone in stored.months("eff_to_month=5999-12-31")
+    stored.apply()
+    assert gone not in stored.months("eff_to_month=5999-12-31")
+    got = {p.name for p in stored.folder.joinpath("replica").iterdir() if p.is_dir()}
+    assert got == {
+        "eff_to_month=2024-05-31",
+        "eff_to_month=2024-06-30",
+        "eff_to_month=5999-12-31",
+        "eff_to_month=__HIVE_DEFAULT_PARTITION__",
+    }
+
+
+def test_subpartitions_without_closed_keys_keep_their_files(stored):
+    march = stored.folder / "replica/eff_to_month=5999-12-31/eff_from_month=2024-03-31"
+    before = {p.name for p in march.glob("*.parquet")}
+    stored.apply("closed_key_by_subpartition")
+    assert before and {p.name for p in march.glob("*.parquet")} == before
+
+
+def test_a_replica_may_lose_all_open_rows(spark, tmp_path):
+    start, end = date(2024, 1, 5), date(2024, 3, 1)
+    for strategy in ("closed_key", "closed_key_by_subpartition"):
+        stored = Stored(
+            spark,
+            tmp_path / strategy,
+            [(1, "a", start, golden.OPEN)],
+            [(1, "a", start, end)],
+        )
+        assert bag(stored.apply(strategy)) == Counter([(1, "a", start, end)])
+
+
+def test_an_empty_increment_changes_nothing(spark, tmp_path):
+    for strategy in jobs.STRATEGIES:
+        stored = Stored(spark, tmp_path / strategy, increment=[])
+        assert bag(stored.apply(strategy)) == Counter(golden.REPLICA)
+
+
+def test_closed_months_of_earlier_runs_stay(stored):
+    stored.apply()
+    before = bag(lf.closed_slice(stored.read()))
+    stored.spark.createDataFrame(
+        [(2, "r2", date(2024, 1, 11), date(2024, 5, 31))], golden.SCHEMA
+    ).write.mode("overwrite").parquet(stored.increment)
+    stored.apply()
+    added = Counter([(2, "r2", date(2024, 1, 11), date(2024, 5, 31))])
+    assert bag(lf.closed_slice(stored.read())) == before + added
+
+
+def test_staging_is_never_overwritten(spark, stored, tmp_path):
+    path = f"{tmp_path}/staged"
+    lf.stage(stored.read(), path)
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        lf.stage(stored.read(), path)
+
+
+def test_a_published_run_is_not_made_again(stored):
+    stored.apply(run_id="day-1")
+    with pytest.raises(RuntimeError, match="made before"):
+        stored.apply(run_id="day-1")
+    assert bag(stored.read()) == expected("closed_key")
+
+
+def test_dropped_staging_holds_no_rows(stored):
+    stored.apply(run_id="day-1")
+    path = runs.staged_path(stored.staging, "day-1")
+    assert stored.spark.read.parquet(path).isEmpty()
+
+
+class Crash(Exception):
+    pass
+
+
+def _crash(*args, **kwargs):
+    raise Crash
+
+
+def _append_then_crash(*args, **kwargs):
+    append_rest(*args, **kwargs)
+    raise Crash
+
+
+append_rest = jobs.append_rest
+BREAKS = {
+    "while staging": ("stage", _crash),
+    "before the append": ("append_rest", _crash),
+    "after the append": ("append_rest", _append_then_crash),
+    "before the open rows": ("publish", _crash),
+}
+
+
+@pytest.mark.parametrize("strategy", jobs.STRATEGIES)
+@pytest.mark.parametrize("where", BREAKS)
+def test_a_broken_run_is_finished(strategy, where, stored, monkeypatch):
+    name, broken = BREAKS[where]
+    names = ("publish_open_slice", "publish_subpartitions") if name == "publish" else (name,)
+    with monkeypatch.context() as patch:
+        for each in names:
+            patch.setattr(jobs, each, broken)
+        with pytest.raises(Crash):
+            stored.apply(strategy, run_id="day-1")
+    with pytest.raises(RuntimeError, match="unfinished"):
+        stored.apply(strategy)
+    lf.resume_run(stored.spark, stored.replica, stored.staging, "day-1")
+    if where == "while staging":
+        assert bag(stored.read()) == Counter(golden.REPLICA)
+        stored.apply(strategy)
+    assert bag(stored.read()) == expected(strategy)
