@@ -8,11 +8,13 @@ from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerfold.functions.columns import named
 from ledgerfold.operators.merge import changes_latest, touched_months, unclosed
 from ledgerfold.operators.slices import closed_keys, conform, open_slice
+from ledgerfold.plans.session import checkpointed
 from ledgerfold.sources import runs
 from ledgerfold.sources.replica import read_increment, read_replica
 from ledgerfold.sources.staging import (
@@ -29,7 +31,7 @@ from ledgerfold.spec import DEFAULT, ScdSpec
 CLOSED_KEY, BY_SUBPARTITION, LATEST = "closed_key", "closed_key_by_subpartition", "latest"
 STRATEGIES = (CLOSED_KEY, BY_SUBPARTITION, LATEST)
 
-# Closed keys the job broadcasts at most, by count: some 100 bytes each in memory.
+# Keys the job broadcasts at most, by count: some 100 bytes each in memory.
 BROADCAST_KEYS = 1_000_000
 
 
@@ -51,6 +53,31 @@ def _closed_key_changes(
     return by_month(new.unionByName(unclosed(rows, closed, spec)), spec)
 
 
+def _latest_changes(replica: DataFrame, increment: DataFrame, spec: ScdSpec) -> DataFrame:
+    """What a latest-version run stages, ranking only the entities it has to.
+
+    An open row whose entity has no other open row and no increment row is the
+    latest already. Where few entities are left, their keys are broadcast and
+    the settled rows stay in the tasks that scan them, without a shuffle; the
+    test for other open rows shuffles keys alone.
+    """
+    new, rows = conform(increment, replica, spec), open_slice(replica, spec)
+    key = named(spec.key)
+    repeated = rows.groupBy(key.alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
+    contested = checkpointed(
+        repeated.filter(F.col("__n") > 1)
+        .select("__key")
+        .unionByName(new.select(key.alias("__key")))
+        .distinct()
+    )
+    if contested.count() > BROADCAST_KEYS:
+        return by_month(changes_latest(replica, increment, spec), spec)
+    same = key.eqNullSafe(F.col("__key"))
+    settled = rows.join(F.broadcast(contested), same, "left_anti")
+    ranked = changes_latest(rows.join(F.broadcast(contested), same, "left_semi"), new, spec)
+    return settled.unionByName(by_month(ranked, spec))
+
+
 def apply_increment(
     spark: SparkSession,
     replica_path: str,
@@ -78,7 +105,7 @@ def apply_increment(
     replica = read_replica(spark, replica_path, spec)
     increment = read_increment(spark, increment_path)
     if strategy == LATEST:
-        changes = by_month(changes_latest(replica, increment, spec), spec)
+        changes = _latest_changes(replica, increment, spec)
     else:
         changes = _closed_key_changes(replica, increment, spec, strategy == BY_SUBPARTITION)
     path = runs.staged_path(staging_root, run_id)
