@@ -31,10 +31,13 @@ from ledgerfold.sources.staging import (
     publish_subpartitions,
     stage,
 )
+from ledgerfold.sources.targets import PathReplica, TableReplica, create_replica
 from ledgerfold.spec import ScdSpec
 
 __all__ = [
+    "PathReplica",
     "ScdSpec",
+    "TableReplica",
     "append_rest",
     "apply_increment",
     "changes_closed_key",
@@ -43,6 +46,7 @@ __all__ = [
     "closed_keys",
     "closed_slice",
     "conform",
+    "create_replica",
     "drop_staging",
     "latest_open",
     "merge_closed_key",

@@ -17,15 +17,8 @@ from ledgerfold.operators.slices import closed_keys, conform, open_slice
 from ledgerfold.plans.session import checkpointed
 from ledgerfold.sources import runs
 from ledgerfold.sources.replica import read_increment, read_replica
-from ledgerfold.sources.staging import (
-    append_rest,
-    by_month,
-    drop_staging,
-    publish_open_slice,
-    publish_subpartitions,
-    replaced_rows,
-    stage,
-)
+from ledgerfold.sources.staging import by_month, drop_staging, replaced_rows, stage
+from ledgerfold.sources.targets import PathReplica, TableReplica
 from ledgerfold.spec import DEFAULT, ScdSpec
 
 CLOSED_KEY, BY_SUBPARTITION, LATEST = "closed_key", "closed_key_by_subpartition", "latest"
@@ -78,9 +71,12 @@ def _latest_changes(replica: DataFrame, increment: DataFrame, spec: ScdSpec) ->
     return settled.unionByName(by_month(ranked, spec))
 
 
+Target = PathReplica | TableReplica
+
+
 def apply_increment(
     spark: SparkSession,
-    replica_path: str,
+    replica: str | Target,
     increment_path: str,
     staging_root: str,
     strategy: str = CLOSED_KEY,
@@ -89,36 +85,38 @@ def apply_increment(
 ) -> DataFrame:
     """Stage the changes of one increment, publish them and scan the new replica.
 
-    By sub-partition, only start months with closed keys are read, staged and
-    replaced; open rows of other months stay in place. Refuses to start while an
-    earlier run is unfinished. A ``run_id`` given by the caller is also refused
-    when it was published before, which guards against applying one increment
-    twice.
+    The replica is a path or a target. By sub-partition, only start months with
+    closed keys are read, staged and replaced; open rows of other months stay in
+    place. Refuses to start while an earlier run is unfinished. A ``run_id``
+    given by the caller is also refused when it was used before, which guards
+    against applying one increment twice.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy}, not one of {', '.join(STRATEGIES)}")
+    target = PathReplica(replica) if isinstance(replica, str) else replica
+    if strategy == BY_SUBPARTITION and target.attach:
+        raise ValueError("attaching replaces the open slice as a whole; choose another strategy")
     if not runs.unfinished_runs(spark, staging_root).isEmpty():
         raise RuntimeError(f"{staging_root} holds an unfinished run; finish it with resume_run")
     run_id = run_id or uuid4().hex
     if runs.steps_of(spark, staging_root, run_id):
         raise RuntimeError(f"run {run_id} was made before")
-    replica = read_replica(spark, replica_path, spec)
+    current = target.scan(spark, spec)
     increment = read_increment(spark, increment_path)
+    runs.record(spark, staging_root, run_id, runs.STARTED, strategy)
     if strategy == LATEST:
-        changes = _latest_changes(replica, increment, spec)
+        changes = _latest_changes(current, increment, spec)
     else:
-        changes = _closed_key_changes(replica, increment, spec, strategy == BY_SUBPARTITION)
-    path = runs.staged_path(staging_root, run_id)
-    runs.record(spark, staging_root, run_id, runs.STARTED, strategy)
-    stage(changes, path, spec, rebalance=False)
+        changes = _closed_key_changes(current, increment, spec, strategy == BY_SUBPARTITION)
+    stage(changes, runs.staged_path(staging_root, run_id), spec, rebalance=False)
     runs.record(spark, staging_root, run_id, runs.STAGED, strategy)
-    run = _Run(replica_path, staging_root, run_id, strategy, replica.schema)
+    run = _Run(target, staging_root, run_id, strategy, current.schema)
     return _publish(spark, run, spec, resumed=False)
 
 
 def resume_run(
     spark: SparkSession,
-    replica_path: str,
+    replica: str | Target,
     staging_root: str,
     run_id: str,
     spec: ScdSpec = DEFAULT,
@@ -128,6 +126,7 @@ def resume_run(
     Replacing open rows can be repeated. Of the rows to append only those the
     replica lacks are written, since the break may have come after some were.
     """
+    target = PathReplica(replica) if isinstance(replica, str) else replica
     steps = runs.steps_of(spark, staging_root, run_id)
     if not steps:
         raise ValueError(f"no run {run_id} under {staging_root}")
@@ -135,55 +134,54 @@ def resume_run(
     if runs.STAGED not in steps:
         runs.record(spark, staging_root, run_id, runs.ABANDONED, strategy)
     if runs.STAGED not in steps or runs.PUBLISHED in steps:
-        return read_replica(spark, replica_path, spec)
-    schema = _known_schema(spark, [runs.staged_path(staging_root, run_id), replica_path], spec)
-    run = _Run(replica_path, staging_root, run_id, strategy, schema)
+        return target.scan(spark, spec)
+    schema = _known_schema(spark, target, runs.staged_path(staging_root, run_id), spec)
+    run = _Run(target, staging_root, run_id, strategy, schema)
     return _publish(spark, run, spec, resumed=True)
 
 
 @dataclass(frozen=True)
 class _Run:
-    replica_path: str
+    target: Target
     staging_root: str
     run_id: str
     strategy: str
     schema: T.StructType
 
 
-def _known_schema(spark: SparkSession, paths: list[str], spec: ScdSpec) -> T.StructType:
-    """Schema of the first path that has rows: a broken run may leave one without."""
-    for path in paths[:-1]:
-        try:
-            return read_replica(spark, path, spec).schema
-        except AnalysisException as empty:
-            if empty.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-                raise
-    return read_replica(spark, paths[-1], spec).schema
+def _known_schema(
+    spark: SparkSession, target: Target, staged_path: str, spec: ScdSpec
+) -> T.StructType:
+    """Schema of staging or, where that has no rows, of the replica."""
+    try:
+        return read_replica(spark, staged_path, spec).schema
+    except AnalysisException as empty:
+        if empty.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+    return target.scan(spark, spec).schema
 
 
 def _publish(spark: SparkSession, run: _Run, spec: ScdSpec, resumed: bool) -> DataFrame:
-    path = runs.staged_path(run.staging_root, run.run_id)
+    root, target = run.staging_root, run.target
+    path = runs.staged_path(root, run.run_id)
     staged = read_replica(spark, path, spec, run.schema)
-    replica = read_replica(spark, run.replica_path, spec, run.schema)
     months = None
     if run.strategy == BY_SUBPARTITION:
         # staging holds the whole increment, so it gives the same months again
         months = touched_months(closed_keys(staged, spec), spec)
-
-    def done(step: str) -> None:
-        runs.record(spark, run.staging_root, run.run_id, step, run.strategy)
-
-    if runs.APPENDED not in runs.steps_of(spark, run.staging_root, run.run_id):
-        rest = _lacking(staged, replica, months, spec) if resumed else staged
-        append_rest(rest, run.replica_path, spec, months)
-        done(runs.APPENDED)
-    if months is None:
-        publish_open_slice(staged, run.replica_path, spec)
-    else:
-        publish_subpartitions(staged, replica, run.replica_path, months, spec)
-    done(runs.PUBLISHED)
-    drop_staging(spark, path, run.schema)
-    return read_replica(spark, run.replica_path, spec, run.schema)
+    if runs.APPENDED not in runs.steps_of(spark, root, run.run_id):
+        rest = staged
+        if resumed:
+            rest = _lacking(staged, target.scan(spark, spec, run.schema), months, spec)
+        target.append(rest, spec, months)
+        runs.record(spark, root, run.run_id, runs.APPENDED, run.strategy)
+    target.replace(staged, path, spec, months)
+    runs.record(spark, root, run.run_id, runs.PUBLISHED, run.strategy)
+    for done in runs.undropped_runs(spark, root):
+        if done != run.run_id or not target.attach:
+            drop_staging(spark, runs.staged_path(root, done), run.schema)
+            runs.record(spark, root, done, runs.DROPPED, run.strategy)
+    return target.scan(spark, spec, run.schema)
 
 
 def _lacking(
@@ -191,7 +189,7 @@ def _lacking(
 ) -> DataFrame:
     """Staged rows to append that the replica lacks, looked for in their months only."""
     rows = staged.filter(~replaced_rows(spec, months))
-    there = replica.filter(~replaced_rows(spec, months))
+    there = replica.filter(~replaced_rows(spec, months)).select(*[named(c) for c in rows.columns])
     for part in map(named, spec.partitioning):
         listed = [r[0] for r in rows.select(part).distinct().collect()]
         there = there.filter(part.isin([m for m in listed if m is not None]) | part.isNull())

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STARTED, STAGED, APPENDED = "started", "staged", "appended"
-PUBLISHED, ABANDONED = "published", "abandoned"
+PUBLISHED, ABANDONED, DROPPED = "published", "abandoned", "dropped"
 _SCHEMA = "run_id string, step string, strategy string, at timestamp"
 
 
@@ -45,6 +45,14 @@ def unfinished_runs(spark: SparkSession, root: str) -> DataFrame:
     return log.select("run_id").distinct().join(over, "run_id", "left_anti")
 
 
+def undropped_runs(spark: SparkSession, root: str) -> list[str]:
+    """Published runs whose staged rows are still there: one, rarely a few."""
+    log = run_log(spark, root)
+    dropped = log.filter(F.col("step") == DROPPED).select("run_id")
+    published = log.filter(F.col("step") == PUBLISHED).select("run_id").distinct()
+    return [r.run_id for r in published.join(dropped, "run_id", "left_anti").collect()]
+
+
 def steps_of(spark: SparkSession, root: str, run_id: str) -> dict[str, str]:
     """Steps one run has logged, with its strategy: a handful of rows."""
     rows = run_log(spark, root).filter(F.col("run_id") == run_id).select("step", "strategy")

@@ -50,9 +50,7 @@ def replaced_rows(spec: ScdSpec, months: list[date] | None = None) -> Column:
     return F.coalesce(test, F.lit(False))
 
 
-def publish_open_slice(
-    staged: DataFrame, replica_path: str, spec: ScdSpec = DEFAULT
-) -> None:
+def publish_open_slice(staged: DataFrame, replica_path: str, spec: ScdSpec = DEFAULT) -> None:
     """Replace the whole open slice of the replica by the staged open rows.
 
     The target is the open month's folder itself, so start months that have no
@@ -62,19 +60,31 @@ def publish_open_slice(
     _write(rows, _open_folder(replica_path, spec), "overwrite", (spec.part_from,))
 
 
+def vanished_months(
+    staged: DataFrame, replica: DataFrame, months: list[date], spec: ScdSpec = DEFAULT
+) -> list[date]:
+    """Listed start months that have open rows in the replica but none staged."""
+    month, replaced = named(spec.part_from), replaced_rows(spec, months)
+    present = replica.filter(replaced).select(month).distinct()
+    kept = staged.filter(replaced).select(month).distinct()
+    return [r[0] for r in present.join(kept, spec.part_from, "left_anti").collect()]
+
+
 def publish_subpartitions(
-    staged: DataFrame, replica: DataFrame, replica_path: str, months: list[date], spec: ScdSpec
+    staged: DataFrame,
+    replica: DataFrame,
+    replica_path: str,
+    months: list[date],
+    spec: ScdSpec = DEFAULT,
 ) -> None:
     """Replace the listed start months of the open slice by the staged open rows.
 
     Months of the list that have rows are replaced in one dynamic overwrite;
     those left without rows, by an empty file each.
     """
-    folder, month = _open_folder(replica_path, spec), named(spec.part_from)
+    emptied = vanished_months(staged, replica, months, spec)
+    folder = _open_folder(replica_path, spec)
     rows = staged.filter(replaced_rows(spec, months)).drop(spec.part_to)
-    present = replica.filter(replaced_rows(spec, months)).select(month).distinct()
-    gone = present.join(rows.select(month).distinct(), spec.part_from, "left_anti")
-    emptied = [r[0] for r in gone.collect()]
     if months:
         _write(rows, folder, "overwrite", (spec.part_from,), "dynamic")
     for start in emptied:
@@ -105,5 +115,5 @@ def publish(staged: DataFrame, replica_path: str, spec: ScdSpec = DEFAULT) -> No
 
 def drop_staging(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Free the space of a published run by overwriting it with no rows."""
-    nothing = spark.createDataFrame([], schema)
+    nothing = spark.createDataFrame([], schema).coalesce(1)
     nothing.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)

@@ -2,6 +2,7 @@
 
 from collections import Counter
 from datetime import date
+from uuid import uuid4
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -150,6 +151,78 @@ def test_dropped_staging_holds_no_rows(stored):
     assert stored.spark.read.parquet(path).isEmpty()
 
 
+class Tabled(Stored):
+    """The same with the replica as a catalog table."""
+
+    def __init__(self, spark, folder, attach=False):
+        super().__init__(spark, folder)
+        self.name = f"replica_{uuid4().hex}"
+        schema = lf.read_replica(spark, self.replica).schema
+        self.replica = lf.create_replica(spark, self.name, schema, f"{folder}/table", attach=attach)
+        rows = lf.read_replica(spark, f"{folder}/replica")
+        rows.write.insertInto(self.name)
+
+    def read(self):
+        return self.spark.table(self.name)
+
+
+@pytest.fixture
+def tabled(spark, tmp_path):
+    made = Tabled(spark, tmp_path)
+    yield made
+    spark.sql(f"DROP TABLE {made.name}")
+
+
+@pytest.fixture
+def attached(spark, tmp_path):
+    made = Tabled(spark, tmp_path, attach=True)
+    yield made
+    spark.sql(f"DROP TABLE {made.name}")
+
+
+@pytest.mark.parametrize("strategy", jobs.STRATEGIES)
+def test_apply_increment_to_a_table(strategy, tabled):
+    assert bag(tabled.apply(strategy)) == expected(strategy)
+    months = {r[0] for r in tabled.spark.sql(f"SHOW PARTITIONS {tabled.name}").collect()}
+    if strategy == "closed_key":
+        assert "eff_to_month=5999-12-31/eff_from_month=2024-04-30" not in months
+        assert len(months) == 11
+
+
+def test_table_scan_prunes_to_the_open_partitions(tabled, capsys):
+    tabled.apply()
+    lf.open_slice(tabled.read()).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(eff_to_month" in plan
+
+
+@pytest.mark.parametrize("strategy", ["closed_key", "latest"])
+def test_attached_open_rows_are_not_written_again(strategy, attached):
+    attached.apply(strategy, run_id="day-1")
+    assert bag(attached.read()) == expected(strategy)
+    files = {r[0] for r in lf.open_slice(attached.read()).select("_metadata.file_path").collect()}
+    assert files and all("run_id=day-1" in f for f in files)
+
+
+def test_attached_runs_follow_each_other(attached):
+    attached.apply(run_id="day-1")
+    closing = (2, "r2", date(2024, 1, 11), date(2024, 5, 31))
+    attached.spark.createDataFrame([closing], golden.SCHEMA).write.mode("overwrite").parquet(
+        attached.increment
+    )
+    attached.apply(run_id="day-2")
+    opened = (2, "r2", date(2024, 1, 11), golden.OPEN)
+    assert bag(attached.read()) == expected("closed_key") - Counter([opened]) + Counter([closing])
+    first, second = (runs.staged_path(attached.staging, f"day-{n}") for n in (1, 2))
+    assert attached.spark.read.parquet(first).isEmpty()
+    assert not attached.spark.read.parquet(second).isEmpty()
+
+
+def test_attaching_takes_the_whole_open_slice(attached):
+    with pytest.raises(ValueError, match="as a whole"):
+        attached.apply("closed_key_by_subpartition")
+
+
 class Crash(Exception):
     pass
 
@@ -158,34 +231,46 @@ def _crash(*args, **kwargs):
     raise Crash
 
 
-def _append_then_crash(*args, **kwargs):
-    append_rest(*args, **kwargs)
-    raise Crash
+BREAKS = ("while staging", "before the append", "after the append", "before the open rows")
 
 
-append_rest = jobs.append_rest
-BREAKS = {
-    "while staging": ("stage", _crash),
-    "before the append": ("append_rest", _crash),
-    "after the append": ("append_rest", _append_then_crash),
-    "before the open rows": ("publish", _crash),
-}
+def _break(patch, where, target):
+    append = target.append
 
+    def append_then_crash(*args, **kwargs):
+        append(*args, **kwargs)
+        raise Crash
 
-@pytest.mark.parametrize("strategy", jobs.STRATEGIES)
-@pytest.mark.parametrize("where", BREAKS)
-def test_a_broken_run_is_finished(strategy, where, stored, monkeypatch):
-    name, broken = BREAKS[where]
-    names = ("publish_open_slice", "publish_subpartitions") if name == "publish" else (name,)
+    if where == "while staging":
+        patch.setattr(jobs, "stage", _crash)
+    elif where == "before the append":
+        patch.setattr(type(target), "append", _crash)
+    elif where == "after the append":
+        patch.setattr(type(target), "append", lambda self, *args: append_then_crash(*args))
+    else:
+        patch.setattr(type(target), "replace", _crash)
+
+
+def _check_broken(strategy, where, stored, target, monkeypatch):
     with monkeypatch.context() as patch:
-        for each in names:
-            patch.setattr(jobs, each, broken)
+        _break(patch, where, target)
         with pytest.raises(Crash):
             stored.apply(strategy, run_id="day-1")
     with pytest.raises(RuntimeError, match="unfinished"):
         stored.apply(strategy)
-    lf.resume_run(stored.spark, stored.replica, stored.staging, "day-1")
+    lf.resume_run(stored.spark, target, stored.staging, "day-1")
     if where == "while staging":
         assert bag(stored.read()) == Counter(golden.REPLICA)
         stored.apply(strategy)
     assert bag(stored.read()) == expected(strategy)
+
+
+@pytest.mark.parametrize("strategy", ["closed_key", "closed_key_by_subpartition"])
+@pytest.mark.parametrize("where", BREAKS)
+def test_a_broken_run_is_finished(strategy, where, stored, monkeypatch):
+    _check_broken(strategy, where, stored, lf.PathReplica(stored.replica), monkeypatch)
+
+
+@pytest.mark.parametrize("where", BREAKS)
+def test_a_broken_run_on_a_table_is_finished(where, attached, monkeypatch):
+    _check_broken("latest", where, attached, attached.replica, monkeypatch)
