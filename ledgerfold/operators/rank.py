@@ -46,23 +46,26 @@ def rank_versions(
 ) -> DataFrame:
     """Number the versions of each entity, 1 for the newest.
 
-    Entities of more than ``hot_rows`` versions are sorted across many tasks;
-    there are at most ``count / hot_rows`` of them, so their keys are broadcast.
+    No task ranks much more than ``hot_rows`` versions of one entity: larger
+    ones are cut into blocks. There are at most ``count / hot_rows`` of them, so
+    their keys are broadcast. Counting the versions is a job of its own.
     """
-    order = version_order(df, spec)
     key = named(spec.key)
     sizes = df.groupBy(key.alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.filter(F.col("__n") > hot_rows).select("__key")
-    window = Window.partitionBy(key).orderBy(*order)
-    if hot.isEmpty():
-        return df.withColumn(name, F.row_number().over(window))
+    hot = sizes.filter(F.col("__n") > hot_rows)
+    window = Window.partitionBy(key).orderBy(*version_order(df, spec))
+    rank = F.row_number().over(window).cast("bigint")
+    total = hot.agg(F.sum("__n")).first()[0]
+    if total is None:
+        return df.withColumn(name, rank)
+    keys = F.broadcast(checkpointed(hot.select("__key")))
     is_hot = key.eqNullSafe(F.col("__key"))
-    usual = df.join(F.broadcast(hot), is_hot, "left_anti")
-    usual = usual.withColumn(name, F.row_number().over(window))
-    return usual.unionByName(_rank_hot(df.join(F.broadcast(hot), is_hot, "left_semi"), spec, name))
+    usual = df.join(keys, is_hot, "left_anti").withColumn(name, rank)
+    large = df.join(keys, is_hot, "left_semi")
+    return usual.unionByName(_rank_in_blocks(large, spec, name, -(-total // hot_rows)))
 
 
-def _rank_hot(df: DataFrame, spec: ScdSpec, name: str) -> DataFrame:
+def _rank_in_blocks(df: DataFrame, spec: ScdSpec, name: str, count: int) -> DataFrame:
     """Rank by ordered blocks: place in the block plus the rows of earlier blocks.
 
     A running number as the last sort key lets even equal rows fall into
@@ -72,9 +75,8 @@ def _rank_hot(df: DataFrame, spec: ScdSpec, name: str) -> DataFrame:
     key = named(spec.key)
     numbered = df.withColumn(_COPY, F.monotonically_increasing_id())
     order = [*version_order(df, spec), F.col(_COPY).asc()]
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = checkpointed(
-        numbered.repartitionByRange(tasks, key.asc_nulls_last(), *order).withColumn(
+        numbered.repartitionByRange(count, key.asc_nulls_last(), *order).withColumn(
             _BLOCK, F.spark_partition_id()
         )
     )

@@ -15,9 +15,10 @@ MERGE_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
-    "spark.sql.files.maxPartitionBytes": "1GB",
+    "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -29,6 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(named)
         return named
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
