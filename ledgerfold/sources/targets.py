@@ -84,68 +84,74 @@ class TableReplica:
         spec: ScdSpec = DEFAULT,
         months: list[date] | None = None,
     ) -> None:
+        rows = staged.filter(replaced_rows(spec, months))
         if months is not None:
-            self._replace_listed(staged, spec, months)
+            emptied = vanished_months(staged, self.scan(staged.sparkSession), months, spec)
+            if months:
+                self._overwrite(rows, spec, "dynamic")
+            for start in emptied:
+                self._overwrite(rows.limit(0), spec, "static", start)
         elif self.attach:
-            self._attach(staged, staged_path, spec)
+            self._attach(rows, staged_path, spec)
         else:
-            self._insert(staged.filter(replaced_rows(spec)), spec, f"`{spec.part_from}`", "static")
+            self._overwrite(rows, spec, "static")
+
+    def _overwrite(
+        self, rows: DataFrame, spec: ScdSpec, mode: str, start: date | None = None
+    ) -> None:
+        """``INSERT OVERWRITE`` below the open month, or of one start month there.
 
-    def _insert(self, rows: DataFrame, spec: ScdSpec, start: str, mode: str) -> None:
-        """``INSERT OVERWRITE`` below the open month, of all start months or of one."""
+        With mode ``static`` everything below the given partition values goes,
+        with ``dynamic`` only the start months that have rows are replaced.
+        """
         spark = rows.sparkSession
-        given = {spec.part_to} if start.startswith("`") else set(spec.partitioning)
-        columns = [c for c in spark.table(self.name).columns if c not in given]
-        before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        given = {spec.part_to: spec.open_month}
+        if start is not None:
+            given[spec.part_from] = start
+        partition = ", ".join(
+            f"`{c}` = DATE'{given[c]}'" if c in given else f"`{c}`" for c in spec.partitioning
+        )
+        columns = [named(c) for c in spark.table(self.name).columns if c not in given]
+        before = spark.conf.get(_OVERWRITE_MODE)
+        spark.conf.set(_OVERWRITE_MODE, mode)
         try:
             spark.sql(
-                f"INSERT OVERWRITE TABLE {self.name} PARTITION "
-                f"(`{spec.part_to}` = DATE'{spec.open_month}', {start}) SELECT * FROM {{rows}}",
-                rows=rows.select(*[named(c) for c in columns]),
+                f"INSERT OVERWRITE TABLE {self.name} PARTITION ({partition}) SELECT * FROM {{rows}}",
+                rows=rows.select(*columns),
             )
         finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+            spark.conf.set(_OVERWRITE_MODE, before)
 
-    def _replace_listed(self, staged: DataFrame, spec: ScdSpec, months: list[date]) -> None:
-        replica = self.scan(staged.sparkSession, spec)
-        emptied = vanished_months(staged, replica, months, spec)
-        rows = staged.filter(replaced_rows(spec, months))
-        if months:
-            self._insert(rows, spec, f"`{spec.part_from}`", "dynamic")
-        for start in emptied:
-            self._insert(rows.limit(0), spec, f"{spec.part_from} = DATE'{start}'", "static")
-
-    def _attach(self, staged: DataFrame, staged_path: str, spec: ScdSpec) -> None:
+    def _attach(self, rows: DataFrame, staged_path: str, spec: ScdSpec) -> None:
         """Let go of the open partitions and add the staged ones: a list of months."""
-        spark, open_month = staged.sparkSession, f"{spec.part_to}={spec.open_month}"
+        spark, folder = rows.sparkSession, f"{spec.part_to}={spec.open_month}"
         held = [
-            r[0].split(f"/{spec.part_from}=")[1]
+            r[0].removeprefix(f"{folder}/{spec.part_from}=")
             for r in spark.sql(f"SHOW PARTITIONS {self.name}").collect()
-            if r[0].startswith(open_month + "/")
+            if r[0].startswith(f"{folder}/")
         ]
-        starts = staged.filter(replaced_rows(spec)).select(
-            F.coalesce(named(spec.part_from).cast("string"), F.lit(_NO_MONTH))
-        )
+        start = F.coalesce(named(spec.part_from).cast("string"), F.lit(_NO_MONTH))
+        staged = [r[0] for r in rows.select(start).distinct().collect()]
 
         def partition(month: str) -> str:
-            start = "null" if month == _NO_MONTH else f"DATE'{month}'"
+            value = "null" if month == _NO_MONTH else f"DATE'{month}'"
             return (
                 f"PARTITION (`{spec.part_to}` = DATE'{spec.open_month}', "
-                f"`{spec.part_from}` = {start})"
+                f"`{spec.part_from}` = {value})"
             )
 
         if held:
             gone = ", ".join(partition(m) for m in held)
             spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {gone}")
-        added = [
-            f"{partition(m)} LOCATION '{staged_path}/{open_month}/{spec.part_from}={m}'"
-            for (m,) in starts.distinct().collect()
-        ]
-        if added:
+        if staged:
+            root = staged_path.replace("'", "\\'")
+            added = [
+                f"{partition(m)} LOCATION '{root}/{folder}/{spec.part_from}={m}'" for m in staged
+            ]
             spark.sql(f"ALTER TABLE {self.name} ADD {' '.join(added)}")
 
 
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 # Folder name of the null partition, a fixed value of the Hive layout.
 _NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 

@@ -218,6 +218,16 @@ def test_attached_runs_follow_each_other(attached):
     assert not attached.spark.read.parquet(second).isEmpty()
 
 
+def test_attached_rows_without_a_start(spark, attached):
+    undated = (99, "rX", None, golden.OPEN)
+    spark.createDataFrame([undated], golden.SCHEMA).write.mode("overwrite").parquet(
+        attached.increment
+    )
+    for run in ("day-1", "day-2"):
+        attached.apply(run_id=run)
+    assert bag(attached.read()) == Counter([*golden.REPLICA, undated, undated])
+
+
 def test_attaching_takes_the_whole_open_slice(attached):
     with pytest.raises(ValueError, match="as a whole"):
         attached.apply("closed_key_by_subpartition")
