@@ -2,9 +2,10 @@
 
 Replica and increment are stored by month first, outside the times. Every query
 gets the same stored input. ``merge_*`` write the merged rows to a null sink,
-``job_*`` run the whole job on storage (stage, publish). ``loop_*`` is the
+``job_*`` run the whole job on storage (stage, publish), on a path or a table. ``loop_*`` is the
 yardstick: the same work in one turn per open sub-partition, in sequence.
-Median of the warm runs. ``value`` is the sum over the merges and jobs.
+Median of the warm runs (one for the yardstick). ``value`` is the sum over the
+merges and jobs.
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ def session(folder: str) -> SparkSession:
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", cores)
-        .config("spark.checkpoint.dir", folder)
+        .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
+        .config("spark.checkpoint.dir", f"{folder}/shared")
     )
     for key, value in MERGE_SETTINGS.items():
         builder = builder.config(key, value)
@@ -61,10 +63,10 @@ def loop_merge(replica: DataFrame, increment: DataFrame, write) -> None:
     new.unpersist()
 
 
-def timed(prepare, run) -> float:
+def timed(prepare, run, runs: int = RUNS) -> float:
     """Median seconds of ``run`` after one run to warm up; ``prepare`` is not timed."""
     seconds = []
-    for _ in range(RUNS + 1):
+    for _ in range(runs + 1):
         given = prepare()
         start = time.perf_counter()
         run(given)
@@ -102,6 +104,17 @@ def main() -> None:
         lf.seed(spark, orders[0], target)
         return target
 
+    schema = lf.read_replica(spark, orders[0]).schema
+
+    def tabled(attach: bool):
+        def make() -> lf.TableReplica:
+            at = fresh("table")
+            made = lf.create_replica(spark, f"bench_{count}", schema, at, attach=attach)
+            lf.read_replica(spark, orders[0]).write.insertInto(made.name)
+            return made
+
+        return make
+
     def job(strategy: str):
         return lambda at: lf.apply_increment(spark, at, orders[1], fresh("staging"), strategy)
 
@@ -124,8 +137,10 @@ def main() -> None:
             )
     for name in merges:
         times[f"job_{name}"] = timed(seeded, job(name))
-    yardstick["loop_merge"] = timed(lambda: None, lambda _: loop_merge(*frames(orders), noop))
-    yardstick["loop_job"] = timed(seeded, loop_job)
+    times["job_closed_key_table"] = timed(tabled(False), job("closed_key"))
+    times["job_closed_key_attached"] = timed(tabled(True), job("closed_key"))
+    yardstick["loop_merge"] = timed(lambda: None, lambda _: loop_merge(*frames(orders), noop), 1)
+    yardstick["loop_job"] = timed(seeded, loop_job, 1)
     print(
         json.dumps(
             {
