@@ -24,12 +24,20 @@ from ledgerfold.spec import DEFAULT, ScdSpec
 CLOSED_KEY, BY_SUBPARTITION, LATEST = "closed_key", "closed_key_by_subpartition", "latest"
 STRATEGIES = (CLOSED_KEY, BY_SUBPARTITION, LATEST)
 
-# Keys the job broadcasts at most, by count: some 100 bytes each in memory.
-BROADCAST_KEYS = 1_000_000
+# Keys the job broadcasts at most, by their summed size: the key as text and a
+# flat share for the rest of a row in the broadcast table.
+BROADCAST_BYTES = 128 * 1024 * 1024
+_ROW_BYTES = 96
+
+
+def _may_broadcast(keys: DataFrame, key: str) -> bool:
+    text = F.coalesce(F.octet_length(named(key).cast("string")), F.lit(0))
+    size = keys.agg(F.sum(text + _ROW_BYTES)).first()[0] or 0
+    return size <= BROADCAST_BYTES
 
 
 def _closed_key_changes(
-    replica: DataFrame, increment: DataFrame, spec: ScdSpec, by_subpartition: bool
+    replica: DataFrame, increment: DataFrame, spec: ScdSpec, by_subpartition: bool, compact: bool
 ) -> DataFrame:
     """What a closed-key run stages, brought together by month where that needs a shuffle.
 
@@ -41,12 +49,16 @@ def _closed_key_changes(
     months = touched_months(closed, spec) if by_subpartition else None
     if months is not None:
         rows = rows.filter(named(spec.part_from).isin(months))
-    if closed.distinct().count() <= BROADCAST_KEYS:
-        return by_month(new, spec).unionByName(unclosed(rows, closed, spec, broadcast=True))
-    return by_month(new.unionByName(unclosed(rows, closed, spec)), spec)
+    small = _may_broadcast(closed.distinct(), spec.key)
+    kept = unclosed(rows, closed, spec, broadcast=small)
+    if small and not compact:
+        return by_month(new, spec).unionByName(kept)
+    return by_month(new.unionByName(kept), spec)
 
 
-def _latest_changes(replica: DataFrame, increment: DataFrame, spec: ScdSpec) -> DataFrame:
+def _latest_changes(
+    replica: DataFrame, increment: DataFrame, spec: ScdSpec, compact: bool
+) -> DataFrame:
     """What a latest-version run stages, ranking only the entities it has to.
 
     An open row whose entity has no other open row and no increment row is the
@@ -63,11 +75,13 @@ def _latest_changes(replica: DataFrame, increment: DataFrame, spec: ScdSpec) ->
         .unionByName(new.select(key.alias("__key")))
         .distinct()
     )
-    if contested.count() > BROADCAST_KEYS:
+    if not _may_broadcast(contested, "__key"):
         return by_month(changes_latest(replica, increment, spec), spec)
     same = key.eqNullSafe(F.col("__key"))
     settled = rows.join(F.broadcast(contested), same, "left_anti")
     ranked = changes_latest(rows.join(F.broadcast(contested), same, "left_semi"), new, spec)
+    if compact:
+        return by_month(settled.unionByName(ranked), spec)
     return settled.unionByName(by_month(ranked, spec))
 
 
@@ -82,12 +96,14 @@ def apply_increment(
     strategy: str = CLOSED_KEY,
     spec: ScdSpec = DEFAULT,
     run_id: str | None = None,
+    compact: bool = False,
 ) -> DataFrame:
     """Stage the changes of one increment, publish them and scan the new replica.
 
     The replica is a path or a target. By sub-partition, only start months with
     closed keys are read, staged and replaced; open rows of other months stay in
-    place. Refuses to start while an earlier run is unfinished. A ``run_id``
+    place. With ``compact`` all staged rows are brought together by month, which
+    merges the small files that earlier increments left. Refuses to start while an earlier run is unfinished. A ``run_id``
     given by the caller is also refused when it was used before, which guards
     against applying one increment twice.
     """
@@ -105,9 +121,10 @@ def apply_increment(
     increment = read_increment(spark, increment_path)
     runs.record(spark, staging_root, run_id, runs.STARTED, strategy)
     if strategy == LATEST:
-        changes = _latest_changes(current, increment, spec)
+        changes = _latest_changes(current, increment, spec, compact)
     else:
-        changes = _closed_key_changes(current, increment, spec, strategy == BY_SUBPARTITION)
+        by_subpartition = strategy == BY_SUBPARTITION
+        changes = _closed_key_changes(current, increment, spec, by_subpartition, compact)
     stage(changes, runs.staged_path(staging_root, run_id), spec, rebalance=False)
     runs.record(spark, staging_root, run_id, runs.STAGED, strategy)
     run = _Run(target, staging_root, run_id, strategy, current.schema)

@@ -73,14 +73,37 @@ def test_seed_overwrites_and_equals(spark, stored, tmp_path):
 
 
 @pytest.mark.parametrize("strategy", jobs.STRATEGIES)
-@pytest.mark.parametrize("few", [0, 1_000], ids=["shuffled", "broadcast"])
-def test_apply_increment(strategy, few, stored, monkeypatch):
-    monkeypatch.setattr(jobs, "BROADCAST_KEYS", few)
+@pytest.mark.parametrize("limit", [0, 1_000_000], ids=["shuffled", "broadcast"])
+def test_apply_increment(strategy, limit, stored, monkeypatch):
+    monkeypatch.setattr(jobs, "BROADCAST_BYTES", limit)
     assert bag(stored.apply(strategy)) == expected(strategy)
     assert bag(stored.read()) == expected(strategy)
     assert runs.unfinished_runs(stored.spark, stored.staging).isEmpty()
 
 
+@pytest.mark.parametrize("strategy", ["closed_key", "latest"])
+def test_compact_merges_the_files_of_earlier_runs(strategy, stored):
+    def most_files():
+        folders = (stored.folder / "replica").glob("eff_to_month=5999-12-31/*")
+        return max(len(list(f.glob("*.parquet"))) for f in folders)
+
+    stored.apply(strategy)
+    assert most_files() > 1
+    stored.spark.createDataFrame([], golden.SCHEMA).write.mode("overwrite").parquet(
+        stored.increment
+    )
+    before = bag(stored.read())
+    stored.apply(strategy, compact=True)
+    assert most_files() == 1 and bag(stored.read()) == before
+
+
+def test_broadcast_is_bounded_by_the_bytes_of_the_keys(spark, monkeypatch):
+    keys = spark.createDataFrame([("x" * 5_000,), (None,)], "id string")
+    for limit, fits in ((5_000, False), (6_000, True)):
+        monkeypatch.setattr(jobs, "BROADCAST_BYTES", limit)
+        assert jobs._may_broadcast(keys, "id") is fits
+
+
 def test_a_vanished_subpartition_goes(stored):
     gone = "eff_from_month=2024-04-30"
     assert gone in stored.months("eff_to_month=5999-12-31")
