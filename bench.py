@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 import ledgerfold as lf
 from ledgerfold.plans import scenarios as sc
-from ledgerfold.plans.session import MERGE_SETTINGS
+from ledgerfold.session import MERGE_SETTINGS
 from ledgerfold.sources.staging import by_month, write_replica
 
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerfold.functions.columns import is_open_date, named, payload_order
-from ledgerfold.plans.session import checkpointed
+from ledgerfold.session import checkpointed
 from ledgerfold.spec import DEFAULT, ScdSpec
 
 ORIGIN = "__origin"

@@ -40,10 +40,12 @@ def conform(increment: DataFrame, replica: DataFrame, spec: ScdSpec = DEFAULT) -
     increment lacks is an error.
     """
     needed = [c for c in replica.columns if c not in spec.partitioning]
-    missing = [c for c in needed if c not in increment.columns]
+    given = {c.lower() for c in increment.columns}
+    missing = [c for c in needed if c.lower() not in given]
     if missing:
         raise ValueError(f"increment lacks replica columns: {', '.join(missing)}")
-    dated = with_months(_dated(increment, spec), spec)
+    renamed = increment.select(*[named(c).alias(c) for c in needed])
+    dated = with_months(_dated(renamed, spec), spec)
     typed = [
         named(f.name)
         if dated.schema[f.name].dataType == f.dataType

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerfold.functions.columns import named
+from ledgerfold.operators.bags import difference
 from ledgerfold.operators.merge import changes_latest, touched_months, unclosed
 from ledgerfold.operators.slices import closed_keys, conform, open_slice
-from ledgerfold.plans.session import checkpointed
+from ledgerfold.session import checkpointed
 from ledgerfold.sources import runs
 from ledgerfold.sources.replica import read_increment, read_replica
 from ledgerfold.sources.staging import by_month, drop_staging, replaced_rows, stage
@@ -210,4 +211,4 @@ def _lacking(
     for part in map(named, spec.partitioning):
         listed = [r[0] for r in rows.select(part).distinct().collect()]
         there = there.filter(part.isin([m for m in listed if m is not None]) | part.isNull())
-    return rows.exceptAll(there)
+    return difference(rows, there)

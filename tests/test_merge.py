@@ -153,6 +153,17 @@ def test_conform_orders_casts_and_drops(spark, replica):
     assert (row.id, row.eff_to_dt, row.eff_to_month) == (7, date(2024, 5, 31), date(2024, 5, 31))
 
 
+def test_conform_takes_names_of_any_case(spark, replica, increment):
+    upper = increment.select(*[F.col(c).alias(c.upper()) for c in increment.columns])
+    assert same(lf.conform(upper, replica), lf.conform(increment, replica))
+    assert lf.conform(upper, replica).columns == replica.columns
+
+
+def test_conform_derives_the_months_anew(replica, increment):
+    wrong = lf.with_months(increment).withColumn("eff_to_month", F.lit(date(2000, 1, 31)))
+    assert same(lf.conform(wrong, replica), lf.conform(increment, replica))
+
+
 def test_conform_names_missing_columns(spark, replica, increment):
     with pytest.raises(ValueError, match="payload"):
         lf.conform(increment.drop("payload"), replica)

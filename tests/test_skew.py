@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import golden
 import ledgerfold as lf
 from ledgerfold.operators import rank
+from ledgerfold.operators.bags import difference
 from ledgerfold.operators.rank import ORIGIN, candidates
 
 DAY = date(2020, 1, 1)
@@ -139,6 +140,16 @@ def small_limits(spark):
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+@pytest.mark.parametrize("chunk", [7, 1_000_000])
+def test_difference_of_bags_with_many_copies(hot, chunk):
+    _, df = hot
+    some = df.filter("id is null or id = 7 or payload = 'p3'").limit(333)
+    got = difference(df, some, chunk)
+    assert got.columns == df.columns
+    assert bag(got) == bag(df) - bag(some)
+    assert bag(difference(some, df, chunk)) == Counter()
+
+
 def test_the_join_splits_a_hot_version(hot, spark, small_limits):
     kind, df = hot
     if kind != "version":
