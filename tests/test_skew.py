@@ -10,7 +10,7 @@ import golden
 import ledgerfold as lf
 from ledgerfold.operators import rank
 from ledgerfold.operators.bags import difference
-from ledgerfold.operators.rank import ORIGIN, candidates
+from ledgerfold.operators.rank import candidates
 
 DAY = date(2020, 1, 1)
 
@@ -94,23 +94,17 @@ def test_rank_without_hot_entities_needs_no_checkpoint(hot, monkeypatch):
 def test_latest_of_hot_entities(hot, spark):
     kind, df = hot
     empty = spark.createDataFrame([], golden.SCHEMA)
-    want = Counter()
-    for row, n in _ranked(_rows(kind)).items():
-        if row[3] != golden.OPEN or row[4] == 1:
-            want[row[:4]] += n
-    merged = lf.merge_latest(df, empty)
-    got = merged.select("id", "payload", "eff_from_dt", "eff_to_dt").collect()
-    closed = {r for r in want if r[3] != golden.OPEN}
-    # closed rows of the replica stay out of the ranking, so rank the open ones
-    open_only = [r for r in _rows(kind) if r[3] == golden.OPEN]
-    want = Counter({r: n for r, n in want.items() if r in closed})
-    want += Counter(row[:4] for row in _ranked(open_only) if row[4] == 1)
+    # closed rows of the replica stay out of the ranking
+    rows = _rows(kind)
+    want = Counter(r for r in rows if r[3] != golden.OPEN)
+    open_rows = [r for r in rows if r[3] == golden.OPEN]
+    want += Counter(row[:4] for row in _ranked(open_rows) if row[4] == 1)
+    got = lf.merge_latest(df, empty).select("id", "payload", "eff_from_dt", "eff_to_dt").collect()
     assert Counter(map(tuple, got)) == want
 
 
 def test_latest_keeps_one_row_per_entity_before_the_shuffle(hot):
-    bag_ = candidates(lf.open_slice(hot[1]), hot[1].limit(0)).filter(F.col(ORIGIN) >= 0)
-    plan = plan_of(lf.latest_open(bag_))
+    plan = plan_of(lf.latest_open(candidates(lf.open_slice(hot[1]), hot[1])))
     partial, shuffle = plan.index("Partial"), plan.index("Exchange hashpartitioning")
     assert "WindowGroupLimit" in plan
     assert shuffle < partial, "the partial limit has to sit below the exchange"
@@ -150,10 +144,10 @@ def test_difference_of_bags_with_many_copies(hot, chunk):
     assert bag(difference(some, df, chunk)) == Counter()
 
 
+# dates spread the versions of an entity, and so few copies compress to nothing
+@pytest.mark.parametrize("hot", ["version"], indirect=True)
 def test_the_join_splits_a_hot_version(hot, spark, small_limits):
-    kind, df = hot
-    if kind != "version":
-        pytest.skip("dates spread the entity, and so few copies compress to nothing")
+    _, df = hot
     closing = spark.createDataFrame([(5, "x", DAY, DAY)] * 500, golden.SCHEMA)
     kept = lf.unclosed(lf.open_slice(df), lf.closed_keys(closing))
     rows = kept.collect()
@@ -170,10 +164,9 @@ def test_frequent_closed_keys_shrink_before_the_shuffle(hot, spark, small_limits
     assert lf.closed_keys(closing).distinct().count() == 1
 
 
+@pytest.mark.parametrize("hot", ["entity", "null entity", "version"], indirect=True)
 def test_new_entities_split_a_hot_entity(hot, spark, small_limits):
-    kind, df = hot
-    if kind == "copies":
-        pytest.skip("so few copies compress to nothing")
+    _, df = hot
     base = spark.createDataFrame([(1, "x", DAY, golden.OPEN)], golden.SCHEMA)
     new = lf.new_entities(df, base)
     rows = new.collect()
