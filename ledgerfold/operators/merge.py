@@ -78,7 +78,9 @@ def changes_latest(replica: DataFrame, increment: DataFrame, spec: ScdSpec = DEF
     return bag.filter(is_closed_date(spec)).unionByName(latest_open(bag, spec)).drop(ORIGIN)
 
 
-def merge_closed_key(replica: DataFrame, increment: DataFrame, spec: ScdSpec = DEFAULT) -> DataFrame:
+def merge_closed_key(
+    replica: DataFrame, increment: DataFrame, spec: ScdSpec = DEFAULT
+) -> DataFrame:
     return _with_untouched(replica, changes_closed_key(replica, increment, spec), spec)
 
 

@@ -104,9 +104,11 @@ def apply_increment(
     The replica is a path or a target. By sub-partition, only start months with
     closed keys are read, staged and replaced; open rows of other months stay in
     place. With ``compact`` all staged rows are brought together by month, which
-    merges the small files that earlier increments left. Refuses to start while an earlier run is unfinished. A ``run_id``
-    given by the caller is also refused when it was used before, which guards
-    against applying one increment twice.
+    merges the small files that earlier increments left.
+
+    Refuses to start while an earlier run is unfinished. A ``run_id`` given by
+    the caller is also refused when it was used before, which guards against
+    applying one increment twice.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy}, not one of {', '.join(STRATEGIES)}")
@@ -120,12 +122,12 @@ def apply_increment(
         raise RuntimeError(f"run {run_id} was made before")
     current = target.scan(spark, spec)
     increment = read_increment(spark, increment_path)
-    runs.record(spark, staging_root, run_id, runs.STARTED, strategy)
     if strategy == LATEST:
         changes = _latest_changes(current, increment, spec, compact)
     else:
         by_subpartition = strategy == BY_SUBPARTITION
         changes = _closed_key_changes(current, increment, spec, by_subpartition, compact)
+    runs.record(spark, staging_root, run_id, runs.STARTED, strategy)
     stage(changes, runs.staged_path(staging_root, run_id), spec, rebalance=False)
     runs.record(spark, staging_root, run_id, runs.STAGED, strategy)
     run = _Run(target, staging_root, run_id, strategy, current.schema)

@@ -168,6 +168,15 @@ def test_a_published_run_is_not_made_again(stored):
     assert bag(stored.read()) == expected("closed_key")
 
 
+def test_an_increment_that_does_not_fit_leaves_no_run(stored):
+    stored.spark.createDataFrame([(1,)], "id bigint").write.mode("overwrite").parquet(
+        stored.increment
+    )
+    with pytest.raises(ValueError, match="lacks"):
+        stored.apply()
+    assert runs.unfinished_runs(stored.spark, stored.staging).isEmpty()
+
+
 def test_dropped_staging_holds_no_rows(stored):
     stored.apply(run_id="day-1")
     path = runs.staged_path(stored.staging, "day-1")
