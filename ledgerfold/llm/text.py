@@ -125,8 +125,14 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return h
 
 
+def listed(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Consecutive values as one list per count."""
+    offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
 def mapped(
-    compute: Callable[[list[str | None]], dict[str, np.ndarray | list]],
+    compute: Callable[[list[str | None]], dict[str, np.ndarray | list | pa.Array]],
     keep: tuple[str, ...],
     text: str = "text",
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -135,7 +141,8 @@ def mapped(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = compute(batch.column(text).to_pylist())
-            columns = [batch.column(c) for c in keep] + [pa.array(v) for v in made.values()]
+            new = [v if isinstance(v, pa.Array) else pa.array(v) for v in made.values()]
+            columns = [batch.column(c) for c in keep] + new
             yield pa.RecordBatch.from_arrays(columns, [*keep, *made])
 
     return run
