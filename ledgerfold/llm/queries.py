@@ -8,6 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerfold.llm.byte_bpe import encoded_digests
+from ledgerfold.llm.licenses import license_labels
+from ledgerfold.llm.mixing import mixing_report, mixing_sql
+from ledgerfold.llm.pii import pii_report
 from ledgerfold.llm.quality_mil import quality_scores
 from ledgerfold.llm.quality_rules import quality_rules
 from ledgerfold.llm.token_counts import token_counts
@@ -39,14 +42,29 @@ def _byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_labels(_table(spark, sf_dir, "documents"))
+
+
+def _pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_report(_table(spark, sf_dir, "documents"))
+
+
+def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_report(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_attention": _quality,
         "op2_token_counts": _token_counts,
         "op3_quality_rules": _quality_rules,
+        "op7_license_diagonals": _licenses,
         "op8_byte_bpe": _byte_bpe,
+        "op9_pii_boosting": _pii,
+        "op10_temperature_mixing": _mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_temperature_mixing": mixing_sql()}
