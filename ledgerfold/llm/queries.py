@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerfold.llm.byte_bpe import encoded_digests
+from ledgerfold.llm.dart_minhash import classes_sql, near_duplicates
 from ledgerfold.llm.licenses import license_labels
 from ledgerfold.llm.mixing import mixing_report, mixing_sql
 from ledgerfold.llm.pii import pii_report
@@ -42,6 +43,10 @@ def _byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def _licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_labels(_table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ def queries() -> dict[str, Query]:
         "op1_quality_attention": _quality,
         "op2_token_counts": _token_counts,
         "op3_quality_rules": _quality_rules,
+        "op5_dart_minhash": _near_duplicates,
         "op7_license_diagonals": _licenses,
         "op8_byte_bpe": _byte_bpe,
         "op9_pii_boosting": _pii,
@@ -67,4 +73,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_temperature_mixing": mixing_sql()}
+    return {"op5_dart_minhash": classes_sql(), "op10_temperature_mixing": mixing_sql()}
