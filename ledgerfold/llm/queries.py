@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerfold.llm.byte_bpe import encoded_digests
 from ledgerfold.llm.dart_minhash import classes_sql, near_duplicates
+from ledgerfold.llm.epsilon_join import linked_vectors, links_sql
 from ledgerfold.llm.licenses import license_labels
 from ledgerfold.llm.mixing import mixing_report, mixing_sql
 from ledgerfold.llm.pii import pii_report
@@ -47,6 +48,10 @@ def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def _licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_labels(_table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ def queries() -> dict[str, Query]:
         "op2_token_counts": _token_counts,
         "op3_quality_rules": _quality_rules,
         "op5_dart_minhash": _near_duplicates,
+        "op6_epsilon_grid_join": _embeddings,
         "op7_license_diagonals": _licenses,
         "op8_byte_bpe": _byte_bpe,
         "op9_pii_boosting": _pii,
@@ -73,4 +79,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_dart_minhash": classes_sql(), "op10_temperature_mixing": mixing_sql()}
+    return {
+        "op5_dart_minhash": classes_sql(),
+        "op6_epsilon_grid_join": links_sql(),
+        "op10_temperature_mixing": mixing_sql(),
+    }
