@@ -27,7 +27,7 @@ from ledgerfold.llm.graph import components
 from ledgerfold.session import checkpointed
 
 COSINE = 0.9
-LEADING, BLOCK, SMALL = 6, 1024, 128
+LEADING, BLOCK, SMALL = 6, 4096, 128
 
 
 def _matrix(column: pa.Array) -> np.ndarray:

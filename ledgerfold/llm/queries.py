@@ -16,6 +16,7 @@ from ledgerfold.llm.pii import pii_report
 from ledgerfold.llm.quality_mil import quality_scores
 from ledgerfold.llm.quality_rules import quality_rules
 from ledgerfold.llm.token_counts import token_counts
+from ledgerfold.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +45,10 @@ def _byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -69,6 +74,7 @@ def queries() -> dict[str, Query]:
         "op1_quality_attention": _quality,
         "op2_token_counts": _token_counts,
         "op3_quality_rules": _quality_rules,
+        "op4_toxicity_windows": _toxicity,
         "op5_dart_minhash": _near_duplicates,
         "op6_epsilon_grid_join": _embeddings,
         "op7_license_diagonals": _licenses,
@@ -80,6 +86,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_toxicity_windows": _toxicity,
         "op5_dart_minhash": classes_sql(),
         "op6_epsilon_grid_join": links_sql(),
         "op10_temperature_mixing": mixing_sql(),
