@@ -13,13 +13,14 @@ from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import ledgerfold as lf  # noqa: E402
 from ledgerfold.operators.rank import ORIGIN, candidates  # noqa: E402
-from ledgerfold.plans import scenarios as sc  # noqa: E402
+import scenarios as sc  # noqa: E402
 from ledgerfold.session import checkpointed, scratch_path  # noqa: E402
 from ledgerfold.sources.staging import by_month, write_replica  # noqa: E402
 from ledgerfold.spec import DEFAULT  # noqa: E402
@@ -27,7 +28,7 @@ from ledgerfold.spec import DEFAULT  # noqa: E402
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The corpus operators and their pipeline are added only where they are installed.
-if importlib.util.find_spec("ledgerfold.llm") is not None:
+if importlib.util.find_spec("ledgerfold.llm") and importlib.util.find_spec("ledgerfold.llm.queries"):
     from ledgerfold.llm import queries as corpus
 else:
     corpus = None
@@ -42,13 +43,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return sc.with_text_dates(_merged_once(spark, "/root/testdata/sf0.001"))
 
 
-def _stored_replica(spark: SparkSession, sf_dir: str) -> str:
-    """The orders replica written by month to a scratch path."""
+def _with_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders replica after the clean increment: it has closed months."""
+    first = sc.orders_increment(spark, sf_dir, dirty=False)
+    return lf.merge_closed_key(sc.orders_replica(spark, sf_dir), first)
+
+
+def _stored(spark: SparkSession, rows: DataFrame) -> str:
     path = scratch_path(spark, "replica")
-    write_replica(by_month(sc.orders_replica(spark, sf_dir)), path, "errorifexists")
+    write_replica(by_month(rows), path, "errorifexists")
     return path
 
 
+def _stored_replica(spark: SparkSession, sf_dir: str) -> str:
+    """The orders replica written by month to a scratch path."""
+    return _stored(spark, sc.orders_replica(spark, sf_dir))
+
+
 def _stored_increment(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "increment")
     sc.orders_increment(spark, sf_dir).write.parquet(path)
@@ -59,6 +70,20 @@ def _conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lf.conform(sc.orders_increment(spark, sf_dir), sc.orders_replica(spark, sf_dir))
 
 
+def _conform_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An increment in another order, with a column more, text for dates and other types."""
+    given = sc.orders_increment(spark, sf_dir).select(
+        F.col("eff_to_dt").cast("string").alias("EFF_TO_DT"),
+        F.lit("noise").alias("noise"),
+        "amount",
+        F.col("eff_from_dt").cast("string").alias("eff_from_dt"),
+        "status",
+        "id",
+    )
+    replica = sc.orders_replica(spark, sf_dir)
+    return lf.conform(given, replica.withColumn("id", F.col("id").cast("string")))
+
+
 def _merged_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders replica after its dirty increment: open and closed versions."""
     return lf.merge_closed_key(
@@ -152,9 +177,9 @@ def _merge_staged_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _staged_on_replica(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    """A stored replica, and the staged changes of the dirty increment."""
-    path, staging = _stored_replica(spark, sf_dir), scratch_path(spark, "staging")
-    replica = lf.read_replica(spark, path)
+    """A stored replica with closed months, and the staged changes of the dirty increment."""
+    path = _stored(spark, _with_history(spark, sf_dir))
+    staging, replica = scratch_path(spark, "staging"), lf.read_replica(spark, path)
     increment = lf.read_increment(spark, _stored_increment(spark, sf_dir))
     lf.stage(lf.changes_closed_key(replica, increment), staging)
     return path, lf.read_replica(spark, staging, schema=replica.schema)
@@ -178,7 +203,7 @@ def _job(strategy: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return lf.apply_increment(
             spark,
-            _stored_replica(spark, sf_dir),
+            _stored(spark, _with_history(spark, sf_dir)),
             _stored_increment(spark, sf_dir),
             scratch_path(spark, "staging"),
             strategy,
@@ -187,12 +212,49 @@ def _job(strategy: str) -> Query:
     return run
 
 
+class _Break(Exception):
+    pass
+
+
+class _Breaking(lf.PathReplica):
+    """A replica on which a run breaks off before it appends."""
+
+    def append(self, *args: object) -> None:
+        raise _Break
+
+
+def _resumed(strategy: str) -> Query:
+    """The dirty increment twice, the second run broken and resumed: all its rows are in the
+    replica already, and have to be added once more."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _stored(spark, _with_history(spark, sf_dir))
+        increment, staging = _stored_increment(spark, sf_dir), scratch_path(spark, "staging")
+        lf.apply_increment(spark, path, increment, staging, strategy)
+        try:
+            lf.apply_increment(spark, _Breaking(path), increment, staging, strategy, run_id="again")
+        except _Break:
+            return lf.resume_run(spark, path, staging, "again")
+        raise AssertionError("the run did not break")
+
+    return run
+
+
+def _reconcile_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a replica that a job has published to storage."""
+    base = sc.orders_replica(spark, sf_dir)
+    path, increment = _stored(spark, base), scratch_path(spark, "increment")
+    sc.orders_increment(spark, sf_dir, dirty=False).write.parquet(increment)
+    result = lf.apply_increment(spark, path, increment, scratch_path(spark, "staging"))
+    return lf.reconcile(base, lf.read_increment(spark, increment), result)
+
+
 def _table_job(strategy: str, attach: bool) -> Query:
     """The same with the replica as a catalog table, which goes at the end."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         name, path = f"ledgerfold_{uuid4().hex}", scratch_path(spark, "table")
-        rows = sc.orders_replica(spark, sf_dir)
+        rows = _with_history(spark, sf_dir)
         table = lf.create_replica(spark, name, _table_schema(rows), path, attach=attach)
         try:
             by_month(rows.select(*spark.table(name).columns)).write.insertInto(name)
@@ -234,7 +296,7 @@ def _text_dates(query: Query) -> Query:
     return lambda spark, sf_dir: sc.with_text_dates(query(spark, sf_dir))
 
 
-def queries() -> dict[str, Query]:
+def merge_queries() -> dict[str, Query]:
     made: dict[str, Query] = {
         "merge_closed_key": _merged_once,
         "merge_closed_key_by_subpartition": _merge_by_subpartition,
@@ -244,7 +306,7 @@ def queries() -> dict[str, Query]:
         "scan_increment": _scan_increment,
         "seed_replica": _seed_replica,
         "derive_months": _derive_months,
-        "conform_increment": _conformed,
+        "conform_increment": _conform_increment,
         "open_slice": _open_slice,
         "closed_slice": _closed_slice,
         "open_subpartitions": _open_subpartitions,
@@ -258,6 +320,12 @@ def queries() -> dict[str, Query]:
         "apply_increment_by_subpartition": _job("closed_key_by_subpartition"),
         "apply_increment_latest": _job("latest"),
         "apply_increment_table": _table_job("closed_key", attach=False),
+        "apply_increment_by_subpartition_table": _table_job(
+            "closed_key_by_subpartition", attach=False
+        ),
+        "resume_closed_key": _resumed("closed_key"),
+        "resume_by_subpartition": _resumed("closed_key_by_subpartition"),
+        "reconcile_stored": _reconcile_stored,
         "apply_increment_attached": _table_job("closed_key", attach=True),
         "apply_increment_latest_attached": _table_job("latest", attach=True),
         "reconcile_report": _reconcile(False, lf.merge_closed_key),
@@ -271,12 +339,16 @@ def queries() -> dict[str, Query]:
         "merge_latest_lines": _lines(lf.merge_latest),
         "rank_versions_lines": _rank_versions_lines,
     }
-    dated = {name: _text_dates(query) for name, query in made.items()}
+    return {name: _text_dates(query) for name, query in made.items()}
+
+
+def queries() -> dict[str, Query]:
+    made = merge_queries()
     if corpus is not None:
-        dated |= corpus.queries()
+        made |= corpus.queries()
     if corpus_pipeline is not None:
-        dated["pipeline"] = corpus_pipeline.run
-    return dated
+        made["pipeline"] = corpus_pipeline.run
+    return made
 
 
 # --- the same in SQL -------------------------------------------------------
@@ -409,6 +481,19 @@ base AS (
 )"""
 
 
+# and that after the dirty increment as well, for a run of the same increment again
+_THIRD = (
+    _SECOND.replace("), replica AS (", "), earlier AS (")
+    + f""", {_DIRTY}, replica AS (
+  SELECT * FROM increment
+  UNION ALL
+  SELECT * FROM earlier e WHERE last_day(e.eff_to_dt) <> {_OPEN} OR NOT EXISTS (
+    SELECT 1 FROM increment c
+    WHERE last_day(c.eff_to_dt) <> {_OPEN} AND c.id = e.id AND c.eff_from_dt = e.eff_from_dt)
+)"""
+)
+
+
 def _reconcile_sql(increment: str) -> str:
     return _with(
         _REPLICA,
@@ -431,7 +516,7 @@ counts AS (
 
 def oracle_sql() -> dict[str, str]:
     return (
-        _merge_sql()
+        merge_sql()
         | (corpus.oracle_sql() if corpus is not None else {})
         | ({"pipeline": corpus_pipeline.ORACLE_SQL} if _pipeline_sql() else {})
     )
@@ -441,10 +526,13 @@ def _pipeline_sql() -> bool:
     return corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL is not None
 
 
-def _merge_sql() -> dict[str, str]:
+def merge_sql() -> dict[str, str]:
     orders_latest, lines_latest = _latest(_ORDER_TIES), _latest(_LINE_TIES)
     closed_key = _with(_REPLICA, _DIRTY, _CLOSED_KEY, select=f"SELECT {_ORDER} FROM merged")
     latest = _with(_REPLICA, _DIRTY, orders_latest, select=f"SELECT {_ORDER} FROM merged")
+    second = _with(_SECOND, _DIRTY, _CLOSED_KEY, select=f"SELECT {_ORDER} FROM merged")
+    second_latest = _with(_SECOND, _DIRTY, orders_latest, select=f"SELECT {_ORDER} FROM merged")
+    third = _with(_THIRD, _CLOSED_KEY, select=f"SELECT {_ORDER} FROM merged")
     closed_key_lines = _with(_LINES, _CLOSED_KEY, select=f"SELECT {_LINE} FROM merged")
     replica = _with(_REPLICA, select=f"SELECT {_ORDER} FROM replica")
     return {
@@ -458,7 +546,11 @@ def _merge_sql() -> dict[str, str]:
         "scan_increment": _with(_DIRTY, select=f"SELECT {_ORDER_DATED} FROM increment"),
         "seed_replica": replica,
         "derive_months": _with(_DIRTY, select=f"SELECT {_ORDER} FROM increment"),
-        "conform_increment": _with(_DIRTY, select=f"SELECT {_ORDER} FROM increment"),
+        "conform_increment": _with(
+            _DIRTY,
+            select=f"""SELECT CAST(id AS VARCHAR) AS id, status, amount, {_DATES}, {_MONTHS}
+FROM increment""",
+        ),
         "open_slice": closed_key + f" WHERE last_day(eff_to_dt) = {_OPEN}",
         "closed_slice": closed_key + f" WHERE last_day(eff_to_dt) <> {_OPEN}",
         "open_subpartitions": _with(
@@ -487,14 +579,20 @@ WHERE id > (SELECT count(*) FROM orders)""",
         "merge_staged_roundtrip": _with(
             _REPLICA, _DIRTY, _CLOSED_KEY, select=f"SELECT {_ORDER} FROM changes"
         ),
-        "publish_open_slice": closed_key + f" WHERE last_day(eff_to_dt) = {_OPEN}",
-        "publish_replica": closed_key,
-        "apply_increment_closed_key": closed_key,
-        "apply_increment_by_subpartition": closed_key,
-        "apply_increment_latest": latest,
-        "apply_increment_table": closed_key,
-        "apply_increment_attached": closed_key,
-        "apply_increment_latest_attached": latest,
+        "publish_open_slice": second
+        + f""" WHERE last_day(eff_to_dt) = {_OPEN}
+UNION ALL SELECT {_ORDER} FROM replica WHERE last_day(eff_to_dt) <> {_OPEN}""",
+        "publish_replica": second,
+        "apply_increment_closed_key": second,
+        "apply_increment_by_subpartition": second,
+        "apply_increment_latest": second_latest,
+        "apply_increment_table": second,
+        "apply_increment_by_subpartition_table": second,
+        "apply_increment_attached": second,
+        "apply_increment_latest_attached": second_latest,
+        "resume_closed_key": third,
+        "resume_by_subpartition": third,
+        "reconcile_stored": _reconcile_sql(_CLEAN),
         "reconcile_report": _reconcile_sql(_CLEAN),
         "reconcile_report_dirty": _reconcile_sql(_DIRTY),
         "merge_closed_key_clean": _with(

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import ledgerfold as lf
-from ledgerfold.plans import scenarios as sc
+import scenarios as sc
 from ledgerfold.session import MERGE_SETTINGS
 from ledgerfold.sources.staging import by_month, write_replica
 

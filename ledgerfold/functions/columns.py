@@ -49,10 +49,18 @@ def is_closed_date(spec: ScdSpec) -> Column:
     return named(spec.eff_to) != F.lit(spec.open_date)
 
 
+def _unordered(kind: T.DataType) -> bool:
+    """Whether a map or a variant is part of the type."""
+    if isinstance(kind, T.StructType):
+        return any(_unordered(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _unordered(kind.elementType)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
 def sortable(field: T.StructField) -> Column:
     """The column in a form Spark can order; maps and variants have no order."""
-    text = field.dataType.simpleString()
-    if "map<" in text or "variant" in text:
+    if _unordered(field.dataType):
         return F.to_json(F.struct(named(field.name)))
     return named(field.name)
 

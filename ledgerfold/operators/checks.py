@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.functions.columns import is_closed_date, month_of, named
-from ledgerfold.operators.slices import closed_slice, open_slice
+from ledgerfold.functions.columns import (
+    in_closed_partition,
+    in_open_partition,
+    is_closed_date,
+    month_of,
+    named,
+)
 from ledgerfold.spec import DEFAULT, ScdSpec
 
 
@@ -29,11 +34,8 @@ def new_entities(
     )
 
 
-def _counted(df: DataFrame, check: str, side: str) -> DataFrame:
-    """One row with the count of ``df`` on its side and nothing on the other."""
-    n = F.count(F.lit(1))
-    sides = {s: n if s == side else F.lit(0).cast("bigint") for s in ("expected", "actual")}
-    return df.agg(*[c.alias(s) for s, c in sides.items()]).withColumn("check", F.lit(check))
+def _known_keys(base: DataFrame, spec: ScdSpec) -> DataFrame:
+    return base.select(named(spec.key)).distinct()
 
 
 def reconcile(
@@ -46,16 +48,56 @@ def reconcile(
     """Expected and actual counts after the first merge on a fresh base.
 
     Open rows: those of the base and one for each new entity row. Closed rows:
-    those of the increment. The counts see neither keys nor payload.
+    those of the increment. The counts see neither keys nor payload. Base, increment
+    and result are counted in one pass each; without ``dense_ids`` the keys of the
+    base are read beside that.
     """
+    if dense_ids:
+        marked = increment.withColumn(
+            "__new", named(spec.key) > base.agg(F.count(F.lit(1))).scalar()
+        )
+    else:
+        known = _known_keys(base, spec).withColumn("__known", F.lit(True))
+        marked = increment.join(known, spec.key, "left").withColumn(
+            "__new", F.col("__known").isNull()
+        )
     counts = (
-        _counted(base, "open", "expected")
-        .unionByName(_counted(new_entities(increment, base, spec, dense_ids), "open", "expected"))
-        .unionByName(_counted(increment.filter(is_closed_date(spec)), "closed", "expected"))
-        .unionByName(_counted(open_slice(result, spec), "open", "actual"))
-        .unionByName(_counted(closed_slice(result, spec), "closed", "actual"))
+        _counts(base, open_expected=F.count(F.lit(1)))
+        .unionByName(
+            _counts(
+                marked,
+                open_expected=F.count_if("__new"),
+                closed_expected=F.count_if(is_closed_date(spec)),
+            )
+        )
+        .unionByName(
+            _counts(
+                result,
+                open_actual=F.count_if(in_open_partition(spec)),
+                closed_actual=F.count_if(in_closed_partition(spec)),
+            )
+        )
+    ).agg(*[F.sum(c).alias(c) for c in _SIDES])
+    checks = [
+        F.struct(
+            F.col(f"{kind}_expected").alias("expected"),
+            F.col(f"{kind}_actual").alias("actual"),
+            F.lit(kind).alias("check"),
+        )
+        for kind in ("open", "closed")
+    ]
+    report = counts.select(F.inline(F.array(*checks)))
+    return report.select(
+        "check", "expected", "actual", (F.col("expected") == F.col("actual")).alias("ok")
     )
-    sums = counts.groupBy("check").agg(
-        F.sum("expected").alias("expected"), F.sum("actual").alias("actual")
+
+
+_SIDES = ("open_expected", "closed_expected", "open_actual", "closed_actual")
+
+
+def _counts(df: DataFrame, **counts: Column) -> DataFrame:
+    """One row with the given counts, and nothing for the other sides."""
+    zero = F.lit(0).cast("bigint")
+    return df.agg(*[c.alias(side) for side, c in counts.items()]).select(
+        *[F.col(s) if s in counts else zero.alias(s) for s in _SIDES]
     )
-    return sums.withColumn("ok", F.col("expected") == F.col("actual"))

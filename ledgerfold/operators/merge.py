@@ -6,8 +6,6 @@ it is afterwards. ``merge_*`` add the replica rows that stay where they are.
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,32 +14,24 @@ from ledgerfold.operators.rank import ORIGIN, candidates, latest_open
 from ledgerfold.operators.slices import closed_keys, conform, open_slice
 from ledgerfold.spec import DEFAULT, ScdSpec
 
-# Months a partition filter may list; the calendar keeps real lists far below.
-MAX_LISTED_MONTHS = 4_000
-
-
-def unclosed(
-    open_rows: DataFrame, closed: DataFrame, spec: ScdSpec = DEFAULT, broadcast: bool = False
-) -> DataFrame:
+def unclosed(open_rows: DataFrame, closed: DataFrame, spec: ScdSpec = DEFAULT) -> DataFrame:
     """Open rows whose version is not among the closed keys.
 
     The keys are made distinct together with their month, before the shuffle
     and again behind it. The join shuffles them anew by version, which leaves
     both of its inputs plain shuffles that adaptive execution may broadcast or
-    split where one version (or the null key) is very frequent. Ask for
-    ``broadcast`` only after counting the distinct keys.
+    split where one version (or the null key) is very frequent.
     """
     version = [spec.key, spec.eff_from]
     keys = closed.distinct().select(*[named(c) for c in version])
-    kept = open_rows.join(F.broadcast(keys) if broadcast else keys, version, "left_anti")
+    kept = open_rows.join(keys, version, "left_anti")
     return kept.select(*[named(c) for c in open_rows.columns])
 
 
-def touched_months(closed: DataFrame, spec: ScdSpec = DEFAULT) -> list[date] | None:
-    """Start months of the closed keys, or None where they are too many to list."""
-    months = closed.select(named(spec.part_from)).distinct().limit(MAX_LISTED_MONTHS + 1)
-    listed = [r[0] for r in months.collect()]
-    return None if len(listed) > MAX_LISTED_MONTHS else [m for m in listed if m is not None]
+def touched_months(closed: DataFrame, spec: ScdSpec = DEFAULT) -> DataFrame:
+    """Start months of the closed keys, which the calendar bounds; none for a key without start."""
+    month = named(spec.part_from)
+    return closed.select(month).filter(month.isNotNull()).distinct()
 
 
 def changes_closed_key(
@@ -57,19 +47,15 @@ def changes_closed_key_by_subpartition(
 ) -> DataFrame:
     """Same rows, but only the sub-partitions with closed keys enter the join.
 
-    The start months of the closed keys are listed first; open rows of all other
-    months are passed on by a partition filter, without join or shuffle.
+    The start months of the closed keys prune the partitions that are joined by
+    version; open rows of all other months pass without a shuffle.
     """
     new = conform(increment, replica, spec)
     closed, rows = closed_keys(new, spec), open_slice(replica, spec)
-    months = touched_months(closed, spec)
-    if months is None:
-        return new.unionByName(unclosed(rows, closed, spec))
-    month = named(spec.part_from)
-    elsewhere = rows.filter(~month.isin(months) | month.isNull())
-    return new.unionByName(elsewhere).unionByName(
-        unclosed(rows.filter(month.isin(months)), closed, spec)
-    )
+    months = F.broadcast(touched_months(closed, spec))
+    inside = rows.join(months, spec.part_from, "left_semi").select(*[named(c) for c in rows.columns])
+    outside = rows.join(months, spec.part_from, "left_anti").select(*[named(c) for c in rows.columns])
+    return new.unionByName(outside).unionByName(unclosed(inside, closed, spec))
 
 
 def changes_latest(replica: DataFrame, increment: DataFrame, spec: ScdSpec = DEFAULT) -> DataFrame:

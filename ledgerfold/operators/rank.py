@@ -41,42 +41,20 @@ def latest_open(df: DataFrame, spec: ScdSpec = DEFAULT) -> DataFrame:
     return top.drop("__rn").filter(is_open_date(spec))
 
 
-def rank_versions(
-    df: DataFrame, spec: ScdSpec = DEFAULT, name: str = "rn", hot_rows: int = 1_000_000
-) -> DataFrame:
+def rank_versions(df: DataFrame, spec: ScdSpec = DEFAULT, name: str = "rn") -> DataFrame:
     """Number the versions of each entity, 1 for the newest.
 
-    No task ranks much more than ``hot_rows`` versions of one entity: larger
-    ones are cut into blocks. There are at most ``count / hot_rows`` of them, so
-    their keys are broadcast. Counting the versions is a job of its own.
-    """
-    key = named(spec.key)
-    sizes = df.groupBy(key.alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.filter(F.col("__n") > hot_rows)
-    window = Window.partitionBy(key).orderBy(*version_order(df, spec))
-    rank = F.row_number().over(window).cast("bigint")
-    total = hot.agg(F.sum("__n")).first()[0]
-    if total is None:
-        return df.withColumn(name, rank)
-    keys = F.broadcast(checkpointed(hot.select("__key")))
-    is_hot = key.eqNullSafe(F.col("__key"))
-    usual = df.join(keys, is_hot, "left_anti").withColumn(name, rank)
-    large = df.join(keys, is_hot, "left_semi")
-    return usual.unionByName(_rank_in_blocks(large, spec, name, -(-total // hot_rows)))
-
-
-def _rank_in_blocks(df: DataFrame, spec: ScdSpec, name: str, count: int) -> DataFrame:
-    """Rank by ordered blocks: place in the block plus the rows of earlier blocks.
-
-    A running number as the last sort key lets even equal rows fall into
-    different blocks. The blocks are checkpointed since both passes below must
-    see the same ones.
+    All rows are cut into ordered blocks by range of entity and version order, so an
+    entity with very many versions lies in several: the rank is the place in the
+    block plus the rows of the entity in earlier blocks. A running number as the
+    last sort key lets even equal rows fall into different blocks. The blocks are
+    checkpointed since both passes below must see the same ones.
     """
     key = named(spec.key)
     numbered = df.withColumn(_COPY, F.monotonically_increasing_id())
     order = [*version_order(df, spec), F.col(_COPY).asc()]
     blocks = checkpointed(
-        numbered.repartitionByRange(count, key.asc_nulls_last(), *order).withColumn(
+        numbered.repartitionByRange(key.asc_nulls_last(), *order).withColumn(
             _BLOCK, F.spark_partition_id()
         )
     )
@@ -89,11 +67,14 @@ def _rank_in_blocks(df: DataFrame, spec: ScdSpec, name: str, count: int) -> Data
         .agg(F.count(F.lit(1)).alias("__n"))
         .withColumnRenamed("__of", _BLOCK)
         .withColumn(_BEFORE, F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+        .filter(F.col(_BEFORE) > 0)
         .select("__key", F.col(_BLOCK).alias("__of"), _BEFORE)
     )
     within = Window.partitionBy(key, _BLOCK).orderBy(*order)
     placed = blocks.withColumn("__place", F.row_number().over(within))
+    # only entities that go on from an earlier block are on the right, two to a block at most
     same = key.eqNullSafe(F.col("__key")) & (F.col(_BLOCK) == F.col("__of"))
-    return placed.join(offsets, same).select(
-        *[named(c) for c in df.columns], (F.col("__place") + F.col(_BEFORE)).alias(name)
+    rank = F.col("__place") + F.coalesce(F.col(_BEFORE), F.lit(0).cast("bigint"))
+    return placed.join(offsets, same, "left").select(
+        *[named(c) for c in df.columns], rank.alias(name)
     )

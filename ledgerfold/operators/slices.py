@@ -24,12 +24,18 @@ def with_months(df: DataFrame, spec: ScdSpec = DEFAULT) -> DataFrame:
 
 
 def _dated(df: DataFrame, spec: ScdSpec) -> DataFrame:
-    """Turn the validity columns into dates; text that is no date becomes null."""
-    casts = {
-        name: named(name).try_cast("date")
-        for name in (spec.eff_from, spec.eff_to)
-        if df.schema[name].dataType != T.DateType()
-    }
+    """Turn the validity columns into dates; text that is no date becomes null.
+
+    An instant has a date only in some time zone, so such a column is an error:
+    the day would follow the session's zone.
+    """
+    casts = {}
+    for name in (spec.eff_from, spec.eff_to):
+        kind = df.schema[name].dataType
+        if isinstance(kind, T.TimestampType):
+            raise ValueError(f"{name} is an instant; give its date in the zone it is meant for")
+        if kind != T.DateType():
+            casts[name] = named(name).try_cast("date")
     return df.withColumns(casts) if casts else df
 
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from datetime import date
+from dataclasses import astuple
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
@@ -15,78 +14,64 @@ from ledgerfold.functions.columns import named
 from ledgerfold.operators.bags import difference
 from ledgerfold.operators.merge import changes_latest, touched_months, unclosed
 from ledgerfold.operators.slices import closed_keys, conform, open_slice
-from ledgerfold.session import checkpointed
 from ledgerfold.sources import runs
+from ledgerfold.sources.files import Folder
 from ledgerfold.sources.replica import read_increment, read_replica
-from ledgerfold.sources.staging import by_month, drop_staging, replaced_rows, stage
-from ledgerfold.sources.targets import PathReplica, TableReplica
+from ledgerfold.sources.staging import added_rows, by_month, replaced_rows, stage
+from ledgerfold.sources.targets import PathReplica, Target
 from ledgerfold.spec import DEFAULT, ScdSpec
 
 CLOSED_KEY, BY_SUBPARTITION, LATEST = "closed_key", "closed_key_by_subpartition", "latest"
 STRATEGIES = (CLOSED_KEY, BY_SUBPARTITION, LATEST)
 
-# Keys the job broadcasts at most, by their summed size: the key as text and a
-# flat share for the rest of a row in the broadcast table.
-BROADCAST_BYTES = 128 * 1024 * 1024
-_ROW_BYTES = 96
 
+def _noted(keys: DataFrame, path: str) -> DataFrame:
+    """Keys of a run, written and read again: Catalyst then knows their size when it plans
+    the joins, and a resumed run finds the same ones."""
+    keys.write.parquet(path)
+    return keys.sparkSession.read.schema(keys.schema).parquet(path)
 
-def _may_broadcast(keys: DataFrame, key: str) -> bool:
-    text = F.coalesce(F.octet_length(named(key).cast("string")), F.lit(0))
-    size = keys.agg(F.sum(text + _ROW_BYTES)).first()[0] or 0
-    return size <= BROADCAST_BYTES
+
+def _laid_out(new: DataFrame, kept: DataFrame, spec: ScdSpec, compact: bool) -> DataFrame:
+    """Both sides together, brought together by month where a join has scattered them.
+
+    Rows that pass a broadcast join stay in the tasks that scan them, which hold
+    whole stretches of a month already.
+    """
+    plan = kept._jdf.queryExecution().sparkPlan().toString()
+    if compact or "SortMergeJoin" in plan or "ShuffledHashJoin" in plan:
+        return by_month(new.unionByName(kept), spec)
+    return by_month(new, spec).unionByName(kept)
 
 
 def _closed_key_changes(
-    replica: DataFrame, increment: DataFrame, spec: ScdSpec, by_subpartition: bool, compact: bool
+    replica: DataFrame, new: DataFrame, closed: DataFrame, spec: ScdSpec, scoped: bool, compact: bool
 ) -> DataFrame:
-    """What a closed-key run stages, brought together by month where that needs a shuffle.
-
-    Few closed keys are broadcast; the open rows then stay in the tasks that
-    scan them, which hold whole stretches of a month already.
-    """
-    new = conform(increment, replica, spec)
-    closed, rows = closed_keys(new, spec), open_slice(replica, spec)
-    months = touched_months(closed, spec) if by_subpartition else None
-    if months is not None:
-        rows = rows.filter(named(spec.part_from).isin(months))
-    small = _may_broadcast(closed.distinct(), spec.key)
-    kept = unclosed(rows, closed, spec, broadcast=small)
-    if small and not compact:
-        return by_month(new, spec).unionByName(kept)
-    return by_month(new.unionByName(kept), spec)
+    """What a closed-key run stages."""
+    scope = touched_months(closed, spec) if scoped else None
+    rows = replaced_rows(replica, spec, scope)
+    return _laid_out(new, unclosed(rows, closed, spec), spec, compact)
 
 
 def _latest_changes(
-    replica: DataFrame, increment: DataFrame, spec: ScdSpec, compact: bool
+    replica: DataFrame, new: DataFrame, contested: DataFrame, spec: ScdSpec, compact: bool
 ) -> DataFrame:
-    """What a latest-version run stages, ranking only the entities it has to.
+    """What a latest-version run stages, ranking only the contested entities."""
+    rows, same = open_slice(replica, spec), named(spec.key).eqNullSafe(F.col("__key"))
+    settled = rows.join(contested, same, "left_anti")
+    ranked = changes_latest(rows.join(contested, same, "left_semi"), new, spec)
+    return _laid_out(ranked, settled, spec, compact)
 
-    An open row whose entity has no other open row and no increment row is the
-    latest already. Where few entities are left, their keys are broadcast and
-    the settled rows stay in the tasks that scan them, without a shuffle; the
-    test for other open rows shuffles keys alone.
-    """
-    new, rows = conform(increment, replica, spec), open_slice(replica, spec)
-    key = named(spec.key)
-    repeated = rows.groupBy(key.alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
-    contested = checkpointed(
-        repeated.filter(F.col("__n") > 1)
-        .select("__key")
-        .unionByName(new.select(key.alias("__key")))
-        .distinct()
-    )
-    if not _may_broadcast(contested, "__key"):
-        return by_month(changes_latest(replica, increment, spec), spec)
-    same = key.eqNullSafe(F.col("__key"))
-    settled = rows.join(F.broadcast(contested), same, "left_anti")
-    ranked = changes_latest(rows.join(F.broadcast(contested), same, "left_semi"), new, spec)
-    if compact:
-        return by_month(settled.unionByName(ranked), spec)
-    return settled.unionByName(by_month(ranked, spec))
 
+def _contested(replica: DataFrame, new: DataFrame, spec: ScdSpec) -> DataFrame:
+    """Entities with an increment row or several open rows.
 
-Target = PathReplica | TableReplica
+    Any other open row is the latest of its entity already. The test shuffles keys alone.
+    """
+    key = named(spec.key).alias("__key")
+    repeated = open_slice(replica, spec).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    several = repeated.filter(F.col("__n") > 1).select("__key")
+    return several.unionByName(new.select(key)).distinct()
 
 
 def apply_increment(
@@ -101,37 +86,43 @@ def apply_increment(
 ) -> DataFrame:
     """Stage the changes of one increment, publish them and scan the new replica.
 
-    The replica is a path or a target. By sub-partition, only start months with
-    closed keys are read, staged and replaced; open rows of other months stay in
-    place. With ``compact`` all staged rows are brought together by month, which
-    merges the small files that earlier increments left.
+    The replica is a path or a target, and the staging root is its own. By
+    sub-partition, only start months with closed keys are read, staged and replaced;
+    open rows of other months stay in place. With ``compact`` all staged rows are
+    brought together by month, which merges the small files that earlier increments
+    left; do so when months have gathered some tens of files.
 
-    Refuses to start while an earlier run is unfinished. A ``run_id`` given by
-    the caller is also refused when it was used before, which guards against
-    applying one increment twice.
+    Staged rows go only when the published counts agree with them. Refuses to start
+    while an earlier run is unfinished. A ``run_id`` given by the caller is also
+    refused when it was used before, which guards against applying one increment twice.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy}, not one of {', '.join(STRATEGIES)}")
     target = PathReplica(replica) if isinstance(replica, str) else replica
     if strategy == BY_SUBPARTITION and target.attach:
         raise ValueError("attaching replaces the open slice as a whole; choose another strategy")
-    if not runs.unfinished_runs(spark, staging_root).isEmpty():
+    target.check(spark)
+    if runs.current(spark, staging_root) is not None:
         raise RuntimeError(f"{staging_root} holds an unfinished run; finish it with resume_run")
     run_id = run_id or uuid4().hex
-    if runs.steps_of(spark, staging_root, run_id):
+    if runs.outcome(spark, staging_root, run_id) is not None:
         raise RuntimeError(f"run {run_id} was made before")
     current = target.scan(spark, spec)
-    increment = read_increment(spark, increment_path)
+    new = conform(read_increment(spark, increment_path), current, spec)
+    runs.bind(spark, staging_root, target.identity)
+    run = runs.Run(run_id, target.identity, strategy, repr(astuple(spec)))
+    runs.claim(spark, staging_root, run)
+    notes = runs.notes_path(staging_root, run_id)
     if strategy == LATEST:
-        changes = _latest_changes(current, increment, spec, compact)
+        contested = _noted(_contested(current, new, spec), f"{notes}/contested")
+        changes = _latest_changes(current, new, contested, spec, compact)
     else:
-        by_subpartition = strategy == BY_SUBPARTITION
-        changes = _closed_key_changes(current, increment, spec, by_subpartition, compact)
-    runs.record(spark, staging_root, run_id, runs.STARTED, strategy)
+        closed = _noted(closed_keys(new, spec).distinct(), f"{notes}/closed")
+        scoped = strategy == BY_SUBPARTITION
+        changes = _closed_key_changes(current, new, closed, spec, scoped, compact)
     stage(changes, runs.staged_path(staging_root, run_id), spec, rebalance=False)
-    runs.record(spark, staging_root, run_id, runs.STAGED, strategy)
-    run = _Run(target, staging_root, run_id, strategy, current.schema)
-    return _publish(spark, run, spec, resumed=False)
+    runs.note(spark, staging_root, run_id, runs.STAGED)
+    return _publish(spark, target, staging_root, run, current.schema, spec)
 
 
 def resume_run(
@@ -143,30 +134,34 @@ def resume_run(
 ) -> DataFrame:
     """Finish a run that broke off; one that broke while staging is given up.
 
-    Replacing open rows can be repeated. Of the rows to append only those the
-    replica lacks are written, since the break may have come after some were.
+    Replacing open rows can be repeated. Of the rows to append only those are
+    written that the files which came since the run's start do not hold.
     """
     target = PathReplica(replica) if isinstance(replica, str) else replica
-    steps = runs.steps_of(spark, staging_root, run_id)
-    if not steps:
+    target.check(spark)
+    run = runs.current(spark, staging_root)
+    over = runs.outcome(spark, staging_root, run_id)
+    if run is not None and run.run_id == run_id:
+        if (run.target, run.spec) != (target.identity, repr(astuple(spec))):
+            raise ValueError(f"run {run_id} is one of {run.target} with {run.spec}")
+        if over is None and runs.noted(spark, staging_root, run_id, runs.STAGED):
+            schema = _known_schema(spark, target, runs.staged_path(staging_root, run_id), spec)
+            return _publish(spark, target, staging_root, run, schema, spec)
+        if over is None:
+            runs.drop_staged(spark, staging_root, _in_use(spark, target, staging_root))
+        runs.finish(spark, staging_root, run, over or runs.ABANDONED)
+    elif over is None:
         raise ValueError(f"no run {run_id} under {staging_root}")
-    strategy = next(iter(steps.values()))
-    if runs.STAGED not in steps:
-        runs.record(spark, staging_root, run_id, runs.ABANDONED, strategy)
-    if runs.STAGED not in steps or runs.PUBLISHED in steps:
-        return target.scan(spark, spec)
-    schema = _known_schema(spark, target, runs.staged_path(staging_root, run_id), spec)
-    run = _Run(target, staging_root, run_id, strategy, schema)
-    return _publish(spark, run, spec, resumed=True)
+    return target.scan(spark, spec)
 
 
-@dataclass(frozen=True)
-class _Run:
-    target: Target
-    staging_root: str
-    run_id: str
-    strategy: str
-    schema: T.StructType
+def _in_use(spark: SparkSession, target: Target, root: str) -> str | None:
+    """The published run whose staged files an attaching table points at."""
+    if not target.attach:
+        return None
+    names = Folder(spark, root).names("data")
+    ids = [n.removeprefix("run_id=") for n in names]
+    return next((i for i in ids if runs.outcome(spark, root, i) == runs.PUBLISHED), None)
 
 
 def _known_schema(
@@ -181,36 +176,66 @@ def _known_schema(
     return target.scan(spark, spec).schema
 
 
-def _publish(spark: SparkSession, run: _Run, spec: ScdSpec, resumed: bool) -> DataFrame:
-    root, target = run.staging_root, run.target
-    path = runs.staged_path(root, run.run_id)
-    staged = read_replica(spark, path, spec, run.schema)
-    months = None
-    if run.strategy == BY_SUBPARTITION:
-        # staging holds the whole increment, so it gives the same months again
-        months = touched_months(closed_keys(staged, spec), spec)
-    if runs.APPENDED not in runs.steps_of(spark, root, run.run_id):
-        rest = staged
-        if resumed:
-            rest = _lacking(staged, target.scan(spark, spec, run.schema), months, spec)
-        target.append(rest, spec, months)
-        runs.record(spark, root, run.run_id, runs.APPENDED, run.strategy)
-    target.replace(staged, path, spec, months)
-    runs.record(spark, root, run.run_id, runs.PUBLISHED, run.strategy)
-    for done in runs.undropped_runs(spark, root):
-        if done != run.run_id or not target.attach:
-            drop_staging(spark, runs.staged_path(root, done), run.schema)
-            runs.record(spark, root, done, runs.DROPPED, run.strategy)
-    return target.scan(spark, spec, run.schema)
-
-
-def _lacking(
-    staged: DataFrame, replica: DataFrame, months: list[date] | None, spec: ScdSpec
+def _publish(
+    spark: SparkSession,
+    target: Target,
+    root: str,
+    run: runs.Run,
+    schema: T.StructType,
+    spec: ScdSpec,
 ) -> DataFrame:
-    """Staged rows to append that the replica lacks, looked for in their months only."""
-    rows = staged.filter(~replaced_rows(spec, months))
-    there = replica.filter(~replaced_rows(spec, months)).select(*[named(c) for c in rows.columns])
-    for part in map(named, spec.partitioning):
-        listed = [r[0] for r in rows.select(part).distinct().collect()]
-        there = there.filter(part.isin([m for m in listed if m is not None]) | part.isNull())
-    return difference(rows, there)
+    path, notes = runs.staged_path(root, run.run_id), runs.notes_path(root, run.run_id)
+    staged = read_replica(spark, path, spec, schema)
+    scope = None
+    if run.strategy == BY_SUBPARTITION:
+        keys = T.StructType([schema[c] for c in (spec.key, spec.part_from, spec.eff_from)])
+        scope = touched_months(spark.read.schema(keys).parquet(f"{notes}/closed"), spec)
+    added = added_rows(staged, spec, scope)
+
+    def reached() -> DataFrame:
+        """Rows of the replica's partitions that the append reaches, with their files."""
+        prefix = f"{spec.part_to}="
+        ends = [n.removeprefix(prefix) for n in Folder(spark, path).names() if n.startswith(prefix)]
+        dates = [F.lit(e).cast("date") for e in ends if e[:1] != "_"]
+        month = named(spec.part_to)
+        rows = target.scan(spark, spec, schema).withColumn("__file", F.col("_metadata.file_path"))
+        near = month.isNull() | month.isin(dates) if dates else month.isNull()
+        return added_rows(rows.filter(near), spec, scope)
+
+    def arrived() -> DataFrame:
+        """Rows that this run has appended: those of files that came since its start."""
+        files = spark.read.schema("__file string").parquet(f"{notes}/files")
+        rows = reached().join(files, "__file", "left_anti")
+        return rows.select(*[named(c) for c in staged.columns])
+
+    if not runs.noted(spark, root, run.run_id, "files"):
+        files = reached().select("__file").distinct()
+        files.write.mode("overwrite").parquet(f"{notes}/files")
+        runs.note(spark, root, run.run_id, "files")
+        rest = added
+    else:
+        rest = difference(added, arrived())
+    if not runs.noted(spark, root, run.run_id, runs.APPENDED):
+        target.append(rest, spec)
+        runs.note(spark, root, run.run_id, runs.APPENDED)
+    target.replace(staged, path, spec, scope)
+    _agree(
+        added=added,
+        arrived=arrived(),
+        staged=replaced_rows(staged, spec, scope),
+        replaced=replaced_rows(target.scan(spark, spec, schema), spec, scope),
+    )
+    runs.finish(spark, root, run, runs.PUBLISHED)
+    runs.drop_staged(spark, root, run.run_id if target.attach else None)
+    return target.scan(spark, spec, schema)
+
+
+def _agree(**sides: DataFrame) -> None:
+    """Stop before staged rows go if the replica does not hold as many; one job."""
+    counts = None
+    for name, rows in sides.items():
+        count = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("side"), "n")
+        counts = count if counts is None else counts.unionByName(count)
+    n = {r.side: r.n for r in counts.collect()}
+    if n["added"] != n["arrived"] or n["staged"] != n["replaced"]:
+        raise RuntimeError(f"the published rows do not agree with the staged ones: {n}")

@@ -9,11 +9,11 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Options for the session of a merge job; none is needed for right results.
+# Options for the session of a merge job; none is needed for right results. Increments
+# with instants for dates are refused, so the time zone changes none either.
 MERGE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
     "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.parquet.compression.codec": "zstd",

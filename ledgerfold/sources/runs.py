@@ -1,59 +1,98 @@
-"""A small append-only log of merge runs, kept next to their staged rows."""
+"""The run in progress and the runs that are over, as small files beside the staged rows.
+
+A staging root belongs to one replica. It holds a claim while a run is in
+progress, the staged rows and notes of that run, and one file for each run that
+is over, so a start looks at a few names however many runs there were. Creating
+the claim fails where it exists already; on stores whose create is not atomic,
+start jobs of one replica one at a time.
+"""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from dataclasses import asdict, dataclass
+from datetime import datetime, timezone
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import SparkSession
+
+from ledgerfold.sources.files import Folder
 
-STARTED, STAGED, APPENDED = "started", "staged", "appended"
-PUBLISHED, ABANDONED, DROPPED = "published", "abandoned", "dropped"
-_SCHEMA = "run_id string, step string, strategy string, at timestamp"
+PUBLISHED, ABANDONED = "published", "abandoned"
+STAGED, APPENDED = "staged", "appended"
+
+
+@dataclass(frozen=True)
+class Run:
+    run_id: str
+    target: str
+    strategy: str
+    spec: str
 
 
 def staged_path(root: str, run_id: str) -> str:
     return f"{root.rstrip('/')}/data/run_id={run_id}"
 
 
-def _log_path(root: str) -> str:
-    return f"{root.rstrip('/')}/log"
+def notes_path(root: str, run_id: str) -> str:
+    return f"{root.rstrip('/')}/notes/run_id={run_id}"
+
 
+def bind(spark: SparkSession, root: str, target: str) -> None:
+    """Make the root that of one target; another's root is an error."""
+    folder = Folder(spark, root)
+    owner = folder.read("target.json")
+    if owner is None:
+        folder.create("target.json", {"target": target})
+    elif owner.get("target") != target:
+        raise ValueError(f"{root} holds the staged rows of {owner.get('target')}, not of {target}")
 
-def record(spark: SparkSession, root: str, run_id: str, step: str, strategy: str) -> None:
-    row = spark.range(1, numPartitions=1).select(
-        F.lit(run_id).alias("run_id"),
-        F.lit(step).alias("step"),
-        F.lit(strategy).alias("strategy"),
-        F.current_timestamp().alias("at"),
-    )
-    row.write.mode("append").parquet(_log_path(root))
 
+def current(spark: SparkSession, root: str) -> Run | None:
+    """The run that was begun and not finished."""
+    claim = Folder(spark, root).read("claim.json")
+    if claim is None:
+        return None
+    if not claim:
+        raise RuntimeError(f"{root}/claim.json is empty: a job broke off while it claimed the root")
+    return Run(**claim)
 
-def run_log(spark: SparkSession, root: str) -> DataFrame:
+
+def outcome(spark: SparkSession, root: str, run_id: str) -> str | None:
+    """How a run ended, if it has."""
+    record = Folder(spark, root).read(f"log/{run_id}.json")
+    return record and record.get("state")
+
+
+def claim(spark: SparkSession, root: str, run: Run) -> None:
     try:
-        return spark.read.schema(_SCHEMA).parquet(_log_path(root))
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
+        Folder(spark, root).create("claim.json", asdict(run))
+    except Py4JJavaError as taken:
+        if "AlreadyExists" not in str(taken.java_exception):
             raise
-        return spark.createDataFrame([], _SCHEMA)
+        raise RuntimeError(f"{root} holds an unfinished run; finish it with resume_run") from taken
+
+
+def note(spark: SparkSession, root: str, run_id: str, step: str) -> None:
+    Folder(spark, notes_path(root, run_id)).create(f"{step}.json", {})
 
 
-def unfinished_runs(spark: SparkSession, root: str) -> DataFrame:
-    """Runs that began and were neither published nor given up."""
-    log = run_log(spark, root)
-    over = log.filter(F.col("step").isin(PUBLISHED, ABANDONED)).select("run_id")
-    return log.select("run_id").distinct().join(over, "run_id", "left_anti")
+def noted(spark: SparkSession, root: str, run_id: str, step: str) -> bool:
+    return Folder(spark, notes_path(root, run_id)).exists(f"{step}.json")
 
 
-def undropped_runs(spark: SparkSession, root: str) -> list[str]:
-    """Published runs whose staged rows are still there: one, rarely a few."""
-    log = run_log(spark, root)
-    dropped = log.filter(F.col("step") == DROPPED).select("run_id")
-    published = log.filter(F.col("step") == PUBLISHED).select("run_id").distinct()
-    return [r.run_id for r in published.join(dropped, "run_id", "left_anti").collect()]
+def finish(spark: SparkSession, root: str, run: Run, state: str) -> None:
+    """Record how the run ended and give the root free."""
+    folder = Folder(spark, root)
+    if not folder.exists(f"log/{run.run_id}.json"):
+        at = datetime.now(timezone.utc).isoformat()
+        folder.create(f"log/{run.run_id}.json", asdict(run) | {"state": state, "at": at})
+    folder.delete("claim.json")
 
 
-def steps_of(spark: SparkSession, root: str, run_id: str) -> dict[str, str]:
-    """Steps one run has logged, with its strategy: a handful of rows."""
-    rows = run_log(spark, root).filter(F.col("run_id") == run_id).select("step", "strategy")
-    return {r.step: r.strategy for r in rows.distinct().collect()}
+def drop_staged(spark: SparkSession, root: str, keep: str | None) -> None:
+    """Delete staged rows and notes of all runs, but rows of the run ``keep``."""
+    folder = Folder(spark, root)
+    folder.delete("notes")
+    for name in folder.names("data"):
+        if name != f"run_id={keep}":
+            folder.delete(f"data/{name}")

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import date
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerfold.functions.columns import in_open_partition, named
+from ledgerfold.sources.files import Folder
 from ledgerfold.spec import DEFAULT, ScdSpec
 
 
@@ -38,16 +36,31 @@ def stage(df: DataFrame, path: str, spec: ScdSpec = DEFAULT, rebalance: bool = T
     write_replica(by_month(df, spec) if rebalance else df, path, "errorifexists", spec)
 
 
-def _open_folder(replica_path: str, spec: ScdSpec) -> str:
+def open_folder(replica_path: str, spec: ScdSpec) -> str:
     return f"{replica_path.rstrip('/')}/{spec.part_to}={spec.open_month}"
 
 
-def replaced_rows(spec: ScdSpec, months: list[date] | None = None) -> Column:
-    """Staged rows that replace what the replica holds, not add to it; never null."""
-    test = in_open_partition(spec)
-    if months is not None:
-        test = test & named(spec.part_from).isin(months)
-    return F.coalesce(test, F.lit(False))
+def replaced_rows(
+    rows: DataFrame, spec: ScdSpec = DEFAULT, scope: DataFrame | None = None
+) -> DataFrame:
+    """Open rows, of the start months in ``scope`` where one is given: what a publish replaces."""
+    opened = rows.filter(in_open_partition(spec))
+    if scope is None:
+        return opened
+    # start months are bounded by the calendar
+    return opened.join(F.broadcast(scope), spec.part_from, "left_semi").select(*rows.columns)
+
+
+def added_rows(
+    rows: DataFrame, spec: ScdSpec = DEFAULT, scope: DataFrame | None = None
+) -> DataFrame:
+    """The other rows: closed ones, those without an end, open ones outside ``scope``."""
+    opened = F.coalesce(in_open_partition(spec), F.lit(False))
+    if scope is None:
+        return rows.filter(~opened)
+    inside = scope.select(named(spec.part_from).alias("__month"))
+    same = opened & (named(spec.part_from) == F.col("__month"))
+    return rows.join(F.broadcast(inside), same, "left_anti")
 
 
 def publish_open_slice(staged: DataFrame, replica_path: str, spec: ScdSpec = DEFAULT) -> None:
@@ -56,51 +69,49 @@ def publish_open_slice(staged: DataFrame, replica_path: str, spec: ScdSpec = DEF
     The target is the open month's folder itself, so start months that have no
     rows any more go as well, and closed months are not touched.
     """
-    rows = staged.filter(replaced_rows(spec)).drop(spec.part_to)
-    _write(rows, _open_folder(replica_path, spec), "overwrite", (spec.part_from,))
+    rows = replaced_rows(staged, spec).drop(spec.part_to)
+    _write(rows, open_folder(replica_path, spec), "overwrite", (spec.part_from,))
+
+
+def months_of(scope: DataFrame, spec: ScdSpec) -> list[str]:
+    """Start months as text; the calendar bounds them."""
+    return [r[0] for r in scope.select(named(spec.part_from).cast("string")).distinct().collect()]
 
 
-def vanished_months(
-    staged: DataFrame, replica: DataFrame, months: list[date], spec: ScdSpec = DEFAULT
-) -> list[date]:
-    """Listed start months that have open rows in the replica but none staged."""
-    month, replaced = named(spec.part_from), replaced_rows(spec, months)
-    present = replica.filter(replaced).select(month).distinct()
-    kept = staged.filter(replaced).select(month).distinct()
-    return [r[0] for r in present.join(kept, spec.part_from, "left_anti").collect()]
+def emptied_months(staged_path: str, scope: DataFrame, spec: ScdSpec) -> list[str]:
+    """Months of the scope in which no open row is staged."""
+    kept = Folder(scope.sparkSession, open_folder(staged_path, spec)).names()
+    return [m for m in months_of(scope, spec) if f"{spec.part_from}={m}" not in kept]
 
 
 def publish_subpartitions(
     staged: DataFrame,
-    replica: DataFrame,
+    staged_path: str,
     replica_path: str,
-    months: list[date],
+    scope: DataFrame,
     spec: ScdSpec = DEFAULT,
 ) -> None:
-    """Replace the listed start months of the open slice by the staged open rows.
+    """Replace the start months of the scope in the open slice by the staged open rows.
 
-    Months of the list that have rows are replaced in one dynamic overwrite;
-    those left without rows, by an empty file each.
+    Months that have rows are replaced in one dynamic overwrite; the folders of
+    the others go.
     """
-    emptied = vanished_months(staged, replica, months, spec)
-    folder = _open_folder(replica_path, spec)
-    rows = staged.filter(replaced_rows(spec, months)).drop(spec.part_to)
-    if months:
-        _write(rows, folder, "overwrite", (spec.part_from,), "dynamic")
-    for start in emptied:
-        nothing = rows.drop(spec.part_from).limit(0)
-        nothing.write.mode("overwrite").parquet(f"{folder}/{spec.part_from}={start}")
+    folder = open_folder(replica_path, spec)
+    rows = replaced_rows(staged, spec, scope).drop(spec.part_to)
+    _write(rows, folder, "overwrite", (spec.part_from,), "dynamic")
+    there = Folder(staged.sparkSession, folder)
+    for month in emptied_months(staged_path, scope, spec):
+        there.delete(f"{spec.part_from}={month}")
 
 
 def append_rest(
     staged: DataFrame,
     replica_path: str,
     spec: ScdSpec = DEFAULT,
-    months: list[date] | None = None,
+    scope: DataFrame | None = None,
 ) -> None:
-    """Append the staged rows that replace nothing: closed ones, rows without an
-    end, and open ones outside the listed months."""
-    write_replica(staged.filter(~replaced_rows(spec, months)), replica_path, "append", spec)
+    """Append the staged rows that replace nothing."""
+    write_replica(added_rows(staged, spec, scope), replica_path, "append", spec)
 
 
 def publish(staged: DataFrame, replica_path: str, spec: ScdSpec = DEFAULT) -> None:
@@ -113,7 +124,6 @@ def publish(staged: DataFrame, replica_path: str, spec: ScdSpec = DEFAULT) -> No
     publish_open_slice(staged, replica_path, spec)
 
 
-def drop_staging(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Free the space of a published run by overwriting it with no rows."""
-    nothing = spark.createDataFrame([], schema).coalesce(1)
-    nothing.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+def drop_staging(spark: SparkSession, path: str) -> None:
+    """Delete the staged rows of a published run."""
+    Folder(spark, path).delete()

@@ -1,26 +1,27 @@
 """Where a replica lives: a Parquet path or a catalog table.
 
 Both scan it, append the staged rows that replace nothing, and replace its open
-rows (of all start months, or of the listed ones) by the staged ones.
+rows (of all start months, or of those in a scope) by the staged ones.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerfold.functions.columns import named
+from ledgerfold.sources.files import Folder
 from ledgerfold.sources.replica import read_replica
 from ledgerfold.sources.staging import (
-    append_rest,
+    emptied_months,
+    open_folder,
     publish_open_slice,
     publish_subpartitions,
     replaced_rows,
-    vanished_months,
+    write_replica,
 )
 from ledgerfold.spec import DEFAULT, ScdSpec
 
@@ -30,28 +31,32 @@ class PathReplica:
     path: str
     attach = False
 
+    @property
+    def identity(self) -> str:
+        return self.path.rstrip("/")
+
+    def check(self, spark: SparkSession) -> None:
+        """Nothing to check: a path has one mode."""
+
     def scan(
         self, spark: SparkSession, spec: ScdSpec = DEFAULT, schema: T.StructType | None = None
     ) -> DataFrame:
         return read_replica(spark, self.path, spec, schema)
 
-    def append(
-        self, staged: DataFrame, spec: ScdSpec = DEFAULT, months: list[date] | None = None
-    ) -> None:
-        append_rest(staged, self.path, spec, months)
+    def append(self, added: DataFrame, spec: ScdSpec = DEFAULT) -> None:
+        write_replica(added, self.path, "append", spec)
 
     def replace(
         self,
         staged: DataFrame,
         staged_path: str,
         spec: ScdSpec = DEFAULT,
-        months: list[date] | None = None,
+        scope: DataFrame | None = None,
     ) -> None:
-        if months is None:
+        if scope is None:
             publish_open_slice(staged, self.path, spec)
         else:
-            replica = self.scan(staged.sparkSession, spec, staged.schema)
-            publish_subpartitions(staged, replica, self.path, months, spec)
+            publish_subpartitions(staged, staged_path, self.path, scope, spec)
 
 
 @dataclass(frozen=True)
@@ -59,59 +64,70 @@ class TableReplica:
     """A catalog table; with ``attach`` its open partitions point at the staged files.
 
     Attaching changes the catalog alone, so no open row is written a second
-    time, and the staged files stay for as long as the table uses them.
+    time, and the staged files stay for as long as the table uses them. The table
+    keeps its mode as a property: runs of the other mode would overwrite files
+    that partitions still point at, or bring back those they have let go of.
     """
 
     name: str
     attach: bool = False
 
+    @property
+    def identity(self) -> str:
+        return self.name
+
+    def check(self, spark: SparkSession) -> None:
+        """Refuse a run in another mode than the table's; an unmarked table gets this one."""
+        wanted = _ATTACHED if self.attach else _PLAIN
+        rows = spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()
+        mode = {r["key"]: r["value"] for r in rows}.get(_MODE)
+        if mode is None:
+            spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ('{_MODE}' = '{wanted}')")
+        elif mode != wanted:
+            raise ValueError(f"{self.name} is kept by {mode} runs, this one is {wanted}")
+
     def scan(
         self, spark: SparkSession, spec: ScdSpec = DEFAULT, schema: T.StructType | None = None
     ) -> DataFrame:
         return spark.table(self.name)
 
-    def append(
-        self, staged: DataFrame, spec: ScdSpec = DEFAULT, months: list[date] | None = None
-    ) -> None:
-        table = staged.sparkSession.table(self.name)
-        rest = staged.filter(~replaced_rows(spec, months))
-        rest.select(*[named(c) for c in table.columns]).write.insertInto(self.name)
+    def append(self, added: DataFrame, spec: ScdSpec = DEFAULT) -> None:
+        table = added.sparkSession.table(self.name)
+        added.select(*[named(c) for c in table.columns]).write.insertInto(self.name)
 
     def replace(
         self,
         staged: DataFrame,
         staged_path: str,
         spec: ScdSpec = DEFAULT,
-        months: list[date] | None = None,
+        scope: DataFrame | None = None,
     ) -> None:
-        rows = staged.filter(replaced_rows(spec, months))
-        if months is not None:
-            emptied = vanished_months(staged, self.scan(staged.sparkSession), months, spec)
-            if months:
-                self._overwrite(rows, spec, "dynamic")
-            for start in emptied:
-                self._overwrite(rows.limit(0), spec, "static", start)
+        rows = replaced_rows(staged, spec, scope)
+        if scope is not None:
+            self._overwrite(rows, spec, "dynamic")
+            self._let_go(staged.sparkSession, emptied_months(staged_path, scope, spec), spec)
         elif self.attach:
-            self._attach(rows, staged_path, spec)
+            self._attach(rows.sparkSession, staged_path, spec)
         else:
+            before = self._open_months(rows.sparkSession, spec)
             self._overwrite(rows, spec, "static")
+            kept = Folder(rows.sparkSession, open_folder(staged_path, spec)).names()
+            gone = [m for m in before if f"{spec.part_from}={m}" not in kept]
+            self._let_go(rows.sparkSession, gone, spec)
 
-    def _overwrite(
-        self, rows: DataFrame, spec: ScdSpec, mode: str, start: date | None = None
-    ) -> None:
-        """``INSERT OVERWRITE`` below the open month, or of one start month there.
+    def _location(self, spark: SparkSession) -> str:
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").collect()
+        return next(r["data_type"] for r in rows if r["col_name"] == "Location")
 
-        With mode ``static`` everything below the given partition values goes,
-        with ``dynamic`` only the start months that have rows are replaced.
+    def _overwrite(self, rows: DataFrame, spec: ScdSpec, mode: str) -> None:
+        """``INSERT OVERWRITE`` below the open month.
+
+        With mode ``static`` everything below it goes, with ``dynamic`` only the
+        start months that have rows are replaced.
         """
         spark = rows.sparkSession
-        given = {spec.part_to: spec.open_month}
-        if start is not None:
-            given[spec.part_from] = start
-        partition = ", ".join(
-            f"`{c}` = DATE'{given[c]}'" if c in given else f"`{c}`" for c in spec.partitioning
-        )
-        columns = [named(c) for c in spark.table(self.name).columns if c not in given]
+        partition = f"`{spec.part_to}` = DATE'{spec.open_month}', `{spec.part_from}`"
+        columns = [named(c) for c in spark.table(self.name).columns if c != spec.part_to]
         before = spark.conf.get(_OVERWRITE_MODE)
         spark.conf.set(_OVERWRITE_MODE, mode)
         try:
@@ -122,36 +138,52 @@ class TableReplica:
         finally:
             spark.conf.set(_OVERWRITE_MODE, before)
 
-    def _attach(self, rows: DataFrame, staged_path: str, spec: ScdSpec) -> None:
+    def _open_months(self, spark: SparkSession, spec: ScdSpec) -> list[str]:
+        """Start months of the table's open partitions, as text."""
+        folder = f"{spec.part_to}={spec.open_month}"
+        listed = spark.sql(
+            f"SHOW PARTITIONS {self.name} PARTITION (`{spec.part_to}` = DATE'{spec.open_month}')"
+        )
+        return [r[0].removeprefix(f"{folder}/{spec.part_from}=") for r in listed.collect()]
+
+    def _partition(self, month: str, spec: ScdSpec) -> str:
+        value = "null" if month == _NO_MONTH else f"DATE'{month}'"
+        return f"PARTITION (`{spec.part_to}` = DATE'{spec.open_month}', `{spec.part_from}` = {value})"
+
+    def _let_go(self, spark: SparkSession, months: list[str], spec: ScdSpec) -> None:
+        """Drop open start months, all in one statement, and their folders."""
+        if not months:
+            return
+        gone = ", ".join(self._partition(m, spec) for m in months)
+        spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {gone}")
+        folder = Folder(spark, open_folder(self._location(spark), spec))
+        for month in months:
+            folder.delete(f"{spec.part_from}={month}")
+
+    def _attach(self, spark: SparkSession, staged_path: str, spec: ScdSpec) -> None:
         """Let go of the open partitions and add the staged ones: a list of months."""
-        spark, folder = rows.sparkSession, f"{spec.part_to}={spec.open_month}"
-        held = [
-            r[0].removeprefix(f"{folder}/{spec.part_from}=")
-            for r in spark.sql(f"SHOW PARTITIONS {self.name}").collect()
-            if r[0].startswith(f"{folder}/")
+        held = self._open_months(spark, spec)
+        folder = open_folder(staged_path, spec)
+        staged = [
+            n.removeprefix(f"{spec.part_from}=")
+            for n in Folder(spark, folder).names()
+            if n.startswith(f"{spec.part_from}=")
         ]
-        start = F.coalesce(named(spec.part_from).cast("string"), F.lit(_NO_MONTH))
-        staged = [r[0] for r in rows.select(start).distinct().collect()]
-
-        def partition(month: str) -> str:
-            value = "null" if month == _NO_MONTH else f"DATE'{month}'"
-            return (
-                f"PARTITION (`{spec.part_to}` = DATE'{spec.open_month}', "
-                f"`{spec.part_from}` = {value})"
-            )
-
         if held:
-            gone = ", ".join(partition(m) for m in held)
+            gone = ", ".join(self._partition(m, spec) for m in held)
             spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {gone}")
         if staged:
-            root = staged_path.replace("'", "\\'")
+            root = folder.replace("'", "\\'")
             added = [
-                f"{partition(m)} LOCATION '{root}/{folder}/{spec.part_from}={m}'" for m in staged
+                f"{self._partition(m, spec)} LOCATION '{root}/{spec.part_from}={m}'" for m in staged
             ]
             spark.sql(f"ALTER TABLE {self.name} ADD {' '.join(added)}")
+        # files that open partitions had in the table's own folder are out of use for good
+        Folder(spark, open_folder(self._location(spark), spec)).delete()
 
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_MODE, _PLAIN, _ATTACHED = "ledgerfold.mode", "overwriting", "attaching"
 # Folder name of the null partition, a fixed value of the Hive layout.
 _NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 
@@ -167,4 +199,9 @@ def create_replica(
     """An empty replica table over ``path``, partitioned by the two months."""
     writer = spark.createDataFrame([], schema).write.format("parquet").option("path", path)
     writer.option("compression", "zstd").partitionBy(*spec.partitioning).saveAsTable(name)
-    return TableReplica(name, attach)
+    made = TableReplica(name, attach)
+    made.check(spark)
+    return made
+
+
+Target = PathReplica | TableReplica

@@ -3,7 +3,7 @@
 import pytest
 
 import ledgerfold as lf
-from ledgerfold.plans import scenarios as sc
+import scenarios as sc  # noqa: E402
 
 
 def verdicts(report):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import golden
 import ledgerfold as lf
-from ledgerfold.plans import scenarios as sc
+import scenarios as sc  # noqa: E402
 
 COLUMNS = ("id", "payload", "eff_from_dt", "eff_to_dt")
 
@@ -202,12 +202,6 @@ def test_subpartition_form_equals_the_plain_join(spark, sf_dir):
     assert same(lf.merge_closed_key(base, new), lf.merge_closed_key_by_subpartition(base, new))
 
 
-def test_subpartition_form_beyond_the_listed_months(spark, sf_dir, monkeypatch):
-    monkeypatch.setattr("ledgerfold.operators.merge.MAX_LISTED_MONTHS", 3)
-    base, new = sc.orders_replica(spark, sf_dir), sc.orders_increment(spark, sf_dir)
-    assert same(lf.merge_closed_key(base, new), lf.merge_closed_key_by_subpartition(base, new))
-
-
 def test_closed_versions_are_never_lost(spark, sf_dir):
     base, new = sc.orders_replica(spark, sf_dir), sc.orders_increment(spark, sf_dir)
     first = lf.merge_closed_key(base, new)

@@ -7,7 +7,8 @@ import re
 import pytest
 
 import ledgerfold as lf
-from ledgerfold.plans import scenarios as sc
+from ledgerfold.plans import jobs
+import scenarios as sc
 from ledgerfold.sources.staging import by_month, write_replica
 
 
@@ -74,11 +75,32 @@ def test_large_keys_shuffle_the_open_rows_once(stored, no_broadcast):
     assert (len(by_version), len(by_key_and_month)) == (2, 1)
 
 
-def test_subpartition_merge_reads_each_open_month_once(stored):
+def test_subpartition_merge_prunes_by_the_closed_months(stored):
     text = plan(lf.merge_closed_key_by_subpartition(*stored))
-    filters = [f for f in re.findall(r"PartitionFilters: \[.*", text) if "eff_from_month" in f]
-    assert len(filters) == 2
-    assert sum("NOT" in f for f in filters) == 1
+    assert "dynamicpruning" in text
+    assert not re.search(r"hashpartitioning\(id#\d+L?, status", text)
+
+
+def test_settled_rows_are_not_shuffled_beside_small_keys(stored):
+    replica, increment = stored
+    new = lf.conform(increment, replica)
+    small = new.sparkSession.range(5).selectExpr("id AS __key")
+    staged = jobs._latest_changes(replica, new.limit(5), small, lf.ScdSpec(), compact=False)
+    text = tree(staged)
+    assert "BroadcastHashJoin LeftAnti" in text and "SortMergeJoin" not in text
+
+
+def test_reconcile_counts_each_table_once(stored, spark, tmp_path):
+    replica, increment = stored
+    lf.merge_closed_key(replica, increment).write.partitionBy(
+        "eff_to_month", "eff_from_month"
+    ).parquet(f"{tmp_path}/result")
+    result = lf.read_replica(spark, f"{tmp_path}/result")
+    text = plan(lf.reconcile(replica, increment, result))
+    # one scan each, and the keys of the base
+    assert len(re.findall(r"Scan parquet  \(", text)) == 4
+    latest = plan(lf.reconcile(replica, increment, lf.merge_latest(replica, increment)))
+    assert len(re.findall(r"\) Window\n", latest)) == 1
 
 
 def test_latest_shuffles_once_and_passes_closed_rows_by(stored):

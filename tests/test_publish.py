@@ -1,7 +1,8 @@
 """Staging, publishing and finishing broken runs, on the golden rows."""
 
+import os
 from collections import Counter
-from datetime import date
+from datetime import date, datetime
 from uuid import uuid4
 
 import pytest
@@ -73,12 +74,16 @@ def test_seed_overwrites_and_equals(spark, stored, tmp_path):
 
 
 @pytest.mark.parametrize("strategy", jobs.STRATEGIES)
-@pytest.mark.parametrize("limit", [0, 1_000_000], ids=["shuffled", "broadcast"])
-def test_apply_increment(strategy, limit, stored, monkeypatch):
-    monkeypatch.setattr(jobs, "BROADCAST_BYTES", limit)
-    assert bag(stored.apply(strategy)) == expected(strategy)
+@pytest.mark.parametrize("limit", ["-1", "10m"], ids=["shuffled", "broadcast"])
+def test_apply_increment(strategy, limit, stored):
+    before = stored.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    stored.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        assert bag(stored.apply(strategy)) == expected(strategy)
+    finally:
+        stored.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert bag(stored.read()) == expected(strategy)
-    assert runs.unfinished_runs(stored.spark, stored.staging).isEmpty()
+    assert runs.current(stored.spark, stored.staging) is None
 
 
 @pytest.mark.parametrize("strategy", ["closed_key", "latest"])
@@ -97,24 +102,18 @@ def test_compact_merges_the_files_of_earlier_runs(strategy, stored):
     assert most_files() == 1 and bag(stored.read()) == before
 
 
-def test_broadcast_is_bounded_by_the_bytes_of_the_keys(spark, monkeypatch):
-    keys = spark.createDataFrame([("x" * 5_000,), (None,)], "id string")
-    for limit, fits in ((5_000, False), (6_000, True)):
-        monkeypatch.setattr(jobs, "BROADCAST_BYTES", limit)
-        assert jobs._may_broadcast(keys, "id") is fits
-
-
-def test_a_vanished_subpartition_goes(stored):
+@pytest.mark.parametrize("strategy", jobs.STRATEGIES)
+def test_a_vanished_subpartition_goes(strategy, stored):
     gone = "eff_from_month=2024-04-30"
     assert gone in stored.months("eff_to_month=5999-12-31")
-    stored.apply()
+    stored.apply(strategy)
     assert gone not in stored.months("eff_to_month=5999-12-31")
     got = {p.name for p in stored.folder.joinpath("replica").iterdir() if p.is_dir()}
-    assert got == {
+    undated = {"eff_to_month=__HIVE_DEFAULT_PARTITION__"} if strategy != "latest" else set()
+    assert got == undated | {
         "eff_to_month=2024-05-31",
         "eff_to_month=2024-06-30",
         "eff_to_month=5999-12-31",
-        "eff_to_month=__HIVE_DEFAULT_PARTITION__",
     }
 
 
@@ -174,13 +173,13 @@ def test_an_increment_that_does_not_fit_leaves_no_run(stored):
     )
     with pytest.raises(ValueError, match="lacks"):
         stored.apply()
-    assert runs.unfinished_runs(stored.spark, stored.staging).isEmpty()
+    assert runs.current(stored.spark, stored.staging) is None
 
 
-def test_dropped_staging_holds_no_rows(stored):
+def test_dropped_staging_is_gone(stored):
     stored.apply(run_id="day-1")
-    path = runs.staged_path(stored.staging, "day-1")
-    assert stored.spark.read.parquet(path).isEmpty()
+    assert not os.path.exists(runs.staged_path(stored.staging, "day-1"))
+    assert not os.path.exists(f"{stored.staging}/notes")
 
 
 class Tabled(Stored):
@@ -216,9 +215,11 @@ def attached(spark, tmp_path):
 def test_apply_increment_to_a_table(strategy, tabled):
     assert bag(tabled.apply(strategy)) == expected(strategy)
     months = {r[0] for r in tabled.spark.sql(f"SHOW PARTITIONS {tabled.name}").collect()}
-    if strategy == "closed_key":
-        assert "eff_to_month=5999-12-31/eff_from_month=2024-04-30" not in months
+    assert "eff_to_month=5999-12-31/eff_from_month=2024-04-30" not in months
+    if strategy != "latest":
         assert len(months) == 11
+    folder = tabled.folder / "table/eff_to_month=5999-12-31/eff_from_month=2024-04-30"
+    assert not folder.exists()
 
 
 def test_table_scan_prunes_to_the_open_partitions(tabled, capsys):
@@ -246,7 +247,7 @@ def test_attached_runs_follow_each_other(attached):
     opened = (2, "r2", date(2024, 1, 11), golden.OPEN)
     assert bag(attached.read()) == expected("closed_key") - Counter([opened]) + Counter([closing])
     first, second = (runs.staged_path(attached.staging, f"day-{n}") for n in (1, 2))
-    assert attached.spark.read.parquet(first).isEmpty()
+    assert not os.path.exists(first)
     assert not attached.spark.read.parquet(second).isEmpty()
 
 
@@ -316,3 +317,124 @@ def test_a_broken_run_is_finished(strategy, where, stored, monkeypatch):
 @pytest.mark.parametrize("where", BREAKS)
 def test_a_broken_run_on_a_table_is_finished(where, attached, monkeypatch):
     _check_broken("latest", where, attached, attached.replica, monkeypatch)
+
+
+def _rewrite(stored, rows):
+    frame = stored.spark.createDataFrame(rows, golden.SCHEMA)
+    frame.write.mode("overwrite").parquet(stored.increment)
+
+
+@pytest.mark.parametrize("strategy", jobs.STRATEGIES)
+@pytest.mark.parametrize("where", BREAKS[1:])
+def test_a_resumed_run_adds_rows_that_are_there_already(strategy, where, spark, tmp_path, monkeypatch):
+    """Equal rows of earlier runs, closed and open, do not count as this run's."""
+    both = []
+    for name in ("whole", "broken"):
+        stored = Stored(spark, tmp_path / name)
+        stored.apply(strategy)
+        target = lf.PathReplica(stored.replica)
+        if name == "broken":
+            with monkeypatch.context() as patch:
+                _break(patch, where, target)
+                with pytest.raises(Crash):
+                    stored.apply(strategy, run_id="again")
+            lf.resume_run(spark, target, stored.staging, "again")
+        else:
+            stored.apply(strategy, run_id="again")
+        both.append(bag(stored.read()))
+    assert both[0] == both[1]
+
+
+def test_a_redelivered_open_row_outside_the_scope_is_added_once_more(spark, tmp_path, monkeypatch):
+    start = date(2024, 2, 7)
+    rows = [(8, "r8", start, golden.OPEN)]
+    stored = Stored(spark, tmp_path, [*rows, (1, "a", date(2024, 1, 5), golden.OPEN)], rows)
+    target = lf.PathReplica(stored.replica)
+    with monkeypatch.context() as patch:
+        _break(patch, "before the append", target)
+        with pytest.raises(Crash):
+            stored.apply("closed_key_by_subpartition", run_id="day-1")
+    lf.resume_run(spark, target, stored.staging, "day-1")
+    assert len(stored.read().collect()) == 3
+
+
+def test_the_scope_of_a_broken_run_stays(spark, tmp_path, monkeypatch):
+    start, end = date(2024, 1, 5), date(2024, 3, 1)
+    replica = [(i, "a", start.replace(month=1 + i % 3), golden.OPEN) for i in (2, 3, 5)]
+    closing = [(2, "a", start.replace(month=3), end)]
+    stored = Stored(spark, tmp_path, replica, closing)
+    target = lf.PathReplica(stored.replica)
+    with monkeypatch.context() as patch:
+        _break(patch, "before the append", target)
+        with pytest.raises(Crash):
+            stored.apply("closed_key_by_subpartition", run_id="day-1")
+    lf.resume_run(spark, target, stored.staging, "day-1")
+    assert bag(stored.read()) == Counter([r for r in replica if r[0] != 2] + closing)
+
+
+def test_a_staging_root_belongs_to_one_target(spark, attached, tmp_path):
+    attached.apply(run_id="a")
+    other = Stored(spark, tmp_path / "other")
+    with pytest.raises(ValueError, match="holds the staged rows of"):
+        lf.apply_increment(spark, other.replica, other.increment, attached.staging)
+    assert bag(attached.read()) == expected("closed_key")
+
+
+@pytest.mark.parametrize("kind", ["attached", "tabled"])
+def test_a_table_keeps_its_mode(kind, spark, request):
+    made = request.getfixturevalue(kind)
+    made.apply(run_id="a")
+    before = bag(made.read())
+    _rewrite(made, [])
+    other = lf.TableReplica(made.name, attach=kind == "tabled")
+    for call in (
+        lambda: lf.apply_increment(spark, other, made.increment, made.staging),
+        lambda: lf.resume_run(spark, other, made.staging, "a"),
+    ):
+        with pytest.raises(ValueError, match="is kept by"):
+            call()
+    assert bag(made.read()) == before
+
+
+def test_attaching_leaves_no_stale_files(attached):
+    attached.apply(run_id="a")
+    assert not (attached.folder / "table/eff_to_month=5999-12-31").exists()
+
+
+def test_a_run_that_does_not_agree_keeps_its_staged_rows(stored, monkeypatch):
+    target = lf.PathReplica(stored.replica)
+    with monkeypatch.context() as patch:
+        patch.setattr(type(target), "replace", lambda self, *args: None)
+        with pytest.raises(RuntimeError, match="do not agree"):
+            stored.apply(run_id="day-1")
+    assert os.path.exists(runs.staged_path(stored.staging, "day-1"))
+    lf.resume_run(stored.spark, target, stored.staging, "day-1")
+    assert bag(stored.read()) == expected("closed_key")
+
+
+def test_a_run_is_resumed_by_its_own_target(spark, stored, monkeypatch):
+    with monkeypatch.context() as patch:
+        _break(patch, "before the append", lf.PathReplica(stored.replica))
+        with pytest.raises(Crash):
+            stored.apply(run_id="day-1")
+    with pytest.raises(ValueError, match="is one of"):
+        lf.resume_run(spark, f"{stored.replica}-other", stored.staging, "day-1")
+    with pytest.raises(ValueError, match="no run"):
+        lf.resume_run(spark, stored.replica, stored.staging, "day-2")
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Moscow"])
+def test_months_do_not_follow_the_session_zone(spark, zone):
+    replica = lf.with_months(spark.createDataFrame(golden.REPLICA, golden.SCHEMA))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        row = (1, "a", datetime(2024, 1, 31, 23, 30), golden.OPEN)
+        kind = "id bigint, payload string, eff_from_dt {}, eff_to_dt date"
+        local = spark.createDataFrame([row], kind.format("timestamp_ntz"))
+        got = lf.conform(local, replica).first()
+        assert (got.eff_from_dt, got.eff_from_month) == (date(2024, 1, 31), date(2024, 1, 31))
+        with pytest.raises(ValueError, match="instant"):
+            lf.conform(spark.createDataFrame([row], kind.format("timestamp")), replica)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -82,8 +82,7 @@ def test_random_merges(spark, seed):
     assert bag(lf.merge_latest(base, new)) == by_latest(replica, increment)
     both = candidates(lf.open_slice(base), lf.conform(new, base))
     want = Counter(ranked(replica, increment))
-    for hot_rows in (3, 1_000):
-        assert bag(lf.rank_versions(both, hot_rows=hot_rows).drop(ORIGIN), "rn") == want
+    assert bag(lf.rank_versions(both).drop(ORIGIN), "rn") == want
 
 
 TARGETS = [
