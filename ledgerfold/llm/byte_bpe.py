@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from ledgerfold.llm.text import mapped
 
 # Code points of text encoded together, and encoded words a task remembers.
-BLOCK, REMEMBERED = 1 << 23, 300_000
+BLOCK, REMEMBERED = 1 << 21, 200_000
 
 
 class Ranks:

@@ -125,22 +125,25 @@ def signatures(
 
 def band_keys(texts: list[str | None]) -> dict[str, pa.Array]:
     """One key per band of each text; none for a text without words."""
-    owner, value, weight = shingles(texts)
-    parts, n = [np.zeros((0, BANDS), np.uint64)], len(texts)
-    # some texts at a time, to bound the darts in memory
-    for at in range(0, n, 256):
-        low, high = np.searchsorted(owner, [at, min(n, at + 256)])
-        some = signatures(
-            min(n, at + 256) - at, owner[low:high] - at, value[low:high], weight[low:high],
-            BANDS * ROWS,
-        )
-        keys = np.zeros((len(some), BANDS), np.uint64)
-        for r in range(ROWS):
-            keys = mixed(keys * _GOLD + some[:, r::ROWS])
-        parts.append(mixed(keys + np.arange(BANDS, dtype=np.uint64) * _SILVER))
+    parts, counts = [np.zeros((0, BANDS), np.uint64)], [np.zeros(0, np.int64)]
+    # some texts at a time, to bound shingles and darts in memory
+    for some, _ in chunked(texts):
+        owner, value, weight = shingles(texts[some])
+        n = some.stop - some.start
+        for at in range(0, n, 256):
+            low, high = np.searchsorted(owner, [at, min(n, at + 256)])
+            made = signatures(
+                min(n, at + 256) - at, owner[low:high] - at, value[low:high], weight[low:high],
+                BANDS * ROWS,
+            )
+            keys = np.zeros((len(made), BANDS), np.uint64)
+            for r in range(ROWS):
+                keys = mixed(keys * _GOLD + made[:, r::ROWS])
+            has = np.bincount(owner[low:high] - at, minlength=len(made)) > 0
+            parts.append(mixed(keys + np.arange(BANDS, dtype=np.uint64) * _SILVER)[has])
+            counts.append(np.where(has, BANDS, 0))
     keys = np.concatenate(parts)
-    has = np.bincount(owner, minlength=n) > 0
-    return {"keys": listed(keys[has].reshape(-1).view(np.int64), np.where(has, BANDS, 0))}
+    return {"keys": listed(keys.reshape(-1).view(np.int64), np.concatenate(counts))}
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:

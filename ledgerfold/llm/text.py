@@ -14,7 +14,9 @@ import numpy as np
 import pyarrow as pa
 
 # Code points per chunk; one longer text is a chunk of its own.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
+# Rows computed together; bounds the Python strings and arrays in memory.
+ROWS = 1024
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -49,7 +51,7 @@ class Chunk:
 
     def prefix_hashes(self, values: np.ndarray | None = None) -> np.ndarray:
         v = (self.points if values is None else values).astype(np.uint64) + np.uint64(0x51ED27)
-        power, _ = _powers(max(20, int(len(v)).bit_length()))
+        power, _ = _powers(max(19, int(len(v)).bit_length()))
         sums = np.zeros(len(v) + 1, np.uint64)
         np.cumsum(mixed(v) * power[: len(v)], out=sums[1:])
         return sums
@@ -57,7 +59,7 @@ class Chunk:
     @staticmethod
     def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """64-bit hashes of spans, equal for equal content wherever it stands."""
-        _, inverse = _powers(max(20, int(len(sums) - 1).bit_length()))
+        _, inverse = _powers(max(19, int(len(sums) - 1).bit_length()))
         return mixed((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
 
     def runs(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,10 +141,12 @@ def mapped(
     """A function for ``mapInArrow`` that adds columns computed from the text column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = compute(batch.column(text).to_pylist())
-            new = [v if isinstance(v, pa.Array) else pa.array(v) for v in made.values()]
-            columns = [batch.column(c) for c in keep] + new
-            yield pa.RecordBatch.from_arrays(columns, [*keep, *made])
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                made = compute(batch.column(text).to_pylist())
+                new = [v if isinstance(v, pa.Array) else pa.array(v) for v in made.values()]
+                columns = [batch.column(c) for c in keep] + new
+                yield pa.RecordBatch.from_arrays(columns, [*keep, *made])
 
     return run
