@@ -234,7 +234,8 @@ def linked_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         f"node {kind}, copies bigint, vector array<double>, shadow array<double>, cells array<int>",
     )
     # grid order: sorted by cell (equal cells by digest), cut into blocks
-    ordered = placed.repartitionByRange("cells", "node.digest").sortWithinPartitions(
+    parts = max(1, -(-classes.count() // BLOCK))
+    ordered = placed.repartitionByRange(parts, "cells", "node.digest").sortWithinPartitions(
         "cells", "node.digest"
     )
     own = checkpointed(
