@@ -88,6 +88,29 @@ def orders_increment(spark: SparkSession, sf_dir: str, dirty: bool = True) -> Da
     return _changes(orders, ORDER, kinds)
 
 
+def keyed_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A clean increment by remainder of the key: a tenth of the orders closed and succeeded,
+    a twentieth as many rows of new entities."""
+    orders = _orders(spark, sf_dir)
+    orders = orders.withColumn("known", orders.agg(F.count(F.lit(1))).scalar())
+    successor = {
+        "status": F.lit("U"),
+        "amount": F.col("amount") + 1,
+        "eff_from_dt": _day("2005-06-01"),
+    }
+    entity = {
+        "id": F.col("id") + F.col("known"),
+        "status": F.lit("N"),
+        "eff_from_dt": _day("2005-06-02"),
+    }
+    kinds = [
+        (F.col("id") % 10 == 0, {"eff_to_dt": _day("2005-05-31")}),
+        (F.col("id") % 10 == 0, successor),
+        (F.col("id") % 20 == 7, entity),
+    ]
+    return _changes(orders, ORDER, kinds)
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         F.col("l_orderkey").alias("id"),
