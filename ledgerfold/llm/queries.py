@@ -86,7 +86,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op4_toxicity_windows": _toxicity,
         "op5_dart_minhash": classes_sql(),
         "op6_epsilon_grid_join": links_sql(),
         "op10_temperature_mixing": mixing_sql(),
