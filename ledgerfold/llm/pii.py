@@ -39,7 +39,7 @@ LOOSE = {
     "email": r"[^\s@<>\"'(),;:]++@[^\s@<>\"'(),;:]++",
     "ip": r"(?:(?<![0-9])|\G)[0-9]++(?:[.:][0-9]++){3,}+",
     "card": r"(?<![0-9])(?<![0-9][ ./-])[0-9](?:[ ./-]?[0-9]){8,}+",
-    "phone": r"(?<![0-9])\(?[0-9](?:[ ()./-]{0,3}+[0-9]){6,}+",
+    "phone": r"(?<![0-9])\(?[0-9]{2,4}\)?[ ./-]?[0-9]{3,4}[ ./-]?[0-9]{3,4}(?![0-9])",
 }
 # What a text must hold for the patterns of a kind to be tried.
 NEEDS = {"email": "@", "ip": "[0-9][.:][0-9]", "card": "[0-9]", "phone": "[0-9]"}
@@ -167,8 +167,8 @@ def _side(char: Column) -> Column:
 
 
 def features(c: Column) -> dict[str, Column]:
-    """Format and context of a candidate. Not whether a plus stands before it, nor any sum
-    or range of its digits: those are for the labels."""
+    """Format and context of a candidate. Not whether a plus and a country code stand before
+    it, nor any sum or range of its digits: those are for the labels."""
     m = c["match"]
     digits = F.char_length(F.regexp_replace(m, "[^0-9]", ""))
     marks = F.regexp_replace(m, "[A-Za-z0-9]", "")
@@ -181,7 +181,7 @@ def features(c: Column) -> dict[str, Column]:
         .when(marks.rlike("@"), 5)
         .otherwise(6)
     )
-    before = F.regexp_replace(c["left"], r"\+ ?$", "")
+    before = F.regexp_replace(c["left"], r"\+[0-9]{0,3}[ ./-]?$", "")
     lead = F.substring(F.regexp_replace(m, "[^A-Za-z0-9]", ""), 1, 1)
     return {
         "digits": _level(digits, 1, 4, 8, 9, 11, 12, 15, 16, 20),
@@ -203,8 +203,11 @@ def _candidate(kind: str, c: Column) -> Column:
     code = F.lit(0)
     for name, value in features(c).items():
         code = code * FEATURES[name].levels + value
-    seen = F.concat(F.right(c["left"], F.lit(2)), c["match"]) if kind == "phone" else c["match"]
-    strict = F.regexp_extract_all(seen, F.lit(STRICT[kind]), F.lit(0))
+    seen, pattern = c["match"], STRICT[kind]
+    if kind == "phone":
+        # a candidate is the national number, at the end of a strict one
+        seen, pattern = F.concat(c["left"], c["match"]), pattern + "$"
+    strict = F.regexp_extract_all(seen, F.lit(pattern), F.lit(0))
     return F.struct(
         F.lit(kind).alias("kind"),
         c["start"].alias("start"),
