@@ -271,13 +271,12 @@ def similar_links(docs: DataFrame, similar: float = SIMILAR) -> tuple[DataFrame,
     node = F.struct(F.col("id").isNull().alias("no_id"), "id", "digest")
     nodes = checkpointed(ids.select("digest", node.alias("node")))
 
-    # every text is signed where it is read; equal ones fall together afterwards
+    # every text is signed where it is read; equal ones fall together before their bands part
     signed = texts.select("digest", F.octet_length("text").alias("size"), "text").mapInArrow(
         mapped(band_keys, ("digest", "size")), "digest binary, size int, keys array<bigint>"
     )
-    slots = checkpointed(
-        signed.select("digest", "size", F.explode("keys").alias("key")).distinct()
-    )
+    once = signed.groupBy("digest").agg(F.first("size").alias("size"), F.first("keys").alias("keys"))
+    slots = checkpointed(once.select("digest", "size", F.explode("keys").alias("key")))
     members = F.xxhash64("digest")
     buckets = slots.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"),
