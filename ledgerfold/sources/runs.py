@@ -67,7 +67,7 @@ def claim(spark: SparkSession, root: str, run: Run) -> None:
     try:
         Folder(spark, root).create("claim.json", asdict(run))
     except Py4JJavaError as taken:
-        if "AlreadyExists" not in str(taken.java_exception):
+        if "alreadyexists" not in str(taken.java_exception).lower().replace(" ", ""):
             raise
         raise RuntimeError(f"{root} holds an unfinished run; finish it with resume_run") from taken
 
