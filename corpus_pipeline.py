@@ -17,6 +17,7 @@ from ledgerfold.llm.dart_minhash import keep_one
 from ledgerfold.llm.mixing import mix
 from ledgerfold.llm.pii import redact
 from ledgerfold.llm.quality_rules import keep_good
+from ledgerfold.llm.text import small_batches
 from ledgerfold.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -24,11 +25,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weighed quality rules keep."""
+    small_batches(spark)
     return keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    small_batches(spark)
     return keep_one(docs)
 
 
@@ -44,6 +47,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the encoded and decoded texts, a row per drawn document."""
+    small_batches(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return encoded_digests(docs, str(path), public_tokenizers.PATTERN)
 

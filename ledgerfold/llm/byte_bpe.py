@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from ledgerfold.llm.text import mapped
 
 # Code points of text encoded together, and encoded words a task remembers.
-BLOCK, REMEMBERED = 1 << 21, 200_000
+BLOCK, REMEMBERED = 1 << 20, 100_000
 
 
 class Ranks:
@@ -58,7 +58,7 @@ class Ranks:
 
     def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each joined pair, -1 where it is no token or a side is missing (-1)."""
-        key = left * self.width + right
+        key = left.astype(np.int64) * self.width + right
         at = np.searchsorted(self.pair, key)
         return np.where((self.pair[at] == key) & (left >= 0) & (right >= 0), self.made[at], -1)
 
@@ -67,15 +67,16 @@ class Ranks:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         start = np.cumsum(sizes + 1) - sizes  # one gap before each word and at the end
         total = int(sizes.sum()) + len(words) + 1
-        symbol = np.full(total, -1, np.int64)
+        symbol = np.full(total, -1, np.int32)
         data = np.frombuffer(b"".join(words), np.uint8)
         word_of = np.repeat(np.arange(len(words)), sizes)
         place = np.arange(len(data)) + word_of + 1
         symbol[place] = self.single[data]
-        owner = np.full(total, -1, np.int64)
+        owner = np.full(total, -1, np.int32)
         owner[place] = word_of
-        after, before = np.arange(1, total + 1), np.arange(-1, total - 1)
-        rank = np.full(total, -1, np.int64)  # of the pair that begins here
+        after = np.arange(1, total + 1, dtype=np.int32)
+        before = np.arange(-1, total - 1, dtype=np.int32)
+        rank = np.full(total, -1, np.int32)  # of the pair that begins here
         rank[:-1] = self.joined(symbol[:-1], symbol[1:])
         index: dict[int, list[np.ndarray]] = defaultdict(list)
 

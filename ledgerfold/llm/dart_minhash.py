@@ -348,6 +348,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     state = checkpointed(
         duplicate_classes(docs)
         .filter(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
+        # an exchange of its own lets Spark split the join above where many rows share a text
+        .repartition(*text)
         .groupBy(*text)
         .agg((F.min("class_id") != F.col("doc_id")).alias("lost"), F.count(F.lit(1)).alias("n"))
         .filter("lost OR n > 1")

@@ -15,6 +15,7 @@ from ledgerfold.llm.mixing import mixing_report, mixing_sql
 from ledgerfold.llm.pii import pii_report
 from ledgerfold.llm.quality_mil import quality_scores
 from ledgerfold.llm.quality_rules import quality_rules
+from ledgerfold.llm.text import small_batches
 from ledgerfold.llm.token_counts import token_counts
 from ledgerfold.llm.toxicity import toxicity_scores
 
@@ -22,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

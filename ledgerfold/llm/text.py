@@ -12,9 +12,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 # Code points per chunk; one longer text is a chunk of its own.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 # Rows computed together; bounds the Python strings and arrays in memory.
 ROWS = 1024
 _BASE = 0x9E3779B97F4A7C15
@@ -51,7 +52,7 @@ class Chunk:
 
     def prefix_hashes(self, values: np.ndarray | None = None) -> np.ndarray:
         v = (self.points if values is None else values).astype(np.uint64) + np.uint64(0x51ED27)
-        power, _ = _powers(max(19, int(len(v)).bit_length()))
+        power, _ = _powers(max(18, int(len(v)).bit_length()))
         sums = np.zeros(len(v) + 1, np.uint64)
         np.cumsum(mixed(v) * power[: len(v)], out=sums[1:])
         return sums
@@ -59,7 +60,7 @@ class Chunk:
     @staticmethod
     def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """64-bit hashes of spans, equal for equal content wherever it stands."""
-        _, inverse = _powers(max(19, int(len(sums) - 1).bit_length()))
+        _, inverse = _powers(max(18, int(len(sums) - 1).bit_length()))
         return mixed((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
 
     def runs(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,6 +128,16 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return h
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark pass ``ROWS`` rows at once to Python, not 10,000: rows hold whole texts.
+
+    A number that somebody has set already stays.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(setting) == "10000":
+        spark.conf.set(setting, str(ROWS))
+
+
 def listed(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     """Consecutive values as one list per count."""
     offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
