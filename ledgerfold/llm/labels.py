@@ -24,5 +24,20 @@ def labelled_sample(labels: DataFrame, label: str, allowed: Column, per_class: i
     return classes[0].unionByName(classes[1])
 
 
+def labelled_texts(
+    docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_class: int
+) -> DataFrame:
+    """``doc_id``, ``label`` and ``text`` of the sample, one row for each document.
+
+    Of different texts under one id the one of the smallest digest is taken. Rows are
+    reduced where they lie, so a repeated id sends one row of each task on. Null reads
+    as empty.
+    """
+    sample = labelled_sample(labels, label, allowed, per_class)
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", text.alias("text")).join(F.broadcast(sample), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min_by("text", F.md5("text")).alias("text"))
+
+
 def held_out(divisor: int, value: int) -> Column:
     return F.coalesce(remainder(divisor) == value, F.lit(False)).alias("held_out")

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.llm.labels import held_out, labelled_sample, remainder
+from ledgerfold.llm.labels import held_out, labelled_texts, remainder
 from ledgerfold.llm.text import chunked, is_space, mapped, repeated, window_hashes
 
 PASSAGE, MOST = 64, 64
@@ -204,12 +204,11 @@ def _encoded(texts: list[str | None]) -> dict[str, list[bytes]]:
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """A model from the labelled documents outside the held-out fold."""
-    sample = labelled_sample(labels, "quality", remainder(4) != 2, per_class)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = labelled_texts(docs, labels, "quality", remainder(4) != 2, per_class)
     once = mapped(_encoded, ("doc_id", "label"))
     coded = rows.mapInArrow(once, "doc_id bigint, label int, bag binary").collect()
-    # by content, so that neither task order nor repeated rows change the model
-    got = sorted({(r.doc_id, r.label, bytes(r.bag)) for r in coded})
+    # by id, so that task order does not change the model
+    got = sorted((r.doc_id, r.label, bytes(r.bag)) for r in coded)
     bags = [np.frombuffer(b, np.float32).reshape(-1, FEATURES).astype(float) for _, _, b in got]
     return fit(bags, np.array([y for _, y, _ in got], float))
 

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.llm.labels import held_out, labelled_sample, remainder
+from ledgerfold.llm.labels import held_out, labelled_texts, remainder
 from ledgerfold.llm.text import Chunk, chunked, mapped, mixed
 
 WINDOW, STRIDE, MOST = 32, 24, 12
@@ -359,13 +359,12 @@ def _sampled(texts: list[str | None]) -> dict[str, list[list[str]]]:
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """A model from the labelled documents outside the held-out fold."""
-    sample = labelled_sample(labels, "toxic", remainder(5) != 0, per_class)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = labelled_texts(docs, labels, "toxic", remainder(5) != 0, per_class)
     cut = rows.mapInArrow(
         mapped(_sampled, ("doc_id", "label")), "doc_id bigint, label int, windows array<string>"
     ).collect()
-    # by content, so that neither task order nor repeated rows change the model
-    got = sorted({(r.doc_id, r.label, tuple(r.windows)) for r in cut})
+    # by id, so that task order does not change the model
+    got = sorted((r.doc_id, r.label, tuple(r.windows)) for r in cut)
     return fit([list(w) for _, _, w in got], np.array([y for _, y, _ in got], float))
 
 

@@ -2,6 +2,7 @@
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerfold.llm import (
     byte_bpe,
@@ -15,6 +16,7 @@ from ledgerfold.llm import (
     token_counts,
     toxicity,
 )
+from ledgerfold.llm.labels import labelled_texts
 
 LONG = "a long text of words that go on " * 20_000
 ROWS = [
@@ -127,6 +129,23 @@ def test_models_without_labels(spark, docs):
     assert min(r.score for r in quality_mil.quality_scores(docs, ones).collect()) > 0.9
 
 
+def test_a_repeated_id_is_one_training_text(spark, monkeypatch):
+    rows = [(1, f"text number {i % 7} of one id") for i in range(50)] + [(2, "another text"), (2, None)]
+    labels = _labels(spark, ((1, 1, 1), (2, 0, 0)))
+    seen = []
+
+    def fit(given, y):
+        seen.append([(x.tolist(), v) for x, v in zip(given, y.tolist(), strict=True)])
+
+    monkeypatch.setattr(quality_mil, "fit", fit)
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id bigint, text string").repartition(5)
+        quality_mil.train(docs, labels, 1)
+        assert labelled_texts(docs, labels, "toxic", F.lit(True), 1).count() == 2
+    assert [sorted(v for _, v in one) for one in seen] == [[0.0, 1.0]] * 2
+    assert seen[0] == seen[1]
+
+
 def test_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
