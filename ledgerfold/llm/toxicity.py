@@ -5,9 +5,10 @@ in overlapping windows. A word enters as the vector of its hash and the mean of
 the vectors of its character triples; two gated recurrent layers read a window
 in both directions, attention pools their states, and a text scores as its most
 toxic window. Training runs in numpy on a bounded sample (``per_class`` labelled
-texts of each class, ``MOST`` evenly spaced windows of each): only texts have
-labels, so the highest window of each is trained, round by round. Scoring reads
-all windows of all texts.
+texts of each class): only texts have labels, so the highest windows of each are
+trained, chosen anew round by round among all its windows. The sample stays on
+the cluster, whose tasks count its words and choose; the driver holds the chosen
+windows alone. Scoring reads all windows of all texts.
 
 Null and empty texts are one window without words and get a score like any
 other. Equal texts score alike; without labels of both classes every score is
@@ -16,23 +17,31 @@ the share of label 1 (0.5 without any); an empty table gives no rows.
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.llm.labels import held_out, labelled_texts, remainder
-from ledgerfold.llm.text import Chunk, chunked, mapped, mixed
+from ledgerfold.llm.text import CHUNK, Chunk, chunked, mapped, mixed
 
 WINDOW, STRIDE, MOST = 32, 24, 12
 PER_CLASS = 2000
+# windows of a text that are trained in a round, by its label; tasks the sample is dealt to
+TOPS, PARTS = (3, 1), 16
 THRESHOLD, CAUTION = 0.5, 3.0
 WORDS, TRIPLES = 1 << 14, 1 << 13
 WORD_SIZE, TRIPLE_SIZE, HIDDEN, ATTEND = 8, 8, 8, 8
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 Model = dict[str, np.ndarray]
+# calls a function on the windows and labels of some texts of the sample, given as a mask;
+# makes numbers of texts with what the function says of them
+Each = Callable[[Callable, np.ndarray], list[tuple[np.ndarray, object]]]
 
 
 class Reading:
@@ -200,18 +209,16 @@ def _lean(toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
     return np.clip((toxic - clean) / np.sqrt(toxic + clean + 4) / 3, -1, 1)
 
 
-def _leanings(
-    bucket: np.ndarray, doc: np.ndarray, y: np.ndarray, size: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """The lean of every bucket, and of every occurrence as the other texts have it."""
+def _holding(bucket: np.ndarray, doc: np.ndarray, labels: np.ndarray, size: int) -> np.ndarray:
+    """The number of clean and of toxic texts that hold every bucket."""
     pairs = np.unique(doc * size + bucket)
-    label = y[pairs // size] > 0
-    ratio = float(y.sum() / max(1.0, len(y) - y.sum()))
-    toxic = np.bincount(pairs[label] % size, minlength=size)
-    clean = np.bincount(pairs[~label] % size, minlength=size)
-    own = y[doc] > 0
-    others = _lean(toxic[bucket] - own, (clean[bucket] - ~own) * ratio)
-    return _lean(toxic, clean * ratio), others
+    toxic = labels[pairs // size] > 0
+    return np.stack([np.bincount(pairs[toxic == v] % size, minlength=size) for v in (False, True)])
+
+
+def _others(bucket: np.ndarray, own: np.ndarray, counts: np.ndarray, ratio: float) -> np.ndarray:
+    """The lean of every occurrence as the other texts have it."""
+    return _lean(counts[1][bucket] - own, (counts[0][bucket] - ~own) * ratio)
 
 
 def _part(r: Reading, picked: np.ndarray) -> Reading:
@@ -229,13 +236,8 @@ def _part(r: Reading, picked: np.ndarray) -> Reading:
     return made
 
 
-def _sample(texts: list[list[str]], labels: np.ndarray, m: Model) -> Reading:
-    """All windows of the sample as one reading; sets the first dimension of the vectors.
-
-    That dimension holds what the counts of the sample tell. In training, an
-    occurrence has it as counted on the other texts, or the network would learn to
-    trust words that only its own text holds.
-    """
+def _read(texts: list[list[str]]) -> Reading:
+    """All windows of some texts as one reading; ``doc`` is the text of every word."""
     readings = [Reading(chunk) for _, chunk in chunked([w for windows in texts for w in windows])]
     made = Reading.__new__(Reading)
     made.word = np.concatenate([r.word for r in readings])
@@ -243,19 +245,86 @@ def _sample(texts: list[list[str]], labels: np.ndarray, m: Model) -> Reading:
     made.lengths = np.concatenate([r.lengths for r in readings])
     # a window of the sample is a text of one window here
     sizes = np.concatenate([(r.windows != len(r.word)).sum(axis=1) for r in readings])
-    doc = np.repeat(np.repeat(np.arange(len(texts)), [len(w) for w in texts]), sizes)
-    m["word"][:, 0], words = _leanings(made.word, doc, labels, WORDS)
-    m["triple"][:, 0], triples = _leanings(
-        made.triple, np.repeat(doc, made.lengths), labels, TRIPLES
-    )
-    begins = np.cumsum(made.lengths) - made.lengths
-    mean = np.add.reduceat(triples, begins) / made.lengths if len(begins) else triples
-    made.leaning = np.stack([words, mean], axis=1)
+    made.doc = np.repeat(np.repeat(np.arange(len(texts)), [len(w) for w in texts]), sizes)
     place = (np.cumsum(sizes) - sizes)[:, None] + np.arange(WINDOW)
     made.windows = np.where(np.arange(WINDOW) < sizes[:, None], place, len(made.word))
     return made
 
 
+def _groups(texts: list[list[str]]) -> Iterator[slice]:
+    """The texts in groups of about ``CHUNK`` code points."""
+    start = size = 0
+    for i, windows in enumerate(texts):
+        n = sum(map(len, windows))
+        if i > start and size + n > CHUNK:
+            yield slice(start, i)
+            start, size = i, 0
+        size += n
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
+def _counted(texts: list[list[str]], labels: np.ndarray) -> list[np.ndarray]:
+    """The numbers of texts by word and by triple, over all windows."""
+    words, triples = np.zeros((2, WORDS), np.int64), np.zeros((2, TRIPLES), np.int64)
+    for group in _groups(texts):
+        r = _read(texts[group])
+        words += _holding(r.word, r.doc, labels[group], WORDS)
+        triples += _holding(r.triple, np.repeat(r.doc, r.lengths), labels[group], TRIPLES)
+    return [words, triples]
+
+
+def _leaning(
+    r: Reading, labels: np.ndarray, counts: list[np.ndarray], ratio: float
+) -> np.ndarray:
+    """The first dimension of the vectors in training: what the counts tell.
+
+    An occurrence has it as counted on the other texts, or the network would learn to
+    trust words that only its own text holds.
+    """
+    own = labels[r.doc] > 0
+    words = _others(r.word, own, counts[0], ratio)
+    triples = _others(r.triple, np.repeat(own, r.lengths), counts[1], ratio)
+    begins = np.cumsum(r.lengths) - r.lengths
+    mean = np.add.reduceat(triples, begins) / r.lengths if len(begins) else triples
+    return np.stack([words, mean], axis=1)
+
+
+def _logits(r: Reading, model: Model) -> np.ndarray:
+    x, logits = _inputs(model, r), [np.zeros(0)]
+    for at in range(0, len(r.windows), 4096):
+        logits.append(_forward(model, x, r.windows[at : at + 4096])["logit"])
+    return np.concatenate(logits)
+
+
+def _highest(
+    texts: list[list[str]],
+    labels: np.ndarray,
+    counts: list[np.ndarray],
+    ratio: float,
+    model: Model | None,
+    most: int | None = None,
+) -> list[tuple[float, list[str]]]:
+    """The highest logit over the windows of every text (evenly spaced ones, if bounded), and
+    its highest windows."""
+    found = []
+    for group in _groups(texts):
+        some, y = texts[group], labels[group]
+        r = _read(some)
+        r.leaning = _leaning(r, y, counts, ratio)
+        if model is None:
+            # until the network can tell, a text's highest window is the one that leans most
+            heights = np.append(r.leaning.max(axis=1), -1.0)[r.windows].max(axis=1)
+        else:
+            heights = _logits(r, model)
+        ends = np.cumsum([len(windows) for windows in some])
+        for windows, own, label in zip(some, np.split(heights, ends[:-1]), y, strict=True):
+            top = np.argsort(-own, kind="stable")[: TOPS[int(label)]]
+            some_of = np.linspace(0, len(own) - 1, min(len(own), most or len(own))).astype(int)
+            found.append((float(own[some_of].max()), [windows[i] for i in top]))
+    return found
+
+
 def _cut(logit: np.ndarray, labels: np.ndarray) -> float:
     """The logit that best parts toxic from clean texts the network was not trained on.
 
@@ -277,6 +346,15 @@ def _cut(logit: np.ndarray, labels: np.ndarray) -> float:
 def fit(texts: list[list[str]], labels: np.ndarray, steps: int = 500, seed: int = 11) -> Model:
     """Train on the windows of texts with labels 0 and 1, by Adam on ``steps`` batches of 64
     texts at least."""
+
+    def here(ask: Callable, wanted: np.ndarray) -> list[tuple[np.ndarray, object]]:
+        number = np.flatnonzero(wanted)
+        return [(number, ask([texts[i] for i in number], labels[number]))]
+
+    return _fit(here, labels, steps, seed)
+
+
+def _fit(each: Each, labels: np.ndarray, steps: int = 500, seed: int = 11) -> Model:
     rng = np.random.default_rng(seed)
     m = _start(rng)
     share = float(labels.mean()) if len(labels) else 0.5
@@ -284,30 +362,38 @@ def fit(texts: list[list[str]], labels: np.ndarray, steps: int = 500, seed: int
         m["out"][:] = 0
         m["base"][:] = np.log((share + 1e-3) / (1 - share + 1e-3))
         return m
-    whole = _sample(texts, labels, m)
-    counts = np.array([len(w) for w in texts])
-    firsts = np.cumsum(counts) - counts
+    kept_back = np.arange(len(labels)) % 5 == 0
+    ratio = float(labels.sum() / (len(labels) - labels.sum()))
+    parts = [made for _, made in each(_counted, labels >= 0)]
+    counts = [sum(part[i] for part in parts) for i in (0, 1)]
+    m["word"][:, 0], m["triple"][:, 0] = (_lean(c[1], c[0] * ratio) for c in counts)
+
+    def highest(wanted: np.ndarray, model: Model | None, most: int | None = None) -> dict[int, tuple[float, list[str]]]:
+        quick = model and {k: v.astype(np.float32) for k, v in model.items()}
+        ask = partial(_highest, counts=counts, ratio=ratio, model=quick, most=most)
+        made = each(ask, wanted)
+        return {i: one for number, some in made for i, one in zip(number, some, strict=True)}
+
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in m.items()}
     balance = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share))
-    slow = 0.05 * min(1.0, len(texts) / 2000)
-    # until the network can tell, a text's highest window is the one that leans most
-    lean = np.append(whole.leaning.max(axis=1), -1.0)
-    highest = lean[whole.windows].max(axis=1)
-    step, epochs = 0, max(8, -(-64 * steps // len(texts)))
-    for epoch in range(epochs):
-        if epoch and epoch % max(2, epochs // 8) == 0:
-            quick = {k: v.astype(np.float32) for k, v in m.items()}
-            highest = _forward(quick, _inputs(quick, whole), whole.windows)["logit"]
-        order = rng.permutation(np.flatnonzero(np.arange(len(texts)) % 5 > 0))
+    slow = 0.05 * min(1.0, len(labels) / 2000)
+    step, epochs = 0, max(8, -(-64 * steps // len(labels)))
+    trained = np.flatnonzero(~kept_back)
+    for epoch in range(epochs if len(trained) else 0):
+        if epoch % max(2, epochs // 8) == 0:
+            chosen = highest(~kept_back, m if epoch else None)
+            tops = [chosen[i][1] if i in chosen else [] for i in range(len(labels))]
+            whole = _read(tops)
+            whole.leaning = _leaning(whole, labels, counts, ratio)
+            n = np.array([len(t) for t in tops])
+            firsts = np.cumsum(n) - n
+        order = rng.permutation(trained)
         for at in range(0, len(order), 64):
-            tops = []
-            for i in order[at : at + 64]:
-                own = highest[firsts[i] : firsts[i] + counts[i]]
-                top = np.argsort(-own, kind="stable")[: 1 if labels[i] else 3]
-                tops.append(firsts[i] + top)
-            of = np.repeat(order[at : at + 64], [len(t) for t in tops])
+            batch = order[at : at + 64]
+            of = np.repeat(batch, n[batch])
             importance = balance[of] / np.bincount(of, minlength=len(labels))[of] / 64
-            part = _part(whole, np.concatenate(tops))
+            picked = np.concatenate([np.arange(firsts[i], firsts[i] + n[i]) for i in batch])
+            part = _part(whole, picked)
             grad = gradient(m, part, part.windows, labels[of], importance)
             step += 1
             rate = 0.01 * (1 - 0.9 * epoch / epochs)
@@ -322,10 +408,9 @@ def fit(texts: list[list[str]], labels: np.ndarray, steps: int = 500, seed: int
                     m[k][:, 1:] -= slow * rate * change[:, 1:]
                 else:
                     m[k] -= rate * change
-    quick = {k: v.astype(np.float32) for k, v in m.items()}
-    logit = _forward(quick, _inputs(quick, whole), whole.windows)["logit"]
-    kept_back = np.arange(len(texts)) % 5 == 0
-    m["base"] -= _cut(np.maximum.reduceat(logit, firsts)[kept_back], labels[kept_back])
+    heights = highest(kept_back, m, MOST)
+    logit = np.array([heights[i][0] for i in np.flatnonzero(kept_back)])
+    m["base"] -= _cut(logit, labels[kept_back])
     return m
 
 
@@ -333,39 +418,61 @@ def score_texts(texts: list[str | None], model: Model) -> dict[str, np.ndarray]:
     scores = [np.zeros(0)]
     for _, chunk in chunked(texts):
         r = Reading(chunk)
-        x = _inputs(model, r)
-        logits = [np.zeros(0)]
-        for at in range(0, len(r.windows), 4096):
-            logits.append(_forward(model, x, r.windows[at : at + 4096])["logit"])
         first = np.cumsum(r.counts) - r.counts
-        scores.append(_sigmoid(np.maximum.reduceat(np.concatenate(logits), first)))
+        scores.append(_sigmoid(np.maximum.reduceat(_logits(r, model), first)))
     return {"score": np.concatenate(scores).astype(np.float64)}
 
 
 def _sampled(texts: list[str | None]) -> dict[str, list[list[str]]]:
-    """Texts of evenly spaced windows, ``MOST`` of each text at the most."""
+    """Texts of all windows of each text."""
     made = []
     for text in texts:
         (_, chunk), *_ = chunked([text])
         r = Reading(chunk)
-        chosen = np.linspace(0, len(r.windows) - 1, min(len(r.windows), MOST)).astype(int)
         spoken = []
-        for window in r.windows[chosen]:
+        for window in r.windows:
             own = window[window < len(r.word)]
             spoken.append((text or "")[r.start[own[0]] : r.end[own[-1]]] if len(own) else "")
         made.append(spoken)
     return {"windows": made}
 
 
+def _asked(
+    batches: Iterator[pa.RecordBatch],
+    ask: Callable,
+    ids: np.ndarray,
+    labels: np.ndarray,
+    wanted: np.ndarray,
+) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        number = np.searchsorted(ids, batch.column("doc_id").to_numpy())
+        mine = wanted[number]
+        if mine.any():
+            number, texts = number[mine], batch.column("windows").filter(pa.array(mine))
+            made = pickle.dumps((number, ask(texts.to_pylist(), labels[number])))
+            yield pa.RecordBatch.from_arrays([pa.array([made])], ["made"])
+
+
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """A model from the labelled documents outside the held-out fold."""
     rows = labelled_texts(docs, labels, "toxic", remainder(5) != 0, per_class)
-    cut = rows.mapInArrow(
+    dealt = rows.repartition(PARTS).sortWithinPartitions("doc_id")
+    sample = dealt.mapInArrow(
         mapped(_sampled, ("doc_id", "label")), "doc_id bigint, label int, windows array<string>"
-    ).collect()
+    ).persist()
     # by id, so that task order does not change the model
-    got = sorted((r.doc_id, r.label, tuple(r.windows)) for r in cut)
-    return fit([list(w) for _, _, w in got], np.array([y for _, y, _ in got], float))
+    got = sorted((r.doc_id, r.label) for r in sample.select("doc_id", "label").collect())
+    ids, y = np.array([i for i, _ in got], np.int64), np.array([v for _, v in got], float)
+
+    def spread(ask: Callable, wanted: np.ndarray) -> list[tuple[np.ndarray, object]]:
+        run = partial(_asked, ask=ask, ids=ids, labels=y, wanted=wanted)
+        made = sample.select("doc_id", "windows").mapInArrow(run, "made binary")
+        return [pickle.loads(r.made) for r in made.collect()]
+
+    try:
+        return _fit(spread, y)
+    finally:
+        sample.unpersist()
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:

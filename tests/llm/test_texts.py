@@ -298,3 +298,25 @@ def test_learnt_toxicity():
     model = toxicity.fit(toxicity._sampled(train)["windows"], y)
     unseen, y = sample(200)
     assert np.mean((toxicity.score_texts(unseen, model)["score"] >= 0.5) == y) > 0.95
+
+
+def _lorem(rng, n):
+    return [rng.choice("lorem ipsum dolor sit amet tua res nova via".split()) + str(rng.randint(0, 99)) for _ in range(n)]
+
+
+def test_toxic_passages_of_long_texts_are_learnt(spark):
+    """One short passage in thousands of words, never where few evenly spaced windows would lie."""
+    rng = random.Random(6)
+
+    def text(toxic):
+        words = _lorem(rng, rng.randint(1200, 2400))
+        if toxic:
+            at = rng.randrange(100, len(words) - 100)
+            words[at : at + 3] = rng.choices(["badword", "awful", "zgrxam", "zgrxbo"], k=3)
+        return " ".join(words)
+
+    rows = [(i, text(i % 2), i % 2) for i in range(240)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    got = toxicity.toxicity_scores(docs, labels).filter("held_out").collect()
+    assert len(got) > 20 and np.mean([r.predicted == r.doc_id % 2 for r in got]) > 0.95
