@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ledgerfold.llm.labels import held_out, labelled_texts, remainder
 from ledgerfold.llm.text import CHUNK, Chunk, chunked, mapped, mixed
 
-WINDOW, STRIDE, MOST = 32, 24, 12
+WINDOW, STRIDE = 32, 24
 PER_CLASS = 2000
 # windows of a text that are trained in a round, by its label; tasks the sample is dealt to
 TOPS, PARTS = (3, 1), 16
@@ -303,10 +303,8 @@ def _highest(
     counts: list[np.ndarray],
     ratio: float,
     model: Model | None,
-    most: int | None = None,
 ) -> list[tuple[float, list[str]]]:
-    """The highest logit over the windows of every text (evenly spaced ones, if bounded), and
-    its highest windows."""
+    """The highest logit over all windows of every text, and its highest windows."""
     found = []
     for group in _groups(texts):
         some, y = texts[group], labels[group]
@@ -320,8 +318,7 @@ def _highest(
         ends = np.cumsum([len(windows) for windows in some])
         for windows, own, label in zip(some, np.split(heights, ends[:-1]), y, strict=True):
             top = np.argsort(-own, kind="stable")[: TOPS[int(label)]]
-            some_of = np.linspace(0, len(own) - 1, min(len(own), most or len(own))).astype(int)
-            found.append((float(own[some_of].max()), [windows[i] for i in top]))
+            found.append((float(own[top[0]]), [windows[i] for i in top]))
     return found
 
 
@@ -368,9 +365,9 @@ def _fit(each: Each, labels: np.ndarray, steps: int = 500, seed: int = 11) -> Mo
     counts = [sum(part[i] for part in parts) for i in (0, 1)]
     m["word"][:, 0], m["triple"][:, 0] = (_lean(c[1], c[0] * ratio) for c in counts)
 
-    def highest(wanted: np.ndarray, model: Model | None, most: int | None = None) -> dict[int, tuple[float, list[str]]]:
+    def highest(wanted: np.ndarray, model: Model | None) -> dict[int, tuple[float, list[str]]]:
         quick = model and {k: v.astype(np.float32) for k, v in model.items()}
-        ask = partial(_highest, counts=counts, ratio=ratio, model=quick, most=most)
+        ask = partial(_highest, counts=counts, ratio=ratio, model=quick)
         made = each(ask, wanted)
         return {i: one for number, some in made for i, one in zip(number, some, strict=True)}
 
@@ -408,7 +405,8 @@ def _fit(each: Each, labels: np.ndarray, steps: int = 500, seed: int = 11) -> Mo
                     m[k][:, 1:] -= slow * rate * change[:, 1:]
                 else:
                     m[k] -= rate * change
-    heights = highest(kept_back, m, MOST)
+    # as in scoring, a text's logit is the highest of all its windows
+    heights = highest(kept_back, m)
     logit = np.array([heights[i][0] for i in np.flatnonzero(kept_back)])
     m["base"] -= _cut(logit, labels[kept_back])
     return m

@@ -320,3 +320,21 @@ def test_toxic_passages_of_long_texts_are_learnt(spark):
     labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
     got = toxicity.toxicity_scores(docs, labels).filter("held_out").collect()
     assert len(got) > 20 and np.mean([r.predicted == r.doc_id % 2 for r in got]) > 0.95
+
+
+def test_the_cut_holds_for_long_texts():
+    """Words that lean a little stand in clean texts too: the more windows, the higher the highest."""
+    rng = random.Random(7)
+
+    def text(toxic, n):
+        words = [w if rng.random() > 0.03 else f"hint{rng.randint(0, 9)}" for w in _lorem(rng, n)]
+        if toxic:
+            at = rng.randrange(n - 10)
+            words[at : at + 8] = [f"hint{rng.randint(0, 9)}" for _ in range(8)]
+        return " ".join(words)
+
+    train = [text(i % 2, rng.choice([30, 100, 300, 3000])) for i in range(400)]
+    model = toxicity.fit(toxicity._sampled(train)["windows"], np.arange(400) % 2.0)
+    clean = toxicity.score_texts([text(0, 4000) for _ in range(60)], model)["score"]
+    toxic = toxicity.score_texts([text(1, 4000) for _ in range(60)], model)["score"]
+    assert np.mean(clean >= 0.5) < 0.1 and np.mean(toxic >= 0.5) > 0.9
