@@ -3,8 +3,8 @@
 A text is a bag of passages of ``PASSAGE`` words. Every passage is encoded from
 its characters and words; gated attention, learnt from document labels alone,
 weighs the encodings, and the weighted sum is scored. Training runs in numpy on
-a bounded sample (``per_class`` labelled documents of each class, ``MOST`` evenly
-spaced passages of each); scoring reads all passages of all texts.
+a bounded sample (``per_class`` labelled documents of each class); training and
+scoring read all passages of their texts.
 
 Null and empty texts are a bag of one passage without words and get a score
 like any other. Equal texts score alike; without labels of both classes every
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ledgerfold.llm.labels import held_out, labelled_texts, remainder
 from ledgerfold.llm.text import chunked, is_space, mapped, repeated, window_hashes
 
-PASSAGE, MOST = 64, 64
+PASSAGE = 64
 PER_CLASS = 2000
 HIDDEN, GATE, BUCKETS = 16, 8, 48
 THRESHOLD = 0.7
@@ -165,9 +165,10 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 40, seed: int
         m["out"][:] = 0
         m["base"][:] = np.log((share + 1e-3) / (1 - share + 1e-3))
         return m | {"mean": np.zeros(FEATURES), "scale": np.ones(FEATURES)}
-    every = np.concatenate(bags)
-    mean, scale = every.mean(axis=0), every.std(axis=0) + 0.02
-    bags = [(b - mean) / scale for b in bags]
+    # bags stay as they are, in single precision; a batch is scaled when its turn comes
+    number = sum(len(b) for b in bags)
+    mean = sum(b.sum(axis=0, dtype=float) for b in bags) / number
+    scale = np.sqrt(sum(((b - mean) ** 2).sum(axis=0) for b in bags) / number) + 0.02
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in m.items()}
     step, rate = 0, 0.01
     for epoch in range(epochs):
@@ -175,7 +176,8 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 40, seed: int
         for at in range(0, len(order), 64):
             part = order[at : at + 64]
             counts = np.array([len(bags[i]) for i in part])
-            x, first = np.concatenate([bags[i] for i in part]), np.cumsum(counts) - counts
+            x = (np.concatenate([bags[i] for i in part]) - mean) / scale
+            first = np.cumsum(counts) - counts
             grad = _gradient(m, x, _forward(m, x, first, counts), labels[part])
             step += 1
             now = rate * (1 - epoch / epochs)
@@ -198,18 +200,17 @@ def score_texts(texts: list[str | None], model: Model) -> dict[str, np.ndarray]:
 def _encoded(texts: list[str | None]) -> dict[str, list[bytes]]:
     x, counts = passages(texts)
     parts = np.split(x, np.cumsum(counts)[:-1]) if len(counts) else []
-    spaced = [p[np.linspace(0, len(p) - 1, min(len(p), MOST)).astype(int)] for p in parts]
-    return {"bag": [p.tobytes() for p in spaced]}
+    return {"bag": [p.tobytes() for p in parts]}
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """A model from the labelled documents outside the held-out fold."""
     rows = labelled_texts(docs, labels, "quality", remainder(4) != 2, per_class)
     once = mapped(_encoded, ("doc_id", "label"))
-    coded = rows.mapInArrow(once, "doc_id bigint, label int, bag binary").collect()
-    # by id, so that task order does not change the model
-    got = sorted((r.doc_id, r.label, bytes(r.bag)) for r in coded)
-    bags = [np.frombuffer(b, np.float32).reshape(-1, FEATURES).astype(float) for _, _, b in got]
+    coded = rows.mapInArrow(once, "doc_id bigint, label int, bag binary")
+    # a task at a time; by id, so that task order does not change the model
+    got = sorted((r.doc_id, r.label, bytes(r.bag)) for r in coded.toLocalIterator())
+    bags = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for _, _, b in got]
     return fit(bags, np.array([y for _, y, _ in got], float))
 
 

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerfold.llm import byte_bpe, licenses, pii, quality_mil, quality_rules, token_counts, toxicity
@@ -279,6 +280,15 @@ def test_held_out_quality(spark, sf_dir):
     assert np.mean([r.predicted == r.quality for r in rows]) > 0.95
 
 
+def test_all_passages_are_trained(spark, monkeypatch):
+    rows = [(1, "word " * 20_000), (2, "some words " * 100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, quality int")
+    monkeypatch.setattr(quality_mil, "remainder", lambda _: F.lit(0))
+    monkeypatch.setattr(quality_mil, "fit", lambda bags, y: ([len(b) for b in bags], y.tolist()))
+    assert quality_mil.train(docs, labels) == ([313, 4], [1.0, 0.0])
+
+
 def test_learnt_toxicity():
     """On texts of its own: some words make a text toxic, some only by how they begin."""
     rng = random.Random(4)
