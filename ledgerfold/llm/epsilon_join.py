@@ -7,15 +7,16 @@ first dimension touch and no leading dimension keeps them apart; then intervals
 recursively: a pair of intervals that are further apart than epsilon in some
 leading dimension is skipped, a small one is compared vector by vector.
 
-Null and zero vectors, those with null or non-finite components, and those of
-another length than most link with nothing. Equal vectors are one class from the
+Null and zero vectors and those with null or non-finite components link with
+nothing. Vectors of different lengths never link; each length is joined by itself,
+with axes and blocks of its own. Equal vectors are one class from the
 start and all link with each other; repeated rows too. An empty table gives no
 rows; a null id takes part but is no component id unless it is alone.
 """
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -194,39 +195,9 @@ def _usable(vectors: DataFrame) -> DataFrame:
     ).withColumn("digest", F.unhex(F.md5(F.to_json(F.struct("vector")))))
 
 
-def linked_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """``vec_id, n_links, component_id, kept`` of every vector."""
-    rows = _usable(vectors)
-    usual = (
-        rows.filter("vector IS NOT NULL")
-        .groupBy(F.size("vector").alias("length"))
-        .count()
-        .orderBy(F.desc("count"), "length")
-        .first()
-    )
-    length = usual.length if usual else 0
-    fits = F.col("vector").isNotNull() & (F.size("vector") == length)
-    classes = checkpointed(
-        rows.filter(fits)
-        .groupBy("digest")
-        .agg(
-            F.min("vec_id").alias("id"),
-            F.count(F.lit(1)).alias("copies"),
-            F.first("vector").alias("vector"),
-        )
-        .select(
-            F.struct(F.col("id").isNull().alias("no_id"), "id", "digest").alias("node"),
-            "copies",
-            "vector",
-        )
-    )
+def _compared(classes: DataFrame, count: int, cosine: float) -> DataFrame:
+    """Links between ``count`` distinct vectors of one length, as ``_joined`` has them."""
     axes = principal(classes, LEADING)
-    if axes is None:
-        alone = F.col("vec_id")
-        return rows.select(
-            "vec_id", F.lit(0).cast("bigint").alias("n_links"), alone.alias("component_id"),
-            F.lit(True).alias("kept"),
-        )
     width = float(np.sqrt(max(2 - 2 * cosine, 1e-12)))
     kind = classes.schema["node"].dataType.simpleString()
     placed = classes.mapInArrow(
@@ -234,7 +205,7 @@ def linked_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         f"node {kind}, copies bigint, vector array<double>, shadow array<double>, cells array<int>",
     )
     # grid order: sorted by cell (equal cells by digest), cut into blocks
-    parts = max(1, -(-classes.count() // BLOCK))
+    parts = max(1, -(-count // BLOCK))
     ordered = placed.repartitionByRange(parts, "cells", "node.digest").sortWithinPartitions(
         "cells", "node.digest"
     )
@@ -279,7 +250,41 @@ def linked_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         .groupBy("left", "right")
         .applyInArrow(join, f"node {kind}, near {kind}, links bigint")
     )
-    compared = checkpointed(compared)
+    return checkpointed(compared)
+
+
+def linked_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
+    """``vec_id, n_links, component_id, kept`` of every vector."""
+    rows = _usable(vectors)
+    fits = F.col("vector").isNotNull()
+    classes = checkpointed(
+        rows.filter(fits)
+        .groupBy("digest")
+        .agg(
+            F.min("vec_id").alias("id"),
+            F.count(F.lit(1)).alias("copies"),
+            F.first("vector").alias("vector"),
+        )
+        .select(
+            F.struct(F.col("id").isNull().alias("no_id"), "id", "digest").alias("node"),
+            "copies",
+            "vector",
+        )
+    )
+    length = F.size("vector").alias("length")
+    lengths = classes.groupBy(length).count().orderBy("length").collect()
+    if not lengths:
+        alone = F.col("vec_id")
+        return rows.select(
+            "vec_id", F.lit(0).cast("bigint").alias("n_links"), alone.alias("component_id"),
+            F.lit(True).alias("kept"),
+        )
+    # a vector that is alone with its length has copies at the most
+    several = [r for r in lengths if r["count"] > 1] or lengths[:1]
+    each_length = [
+        _compared(classes.filter(F.size("vector") == r.length), r["count"], cosine) for r in several
+    ]
+    compared = reduce(DataFrame.unionByName, each_length)
     links = compared.groupBy("node").agg(F.sum("links").alias("links"))
     labels = components(compared.select(F.col("node").alias("a"), F.col("near").alias("b")))
     known = (

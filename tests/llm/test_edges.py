@@ -163,3 +163,12 @@ def test_vectors(spark):
         (9, 3, 1, False), (10, 0, 10, True),
     ]
     assert epsilon_join.linked_vectors(vectors.limit(0)).collect() == []
+
+
+def test_vectors_of_several_lengths(spark):
+    rows = [(i, [1.0, 0.0, float(i % 2)]) for i in range(6)]
+    rows += [(10 + i, [float(i % 2), 1.0]) for i in range(4)] + [(20, [1.0]), (21, [2.0]), (22, [0.0, 0.0, 0.0, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in epsilon_join.linked_vectors(vectors).collect()}
+    want = {i: (2, i % 2) for i in range(6)} | {10 + i: (1, 10 + i % 2) for i in range(4)}
+    assert got == want | {20: (1, 20), 21: (1, 20), 22: (0, 22)}
