@@ -317,11 +317,12 @@ def similar_links(docs: DataFrame, similar: float = SIMILAR) -> tuple[DataFrame,
 
 
 def duplicate_classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """``doc_id``, ``digest`` and ``class_id`` (the smallest id of the class) of every row."""
+    """``doc_id``, ``digest``, ``class_id`` (the smallest id of the class) and ``first`` of
+    every row: whether it is its class's first, by id and then by digest, or a copy of that."""
     nodes, links = similar_links(docs, similar)
     labels = components(links)
     classes = nodes.join(labels, "node", "left").select(
-        "digest", F.coalesce(F.col("label.id"), F.col("node.id")).alias("class_id")
+        "digest", F.coalesce(F.col("label"), F.col("node")).alias("least")
     )
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.unhex(F.md5("text")).alias("digest"),
@@ -329,34 +330,47 @@ def duplicate_classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     )
     # texts without words stay alone
     classed = rows.join(classes, "digest", "left")
-    alone = F.when(F.col("worded"), F.col("class_id")).otherwise(F.col("doc_id"))
-    return classed.select("doc_id", "digest", alone.alias("class_id"))
+    alone = F.when(F.col("worded"), F.col("least.id")).otherwise(F.col("doc_id"))
+    least = F.col("doc_id").eqNullSafe(F.col("least.id")) & (F.col("digest") == F.col("least.digest"))
+    first = F.when(F.col("worded"), least).otherwise(F.lit(True))
+    return classed.select("doc_id", "digest", "worded", alone.alias("class_id"), first.alias("first"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``class_id`` and ``kept`` (the row carries the smallest id) of every row."""
-    kept = F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)).alias("kept")
+    """``doc_id``, ``class_id`` and ``kept`` of every row.
+
+    Kept are the rows of the smallest id, of different texts under it those of one; rows
+    of classes without any id are not.
+    """
+    own = F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False))
+    kept = (own & F.col("first")).alias("kept")
     return duplicate_classes(docs).select("doc_id", "class_id", kept)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One input row of each class, unchanged: one with the smallest id.
+    """One input row of each class, unchanged: one with the smallest id, of different texts
+    under it the one of the smallest digest.
 
-    Rows without id have no place in that order: they stay.
+    Null texts and texts without words are a class for each row; of the latter equal rows
+    of one id become one.
     """
-    text = ["doc_id", "digest"]
+    doc_id = F.col("doc_id").cast("bigint")
+    text = ["no_id", "id", "digest"]
+    # keys without nulls, so that rows without id are joined like others
+    keys = {"no_id": doc_id.isNull(), "id": F.coalesce(doc_id, F.lit(0).cast("bigint"))}
     state = checkpointed(
         duplicate_classes(docs)
-        .filter(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
+        .filter(F.col("digest").isNotNull() & (F.col("worded") | F.col("doc_id").isNotNull()))
+        .withColumns(keys)
         # an exchange of its own lets Spark split the join above where many rows share a text
         .repartition(*text)
         .groupBy(*text)
-        .agg((F.min("class_id") != F.col("doc_id")).alias("lost"), F.count(F.lit(1)).alias("n"))
+        .agg((~F.bool_and("first")).alias("lost"), F.count(F.lit(1)).alias("n"))
         .filter("lost OR n > 1")
     )
     keyed = docs.select(
         F.struct("*").alias("row"),
-        F.col("doc_id").cast("bigint").alias("doc_id"),
+        *[key.alias(name) for name, key in keys.items()],
         F.unhex(F.md5("text")).alias("digest"),
     )
     single = keyed.join(state.select(*text).hint("shuffle_hash"), text, "left_anti")

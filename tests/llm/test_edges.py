@@ -172,3 +172,18 @@ def test_vectors_of_several_lengths(spark):
     got = {r.vec_id: (r.n_links, r.component_id) for r in epsilon_join.linked_vectors(vectors).collect()}
     want = {i: (2, i % 2) for i in range(6)} | {10 + i: (1, 10 + i % 2) for i in range(4)}
     assert got == want | {20: (1, 20), 21: (1, 20), 22: (0, 22)}
+
+
+def test_one_row_of_each_class_stays(spark):
+    long = " ".join(f"w{i}" for i in range(200))
+    rows = [(None, "copies without an id " + long)] * 4 + [(None, "copies without an id too " + long)]
+    rows += [(7, "first text " + "x y z " * 90), (7, "first text of two " + "x y z " * 90), (None, "first text " + "x y z " * 90)]
+    rows += [(None, "alone without an id"), (None, ""), (None, ""), (None, None), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    left = [tuple(r) for r in dart_minhash.keep_one(docs).collect()]
+    assert sum(t is not None and long in t for _, t in left) == 1
+    assert [i for i, t in left if t and t.startswith("first")] == [7]
+    assert (None, "alone without an id") in left
+    assert left.count((None, "")) == 2 and (None, None) in left and (8, None) in left
+    kept = dart_minhash.near_duplicates(docs).filter("kept AND doc_id = 7").collect()
+    assert len(kept) == 1
