@@ -12,9 +12,12 @@ from ledgerfold.llm.dart_minhash import classes_sql, near_duplicates
 from ledgerfold.llm.epsilon_join import linked_vectors, links_sql
 from ledgerfold.llm.licenses import license_labels
 from ledgerfold.llm.mixing import mixing_report, mixing_sql
+from ledgerfold.llm.periodic_runs import runs_report
 from ledgerfold.llm.pii import pii_report
+from ledgerfold.llm.prefix_trie import trie_report, trie_sql
 from ledgerfold.llm.quality_mil import quality_scores
 from ledgerfold.llm.quality_rules import quality_rules
+from ledgerfold.llm.suffix_trees import repeats_report, repeats_sql
 from ledgerfold.llm.text import small_batches
 from ledgerfold.llm.token_counts import token_counts
 from ledgerfold.llm.toxicity import toxicity_scores
@@ -71,6 +74,18 @@ def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_report(_table(spark, sf_dir, "documents"))
 
 
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs_report(_table(spark, sf_dir, "documents"))
+
+
+def _trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_report(_table(spark, sf_dir, "conversations"))
+
+
+def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_report(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_attention": _quality,
@@ -83,6 +98,9 @@ def queries() -> dict[str, Query]:
         "op8_byte_bpe": _byte_bpe,
         "op9_pii_boosting": _pii,
         "op10_temperature_mixing": _mixing,
+        "op11_recompression_runs": _runs,
+        "op12_prefix_trie": _trie,
+        "op13_suffix_trees": _repeats,
     }
 
 
@@ -91,4 +109,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_dart_minhash": classes_sql(),
         "op6_epsilon_grid_join": links_sql(),
         "op10_temperature_mixing": mixing_sql(),
+        "op12_prefix_trie": trie_sql(),
+        "op13_suffix_trees": repeats_sql(),
     }

@@ -10,9 +10,12 @@ from ledgerfold.llm import (
     epsilon_join,
     licenses,
     mixing,
+    periodic_runs,
     pii,
+    prefix_trie,
     quality_mil,
     quality_rules,
+    suffix_trees,
     token_counts,
     toxicity,
 )
@@ -58,6 +61,8 @@ REPORTS = {
         d, str(public_tokenizers.path("byte_bpe_50k.tiktoken")), BPE
     ),
     "pii": lambda s, d: pii.pii_report(d),
+    "runs": lambda s, d: periodic_runs.runs_report(d),
+    "repeats": lambda s, d: suffix_trees.repeats_report(d),
 }
 FILTERS = {
     "rules": quality_rules.keep_good,
@@ -187,3 +192,21 @@ def test_one_row_of_each_class_stays(spark):
     assert left.count((None, "")) == 2 and (None, None) in left and (8, None) in left
     kept = dart_minhash.near_duplicates(docs).filter("kept AND doc_id = 7").collect()
     assert len(kept) == 1
+
+
+TURNS = "conv_id bigint, turn bigint, role string, text string"
+
+
+def test_conversations_with_odd_rows(spark):
+    rows = [
+        (None, 0, "user", "of no conversation"), (0, None, None, None), (0, 0, "user", "x"), (0, 0, "user", "x"),
+        (1, 0, "user", None), (1, 1, "user", "y" * 100_000), (2, 0, None, ""), (2, 0, "", None), (3, 9, "a", "b"),
+    ]
+    turns = spark.createDataFrame(rows, TURNS).withColumns(
+        {c: F.lit("own") for c in ("conv", "at", "depth", "x1", "block", "n_bytes", "path", "shard")}
+    )
+    nodes = prefix_trie.trie_report(turns).collect()
+    root = [r for r in nodes if r.depth == 0]
+    assert [(r.conv_id, r.n_convs, r.parent_conv_id) for r in root] == [(0, 4, None)]
+    assert prefix_trie.trie_report(turns.limit(0)).collect() == []
+    assert prefix_trie.trie_report(turns.filter("conv_id IS NULL")).collect() == []
