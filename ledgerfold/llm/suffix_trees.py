@@ -14,9 +14,14 @@ lengths. An internal node at depth ``WINDOW - o`` of the first and one at depth
 second together are a passage that starts ``o`` words before its anchors; they repeat where
 they have leaves in several documents. Nodes compare words, not hashes.
 
-Copies cost little: of equal suffixes in one portion of the input (``_PORTION`` bytes of text) only
-the one of the smallest id enters a tree, since all windows of the others are repeats already.
-A passage that a third of all documents share is thus one leaf for each portion.
+Most suffixes never enter a tree: a prefix of ``GRAM`` words that one document alone has is a
+leaf. Prefixes go to sieves as 32 bits of hash beside an id, and the documents are told which of
+theirs others have (a false hit only brings a suffix into a tree in vain).
+
+Copies cost little: what a portion of the input (``_PORTION`` bytes of text) shows to be shared
+is sent to the sieve once, and of equal suffixes of a portion only the one of the smallest
+id enters a tree, since all windows of the others are repeats already. A passage that a
+third of all documents share is thus one leaf for each portion.
 
 * A null text has no words. Text of any length is worked on as a whole.
 * A row without id is not smaller than any other and none is smaller than it: nothing of it is
@@ -27,7 +32,7 @@ A passage that a third of all documents share is thus one leaf for each portion.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -44,15 +49,18 @@ from ledgerfold.session import checkpointed
 WINDOW, GRAM = 13, 4
 # Stretches of GRAM words in a window: an anchor has at most this many windows.
 _REACH = WINDOW - GRAM + 1
-# Bytes of text in a portion and in what is split at once; code points of text for a group.
-_PORTION, _SPLIT, _GROUP = 1 << 24, 1 << 21, 2_500_000
+# Bytes of text in a portion and in what is split at once, and for each group and sieve.
+_PORTION, _SPLIT, _GROUP, _SIEVE = 1 << 23, 1 << 21, 10_000_000, 20_000_000
 _CODEC = pa.Codec("zstd", compression_level=3)
 _FIELDS = [("doc", np.int64), ("key", np.int64), ("start", np.int32), ("left", np.int8), ("windows", np.int8)]
 
 
 @dataclass(frozen=True)
 class Portion:
-    """Words of many texts in one sequence; row ``i`` has ``n[i]`` of them."""
+    """Words of many texts in one sequence; row ``i`` has ``n[i]`` of them.
+
+    ``shared`` has row number and hash of the prefixes that other documents have as well.
+    """
 
     doc: np.ndarray
     key: np.ndarray
@@ -61,6 +69,7 @@ class Portion:
     hashes: np.ndarray
     sizes: np.ndarray
     joined: bytes
+    shared: np.ndarray
 
 
 @dataclass(frozen=True)
@@ -72,12 +81,18 @@ class Suffixes:
     start: np.ndarray
     windows: np.ndarray
 
+    def those(self, chosen: np.ndarray) -> Suffixes:
+        return Suffixes(*[getattr(self, f.name)[chosen] for f in fields(self)])
+
 
 def portions(batches: Iterator[pa.RecordBatch], most: int = _PORTION) -> Iterator[Portion]:
     """The texts in portions of about ``most`` bytes, rows with the smallest ids first."""
     held, size = [], 0
     for batch in slices(batches, "text", _SPLIT):
-        held.append(batch)
+        if "prefixes" in batch.schema.names:
+            # without a prefix that others have, a document has no repeated passage
+            batch = batch.filter(pc.is_valid(batch.column("prefixes")))
+        held.append(batch.select([c for c in ("doc", "key", "text", "prefixes") if c in batch.schema.names]))
         size += batch.column("text").nbytes
         if size >= most:
             yield _portion(held)
@@ -109,9 +124,19 @@ def _portion(batches: list[pa.RecordBatch]) -> Portion:
         digests[each] if len(digests) else np.zeros(0, np.uint64),
         np.concatenate([*lengths, np.zeros(0, np.int64)]),
         b"".join(joined),
+        _shared(table),
     )
 
 
+def _shared(table: pa.Table) -> np.ndarray:
+    if "prefixes" not in table.column_names:
+        return np.zeros(0, np.uint64)
+    lists = table.column("prefixes").to_pylist()
+    raw = [b"".join(parts or ()) for parts in lists]
+    row = np.repeat(np.arange(len(raw), dtype=np.uint64), [len(r) // 4 for r in raw])
+    return row << np.uint64(32) | np.frombuffer(b"".join(raw), np.uint32).astype(np.uint64)
+
+
 def prefix_hashes(words: np.ndarray, length: int) -> np.ndarray:
     """Hashes of all stretches of one up to ``length`` words, one row for each length."""
     made = [mixed(words)]
@@ -147,35 +172,96 @@ def suffixes(portion: Portion, grams: np.ndarray) -> Suffixes:
     return Suffixes(row[first], at[first], start[first], count)
 
 
-def _frequent(groups: int):
-    """For ``mapInArrow``: prefixes of each length that a portion has often, with their counts.
+def _prefixes(groups: int, sieves: int):
+    """For ``mapInArrow``: what a portion knows of the prefixes of its suffixes.
 
-    A prefix with a share above 1 / ``groups`` of all suffixes is reported often enough to be
-    counted with half of that share at least.
+    Prefixes of ``GRAM`` words with the id of their document go to a sieve; one that several
+    documents of the portion have is sent once, and its documents are told at once.
+    Shorter ones that start often are counted: one with a share above 1 / ``groups`` of all
+    suffixes is counted with half of that share at least.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for portion in portions(batches):
             hashes = prefix_hashes(portion.hashes, GRAM)
-            anchors = suffixes(portion, hashes[-1]).anchor
+            found = suffixes(portion, hashes[-1])
+            if not len(found.anchor):
+                continue
+            rows: list[tuple] = [(0, len(found.anchor), None, None, -1, 0)]
             for length in range(GRAM - 1):
-                value, n = np.unique(hashes[length][anchors], return_counts=True)
-                often = n * 2 * groups >= len(anchors)
-                if often.any():
-                    columns = [
-                        pa.array(np.full(int(often.sum()), length, np.int32)),
-                        pa.array(value[often].view(np.int64)),
-                        pa.array(n[often].astype(np.int64)),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, ["length", "prefix", "n"])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([-1], pa.int32()), pa.array([0], pa.int64()), pa.array([len(anchors)], pa.int64())],
-                ["length", "prefix", "n"],
-            )
+                value, n = np.unique(hashes[length][found.anchor], return_counts=True)
+                often = n * 2 * groups >= len(found.anchor)
+                rows += [
+                    (p % sieves, n, None, None, length, p)
+                    for p, n in zip(value[often].view(np.int64).tolist(), n[often].tolist(), strict=True)
+                ]
+            pair = np.stack([hashes[-1][found.anchor], portion.doc[found.row].view(np.uint64)])
+            pair = np.unique(pair, axis=1)
+            same = np.append(False, pair[0, 1:] == pair[0, :-1])
+            shared = same | np.append(same[1:], False)
+            told = pair[:, shared]
+            if told.shape[1]:
+                any_sieve = int(told[0, 0] % np.uint64(sieves))
+                rows.append((any_sieve, told.shape[1], *_squeezed(told[0], told[1]), None, None))
+            once, shared = pair[:, ~same], shared[~same]
+            sieve = mixed(once[0]) % np.uint64(sieves)
+            order = np.lexsort((once[1], sieve))
+            values, starts = np.unique(sieve[order], return_index=True)
+            for value, at in zip(values.tolist(), np.split(order, starts[1:]), strict=True):
+                rows.append((value, len(at), *_squeezed(once[0, at], once[1, at], shared[at]), None, None))
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _SENT_TYPES, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, _SENT_NAMES)
 
     return run
 
 
+_SENT = "sieve bigint, n bigint, packed binary, shared boolean, length int, prefix bigint"
+_SENT_NAMES = ["sieve", "n", "packed", "shared", "length", "prefix"]
+_SENT_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.int32(), pa.int64()]
+_TOLD = "doc bigint, prefixes binary, length int, n bigint"
+
+
+def _squeezed(prefix: np.ndarray, doc: np.ndarray, shared: np.ndarray | None = None) -> tuple[bytes, bool]:
+    """Prefixes (32 bits of each hash do) and differences of ids, compressed."""
+    steps = np.diff(doc.view(np.int64), prepend=np.int64(0))
+    parts = [steps.tobytes(), prefix.astype(np.uint32).tobytes()]
+    if shared is not None:
+        parts.append(shared.tobytes())
+    return bytes(_CODEC.compress(b"".join(parts))), shared is not None
+
+
+def _sieved(table: pa.Table) -> pa.Table:
+    """For each document those of its prefixes that others have too; sums of the counts."""
+    sums = table.filter(pc.is_valid(table["length"])).group_by(["length", "prefix"]).aggregate([("n", "sum")])
+    counted = pa.table(
+        [sums["prefix"], pa.nulls(sums.num_rows, pa.binary()), sums["length"], sums["n_sum"]],
+        ["doc", "prefixes", "length", "n"],
+    )
+    docs, prefixes, groups, marks = [], [], [], []
+    rest = table.filter(pc.is_valid(table["packed"]))
+    for n, packed, asked in zip(*[rest[c].to_pylist() for c in ("n", "packed", "shared")], strict=True):
+        raw = _CODEC.decompress(packed, n * (13 if asked else 12), asbytes=True)
+        docs.append(np.cumsum(np.frombuffer(raw, np.int64, n)))
+        prefixes.append(np.frombuffer(raw, np.uint32, n, 8 * n))
+        groups.append(np.full(n, asked))
+        marks.append(np.frombuffer(raw, np.bool_, n, 12 * n) if asked else np.ones(n, bool))
+    if not docs:
+        return counted
+    doc, prefix, asked, shared = (np.concatenate(v) for v in (docs, prefixes, groups, marks))
+    here = np.flatnonzero(asked)
+    _, of, count = np.unique(prefix[here], return_inverse=True, return_counts=True)
+    # a prefix that a portion has shared is one of several documents, and they have been told
+    several = (count > 1) | (np.bincount(of, shared[here], len(count)) > 0)
+    told = np.concatenate([here[several[of] & ~shared[here]], np.flatnonzero(~asked)])
+    order = told[np.argsort(doc[told], kind="stable")]
+    ids, starts = np.unique(doc[order], return_index=True)
+    ends, raw = np.append(starts, len(order))[1:], prefix[order].tobytes()
+    kept = [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    m = len(ids)
+    columns = [pa.array(ids), pa.array(kept, pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64())]
+    return pa.concat_tables([counted, pa.table(columns, ["doc", "prefixes", "length", "n"])])
+
+
 def _split(groups: int, frequent: list[np.ndarray]):
     """For ``mapInArrow``: suffixes by group, and passages that a portion shows to be repeats."""
 
@@ -183,6 +269,10 @@ def _split(groups: int, frequent: list[np.ndarray]):
         for portion in portions(batches):
             hashes = prefix_hashes(portion.hashes, GRAM)
             found = suffixes(portion, hashes[-1])
+            asked = (found.row.astype(np.uint64) << np.uint64(32)) | (
+                hashes[-1][found.anchor] & np.uint64(0xFFFFFFFF)
+            )
+            found = found.those(np.isin(asked, portion.shared))
             if not len(found.anchor):
                 continue
             prefix = hashes[0][found.anchor]
@@ -319,46 +409,64 @@ def _treed(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(c) for c in columns], ["doc", "key", "start", "stop"])
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """Documents with a join key that spreads those without an id."""
+    doc = F.col("doc_id").cast("bigint")
+    key = F.xxhash64("text")
+    apart = F.when(doc.isNull(), key).otherwise(F.lit(0))
+    return docs.select("doc_id", "text", doc.alias("doc"), key.alias("key"), apart.alias("apart"))
+
+
+def _beside(rows: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """All documents, with what was found for their ids. Both joins of a run deal the texts
+    in the same way, so they are shuffled once."""
+    apart = found.withColumn("apart", F.lit(0).cast("bigint"))
+    return rows.join(apart, ["doc", "apart"], "left").select("doc_id", "text", "doc", "key", "apart", name)
+
+
 def repeated_spans(docs: DataFrame, groups: int | None = None) -> DataFrame:
     """Spans of words (``start`` to ``stop``, end exclusive) that stand in a smaller document too.
 
     ``doc`` is the id and ``key`` a hash of the text, which together name the row. Spans
     may touch or overlap. ``groups`` is chosen by the size of the texts unless given.
     """
-    rows = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
-        F.col("doc_id").cast("bigint").alias("doc"), F.xxhash64("text").alias("key"), "text"
-    )
-    if groups is None:
-        size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-        groups = 1 + size // _GROUP
-    counted = checkpointed(
-        rows.mapInArrow(_frequent(groups), "length int, prefix bigint, n bigint")
-        .groupBy("length", "prefix")
-        .agg(F.sum("n").alias("n"))
-    )
-    total = counted.filter("length = -1").select(F.first("n")).scalar()
+    return _spans(_rows(docs), groups)
+
+
+def _spans(rows: DataFrame, groups: int | None) -> DataFrame:
+    usable = rows.filter("doc IS NOT NULL AND text IS NOT NULL")
+    size = usable.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    groups, sieves = groups or 1 + size // _GROUP, 1 + size // _SIEVE
+    sent = usable.select("doc", "key", "text").mapInArrow(_prefixes(groups, sieves), _SENT)
+    told = checkpointed(sent.groupBy("sieve").applyInArrow(_sieved, _TOLD))
+    total = told.filter("length = -1").agg(F.sum("n")).scalar()
     # at most 2 * groups of each length
-    often = counted.filter((F.col("length") >= 0) & (F.col("n") * (2 * groups) >= total)).collect()
+    often = told.filter((F.col("length") >= 0) & (F.col("n") * (2 * groups) >= total)).collect()
     frequent = [
-        np.array([r.prefix for r in often if r.length == k], np.int64).view(np.uint64)
+        np.array([r.doc for r in often if r.length == k], np.int64).view(np.uint64)
         for k in range(GRAM - 1)
     ]
-    parts = rows.mapInArrow(_split(groups, frequent), _PACKED)
+    shared = told.filter("length IS NULL").groupBy("doc").agg(F.collect_list("prefixes").alias("prefixes"))
+    parts = _beside(rows, shared, "prefixes").mapInArrow(_split(groups, frequent), _PACKED)
     return parts.groupBy("group").applyInArrow(_treed, _SPANS)
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text", _SPLIT):
         lists = word_lists(batch.column("text"))
+        spans = batch.column("spans")
+        offsets, flat_spans = spans.offsets.to_numpy(), spans.values
+        of, start, stop = (flat_spans.field(k).to_numpy() for k in range(3))
         removed, kept = [], []
-        for words, starts, stops in zip(
-            lists, *[batch.column(c).to_pylist() for c in ("starts", "stops")], strict=True
+        for words, key, a, b in zip(
+            lists, batch.column("key").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True
         ):
             n = len(words)
-            if starts:
+            if a < b:
+                mine = np.flatnonzero(of[a:b] == key) + a
                 edge = np.zeros(n + 1, np.int64)
-                np.add.at(edge, starts, 1)
-                np.add.at(edge, stops, -1)
+                np.add.at(edge, start[mine], 1)
+                np.add.at(edge, stop[mine], -1)
                 words = [words[i] for i in np.flatnonzero(np.cumsum(edge[:-1]) == 0)]
             removed.append(n - len(words))
             kept.append(b" ".join(words))
@@ -374,13 +482,10 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_repeats(docs: DataFrame, groups: int | None = None) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed`` and ``kept``: the words that no window has
     which a smaller document has too, joined by one space."""
-    spans = repeated_spans(docs, groups).groupBy("doc", "key").agg(
-        F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops")
-    )
-    rows = docs.select(
-        "doc_id", "text", F.col("doc_id").cast("bigint").alias("doc"), F.xxhash64("text").alias("key")
+    rows = _rows(docs)
+    spans = _spans(rows, groups).groupBy("doc").agg(
+        F.collect_list(F.struct("key", "start", "stop")).alias("spans")
     )
-    joined = rows.join(spans, ["doc", "key"], "left").select("doc_id", "text", "starts", "stops")
     schema = T.StructType(
         [
             T.StructField("doc_id", docs.schema["doc_id"].dataType),
@@ -389,7 +494,7 @@ def without_repeats(docs: DataFrame, groups: int | None = None) -> DataFrame:
             T.StructField("kept", T.StringType()),
         ]
     )
-    return joined.mapInArrow(_kept, schema)
+    return _beside(rows, spans, "spans").mapInArrow(_kept, schema)
 
 
 def repeats_report(docs: DataFrame) -> DataFrame:
