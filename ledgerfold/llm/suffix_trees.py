@@ -131,10 +131,10 @@ def _portion(batches: list[pa.RecordBatch]) -> Portion:
 def _shared(table: pa.Table) -> np.ndarray:
     if "prefixes" not in table.column_names:
         return np.zeros(0, np.uint64)
-    lists = table.column("prefixes").to_pylist()
-    raw = [b"".join(parts or ()) for parts in lists]
-    row = np.repeat(np.arange(len(raw), dtype=np.uint64), [len(r) // 4 for r in raw])
-    return row << np.uint64(32) | np.frombuffer(b"".join(raw), np.uint32).astype(np.uint64)
+    lists = table.column("prefixes").combine_chunks()
+    row = np.repeat(np.arange(len(lists), dtype=np.uint64), np.diff(lists.offsets.to_numpy()))
+    first, last = lists.offsets[0].as_py(), lists.offsets[-1].as_py()
+    return row << np.uint64(32) | lists.values[first:last].to_numpy().view(np.uint32).astype(np.uint64)
 
 
 def prefix_hashes(words: np.ndarray, length: int) -> np.ndarray:
@@ -218,7 +218,7 @@ def _prefixes(groups: int, sieves: int):
 _SENT = "sieve bigint, n bigint, packed binary, shared boolean, length int, prefix bigint"
 _SENT_NAMES = ["sieve", "n", "packed", "shared", "length", "prefix"]
 _SENT_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.int32(), pa.int64()]
-_TOLD = "doc bigint, prefixes binary, length int, n bigint"
+_TOLD = "doc bigint, prefix int, length int, n bigint"
 
 
 def _squeezed(prefix: np.ndarray, doc: np.ndarray, shared: np.ndarray | None = None) -> tuple[bytes, bool]:
@@ -234,8 +234,8 @@ def _sieved(table: pa.Table) -> pa.Table:
     """For each document those of its prefixes that others have too; sums of the counts."""
     sums = table.filter(pc.is_valid(table["length"])).group_by(["length", "prefix"]).aggregate([("n", "sum")])
     counted = pa.table(
-        [sums["prefix"], pa.nulls(sums.num_rows, pa.binary()), sums["length"], sums["n_sum"]],
-        ["doc", "prefixes", "length", "n"],
+        [sums["prefix"], pa.nulls(sums.num_rows, pa.int32()), sums["length"], sums["n_sum"]],
+        ["doc", "prefix", "length", "n"],
     )
     docs, prefixes, groups, marks = [], [], [], []
     rest = table.filter(pc.is_valid(table["packed"]))
@@ -253,13 +253,9 @@ def _sieved(table: pa.Table) -> pa.Table:
     # a prefix that a portion has shared is one of several documents, and they have been told
     several = (count > 1) | (np.bincount(of, shared[here], len(count)) > 0)
     told = np.concatenate([here[several[of] & ~shared[here]], np.flatnonzero(~asked)])
-    order = told[np.argsort(doc[told], kind="stable")]
-    ids, starts = np.unique(doc[order], return_index=True)
-    ends, raw = np.append(starts, len(order))[1:], prefix[order].tobytes()
-    kept = [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-    m = len(ids)
-    columns = [pa.array(ids), pa.array(kept, pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64())]
-    return pa.concat_tables([counted, pa.table(columns, ["doc", "prefixes", "length", "n"])])
+    m = len(told)
+    columns = [doc[told], prefix[told].view(np.int32), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64())]
+    return pa.concat_tables([counted, pa.table(columns, ["doc", "prefix", "length", "n"])])
 
 
 def _split(groups: int, frequent: list[np.ndarray]):
@@ -446,7 +442,7 @@ def _spans(rows: DataFrame, groups: int | None) -> DataFrame:
         np.array([r.doc for r in often if r.length == k], np.int64).view(np.uint64)
         for k in range(GRAM - 1)
     ]
-    shared = told.filter("length IS NULL").groupBy("doc").agg(F.collect_list("prefixes").alias("prefixes"))
+    shared = told.filter("length IS NULL").groupBy("doc").agg(F.collect_list("prefix").alias("prefixes"))
     parts = _beside(rows, shared, "prefixes").mapInArrow(_split(groups, frequent), _PACKED)
     return parts.groupBy("group").applyInArrow(_treed, _SPANS)
 
