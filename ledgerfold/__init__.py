@@ -21,7 +21,15 @@ from ledgerfold.operators.slices import (
     split_rejects,
     with_months,
 )
-from ledgerfold.plans.jobs import apply_increment, resume_run
+from ledgerfold.operators.fingerprints import differing_months, fingerprint_by_month
+from ledgerfold.plans.jobs import (
+    apply_increment,
+    declare_schema,
+    reconcile_chain,
+    rejected_rows,
+    resume_run,
+    undo_run,
+)
 from ledgerfold.sources.replica import read_increment, read_replica, seed
 from ledgerfold.sources.staging import (
     append_rest,
@@ -47,7 +55,10 @@ __all__ = [
     "closed_slice",
     "conform",
     "create_replica",
+    "declare_schema",
+    "differing_months",
     "drop_staging",
+    "fingerprint_by_month",
     "latest_open",
     "merge_closed_key",
     "merge_closed_key_by_subpartition",
@@ -62,11 +73,14 @@ __all__ = [
     "read_increment",
     "read_replica",
     "reconcile",
+    "reconcile_chain",
+    "rejected_rows",
     "resume_run",
     "seed",
     "split_rejects",
     "stage",
     "touched_months",
     "unclosed",
+    "undo_run",
     "with_months",
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,10 +61,15 @@ def conform(increment: DataFrame, replica: DataFrame, spec: ScdSpec = DEFAULT) -
     return dated.select(*typed)
 
 
+def usable_dates(increment: DataFrame, spec: ScdSpec = DEFAULT) -> Column:
+    """Whether both validity columns hold a date."""
+    dates = [named(c).try_cast("date") for c in (spec.eff_from, spec.eff_to)]
+    return dates[0].isNotNull() & dates[1].isNotNull()
+
+
 def split_rejects(increment: DataFrame, spec: ScdSpec = DEFAULT) -> tuple[DataFrame, DataFrame]:
     """Opt-in guard: rows with two usable dates, and the rows without."""
-    dates = [named(c).try_cast("date") for c in (spec.eff_from, spec.eff_to)]
-    usable = dates[0].isNotNull() & dates[1].isNotNull()
+    usable = usable_dates(increment, spec)
     return increment.filter(usable), increment.filter(~usable)
 
 

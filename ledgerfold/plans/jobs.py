@@ -1,79 +1,145 @@
-"""The whole job: merge an increment into a replica on storage, or finish a broken run."""
+"""The whole job: merge an increment into a replica on storage, finish a broken run, undo a run."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import astuple
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerfold.functions.columns import named
-from ledgerfold.operators.bags import difference
-from ledgerfold.operators.merge import changes_latest, touched_months, unclosed
-from ledgerfold.operators.slices import closed_keys, conform, open_slice
-from ledgerfold.sources import runs
+from ledgerfold.functions.columns import in_open_partition, named
+from ledgerfold.operators import hits as by_address
+from ledgerfold.operators.fingerprints import PARTS, fingerprint
+from ledgerfold.operators.merge import touched_months, unclosed
+from ledgerfold.operators.slices import closed_keys, conform, usable_dates
 from ledgerfold.sources.files import Folder
-from ledgerfold.sources.replica import read_increment, read_replica
-from ledgerfold.sources.staging import added_rows, by_month, replaced_rows, stage
-from ledgerfold.sources.targets import PathReplica, Target
+from ledgerfold.sources.ledger import ABANDONED, FOLDER, PUBLISHED, UNDONE, Ledger, Run
+from ledgerfold.sources.replica import read_increment
+from ledgerfold.sources.staging import (
+    bind,
+    by_month,
+    drop_staged,
+    notes_path,
+    stage,
+    staged_path,
+)
+from ledgerfold.sources.targets import (
+    PathReplica,
+    Target,
+    files_below,
+    open_name,
+    read_files,
+    short,
+)
 from ledgerfold.spec import DEFAULT, ScdSpec
 
 CLOSED_KEY, BY_SUBPARTITION, LATEST = "closed_key", "closed_key_by_subpartition", "latest"
-STRATEGIES = (CLOSED_KEY, BY_SUBPARTITION, LATEST)
+BY_FILE = "closed_key_by_file"
+STRATEGIES = (CLOSED_KEY, BY_SUBPARTITION, BY_FILE, LATEST)
+# Bytes of noted keys or addresses that are broadcast; more of them are shuffled.
+SMALL = 10 << 20
 
 
-def _noted(keys: DataFrame, path: str) -> DataFrame:
-    """Keys of a run, written and read again: Catalyst then knows their size when it plans
-    the joins, and a resumed run finds the same ones."""
-    keys.write.parquet(path)
-    return keys.sparkSession.read.schema(keys.schema).parquet(path)
+class _Work:
+    """One attempt at a run: where things are and which claim it holds."""
 
+    def __init__(
+        self, spark: SparkSession, target: Target, ledger: Ledger, number: int, run: Run, spec: ScdSpec
+    ) -> None:
+        self.spark, self.target, self.ledger = spark, target, ledger
+        self.number, self.run, self.spec = number, run, spec
+        self.staged_at = staged_path(run.root, run.run_id)
+        self.notes = Folder(spark, notes_path(run.root, run.run_id))
+        self.aside = f"{FOLDER}/undo/{run.run_id}"
+        self.location = target.location(spark)
 
-def _laid_out(new: DataFrame, kept: DataFrame, spec: ScdSpec, compact: bool) -> DataFrame:
+    def noted(self, rows: DataFrame, name: str) -> DataFrame:
+        """Rows written and read again, so that their size is known; small ones are broadcast."""
+        path = f"{self.notes.path}/{name}"
+        rows.write.parquet(path)
+        read = self.spark.read.schema(rows.schema).parquet(path)
+        return F.broadcast(read) if self.notes.size(name) <= SMALL else read
+
+    def is_small(self, name: str) -> bool:
+        return self.notes.size(name) <= SMALL
+
+
+def _laid_out(work: _Work, new: DataFrame, kept: DataFrame, joined: str, compact: bool) -> DataFrame:
     """Both sides together, brought together by month where a join has scattered them.
 
     Rows that pass a broadcast join stay in the tasks that scan them, which hold
     whole stretches of a month already.
     """
-    plan = kept._jdf.queryExecution().sparkPlan().toString()
-    if compact or "SortMergeJoin" in plan or "ShuffledHashJoin" in plan:
-        return by_month(new.unionByName(kept), spec)
-    return by_month(new, spec).unionByName(kept)
+    if compact or not work.is_small(joined):
+        return by_month(new.unionByName(kept), work.spec)
+    return by_month(new, work.spec).unionByName(kept)
 
 
 def _closed_key_changes(
-    replica: DataFrame, new: DataFrame, closed: DataFrame, spec: ScdSpec, scoped: bool, compact: bool
-) -> DataFrame:
-    """What a closed-key run stages."""
-    scope = touched_months(closed, spec) if scoped else None
-    rows = replaced_rows(replica, spec, scope)
-    return _laid_out(new, unclosed(rows, closed, spec), spec, compact)
+    work: _Work, rows: DataFrame, new: DataFrame, strategy: str, compact: bool
+) -> tuple[DataFrame, list[str]]:
+    """What a closed-key run stages, and the files whose rows that replaces."""
+    spec = work.spec
+    closed = work.noted(closed_keys(new, spec).distinct(), "closed")
+    if strategy == BY_FILE:
+        hits = work.noted(by_address.closed_hits(by_address.addressed(rows), closed, spec), "hits")
+        return _by_file(work, rows, new, hits, compact)
+    files = [] if work.target.attach else [short(f) for f in rows.inputFiles()]
+    if strategy == BY_SUBPARTITION:
+        months = [r[0] for r in touched_months(closed, spec).select(F.col(spec.part_from).cast("string")).collect()]
+        folders = {f"{spec.part_from}={m}" for m in months}
+        files = [f for f in files if f.split("/")[1] in folders]
+        rows = read_files(work.spark, work.location, rows.schema, files)
+    return _laid_out(work, new, unclosed(rows, closed, spec), "closed", compact), files
 
 
 def _latest_changes(
-    replica: DataFrame, new: DataFrame, contested: DataFrame, spec: ScdSpec, compact: bool
-) -> DataFrame:
-    """What a latest-version run stages, ranking only the contested entities."""
-    rows, same = open_slice(replica, spec), named(spec.key).eqNullSafe(F.col("__key"))
-    settled = rows.join(contested, same, "left_anti")
-    ranked = changes_latest(rows.join(contested, same, "left_semi"), new, spec)
-    return _laid_out(ranked, settled, spec, compact)
+    work: _Work, rows: DataFrame, new: DataFrame, compact: bool
+) -> tuple[DataFrame, list[str]]:
+    """What a latest-version run stages: ranked by address, only files with losers written anew."""
+    spec = work.spec
+    contested = work.noted(_contested(rows, new, spec), "contested")
+    placed = by_address.addressed(rows)
+    best = work.noted(by_address.best_versions(placed, new, contested, spec), "best")
+    winners = work.noted(by_address.newest(best, placed, new, spec), "winners")
+    hits = work.noted(by_address.latest_hits(placed, contested, winners, spec), "hits")
+    return _by_file(work, rows, by_address.latest_new(new, winners, spec), hits, compact)
+
+
+def _by_file(
+    work: _Work, rows: DataFrame, new: DataFrame, hits: DataFrame, compact: bool
+) -> tuple[DataFrame, list[str]]:
+    """The new rows and those of hit files without the hits; an attaching table takes all files."""
+    if work.target.attach:
+        return _laid_out(work, new, by_address.surviving(rows, hits), "hits", compact), []
+    if compact:
+        files = [short(f) for f in rows.inputFiles()]
+    else:
+        # names of files, which the driver lists anyway when it reads the slice
+        files = [short(r[0]) for r in hits.select(by_address.FILE).distinct().collect()]
+    hit = read_files(work.spark, work.location, rows.schema, files)
+    kept = by_address.surviving(hit, hits) if files else hit
+    return _laid_out(work, new, kept, "hits", compact), files
 
 
-def _contested(replica: DataFrame, new: DataFrame, spec: ScdSpec) -> DataFrame:
+def _contested(rows: DataFrame, new: DataFrame, spec: ScdSpec) -> DataFrame:
     """Entities with an increment row or several open rows.
 
     Any other open row is the latest of its entity already. The test shuffles keys alone.
     """
     key = named(spec.key).alias("__key")
-    repeated = open_slice(replica, spec).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    repeated = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     several = repeated.filter(F.col("__n") > 1).select("__key")
     return several.unionByName(new.select(key)).distinct()
 
 
+def _target(replica: str | Target) -> Target:
+    return PathReplica(replica) if isinstance(replica, str) else replica
+
+
 def apply_increment(
     spark: SparkSession,
     replica: str | Target,
@@ -83,46 +149,163 @@ def apply_increment(
     spec: ScdSpec = DEFAULT,
     run_id: str | None = None,
     compact: bool = False,
+    reject: bool = False,
 ) -> DataFrame:
     """Stage the changes of one increment, publish them and scan the new replica.
 
     The replica is a path or a target, and the staging root is its own. By
-    sub-partition, only start months with closed keys are read, staged and replaced;
-    open rows of other months stay in place. With ``compact`` all staged rows are
-    brought together by month, which merges the small files that earlier increments
-    left; do so when months have gathered some tens of files.
-
-    Staged rows go only when the published counts agree with them. Refuses to start
-    while an earlier run is unfinished. A ``run_id`` given by the caller is also
-    refused when it was used before, which guards against applying one increment twice.
+    sub-partition, only start months with closed keys are read, staged and replaced; by
+    file (and always for the latest version) only files that hold a replaced row. Open rows
+    elsewhere stay in place. With ``compact`` all staged rows are brought together by month,
+    which merges the small files that earlier increments left; do so when months have
+    gathered some tens of files. With ``reject`` increment rows without two usable dates
+    are set apart and not applied; see ``rejected_rows``.
+
+    Staged rows are compared with the published ones before anything is replaced. Refuses
+    to start while an earlier run on this replica is unfinished, whatever its staging root. A
+    ``run_id`` given by the caller is also refused when it was used before, which guards
+    against applying one increment twice. The files a run replaces stay until the next
+    one is published, for ``undo_run``.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy}, not one of {', '.join(STRATEGIES)}")
-    target = PathReplica(replica) if isinstance(replica, str) else replica
-    if strategy == BY_SUBPARTITION and target.attach:
+    target = _target(replica)
+    if strategy in (BY_SUBPARTITION, BY_FILE) and target.attach:
         raise ValueError("attaching replaces the open slice as a whole; choose another strategy")
     target.check(spark)
-    if runs.current(spark, staging_root) is not None:
-        raise RuntimeError(f"{staging_root} holds an unfinished run; finish it with resume_run")
+    ledger = Ledger(spark, target.location(spark))
+    ledger.free()
     run_id = run_id or uuid4().hex
-    if runs.outcome(spark, staging_root, run_id) is not None:
+    if ledger.outcome(run_id) not in (None, UNDONE):
         raise RuntimeError(f"run {run_id} was made before")
-    current = target.scan(spark, spec)
-    new = conform(read_increment(spark, increment_path), current, spec)
-    runs.bind(spark, staging_root, target.identity)
-    run = runs.Run(run_id, target.identity, strategy, repr(astuple(spec)))
-    runs.claim(spark, staging_root, run)
-    notes = runs.notes_path(staging_root, run_id)
+    schema = _schema(spark, target, ledger, spec)
+    increment = read_increment(spark, increment_path)
+    empty = spark.createDataFrame([], schema)
+    conform(increment, empty, spec)
+    bind(spark, staging_root, target.identity)
+    run = Run(run_id, target.identity, staging_root.rstrip("/"), strategy, repr(astuple(spec)))
+    number = ledger.take(run)
+    work = _Work(spark, target, ledger, number, run, spec)
+    if not target.attach:
+        _clear(work)  # of a run that the replica does not know any more
+    counts: dict[str, int] = {}
+    if not ledger.has_entries():
+        months = _counted(spark, [("added", target.scan(spark, spec, schema))], spec)
+        ledger.enter(0, "", months, read=None, rejected=None)
+    if reject:
+        increment, counts = _sifted(work, increment)
     if strategy == LATEST:
-        contested = _noted(_contested(current, new, spec), f"{notes}/contested")
-        changes = _latest_changes(current, new, contested, spec, compact)
+        increment = by_address.addressed(increment)
+    new = conform(increment, _with_address(empty) if strategy == LATEST else empty, spec)
+    # listed after the claim: no other run changes these files any more
+    rows = target.open_rows(spark, schema, spec)
+    if strategy == LATEST:
+        changes, files = _latest_changes(work, rows, new, compact)
     else:
-        closed = _noted(closed_keys(new, spec).distinct(), f"{notes}/closed")
-        scoped = strategy == BY_SUBPARTITION
-        changes = _closed_key_changes(current, new, closed, spec, scoped, compact)
-    stage(changes, runs.staged_path(staging_root, run_id), spec, rebalance=False)
-    runs.note(spark, staging_root, run_id, runs.STAGED)
-    return _publish(spark, target, staging_root, run, current.schema, spec)
+        changes, files = _closed_key_changes(work, rows, new, strategy, compact)
+    seen = _staged(work, changes)
+    work.notes.create("staged.json", {"replaced": files, "seen": seen, "counts": counts})
+    return _publish(work, schema)
+
+
+def _with_address(empty: DataFrame) -> DataFrame:
+    return empty.withColumns(
+        {by_address.FILE: F.lit("").cast("string"), by_address.ROW: F.lit(0).cast("bigint")}
+    )
+
+
+def _staged(work: _Work, changes: DataFrame) -> dict[str, list]:
+    """Write the rows of the run; their fingerprints come with the write."""
+    seen = Observation()
+    opened = F.coalesce(in_open_partition(work.spec), F.lit(False))
+    of_open = [c.alias(f"open_{n}") for c, n in zip(fingerprint(changes, opened), PARTS, strict=True)]
+    observed = changes.observe(seen, *fingerprint(changes), *of_open)
+    stage(observed, work.staged_at, work.spec, rebalance=False)
+    got = seen.get
+    return {
+        "all": [int(got[p]) for p in PARTS],
+        "open": [int(got[f"open_{p}"]) for p in PARTS],
+    }
+
+
+def _sifted(work: _Work, increment: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """The increment without rows that lack a usable date, which are kept beside it.
+
+    One pass writes both and counts both.
+    """
+    seen, usable = Observation(), usable_dates(increment, work.spec)
+    marked = increment.withColumn("__usable", usable).observe(
+        seen, F.count(F.lit(1)).alias("read"), F.count_if(~F.col("__usable")).alias("rejected")
+    )
+    path = f"{work.run.root}/sifted/run_id={work.run.run_id}"
+    marked.write.partitionBy("__usable").parquet(path)
+    got = seen.get
+    schema = T.StructType(increment.schema.fields)
+    reader = work.spark.read.schema(schema)
+    if not Folder(work.spark, path).exists("__usable=true"):
+        work.spark.createDataFrame([], schema).write.parquet(f"{path}/__usable=true")
+    return reader.parquet(f"{path}/__usable=true"), got
+
+
+def rejected_rows(spark: SparkSession, staging_root: str, run_id: str) -> DataFrame:
+    """Increment rows that a run has set apart, as they came."""
+    path = f"{staging_root.rstrip('/')}/sifted/run_id={run_id}"
+    return spark.read.parquet(path).filter("NOT __usable").drop("__usable")
+
+
+def _schema(spark: SparkSession, target: Target, ledger: Ledger, spec: ScdSpec) -> T.StructType:
+    """The declared schema of a path (its own on the first run), the catalog's of a table."""
+    if not isinstance(target, PathReplica):
+        return target.scan(spark, spec).schema
+    held = ledger.schema()
+    if held is None:
+        held = target.scan(spark, spec).schema
+        ledger.declare(held)
+    return held
+
+
+# Numbers that hold all values of another type, by their simple names: fixed values.
+_WIDER = {
+    "tinyint": ("smallint", "int", "bigint", "double"),
+    "smallint": ("int", "bigint", "double"),
+    "int": ("bigint", "double"),
+    "float": ("double",),
+}
+
+
+def declare_schema(
+    spark: SparkSession, path: str, schema: T.StructType, spec: ScdSpec = DEFAULT
+) -> T.StructType:
+    """Let a path replica grow: new nullable columns, and wider numbers. Anything else is refused.
+
+    Months written before read as null in a new column. The two months stay last.
+    """
+    ledger = Ledger(spark, path)
+    ledger.free()
+    held = _schema(spark, PathReplica(path), ledger, spec)
+    given = {f.name: f for f in schema.fields}
+    gone = [f.name for f in held.fields if f.name not in given]
+    if gone:
+        raise ValueError(f"columns cannot go: {', '.join(gone)}")
+    for old in held.fields:
+        kind, wanted = old.dataType, given[old.name].dataType
+        decimals = isinstance(kind, T.DecimalType) and isinstance(wanted, T.DecimalType)
+        if decimals:
+            fits = wanted.scale >= kind.scale and (
+                wanted.precision - wanted.scale >= kind.precision - kind.scale
+            )
+        else:
+            fits = wanted == kind or wanted.simpleString() in _WIDER.get(kind.simpleString(), ())
+        if not fits:
+            raise ValueError(f"{old.name}: {kind.simpleString()} cannot become {wanted.simpleString()}")
+    new = [f for f in schema.fields if f.name not in held.names]
+    strict = [f.name for f in new if not f.nullable]
+    if strict:
+        raise ValueError(f"new columns must be nullable: {', '.join(strict)}")
+    body = [given[f.name] for f in held.fields if f.name not in spec.partitioning]
+    grown = T.StructType([*body, *new, *[held[c] for c in spec.partitioning]])
+    ledger.declare(grown)
+    return grown
 
 
 def resume_run(
@@ -134,108 +317,233 @@ def resume_run(
 ) -> DataFrame:
     """Finish a run that broke off; one that broke while staging is given up.
 
-    Replacing open rows can be repeated. Of the rows to append only those are
-    written that the files which came since the run's start do not hold.
+    Takes the claim over, so an attempt that is still alive stops before it writes. Files
+    that a broken append has left go, and the staged rows are appended again.
     """
-    target = PathReplica(replica) if isinstance(replica, str) else replica
+    target = _target(replica)
     target.check(spark)
-    run = runs.current(spark, staging_root)
-    over = runs.outcome(spark, staging_root, run_id)
-    if run is not None and run.run_id == run_id:
-        if (run.target, run.spec) != (target.identity, repr(astuple(spec))):
-            raise ValueError(f"run {run_id} is one of {run.target} with {run.spec}")
-        if over is None and runs.noted(spark, staging_root, run_id, runs.STAGED):
-            schema = _known_schema(spark, target, runs.staged_path(staging_root, run_id), spec)
-            return _publish(spark, target, staging_root, run, schema, spec)
+    ledger = Ledger(spark, target.location(spark))
+    held, over = ledger.current(), ledger.outcome(run_id)
+    if held is None or held.run is None or held.run.run_id != run_id:
         if over is None:
-            runs.drop_staged(spark, staging_root, _in_use(spark, target, staging_root))
-        runs.finish(spark, staging_root, run, over or runs.ABANDONED)
-    elif over is None:
-        raise ValueError(f"no run {run_id} under {staging_root}")
-    return target.scan(spark, spec)
+            raise ValueError(f"no run {run_id} on {target.identity}")
+        return target.scan(spark, spec)
+    run = held.run
+    if (run.target, run.spec) != (target.identity, repr(astuple(spec))):
+        raise ValueError(f"run {run_id} is one of {run.target} with {run.spec}")
+    if run.root != staging_root.rstrip("/"):
+        raise ValueError(f"run {run_id} is staged under {run.root}")
+    work = _Work(spark, target, ledger, ledger.take(run, held.number), run, spec)
+    if run.kind == "undo":
+        return _undo(work)
+    if over in (PUBLISHED, ABANDONED) or not work.notes.exists("staged.json"):
+        ledger.check(work.number)
+        if over in (None, UNDONE):
+            _clear(work)
+        ledger.finish(work.number, run, PUBLISHED if over == PUBLISHED else ABANDONED)
+        return target.scan(spark, spec)
+    return _publish(work, _schema(spark, target, ledger, spec))
+
+
+def _published_files(work: _Work, schema: T.StructType) -> Callable[[], list[str]]:
+    """Lists the files of the months that a run appends to."""
+    folders = [n for n in Folder(work.spark, work.staged_at).names() if "=" in n]
+    if work.target.attach:
+        folders = [f for f in folders if f != open_name(work.spec)]
+    return lambda: files_below(work.spark, work.location, schema, folders)
+
+
+def _publish(work: _Work, schema: T.StructType) -> DataFrame:
+    """Append the staged rows, compare, then let go of the files they replace."""
+    spark, target, ledger, spec = work.spark, work.target, work.ledger, work.spec
+    staged_note = work.notes.read("staged.json")
+    replaced, seen = staged_note["replaced"], staged_note["seen"]
+    staged = spark.read.schema(schema).parquet(work.staged_at)
+    if target.attach:
+        staged = staged.filter(~F.coalesce(in_open_partition(spec), F.lit(False)))
+    listed = _published_files(work, schema)
+    if not work.notes.exists("appended.json"):
+        began = work.notes.read("before.json")
+        ledger.check(work.number)
+        if began is None:
+            before = listed()
+            work.notes.create("before.json", {"files": before})
+        else:
+            before = began["files"]
+            left = sorted(set(listed()) - set(before))
+            target.drop_files(spark, left, spec)
+        target.append(staged, spec)
+        work.notes.create("appended.json", {"files": sorted(set(listed()) - set(before))})
+    arrived = work.notes.read("appended.json")["files"]
+    ledger.check(work.number)
+    _compare(work, schema, arrived, replaced, seen, staged_note["counts"])
+    record = {"arrived": arrived, "replaced": replaced, "before": _open_root(work)}
+    held = Folder(spark, work.location)
+    if not held.exists(f"{work.aside}.json"):
+        held.create(f"{work.aside}.json", record)
+    ledger.check(work.number)
+    if target.attach:
+        own = open_name(spec)
+        held.move(own, f"{work.aside}/{own}")
+        target.point_at(spark, work.staged_at, spec)
+        ledger.folder.put("open.json", {"root": work.staged_at})
+    else:
+        target.retire(spark, replaced, work.aside, spec)
+    ledger.finish(work.number, work.run, PUBLISHED)
+    _let_go(work, keep_before=record["before"])
+    return target.scan(spark, spec, schema)
 
 
-def _in_use(spark: SparkSession, target: Target, root: str) -> str | None:
-    """The published run whose staged files an attaching table points at."""
-    if not target.attach:
+def _open_root(work: _Work) -> str | None:
+    """The staged folder that an attaching table points at before this run."""
+    if not work.target.attach:
         return None
-    names = Folder(spark, root).names("data")
-    ids = [n.removeprefix("run_id=") for n in names]
-    return next((i for i in ids if runs.outcome(spark, root, i) == runs.PUBLISHED), None)
+    held = work.ledger.folder.read("open.json")
+    return held and held["root"]
 
 
-def _known_schema(
-    spark: SparkSession, target: Target, staged_path: str, spec: ScdSpec
-) -> T.StructType:
-    """Schema of staging or, where that has no rows, of the replica."""
-    try:
-        return read_replica(spark, staged_path, spec).schema
-    except AnalysisException as empty:
-        if empty.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-    return target.scan(spark, spec).schema
+def _let_go(work: _Work, keep_before: str | None) -> None:
+    """Keep what undoing this run needs, drop what undoing earlier ones needed."""
+    undo = Folder(work.spark, f"{work.location}/{FOLDER}/undo")
+    for name in undo.names():
+        if name.removesuffix(".json") != work.run.run_id:
+            undo.delete(name)
+    keep = (work.run.run_id, keep_before and keep_before.rsplit("run_id=", 1)[1])
+    drop_staged(work.spark, work.run.root, keep)
 
 
-def _publish(
-    spark: SparkSession,
-    target: Target,
-    root: str,
-    run: runs.Run,
+def _compare(
+    work: _Work,
     schema: T.StructType,
-    spec: ScdSpec,
-) -> DataFrame:
-    path, notes = runs.staged_path(root, run.run_id), runs.notes_path(root, run.run_id)
-    staged = read_replica(spark, path, spec, schema)
-    scope = None
-    if run.strategy == BY_SUBPARTITION:
-        keys = T.StructType([schema[c] for c in (spec.key, spec.part_from, spec.eff_from)])
-        scope = touched_months(spark.read.schema(keys).parquet(f"{notes}/closed"), spec)
-    added = added_rows(staged, spec, scope)
-
-    def reached() -> DataFrame:
-        """Rows of the replica's partitions that the append reaches, with their files."""
-        prefix = f"{spec.part_to}="
-        ends = [n.removeprefix(prefix) for n in Folder(spark, path).names() if n.startswith(prefix)]
-        dates = [F.lit(e).cast("date") for e in ends if e[:1] != "_"]
-        month = named(spec.part_to)
-        rows = target.scan(spark, spec, schema).withColumn("__file", F.col("_metadata.file_path"))
-        near = month.isNull() | month.isin(dates) if dates else month.isNull()
-        return added_rows(rows.filter(near), spec, scope)
-
-    def arrived() -> DataFrame:
-        """Rows that this run has appended: those of files that came since its start."""
-        files = spark.read.schema("__file string").parquet(f"{notes}/files")
-        rows = reached().join(files, "__file", "left_anti")
-        return rows.select(*[named(c) for c in staged.columns])
-
-    if not runs.noted(spark, root, run.run_id, "files"):
-        files = reached().select("__file").distinct()
-        files.write.mode("overwrite").parquet(f"{notes}/files")
-        runs.note(spark, root, run.run_id, "files")
-        rest = added
-    else:
-        rest = difference(added, arrived())
-    if not runs.noted(spark, root, run.run_id, runs.APPENDED):
-        target.append(rest, spec)
-        runs.note(spark, root, run.run_id, runs.APPENDED)
-    target.replace(staged, path, spec, scope)
-    _agree(
-        added=added,
-        arrived=arrived(),
-        staged=replaced_rows(staged, spec, scope),
-        replaced=replaced_rows(target.scan(spark, spec, schema), spec, scope),
+    arrived: list[str],
+    replaced: list[str],
+    seen: dict[str, list],
+    counts: dict[str, int],
+) -> None:
+    """Stop before anything is replaced if the appended files do not hold the staged rows.
+
+    Enters the changes of each month into the ledger.
+    """
+    spark, spec = work.spark, work.spec
+    new = read_files(spark, work.location, schema, arrived)
+    got, want = new.agg(*fingerprint(new)).first(), seen["all"]
+    if work.target.attach:
+        want = [want[0] - seen["open"][0], want[1] ^ seen["open"][1], want[2] - seen["open"][2]]
+    if [int(got[p]) for p in PARTS] != want:
+        raise RuntimeError(
+            f"the published rows do not agree with the staged ones: {got.n} rows for {want[0]}"
+        )
+    # counted once: a resumed attempt may find replaced files moved already
+    if work.notes.exists("entered.json"):
+        return
+    added, removed = new, read_files(spark, work.location, schema, replaced)
+    if work.target.attach:
+        staged = spark.read.schema(schema).parquet(work.staged_at)
+        added = new.unionByName(staged.filter(in_open_partition(spec)))
+        removed = work.target.open_rows(spark, schema, spec)
+    months = _counted(spark, [("added", added), ("removed", removed)], spec)
+    work.ledger.enter(
+        work.number, work.run.run_id, months,
+        read=counts.get("read"), rejected=counts.get("rejected"),
+    )
+    work.notes.create("entered.json", {})
+
+
+def _counted(spark: SparkSession, sides: list[tuple[str, DataFrame]], spec: ScdSpec) -> list[dict]:
+    """Rows by month, from partition values and footers; months are bounded by the calendar."""
+    rows = None
+    for name, df in sides:
+        one = df.select(
+            named(spec.part_to).cast("string").alias("ends"),
+            named(spec.part_from).cast("string").alias("starts"),
+            F.lit(name).alias("side"),
+        )
+        rows = one if rows is None else rows.unionByName(one)
+    counted = rows.groupBy("ends", "starts").agg(
+        F.count_if(F.col("side") == "added").alias("added"),
+        F.count_if(F.col("side") == "removed").alias("removed"),
     )
-    runs.finish(spark, root, run, runs.PUBLISHED)
-    runs.drop_staged(spark, root, run.run_id if target.attach else None)
-    return target.scan(spark, spec, schema)
+    return [r.asDict() for r in counted.collect()]
+
+
+def undo_run(
+    spark: SparkSession, replica: str | Target, run_id: str, spec: ScdSpec = DEFAULT
+) -> DataFrame:
+    """Bring back the replica as it was before its last published run.
+
+    Files that the run replaced return, those it added go. Only the last run can be undone;
+    afterwards its id may be used again.
+    """
+    target = _target(replica)
+    target.check(spark)
+    ledger = Ledger(spark, target.location(spark))
+    done = ledger.folder.read(f"runs/{run_id}.json")
+    if not done or done.get("state") != PUBLISHED or not ledger.folder.exists(f"undo/{run_id}.json"):
+        raise ValueError(f"run {run_id} is not the last published run of {target.identity}")
+    run = Run(run_id, target.identity, done["root"], done["strategy"], done["spec"], "undo")
+    if run.spec != repr(astuple(spec)):
+        raise ValueError(f"run {run_id} is one with {run.spec}")
+    return _undo(_Work(spark, target, ledger, ledger.take(run), run, spec))
+
+
+def _undo(work: _Work) -> DataFrame:
+    spark, target, spec = work.spark, work.target, work.spec
+    held = Folder(spark, work.location)
+    record = held.read(f"{work.aside}.json")
+    work.ledger.check(work.number)
+    if record is not None:
+        if target.attach:
+            own = open_name(spec)
+            held.move(f"{work.aside}/{own}", own)
+            target.point_at(spark, record["before"] or work.location, spec)
+            work.ledger.folder.put("open.json", {"root": record["before"]})
+        else:
+            target.restore(spark, record["replaced"], work.aside, spec)
+        target.drop_files(spark, record["arrived"], spec)
+        work.ledger.strike(work.run.run_id)
+        held.delete(work.aside)
+        held.delete(f"{work.aside}.json")
+    work.ledger.finish(work.number, work.run, UNDONE)
+    _clear(work)
+    return target.scan(spark, spec)
+
+
+def _clear(work: _Work) -> None:
+    """Delete what a run has in its staging root."""
+    root = Folder(work.spark, work.run.root)
+    for kind in ("data", "notes", "sifted"):
+        root.delete(f"{kind}/run_id={work.run.run_id}")
 
 
-def _agree(**sides: DataFrame) -> None:
-    """Stop before staged rows go if the replica does not hold as many; one job."""
-    counts = None
-    for name, rows in sides.items():
-        count = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("side"), "n")
-        counts = count if counts is None else counts.unionByName(count)
-    n = {r.side: r.n for r in counts.collect()}
-    if n["added"] != n["arrived"] or n["staged"] != n["replaced"]:
-        raise RuntimeError(f"the published rows do not agree with the staged ones: {n}")
+def reconcile_chain(
+    spark: SparkSession, replica: str | Target, spec: ScdSpec = DEFAULT
+) -> DataFrame:
+    """Rows of each month by the ledger of all runs, and those the replica holds now.
+
+    Holds after any number of increments. ``ok`` is false for a month that lost or won
+    rows outside of the runs.
+    """
+    target = _target(replica)
+    ledger = Ledger(spark, target.location(spark))
+    rows = target.scan(spark, spec).select(
+        named(spec.part_to).cast("string").alias("ends"),
+        named(spec.part_from).cast("string").alias("starts"),
+    )
+    actual = rows.groupBy("ends", "starts").agg(F.count(F.lit(1)).alias("actual"))
+    entered = ledger.entries().filter("added IS NOT NULL")
+    sides = entered.select(
+        "ends", "starts", (F.col("added") - F.col("removed")).alias("expected"),
+        F.lit(0).cast("bigint").alias("actual"),
+    ).unionByName(
+        actual.select("ends", "starts", F.lit(0).cast("bigint").alias("expected"), "actual")
+    )
+    both = sides.groupBy("ends", "starts").agg(
+        F.sum("expected").alias("expected"), F.sum("actual").alias("actual")
+    )
+    return both.filter("expected <> 0 OR actual <> 0").select(
+        F.col("ends").cast("date").alias(spec.part_to),
+        F.col("starts").cast("date").alias(spec.part_from),
+        "expected",
+        "actual",
+        (F.col("expected") == F.col("actual")).alias("ok"),
+    )

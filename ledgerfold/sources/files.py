@@ -28,9 +28,29 @@ class Folder:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._at(name)))
 
+    def is_empty(self, name: str = "") -> bool:
+        return not self.exists(name) or len(self._fs.listStatus(self._at(name))) == 0
+
     def delete(self, name: str = "") -> None:
         self._fs.delete(self._at(name), True)
 
+    def size(self, name: str = "") -> int:
+        """Bytes of all files below a folder."""
+        return self._fs.getContentSummary(self._at(name)).getLength()
+
+    def move(self, name: str, to: str) -> None:
+        """Rename a file or folder; nothing happens where it has been moved before."""
+        if not self.exists(name):
+            return
+        self._fs.mkdirs(self._at(to).getParent())
+        if not self._fs.rename(self._at(name), self._at(to)):
+            raise RuntimeError(f"cannot move {self.path}/{name} to {to}")
+
+    def put(self, name: str, content: dict) -> None:
+        """Write a file in the place of any earlier one."""
+        self.delete(name)
+        self.create(name, content)
+
     def create(self, name: str, content: dict) -> None:
         """Write a file that must not exist yet."""
         stream = self._fs.create(self._at(name), False)

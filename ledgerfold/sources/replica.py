@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerfold.functions.columns import named
+from ledgerfold.sources.ledger import Ledger
 from ledgerfold.sources.staging import write_replica
 from ledgerfold.spec import DEFAULT, ScdSpec
 
@@ -36,8 +37,13 @@ def read_increment(
 def seed(spark: SparkSession, source: str, target: str, spec: ScdSpec = DEFAULT) -> DataFrame:
     """Copy a pristine replica over ``target`` and scan the copy.
 
-    Its files lie by month already, so the copy needs no shuffle.
+    Its files lie by month already, so the copy needs no shuffle. Refuses while a run on the
+    target is unfinished; the target's records begin anew, its claims count on.
     """
-    pristine = read_replica(spark, source, spec)
+    pristine, ledger = read_replica(spark, source, spec), Ledger(spark, target)
+    ledger.free()
+    number = ledger.last()
     write_replica(pristine, target, "overwrite", spec)
+    if number:
+        ledger.begin_again(number + 1)
     return read_replica(spark, target, spec, pristine.schema)

@@ -127,3 +127,30 @@ def publish(staged: DataFrame, replica_path: str, spec: ScdSpec = DEFAULT) -> No
 def drop_staging(spark: SparkSession, path: str) -> None:
     """Delete the staged rows of a published run."""
     Folder(spark, path).delete()
+
+
+def staged_path(root: str, run_id: str) -> str:
+    return f"{root.rstrip('/')}/data/run_id={run_id}"
+
+
+def notes_path(root: str, run_id: str) -> str:
+    return f"{root.rstrip('/')}/notes/run_id={run_id}"
+
+
+def bind(spark: SparkSession, root: str, target: str) -> None:
+    """Make the root that of one target; another's root is an error."""
+    folder = Folder(spark, root)
+    owner = folder.read("target.json")
+    if not owner:
+        folder.put("target.json", {"target": target})
+    elif owner.get("target") != target:
+        raise ValueError(f"{root} holds the staged rows of {owner.get('target')}, not of {target}")
+
+
+def drop_staged(spark: SparkSession, root: str, keep: tuple[str | None, ...]) -> None:
+    """Delete staged rows of all runs but ``keep``, and all notes."""
+    folder = Folder(spark, root)
+    folder.delete("notes")
+    for name in folder.names("data"):
+        if name.removeprefix("run_id=") not in keep:
+            folder.delete(f"data/{name}")

@@ -1,40 +1,116 @@
 """Where a replica lives: a Parquet path or a catalog table.
 
-Both scan it, append the staged rows that replace nothing, and replace its open
-rows (of all start months, or of those in a scope) by the staged ones.
+Both scan it, append rows as new files and retire the files they replace. Retired
+files are moved aside, below the replica's own records, so a run can be undone.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerfold.functions.columns import named
+from ledgerfold.functions.columns import in_open_partition, named
 from ledgerfold.sources.files import Folder
+from ledgerfold.sources.ledger import FOLDER
 from ledgerfold.sources.replica import read_replica
-from ledgerfold.sources.staging import (
-    emptied_months,
-    open_folder,
-    publish_open_slice,
-    publish_subpartitions,
-    replaced_rows,
-    write_replica,
-)
+from ledgerfold.sources.staging import open_folder, write_replica
 from ledgerfold.spec import DEFAULT, ScdSpec
 
 
+def short(uri: str) -> str:
+    """A data file's name below its replica: two month folders and the file."""
+    return unquote("/".join(uri.split("/")[-3:]))
+
+
+def read_files(
+    spark: SparkSession, location: str, schema: T.StructType, names: list[str]
+) -> DataFrame:
+    """Rows of some files or folders below a replica, with their months."""
+    if not names:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", location)
+    return reader.parquet(*[f"{location}/{n}" for n in names])
+
+
+def files_below(
+    spark: SparkSession, location: str, schema: T.StructType, folders: list[str]
+) -> list[str]:
+    """Names of the data files in some folders, as Spark lists them."""
+    there = Folder(spark, location)
+    held = [f for f in folders if there.exists(f)]
+    return sorted(short(f) for f in read_files(spark, location, schema, held).inputFiles()) if held else []
+
+
+def open_name(spec: ScdSpec) -> str:
+    return f"{spec.part_to}={spec.open_month}"
+
+
+class _Files:
+    """What paths and tables that keep their files in one folder have in common."""
+
+    attach = False
+
+    def open_rows(self, spark: SparkSession, schema: T.StructType, spec: ScdSpec) -> DataFrame:
+        """The open slice; only its folder is listed."""
+        location, folder = self.location(spark), open_name(spec)
+        held = [folder] if Folder(spark, location).exists(folder) else []
+        return read_files(spark, location, schema, held)
+
+    def retire(self, spark: SparkSession, names: list[str], aside: str, spec: ScdSpec) -> None:
+        """Move files aside; those that have been moved before stay there."""
+        folder = Folder(spark, self.location(spark))
+        for name in names:
+            folder.move(name, f"{aside}/{name}")
+        self._tidy(spark, names, spec)
+
+    def restore(self, spark: SparkSession, names: list[str], aside: str, spec: ScdSpec) -> None:
+        """Bring retired files back."""
+        folder = Folder(spark, self.location(spark))
+        for name in names:
+            folder.move(f"{aside}/{name}", name)
+        self._found(spark, names, spec)
+
+    def drop_files(self, spark: SparkSession, names: list[str], spec: ScdSpec) -> None:
+        """Delete files for good."""
+        folder = Folder(spark, self.location(spark))
+        for name in names:
+            folder.delete(name)
+        self._tidy(spark, names, spec)
+
+    def _emptied(self, spark: SparkSession, names: list[str]) -> list[tuple[str, str]]:
+        """Month folders without a file: they go. Their two names, of the table's partitions."""
+        folder = Folder(spark, self.location(spark))
+        gone = []
+        for months in sorted({n.rsplit("/", 1)[0] for n in names}):
+            if folder.is_empty(months):
+                folder.delete(months)
+                gone.append(tuple(m.split("=", 1)[1] for m in months.split("/")))
+        for ends in sorted({n.split("/", 1)[0] for n in names}):
+            if folder.is_empty(ends):
+                folder.delete(ends)
+        return gone
+
+    def _tidy(self, spark: SparkSession, names: list[str], spec: ScdSpec) -> None:
+        self._emptied(spark, names)
+
+    def _found(self, spark: SparkSession, names: list[str], spec: ScdSpec) -> None:
+        """Nothing to tell: a path is listed anew by each reader."""
+
+
 @dataclass(frozen=True)
-class PathReplica:
+class PathReplica(_Files):
     path: str
-    attach = False
 
     @property
     def identity(self) -> str:
         return self.path.rstrip("/")
 
+    def location(self, spark: SparkSession) -> str:
+        return self.identity
+
     def check(self, spark: SparkSession) -> None:
         """Nothing to check: a path has one mode."""
 
@@ -46,27 +122,16 @@ class PathReplica:
     def append(self, added: DataFrame, spec: ScdSpec = DEFAULT) -> None:
         write_replica(added, self.path, "append", spec)
 
-    def replace(
-        self,
-        staged: DataFrame,
-        staged_path: str,
-        spec: ScdSpec = DEFAULT,
-        scope: DataFrame | None = None,
-    ) -> None:
-        if scope is None:
-            publish_open_slice(staged, self.path, spec)
-        else:
-            publish_subpartitions(staged, staged_path, self.path, scope, spec)
-
 
 @dataclass(frozen=True)
-class TableReplica:
+class TableReplica(_Files):
     """A catalog table; with ``attach`` its open partitions point at the staged files.
 
     Attaching changes the catalog alone, so no open row is written a second
     time, and the staged files stay for as long as the table uses them. The table
     keeps its mode as a property: runs of the other mode would overwrite files
     that partitions still point at, or bring back those they have let go of.
+    A managed table is not attached to: dropping its partition would delete staged files.
     """
 
     name: str
@@ -79,6 +144,8 @@ class TableReplica:
     def check(self, spark: SparkSession) -> None:
         """Refuse a run in another mode than the table's; an unmarked table gets this one."""
         wanted = _ATTACHED if self.attach else _PLAIN
+        if self.attach and self._described(spark)["Type"] != "EXTERNAL":
+            raise ValueError(f"{self.name} is managed; only an external table can be attached to")
         rows = spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()
         mode = {r["key"]: r["value"] for r in rows}.get(_MODE)
         if mode is None:
@@ -91,98 +158,69 @@ class TableReplica:
     ) -> DataFrame:
         return spark.table(self.name)
 
+    def open_rows(self, spark: SparkSession, schema: T.StructType, spec: ScdSpec) -> DataFrame:
+        if not self.attach:
+            return super().open_rows(spark, schema, spec)
+        return spark.table(self.name).filter(in_open_partition(spec))
+
     def append(self, added: DataFrame, spec: ScdSpec = DEFAULT) -> None:
         table = added.sparkSession.table(self.name)
         added.select(*[named(c) for c in table.columns]).write.insertInto(self.name)
 
-    def replace(
-        self,
-        staged: DataFrame,
-        staged_path: str,
-        spec: ScdSpec = DEFAULT,
-        scope: DataFrame | None = None,
-    ) -> None:
-        rows = replaced_rows(staged, spec, scope)
-        if scope is not None:
-            self._overwrite(rows, spec, "dynamic")
-            self._let_go(staged.sparkSession, emptied_months(staged_path, scope, spec), spec)
-        elif self.attach:
-            self._attach(rows.sparkSession, staged_path, spec)
-        else:
-            before = self._open_months(rows.sparkSession, spec)
-            self._overwrite(rows, spec, "static")
-            kept = Folder(rows.sparkSession, open_folder(staged_path, spec)).names()
-            gone = [m for m in before if f"{spec.part_from}={m}" not in kept]
-            self._let_go(rows.sparkSession, gone, spec)
-
-    def _location(self, spark: SparkSession) -> str:
+    def location(self, spark: SparkSession) -> str:
+        return self._described(spark)["Location"].rstrip("/")
+
+    def _described(self, spark: SparkSession) -> dict[str, str]:
         rows = spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").collect()
-        return next(r["data_type"] for r in rows if r["col_name"] == "Location")
-
-    def _overwrite(self, rows: DataFrame, spec: ScdSpec, mode: str) -> None:
-        """``INSERT OVERWRITE`` below the open month.
-
-        With mode ``static`` everything below it goes, with ``dynamic`` only the
-        start months that have rows are replaced.
-        """
-        spark = rows.sparkSession
-        partition = f"`{spec.part_to}` = DATE'{spec.open_month}', `{spec.part_from}`"
-        columns = [named(c) for c in spark.table(self.name).columns if c != spec.part_to]
-        before = spark.conf.get(_OVERWRITE_MODE)
-        spark.conf.set(_OVERWRITE_MODE, mode)
-        try:
-            spark.sql(
-                f"INSERT OVERWRITE TABLE {self.name} PARTITION ({partition}) SELECT * FROM {{rows}}",
-                rows=rows.select(*columns),
-            )
-        finally:
-            spark.conf.set(_OVERWRITE_MODE, before)
+        return {r["col_name"]: r["data_type"] for r in rows}
+
+    def _tidy(self, spark: SparkSession, names: list[str], spec: ScdSpec) -> None:
+        gone = self._emptied(spark, names)
+        if gone:
+            listed = ", ".join(self._partition(ends, starts, spec) for ends, starts in gone)
+            spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {listed}")
+        spark.catalog.refreshTable(self.name)
+
+    def _found(self, spark: SparkSession, names: list[str], spec: ScdSpec) -> None:
+        months = sorted({tuple(m.split("=", 1)[1] for m in n.split("/")[:2]) for n in names})
+        if months:
+            listed = " ".join(self._partition(ends, starts, spec) for ends, starts in months)
+            spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS {listed}")
+        spark.catalog.refreshTable(self.name)
+
+    def _partition(self, ends: str, starts: str, spec: ScdSpec) -> str:
+        values = ["null" if m == _NO_MONTH else f"DATE'{m}'" for m in (ends, starts)]
+        return f"PARTITION (`{spec.part_to}` = {values[0]}, `{spec.part_from}` = {values[1]})"
 
     def _open_months(self, spark: SparkSession, spec: ScdSpec) -> list[str]:
         """Start months of the table's open partitions, as text."""
-        folder = f"{spec.part_to}={spec.open_month}"
         listed = spark.sql(
             f"SHOW PARTITIONS {self.name} PARTITION (`{spec.part_to}` = DATE'{spec.open_month}')"
         )
-        return [r[0].removeprefix(f"{folder}/{spec.part_from}=") for r in listed.collect()]
-
-    def _partition(self, month: str, spec: ScdSpec) -> str:
-        value = "null" if month == _NO_MONTH else f"DATE'{month}'"
-        return f"PARTITION (`{spec.part_to}` = DATE'{spec.open_month}', `{spec.part_from}` = {value})"
-
-    def _let_go(self, spark: SparkSession, months: list[str], spec: ScdSpec) -> None:
-        """Drop open start months, all in one statement, and their folders."""
-        if not months:
-            return
-        gone = ", ".join(self._partition(m, spec) for m in months)
-        spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {gone}")
-        folder = Folder(spark, open_folder(self._location(spark), spec))
-        for month in months:
-            folder.delete(f"{spec.part_from}={month}")
-
-    def _attach(self, spark: SparkSession, staged_path: str, spec: ScdSpec) -> None:
-        """Let go of the open partitions and add the staged ones: a list of months."""
-        held = self._open_months(spark, spec)
-        folder = open_folder(staged_path, spec)
-        staged = [
+        return [r[0].removeprefix(f"{open_name(spec)}/{spec.part_from}=") for r in listed.collect()]
+
+    def point_at(self, spark: SparkSession, root: str, spec: ScdSpec) -> None:
+        """Let the open partitions be those below ``root``: a list of months. Repeatable."""
+        folder = open_folder(root, spec)
+        months = [
             n.removeprefix(f"{spec.part_from}=")
             for n in Folder(spark, folder).names()
             if n.startswith(f"{spec.part_from}=")
         ]
+        held = self._open_months(spark, spec)
         if held:
-            gone = ", ".join(self._partition(m, spec) for m in held)
+            gone = ", ".join(self._partition(str(spec.open_month), m, spec) for m in held)
             spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {gone}")
-        if staged:
-            root = folder.replace("'", "\\'")
+        if months:
+            quoted = folder.replace("'", "\\'")
             added = [
-                f"{self._partition(m, spec)} LOCATION '{root}/{spec.part_from}={m}'" for m in staged
+                f"{self._partition(str(spec.open_month), m, spec)} LOCATION '{quoted}/{spec.part_from}={m}'"
+                for m in months
             ]
             spark.sql(f"ALTER TABLE {self.name} ADD {' '.join(added)}")
-        # files that open partitions had in the table's own folder are out of use for good
-        Folder(spark, open_folder(self._location(spark), spec)).delete()
+        spark.catalog.refreshTable(self.name)
 
 
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 _MODE, _PLAIN, _ATTACHED = "ledgerfold.mode", "overwriting", "attaching"
 # Folder name of the null partition, a fixed value of the Hive layout.
 _NO_MONTH = "__HIVE_DEFAULT_PARTITION__"

@@ -1,0 +1,279 @@
+"""One writer at a time, whole files kept, runs undone, rows balanced over many runs."""
+
+from collections import Counter
+from datetime import date
+from uuid import uuid4
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+import golden
+import ledgerfold as lf
+from ledgerfold.plans import jobs
+from ledgerfold.sources.ledger import Ledger, Run
+from ledgerfold.sources.staging import write_replica
+from test_publish import Crash, Stored, Tabled, _break, _rewrite, bag, expected
+
+START, END, OPEN = date(2024, 1, 5), date(2024, 3, 1), golden.OPEN
+
+
+def broken(stored, patch_at="before the open rows", strategy="closed_key", run_id="x"):
+    """A run that breaks off; the replica's claim stays."""
+    target = stored.replica if isinstance(stored, Tabled) else lf.PathReplica(stored.replica)
+    with pytest.MonkeyPatch.context() as patch:
+        _break(patch, patch_at, target)
+        with pytest.raises(Crash):
+            stored.apply(strategy, run_id=run_id)
+    return target
+
+
+def test_a_second_writer_is_refused_from_any_root(spark, tmp_path):
+    stored = Stored(
+        spark, tmp_path, [(1, "a", START, OPEN), (2, "b", START, OPEN)], [(1, "a", START, END)]
+    )
+    target = broken(stored)
+    between = bag(stored.read())
+    _rewrite(stored, [(3, "c", START, OPEN)])
+    with pytest.raises(RuntimeError, match="unfinished"):
+        lf.apply_increment(spark, stored.replica, stored.increment, f"{tmp_path}/other", run_id="y")
+    with pytest.raises(RuntimeError, match="unfinished"):
+        lf.seed(spark, f"{tmp_path}/replica", stored.replica)
+    assert bag(stored.read()) == between
+    lf.resume_run(spark, target, stored.staging, "x")
+    got = lf.apply_increment(spark, stored.replica, stored.increment, f"{tmp_path}/other", run_id="y")
+    assert bag(got) == Counter([(1, "a", START, END), (2, "b", START, OPEN), (3, "c", START, OPEN)])
+    with pytest.raises(RuntimeError, match="made before"):
+        lf.apply_increment(spark, stored.replica, stored.increment, f"{tmp_path}/third", run_id="x")
+
+
+def test_an_overtaken_attempt_stops(spark, tmp_path, monkeypatch):
+    """Another job resumes the run while the first attempt appends: the first one replaces nothing."""
+    stored = Stored(spark, tmp_path)
+    target = lf.PathReplica(stored.replica)
+    append, ledger = type(target).append, stored.ledger()
+
+    def overtaken(self, *args):
+        append(self, *args)
+        held = ledger.current()
+        ledger.take(held.run, held.number)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(target), "append", overtaken)
+        with pytest.raises(RuntimeError, match="taken over"):
+            stored.apply(run_id="x")
+    opened = Counter(r for r in golden.REPLICA)
+    assert opened - bag(stored.read()) == Counter()
+    held = ledger.current()
+    ledger.take(held.run, held.number)
+    with pytest.raises(RuntimeError, match="taken over"):
+        ledger.take(held.run, held.number)
+    lf.resume_run(spark, target, stored.staging, "x")
+    assert bag(stored.read()) == expected("closed_key")
+
+
+def test_an_empty_claim_is_passed_over(spark, tmp_path):
+    stored = Stored(spark, tmp_path)
+    ledger = stored.ledger()
+    ledger.folder.create("claims/00000004.json", {})
+    (tmp_path / "replica/_ledgerfold/claims/00000004.json").write_text("")
+    assert bag(stored.apply()) == expected("closed_key")
+    with pytest.raises(RuntimeError, match="taken over"):
+        ledger.check(4)
+
+
+def test_numbers_go_on_after_a_seed(spark, tmp_path):
+    stored = Stored(spark, tmp_path)
+    lf.seed(spark, stored.replica, f"{tmp_path}/pristine")
+    stored.apply(run_id="x")
+    number = stored.ledger().last()
+    lf.seed(spark, f"{tmp_path}/pristine", stored.replica)
+    assert stored.ledger().last() > number and stored.ledger().current() is None
+    assert bag(stored.apply(run_id="x")) == expected("closed_key")
+
+
+def test_managed_tables_are_not_attached_to(spark, tmp_path):
+    stored, name = Stored(spark, tmp_path), f"managed_{uuid4().hex}"
+    months = ("eff_to_month", "eff_from_month")
+    stored.read().write.partitionBy(*months).format("parquet").saveAsTable(name)
+    try:
+        target = lf.TableReplica(name, attach=True)
+        with pytest.raises(ValueError, match="managed"):
+            lf.apply_increment(spark, target, stored.increment, stored.staging)
+        plain = lf.TableReplica(name)
+        got = lf.apply_increment(spark, plain, stored.increment, stored.staging)
+        assert bag(got) == expected("closed_key")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.mark.parametrize("kind", ["path", "table"])
+def test_by_file_all_other_files_stay(spark, tmp_path, kind):
+    rows = [(i, f"p{i}", date(2024, 1 + i % 2, 5), OPEN) for i in range(40)]
+    closing = (6, "p6", date(2024, 1, 5), END)
+    stored = Stored(spark, tmp_path, rows, [closing])
+    if kind == "table":
+        name = f"by_file_{uuid4().hex}"
+        table = lf.create_replica(spark, name, stored.read().schema, f"{tmp_path}/table")
+        stored.read().repartition(8, "id").write.insertInto(name)
+        stored.replica, root = table, tmp_path / "table"
+    else:
+        stored.replica, root = f"{tmp_path}/many", tmp_path / "many"
+        write_replica(lf.read_replica(spark, f"{tmp_path}/replica").repartition(8, "id"), stored.replica, "append")
+
+    def files():
+        return {p.relative_to(root) for p in root.glob("eff_to_month=5999-12-31/*/*.parquet")}
+
+    before = files()
+    try:
+        got = bag(stored.apply("closed_key_by_file"))
+        assert got == Counter(rows) - Counter([(6, "p6", date(2024, 1, 5), OPEN)]) + Counter([closing])
+        assert len(before - files()) == 1 and len(before) > 8
+    finally:
+        if kind == "table":
+            spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.mark.parametrize("strategy", ["closed_key_by_file", "latest"])
+def test_files_without_a_hit_pass_the_latest_too(spark, tmp_path, strategy):
+    rows = [(i, f"p{i}", date(2024, 1, 5), OPEN) for i in range(30)]
+    stored = Stored(spark, tmp_path, rows, [(99, "new", date(2024, 2, 1), OPEN)])
+    january = tmp_path / "replica/eff_to_month=5999-12-31/eff_from_month=2024-01-31"
+    before = {p.name for p in january.glob("*.parquet")}
+    assert bag(stored.apply(strategy)) == Counter([*rows, (99, "new", date(2024, 2, 1), OPEN)])
+    assert {p.name for p in january.glob("*.parquet")} == before
+
+
+def test_ties_of_the_latest_go_by_payload(spark, tmp_path):
+    rows = [(1, p, START, OPEN) for p in ("c", "a", "b", "a")]
+    new = [(2, p, START, OPEN) for p in ("z", "y")]
+    stored = Stored(spark, tmp_path, rows, new)
+    assert bag(stored.apply("latest")) == Counter([(1, "a", START, OPEN), (2, "y", START, OPEN)])
+
+
+def _records(stored):
+    return Counter(tuple(r) for r in stored.read().select("id", "payload", "eff_from_dt", "eff_to_dt").collect())
+
+
+@pytest.mark.parametrize("strategy", jobs.STRATEGIES)
+def test_a_run_is_undone(strategy, spark, tmp_path):
+    stored = Stored(spark, tmp_path)
+    stored.apply(strategy, run_id="one")
+    once = bag(stored.read())
+    stored.apply(strategy, run_id="two")
+    with pytest.raises(ValueError, match="not the last"):
+        lf.undo_run(spark, stored.replica, "one")
+    assert bag(lf.undo_run(spark, stored.replica, "two")) == once
+    with pytest.raises(ValueError, match="not the last"):
+        lf.undo_run(spark, stored.replica, "two")
+    assert lf.reconcile_chain(spark, stored.replica).filter("NOT ok").isEmpty()
+    stored.apply(strategy, run_id="two")
+    assert lf.reconcile_chain(spark, stored.replica).filter("NOT ok").isEmpty()
+
+
+@pytest.mark.parametrize("attach", [False, True])
+def test_a_run_on_a_table_is_undone(attach, spark, tmp_path):
+    made = Tabled(spark, tmp_path, attach)
+    try:
+        for run in ("one", "two"):
+            before = bag(made.read())
+            made.apply(run_id=run)
+            assert bag(lf.undo_run(spark, made.replica, run)) == before
+            made.apply(run_id=run)
+        assert lf.reconcile_chain(spark, made.replica).filter("NOT ok").isEmpty()
+    finally:
+        spark.sql(f"DROP TABLE {made.name}")
+
+
+def test_a_broken_undo_is_finished(spark, tmp_path, monkeypatch):
+    stored = Stored(spark, tmp_path)
+    stored.apply(run_id="one")
+    with monkeypatch.context() as patch:
+        patch.setattr(lf.PathReplica, "drop_files", lambda *args: (_ for _ in ()).throw(Crash()))
+        with pytest.raises(Crash):
+            lf.undo_run(spark, stored.replica, "one")
+    with pytest.raises(RuntimeError, match="unfinished"):
+        stored.apply(run_id="two")
+    lf.resume_run(spark, stored.replica, stored.staging, "one")
+    assert bag(stored.read()) == Counter(golden.REPLICA)
+
+
+def test_the_chain_sees_a_lost_file(spark, tmp_path):
+    stored = Stored(spark, tmp_path)
+    for run in range(3):
+        _rewrite(stored, [(50 + run, "n", date(2024, 2 + run, 3), OPEN), (2, "r2", date(2024, 1, 11), END)])
+        stored.apply("closed_key_by_file", run_id=f"day-{run}")
+    chain = lf.reconcile_chain(spark, stored.replica)
+    assert chain.count() > 3 and chain.filter("NOT ok").isEmpty()
+    lost = next((tmp_path / "replica/eff_to_month=2024-03-31").glob("*/*.parquet"))
+    lost.unlink()
+    bad = lf.reconcile_chain(spark, stored.replica).filter("NOT ok").collect()
+    assert [str(r.eff_to_month) for r in bad] == ["2024-03-31"]
+
+
+def test_rejects_are_set_apart_and_balanced(spark, tmp_path):
+    stored = Stored(spark, tmp_path, [(1, "a", START, OPEN)], [])
+    rows = [(1, "a", "2024-01-05", "2024-03-01"), (2, "b", "soon", "5999-12-31"), (3, "c", "2024-02-01", None)]
+    kinds = "id bigint, payload string, eff_from_dt string, eff_to_dt string"
+    spark.createDataFrame(rows, kinds).write.mode("overwrite").parquet(stored.increment)
+    for strategy, run in (("closed_key", "one"), ("latest", "two")):
+        got = stored.apply(strategy, run_id=run, reject=True)
+        assert {r.id for r in got.collect()} == {1}
+        assert sorted(r.id for r in lf.rejected_rows(spark, stored.staging, run).collect()) == [2, 3]
+    entered = {(r.run_id, r.read, r.rejected) for r in stored.ledger().entries().collect()}
+    assert {("one", 3, 2), ("two", 3, 2)} <= entered
+    spark.createDataFrame(rows[1:], kinds).write.mode("overwrite").parquet(stored.increment)
+    stored.apply("latest", run_id="three", reject=True)
+    assert lf.rejected_rows(spark, stored.staging, "three").count() == 2
+
+
+def test_a_declared_schema_grows(spark, tmp_path):
+    stored = Stored(spark, tmp_path, [(1, "a", START, OPEN), (2, "b", START, OPEN)], [(1, "a", START, END)])
+    stored.apply(run_id="one")
+    held = stored.ledger().schema()
+    wider = T.StructType([*held.fields[:4], T.StructField("rank", T.IntegerType()), *held.fields[4:]])
+    lf.declare_schema(spark, stored.replica, wider)
+    row = (2, "b", START, END, 7)
+    spark.createDataFrame([row], golden.SCHEMA + ", rank int").write.mode("overwrite").parquet(stored.increment)
+    got = stored.apply(run_id="two")
+    assert {(r.id, r.rank) for r in got.collect()} == {(1, None), (2, 7)}
+    swapped = {"id": T.IntegerType(), "rank": T.LongType()}
+    for name, kind in swapped.items():
+        changed = T.StructType([T.StructField(f.name, kind if f.name == name else f.dataType) for f in wider.fields])
+        if name == "id":
+            with pytest.raises(ValueError, match="cannot become"):
+                lf.declare_schema(spark, stored.replica, changed)
+        else:
+            lf.declare_schema(spark, stored.replica, changed)
+    with pytest.raises(ValueError, match="cannot go"):
+        lf.declare_schema(spark, stored.replica, held)
+    spark.createDataFrame([(3, "c", START, OPEN, 1 << 40)], golden.SCHEMA + ", rank bigint").write.mode(
+        "overwrite"
+    ).parquet(stored.increment)
+    assert {(r.id, r["rank"]) for r in stored.apply(run_id="three").collect()} == {(1, None), (2, 7), (3, 1 << 40)}
+
+
+def test_fingerprints_see_what_counts_do_not(spark):
+    replica = lf.with_months(spark.createDataFrame(golden.REPLICA, golden.SCHEMA))
+    assert lf.differing_months(replica, replica.repartition(3).orderBy("payload")).isEmpty()
+    first = golden.REPLICA[0]
+    months = lf.with_months(spark.createDataFrame([first], golden.SCHEMA)).first()
+    changed = replica.withColumn("payload", F.when(F.col("id") == first[0], "other").otherwise(F.col("payload")))
+    nulled = replica.withColumns(
+        {c: F.when(F.col("id") == first[0], F.lit(None)).otherwise(F.col(c)).alias(c) for c in ("payload",)}
+    )
+    twice = replica.unionByName(replica.filter(F.col("id") == first[0]))
+    for other in (changed, nulled, twice):
+        bad = lf.differing_months(replica, other).collect()
+        assert [(r.eff_to_month, r.eff_from_month) for r in bad] == [(months.eff_to_month, months.eff_from_month)]
+
+
+def test_a_ledger_of_another_run_is_free(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path / "new"))
+    assert ledger.current() is None and ledger.last() == 0 and ledger.entries().isEmpty()
+    run = Run("a", "t", "r", "closed_key", "spec")
+    number = ledger.take(run)
+    with pytest.raises(RuntimeError, match="unfinished"):
+        ledger.take(run)
+    ledger.finish(number, run, "published")
+    assert ledger.take(run) == number + 1

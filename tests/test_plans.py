@@ -7,8 +7,8 @@ import re
 import pytest
 
 import ledgerfold as lf
-from ledgerfold.plans import jobs
 import scenarios as sc
+from ledgerfold.operators import hits
 from ledgerfold.sources.staging import by_month, write_replica
 
 
@@ -81,13 +81,38 @@ def test_subpartition_merge_prunes_by_the_closed_months(stored):
     assert not re.search(r"hashpartitioning\(id#\d+L?, status", text)
 
 
-def test_settled_rows_are_not_shuffled_beside_small_keys(stored):
+PAYLOAD = ("status", "amount")
+
+
+def exchanged(df):
+    """Columns that pass each exchange of a plan."""
+    return re.findall(r"\) (?:Exchange|BroadcastExchange)\nInput \[\d+\]: \[([^\]]*)\]", plan(df))
+
+
+def test_hits_are_found_without_payload(stored, no_broadcast):
+    replica, increment = stored
+    spec, new = lf.ScdSpec(), lf.conform(increment, replica)
+    placed = hits.addressed(lf.open_slice(replica))
+    found = hits.closed_hits(placed, lf.closed_keys(new), spec)
+    shuffled = exchanged(found)
+    assert shuffled and not any(c in s for s in shuffled for c in PAYLOAD)
+    text = plan(found)
+    assert "dynamicpruning" in text and not re.search(r"ReadSchema: struct<[^>]*amount", text)
+
+
+def test_the_latest_version_is_ranked_without_payload(stored, no_broadcast, spark):
     replica, increment = stored
-    new = lf.conform(increment, replica)
-    small = new.sparkSession.range(5).selectExpr("id AS __key")
-    staged = jobs._latest_changes(replica, new.limit(5), small, lf.ScdSpec(), compact=False)
-    text = tree(staged)
-    assert "BroadcastHashJoin LeftAnti" in text and "SortMergeJoin" not in text
+    spec = lf.ScdSpec()
+    new = hits.addressed(increment)
+    contested = spark.range(5).selectExpr("id AS __key")
+    placed = hits.addressed(lf.open_slice(replica))
+    best = hits.best_versions(placed, new, contested, spec)
+    winners = best.drop("__n")
+    for df in (best, hits.latest_hits(placed, contested, winners, spec)):
+        shuffled = exchanged(df)
+        assert shuffled and not any(c in s for s in shuffled for c in PAYLOAD)
+    # the best rows of a task alone pass the shuffle
+    assert "WindowGroupLimit" in plan(best)
 
 
 def test_reconcile_counts_each_table_once(stored, spark, tmp_path):

@@ -7,12 +7,13 @@ from uuid import uuid4
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 import golden
 import ledgerfold as lf
 from ledgerfold.plans import jobs
-from ledgerfold.sources import runs
-from ledgerfold.sources.staging import write_replica
+from ledgerfold.sources.ledger import Ledger
+from ledgerfold.sources.staging import staged_path, write_replica
 
 COLUMNS = ("id", "payload", "eff_from_dt", "eff_to_dt")
 
@@ -40,6 +41,9 @@ class Stored:
     def read(self):
         return lf.read_replica(self.spark, self.replica)
 
+    def ledger(self):
+        return Ledger(self.spark, self.replica)
+
     def months(self, slice_):
         return {p.name for p in (self.folder / "replica" / slice_).iterdir() if p.is_dir()}
 
@@ -75,15 +79,16 @@ def test_seed_overwrites_and_equals(spark, stored, tmp_path):
 
 @pytest.mark.parametrize("strategy", jobs.STRATEGIES)
 @pytest.mark.parametrize("limit", ["-1", "10m"], ids=["shuffled", "broadcast"])
-def test_apply_increment(strategy, limit, stored):
+def test_apply_increment(strategy, limit, stored, monkeypatch):
     before = stored.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(jobs, "SMALL", -1 if limit == "-1" else jobs.SMALL)
     stored.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     try:
         assert bag(stored.apply(strategy)) == expected(strategy)
     finally:
         stored.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert bag(stored.read()) == expected(strategy)
-    assert runs.current(stored.spark, stored.staging) is None
+    assert stored.ledger().current() is None
 
 
 @pytest.mark.parametrize("strategy", ["closed_key", "latest"])
@@ -92,7 +97,9 @@ def test_compact_merges_the_files_of_earlier_runs(strategy, stored):
         folders = (stored.folder / "replica").glob("eff_to_month=5999-12-31/*")
         return max(len(list(f.glob("*.parquet"))) for f in folders)
 
-    stored.apply(strategy)
+    for key in (900, 901):
+        _rewrite(stored, [(key, "new", date(2024, 6, 2), golden.OPEN)])
+        stored.apply(strategy)
     assert most_files() > 1
     stored.spark.createDataFrame([], golden.SCHEMA).write.mode("overwrite").parquet(
         stored.increment
@@ -108,7 +115,7 @@ def test_a_vanished_subpartition_goes(strategy, stored):
     assert gone in stored.months("eff_to_month=5999-12-31")
     stored.apply(strategy)
     assert gone not in stored.months("eff_to_month=5999-12-31")
-    got = {p.name for p in stored.folder.joinpath("replica").iterdir() if p.is_dir()}
+    got = {p.name for p in stored.folder.joinpath("replica").glob("*=*")}
     undated = {"eff_to_month=__HIVE_DEFAULT_PARTITION__"} if strategy != "latest" else set()
     assert got == undated | {
         "eff_to_month=2024-05-31",
@@ -173,13 +180,15 @@ def test_an_increment_that_does_not_fit_leaves_no_run(stored):
     )
     with pytest.raises(ValueError, match="lacks"):
         stored.apply()
-    assert runs.current(stored.spark, stored.staging) is None
+    assert stored.ledger().current() is None
 
 
-def test_dropped_staging_is_gone(stored):
+def test_staged_rows_stay_until_the_next_run(stored):
     stored.apply(run_id="day-1")
-    assert not os.path.exists(runs.staged_path(stored.staging, "day-1"))
+    assert os.path.exists(staged_path(stored.staging, "day-1"))
     assert not os.path.exists(f"{stored.staging}/notes")
+    stored.apply(run_id="day-2")
+    assert not os.path.exists(staged_path(stored.staging, "day-1"))
 
 
 class Tabled(Stored):
@@ -245,10 +254,14 @@ def test_attached_runs_follow_each_other(attached):
     )
     attached.apply(run_id="day-2")
     opened = (2, "r2", date(2024, 1, 11), golden.OPEN)
-    assert bag(attached.read()) == expected("closed_key") - Counter([opened]) + Counter([closing])
-    first, second = (runs.staged_path(attached.staging, f"day-{n}") for n in (1, 2))
+    once = expected("closed_key") - Counter([opened]) + Counter([closing])
+    assert bag(attached.read()) == once
+    attached.apply(run_id="day-3")
+    assert bag(attached.read()) == once + Counter([closing])
+    first, *others = (staged_path(attached.staging, f"day-{n}") for n in (1, 2, 3))
     assert not os.path.exists(first)
-    assert not attached.spark.read.parquet(second).isEmpty()
+    for path in others:
+        assert not attached.spark.read.parquet(path).isEmpty()
 
 
 def test_attached_rows_without_a_start(spark, attached):
@@ -291,7 +304,7 @@ def _break(patch, where, target):
     elif where == "after the append":
         patch.setattr(type(target), "append", lambda self, *args: append_then_crash(*args))
     else:
-        patch.setattr(type(target), "replace", _crash)
+        patch.setattr(type(target), "point_at" if target.attach else "retire", _crash)
 
 
 def _check_broken(strategy, where, stored, target, monkeypatch):
@@ -308,7 +321,7 @@ def _check_broken(strategy, where, stored, target, monkeypatch):
     assert bag(stored.read()) == expected(strategy)
 
 
-@pytest.mark.parametrize("strategy", ["closed_key", "closed_key_by_subpartition"])
+@pytest.mark.parametrize("strategy", ["closed_key", "closed_key_by_file"])
 @pytest.mark.parametrize("where", BREAKS)
 def test_a_broken_run_is_finished(strategy, where, stored, monkeypatch):
     _check_broken(strategy, where, stored, lf.PathReplica(stored.replica), monkeypatch)
@@ -401,13 +414,22 @@ def test_attaching_leaves_no_stale_files(attached):
     assert not (attached.folder / "table/eff_to_month=5999-12-31").exists()
 
 
-def test_a_run_that_does_not_agree_keeps_its_staged_rows(stored, monkeypatch):
-    target = lf.PathReplica(stored.replica)
+def test_exchanged_payloads_stop_a_run(stored, monkeypatch):
+    """Counts agree, rows do not: nothing is replaced, and a resumed run appends again."""
+    before, target = bag(stored.read()), lf.PathReplica(stored.replica)
+    append = type(target).append
+
+    def spoilt(self, rows, spec):
+        other = F.when(F.col("id") == 1, "swapped").otherwise(F.col("payload"))
+        append(self, rows.withColumn("payload", other), spec)
+
     with monkeypatch.context() as patch:
-        patch.setattr(type(target), "replace", lambda self, *args: None)
+        patch.setattr(type(target), "append", spoilt)
         with pytest.raises(RuntimeError, match="do not agree"):
             stored.apply(run_id="day-1")
-    assert os.path.exists(runs.staged_path(stored.staging, "day-1"))
+    assert before - bag(stored.read()) == Counter()
+    assert os.path.exists(staged_path(stored.staging, "day-1"))
+    os.remove(f"{stored.staging}/notes/run_id=day-1/appended.json")
     lf.resume_run(stored.spark, target, stored.staging, "day-1")
     assert bag(stored.read()) == expected("closed_key")
 
@@ -417,8 +439,10 @@ def test_a_run_is_resumed_by_its_own_target(spark, stored, monkeypatch):
         _break(patch, "before the append", lf.PathReplica(stored.replica))
         with pytest.raises(Crash):
             stored.apply(run_id="day-1")
-    with pytest.raises(ValueError, match="is one of"):
+    with pytest.raises(ValueError, match="no run"):
         lf.resume_run(spark, f"{stored.replica}-other", stored.staging, "day-1")
+    with pytest.raises(ValueError, match="is staged under"):
+        lf.resume_run(spark, stored.replica, f"{stored.staging}-other", "day-1")
     with pytest.raises(ValueError, match="no run"):
         lf.resume_run(spark, stored.replica, stored.staging, "day-2")
 
