@@ -6,7 +6,6 @@ Replica and increment are made from the whole ``orders`` table, for the
 
 from __future__ import annotations
 
-import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -22,19 +21,20 @@ import ledgerfold as lf  # noqa: E402
 from ledgerfold.operators.rank import ORIGIN, candidates  # noqa: E402
 import scenarios as sc  # noqa: E402
 from ledgerfold.session import checkpointed, scratch_path  # noqa: E402
+from ledgerfold.sources.ledger import Ledger  # noqa: E402
 from ledgerfold.sources.staging import by_month, write_replica  # noqa: E402
 from ledgerfold.spec import DEFAULT  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The corpus operators and their pipeline are added only where they are installed.
-if importlib.util.find_spec("ledgerfold.llm") and importlib.util.find_spec("ledgerfold.llm.queries"):
+try:
     from ledgerfold.llm import queries as corpus
-else:
+except ImportError:
     corpus = None
-if corpus is not None and importlib.util.find_spec("corpus_pipeline") is not None:
+try:
     import corpus_pipeline
-else:
+except ImportError:
     corpus_pipeline = None
 
 
@@ -224,22 +224,147 @@ class _Breaking(lf.PathReplica):
 
 
 def _resumed(strategy: str) -> Query:
-    """The dirty increment twice, the second run broken and resumed: all its rows are in the
-    replica already, and have to be added once more."""
+    """The dirty increment again, on a replica that holds all its rows already; the run is
+    broken and resumed, and has to add them once more."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = _stored(spark, _with_history(spark, sf_dir))
-        increment, staging = _stored_increment(spark, sf_dir), scratch_path(spark, "staging")
-        lf.apply_increment(spark, path, increment, staging, strategy)
-        try:
-            lf.apply_increment(spark, _Breaking(path), increment, staging, strategy, run_id="again")
-        except _Break:
-            return lf.resume_run(spark, path, staging, "again")
-        raise AssertionError("the run did not break")
+        increment = _stored_increment(spark, sf_dir)
+        once = lf.merge_closed_key(_with_history(spark, sf_dir), lf.read_increment(spark, increment))
+        path, staging = _stored(spark, once), scratch_path(spark, "staging")
+        return _broken_and_resumed(spark, _Breaking(path), increment, staging, strategy)
+
+    return run
+
+
+def _broken_and_resumed(
+    spark: SparkSession, target: lf.PathReplica | lf.TableReplica, increment: str, staging: str, strategy: str
+) -> DataFrame:
+    try:
+        lf.apply_increment(spark, target, increment, staging, strategy, run_id="again")
+    except _Break:
+        kind = type(target).__mro__[1]
+        plain = kind(target.path) if kind is lf.PathReplica else kind(target.name, target.attach)
+        return lf.resume_run(spark, plain, staging, "again")
+    raise AssertionError("the run did not break")
+
+
+class _BreakingTable(lf.TableReplica):
+    """A table on which a run breaks off before its open partitions change."""
+
+    def point_at(self, *args: object) -> None:
+        raise _Break
+
+
+def _resumed_attached(spark: SparkSession, sf_dir: str, table: lf.TableReplica) -> DataFrame:
+    broken = _BreakingTable(table.name, attach=True)
+    increment, staging = _stored_increment(spark, sf_dir), scratch_path(spark, "staging")
+    return _broken_and_resumed(spark, broken, increment, staging, "closed_key")
+
+
+def _refused_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run is broken; a second writer with a staging root of its own is refused and changes nothing."""
+    path, increment = _stored(spark, _with_history(spark, sf_dir)), _stored_increment(spark, sf_dir)
+    try:
+        lf.apply_increment(spark, _Breaking(path), increment, scratch_path(spark, "staging"))
+    except _Break:
+        pass
+    try:
+        lf.apply_increment(spark, path, increment, scratch_path(spark, "other"))
+    except RuntimeError:
+        return lf.read_replica(spark, path)
+    raise AssertionError("the second writer was let in")
+
+
+def _undone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run by file, published and undone."""
+    path, increment = _stored(spark, _with_history(spark, sf_dir)), _stored_increment(spark, sf_dir)
+    staging = scratch_path(spark, "staging")
+    lf.apply_increment(spark, path, increment, staging, "closed_key_by_file", run_id="one")
+    return lf.undo_run(spark, path, "one")
+
+
+def _undone_attached(spark: SparkSession, sf_dir: str, table: lf.TableReplica) -> DataFrame:
+    increment, staging = _stored_increment(spark, sf_dir), scratch_path(spark, "staging")
+    lf.apply_increment(spark, table, increment, staging, run_id="one")
+    return lf.undo_run(spark, table, "one")
+
+
+def _differing_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months in which costly pending orders were exchanged for others: counts agree there."""
+    replica = sc.orders_replica(spark, sf_dir)
+    costly = (F.col("status") == "P") & (F.col("amount") > 250000)
+    return lf.differing_months(
+        replica, replica.withColumn("amount", F.when(costly, -F.col("amount")).otherwise(F.col("amount")))
+    )
+
+
+def _fingerprint_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each month after both forms of the merge, and whether their fingerprints agree."""
+    forms = [
+        lf.fingerprint_by_month(merge(spark, sf_dir)).withColumnsRenamed({c: f"{c}_{k}" for c in ("bits", "total")})
+        for k, merge in enumerate((_merged_once, _merge_by_subpartition))
+    ]
+    same = (F.col("bits_0") == F.col("bits_1")) & (F.col("total_0") == F.col("total_1"))
+    return forms[0].join(forms[1], [*DEFAULT.partitioning, "n"], "full").select(
+        *DEFAULT.partitioning, "n", same.alias("same")
+    )
+
+
+def _chain(fault: bool) -> Query:
+    """The ledger's rows by month after three increments; with a fault, stray rows come between."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path, staging = _stored_replica(spark, sf_dir), scratch_path(spark, "staging")
+        dirty, clean = _stored_increment(spark, sf_dir), scratch_path(spark, "increment")
+        sc.orders_increment(spark, sf_dir, dirty=False).write.parquet(clean)
+        for increment in (clean, dirty, dirty):
+            lf.apply_increment(spark, path, increment, staging, "closed_key_by_file")
+        if fault:
+            stray = lf.conform(lf.read_increment(spark, clean), lf.read_replica(spark, path))
+            write_replica(by_month(lf.closed_slice(stray)), path, "append")
+        return lf.reconcile_chain(spark, path)
 
     return run
 
 
+def _unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty increment with text for dates, which new entities and late rows lack."""
+    rows = sc.orders_increment(spark, sf_dir)
+    end = F.when(F.col("status") == "N", F.lit("open")).otherwise(F.col("eff_to_dt").cast("string"))
+    start = F.when(F.col("status") == "L", F.lit(None)).otherwise(F.col("eff_from_dt").cast("string"))
+    return rows.withColumns({"eff_to_dt": end, "eff_from_dt": start})
+
+
+def _rejecting(spark: SparkSession, sf_dir: str) -> tuple[str, str, DataFrame]:
+    path, increment = _stored_replica(spark, sf_dir), scratch_path(spark, "increment")
+    _unreadable(spark, sf_dir).write.parquet(increment)
+    staging = scratch_path(spark, "staging")
+    return path, staging, lf.apply_increment(spark, path, increment, staging, run_id="one", reject=True)
+
+
+def _rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, staging, _ = _rejecting(spark, sf_dir)
+    return lf.rejected_rows(spark, staging, "one")
+
+
+def _accepted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replica of that run, with what it read and rejected by its ledger."""
+    path, _, rows = _rejecting(spark, sf_dir)
+    entry = Ledger(spark, path).entries().filter("run_id = 'one'").select("read", "rejected").distinct()
+    return rows.select(*sc.ORDER).crossJoin(F.broadcast(entry))  # one row
+
+
+def _grown_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replica that gets a column after its first run; earlier rows have none."""
+    path, staging = _stored_replica(spark, sf_dir), scratch_path(spark, "staging")
+    clean, dirty = scratch_path(spark, "clean"), scratch_path(spark, "dirty")
+    sc.orders_increment(spark, sf_dir, dirty=False).write.parquet(clean)
+    sc.orders_increment(spark, sf_dir).withColumn("origin", F.concat("status", F.lit("2"))).write.parquet(dirty)
+    held = lf.apply_increment(spark, path, clean, staging).schema
+    lf.declare_schema(spark, path, T.StructType([*held.fields, T.StructField("origin", T.StringType())]))
+    return lf.apply_increment(spark, path, dirty, staging, "closed_key_by_file")
+
+
 def _reconcile_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of a replica that a job has published to storage."""
     base = sc.orders_replica(spark, sf_dir)
@@ -250,7 +375,17 @@ def _reconcile_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _table_job(strategy: str, attach: bool) -> Query:
-    """The same with the replica as a catalog table, which goes at the end."""
+    """The same with the replica as a catalog table."""
+
+    def job(spark: SparkSession, sf_dir: str, table: lf.TableReplica) -> DataFrame:
+        increment, staging = _stored_increment(spark, sf_dir), scratch_path(spark, "staging")
+        return lf.apply_increment(spark, table, increment, staging, strategy)
+
+    return _on_table(job, attach)
+
+
+def _on_table(job: Callable[[SparkSession, str, lf.TableReplica], DataFrame], attach: bool) -> Query:
+    """Something done to the replica as a catalog table, which goes at the end."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         name, path = f"ledgerfold_{uuid4().hex}", scratch_path(spark, "table")
@@ -258,8 +393,7 @@ def _table_job(strategy: str, attach: bool) -> Query:
         table = lf.create_replica(spark, name, _table_schema(rows), path, attach=attach)
         try:
             by_month(rows.select(*spark.table(name).columns)).write.insertInto(name)
-            increment, staging = _stored_increment(spark, sf_dir), scratch_path(spark, "staging")
-            return checkpointed(lf.apply_increment(spark, table, increment, staging, strategy))
+            return checkpointed(job(spark, sf_dir, table))
         finally:
             spark.sql(f"DROP TABLE {name}")
 
@@ -323,6 +457,20 @@ def merge_queries() -> dict[str, Query]:
         "apply_increment_by_subpartition_table": _table_job(
             "closed_key_by_subpartition", attach=False
         ),
+        "apply_increment_by_file": _job("closed_key_by_file"),
+        "apply_increment_by_file_table": _table_job("closed_key_by_file", attach=False),
+        "refused_writer": _refused_writer,
+        "resume_attached": _on_table(_resumed_attached, attach=True),
+        "resume_by_file": _resumed("closed_key_by_file"),
+        "undo_run": _undone,
+        "undo_run_attached": _on_table(_undone_attached, attach=True),
+        "differing_months": _differing_months,
+        "fingerprint_by_month": _fingerprint_by_month,
+        "reconcile_chain": _chain(False),
+        "reconcile_chain_fault": _chain(True),
+        "rejected_rows": _rejected_rows,
+        "accepted_rows": _accepted_rows,
+        "grown_schema": _grown_schema,
         "resume_closed_key": _resumed("closed_key"),
         "resume_by_subpartition": _resumed("closed_key_by_subpartition"),
         "reconcile_stored": _reconcile_stored,
@@ -526,6 +674,24 @@ def _pipeline_sql() -> bool:
     return corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL is not None
 
 
+def _chain_sql(stray: str) -> str:
+    """Rows by month, and the stray ones of the month ``m`` beside them."""
+    return f"""SELECT eff_from_month, eff_to_month, n AS expected, n + stray AS actual, stray = 0 AS ok
+FROM (SELECT {_MONTHS}, count(*) AS n, any_value({stray}) AS stray FROM merged m
+  GROUP BY last_day(eff_from_dt), last_day(eff_to_dt))"""
+
+
+# the dirty increment with text for dates, some of which are none
+_UNREADABLE = """
+unreadable AS (
+  SELECT *, status NOT IN ('N', 'L') AS usable FROM (
+    SELECT id, status, amount,
+      CASE WHEN status = 'L' THEN NULL ELSE CAST(eff_from_dt AS VARCHAR) END AS eff_from_dt,
+      CASE WHEN status = 'N' THEN 'open' ELSE CAST(eff_to_dt AS VARCHAR) END AS eff_to_dt
+    FROM increment)
+)"""
+
+
 def merge_sql() -> dict[str, str]:
     orders_latest, lines_latest = _latest(_ORDER_TIES), _latest(_LINE_TIES)
     closed_key = _with(_REPLICA, _DIRTY, _CLOSED_KEY, select=f"SELECT {_ORDER} FROM merged")
@@ -535,6 +701,7 @@ def merge_sql() -> dict[str, str]:
     third = _with(_THIRD, _CLOSED_KEY, select=f"SELECT {_ORDER} FROM merged")
     closed_key_lines = _with(_LINES, _CLOSED_KEY, select=f"SELECT {_LINE} FROM merged")
     replica = _with(_REPLICA, select=f"SELECT {_ORDER} FROM replica")
+    history = _with(_SECOND, select=f"SELECT {_ORDER} FROM replica")
     return {
         "merge_closed_key": closed_key,
         "merge_closed_key_by_subpartition": closed_key,
@@ -590,8 +757,66 @@ UNION ALL SELECT {_ORDER} FROM replica WHERE last_day(eff_to_dt) <> {_OPEN}""",
         "apply_increment_by_subpartition_table": second,
         "apply_increment_attached": second,
         "apply_increment_latest_attached": second_latest,
+        "apply_increment_by_file": second,
+        "apply_increment_by_file_table": second,
+        "refused_writer": history,
+        "resume_attached": second,
+        "resume_by_file": third,
         "resume_closed_key": third,
         "resume_by_subpartition": third,
+        "undo_run": history,
+        "undo_run_attached": history,
+        "differing_months": _with(
+            _REPLICA,
+            select=f"""SELECT {_MONTHS}, count(*) AS n_left, count(*) AS n_right FROM replica
+GROUP BY last_day(eff_from_dt), last_day(eff_to_dt)
+HAVING count(*) FILTER (WHERE status = 'P' AND amount > 250000) > 0""",
+        ),
+        "fingerprint_by_month": _with(
+            _REPLICA,
+            _DIRTY,
+            _CLOSED_KEY,
+            select=f"""SELECT {_MONTHS}, count(*) AS n, true AS same FROM merged
+GROUP BY last_day(eff_from_dt), last_day(eff_to_dt)""",
+        ),
+        "reconcile_chain": _with(_THIRD, _CLOSED_KEY, select=_chain_sql("0")),
+        "reconcile_chain_fault": _with(
+            _THIRD,
+            _CLOSED_KEY,
+            select=_chain_sql("""(SELECT count(*) FROM first_increment f
+    WHERE last_day(f.eff_to_dt) = last_day(m.eff_to_dt)
+      AND last_day(f.eff_to_dt) <> DATE '5999-12-31'
+      AND last_day(f.eff_from_dt) = last_day(m.eff_from_dt))"""),
+        ),
+        "rejected_rows": _with(
+            _DIRTY, _UNREADABLE, select=f"SELECT {_ORDER_DATED} FROM unreadable WHERE NOT usable"
+        ),
+        "accepted_rows": _with(
+            _REPLICA,
+            _DIRTY,
+            _UNREADABLE,
+            """accepted AS (
+  SELECT id, status, amount, CAST(eff_from_dt AS DATE) AS eff_from_dt,
+    CAST(eff_to_dt AS DATE) AS eff_to_dt
+  FROM unreadable WHERE usable
+)""",
+            _CLOSED_KEY.replace("FROM increment", "FROM accepted"),
+            select=f"""SELECT {_ORDER_DATED}, (SELECT count(*) FROM unreadable) AS "read",
+  (SELECT count(*) FROM unreadable WHERE NOT usable) AS rejected FROM merged""",
+        ),
+        "grown_schema": _with(
+            _SECOND,
+            _DIRTY,
+            """grown AS (
+  SELECT *, CAST(NULL AS VARCHAR) AS origin FROM replica r
+  WHERE last_day(r.eff_to_dt) <> DATE '5999-12-31' OR NOT EXISTS (
+    SELECT 1 FROM increment c
+    WHERE last_day(c.eff_to_dt) <> DATE '5999-12-31' AND c.id = r.id AND c.eff_from_dt = r.eff_from_dt)
+  UNION ALL
+  SELECT *, status || '2' FROM increment
+)""",
+            select=f"SELECT {_ORDER}, origin FROM grown",
+        ),
         "reconcile_stored": _reconcile_sql(_CLEAN),
         "reconcile_report": _reconcile_sql(_CLEAN),
         "reconcile_report_dirty": _reconcile_sql(_DIRTY),

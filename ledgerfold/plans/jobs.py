@@ -178,7 +178,8 @@ def apply_increment(
     run_id = run_id or uuid4().hex
     if ledger.outcome(run_id) not in (None, UNDONE):
         raise RuntimeError(f"run {run_id} was made before")
-    schema = _schema(spark, target, ledger, spec)
+    current = None if ledger.schema() and ledger.has_entries() else target.scan(spark, spec)
+    schema = _schema(spark, target, ledger, spec, current)
     increment = read_increment(spark, increment_path)
     empty = spark.createDataFrame([], schema)
     conform(increment, empty, spec)
@@ -190,7 +191,7 @@ def apply_increment(
         _clear(work)  # of a run that the replica does not know any more
     counts: dict[str, int] = {}
     if not ledger.has_entries():
-        months = _counted(spark, [("added", target.scan(spark, spec, schema))], spec)
+        months = _counted(spark, [("added", current if number == 1 else target.scan(spark, spec))], spec)
         ledger.enter(0, "", months, read=None, rejected=None)
     if reject:
         increment, counts = _sifted(work, increment)
@@ -253,13 +254,15 @@ def rejected_rows(spark: SparkSession, staging_root: str, run_id: str) -> DataFr
     return spark.read.parquet(path).filter("NOT __usable").drop("__usable")
 
 
-def _schema(spark: SparkSession, target: Target, ledger: Ledger, spec: ScdSpec) -> T.StructType:
+def _schema(
+    spark: SparkSession, target: Target, ledger: Ledger, spec: ScdSpec, current: DataFrame | None = None
+) -> T.StructType:
     """The declared schema of a path (its own on the first run), the catalog's of a table."""
     if not isinstance(target, PathReplica):
         return target.scan(spark, spec).schema
     held = ledger.schema()
     if held is None:
-        held = target.scan(spark, spec).schema
+        held = (target.scan(spark, spec) if current is None else current).schema
         ledger.declare(held)
     return held
 
@@ -345,12 +348,12 @@ def resume_run(
     return _publish(work, _schema(spark, target, ledger, spec))
 
 
-def _published_files(work: _Work, schema: T.StructType) -> Callable[[], list[str]]:
+def _published_files(work: _Work) -> Callable[[], list[str]]:
     """Lists the files of the months that a run appends to."""
     folders = [n for n in Folder(work.spark, work.staged_at).names() if "=" in n]
     if work.target.attach:
         folders = [f for f in folders if f != open_name(work.spec)]
-    return lambda: files_below(work.spark, work.location, schema, folders)
+    return lambda: files_below(work.spark, work.location, folders)
 
 
 def _publish(work: _Work, schema: T.StructType) -> DataFrame:
@@ -361,7 +364,7 @@ def _publish(work: _Work, schema: T.StructType) -> DataFrame:
     staged = spark.read.schema(schema).parquet(work.staged_at)
     if target.attach:
         staged = staged.filter(~F.coalesce(in_open_partition(spec), F.lit(False)))
-    listed = _published_files(work, schema)
+    listed = _published_files(work)
     if not work.notes.exists("appended.json"):
         began = work.notes.read("before.json")
         ledger.check(work.number)

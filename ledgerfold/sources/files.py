@@ -12,12 +12,12 @@ class Folder:
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.path = path.rstrip("/")
-        self._jvm = spark._jvm
+        self._jvm, self._named = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path
         hadoop = spark._jsc.hadoopConfiguration()
         self._fs = self._at("").getFileSystem(hadoop)
 
     def _at(self, name: str):
-        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+        return self._named(f"{self.path}/{name}" if name else self.path)
 
     def exists(self, name: str = "") -> bool:
         return self._fs.exists(self._at(name))
@@ -38,8 +38,24 @@ class Folder:
         """Bytes of all files below a folder."""
         return self._fs.getContentSummary(self._at(name)).getLength()
 
+    def files(self, pattern: str) -> list[str]:
+        """Full names of the files that a pattern meets; hidden ones are left out."""
+        found = self._fs.globStatus(self._at(pattern)) or []
+        names = [status.getPath().toString() for status in found]
+        return [n for n in names if n.rsplit("/", 1)[1][:1] not in "._"]
+
+    def move_all(self, names: list[str], back: str, to: str) -> None:
+        """Rename files from one folder to another; those moved before are passed by."""
+        for parent in sorted({n.rsplit("/", 1)[0] for n in names}):
+            self._fs.mkdirs(self._at(f"{to}{parent}"))
+        for name in names:
+            if self.exists(f"{back}{name}") and not self._fs.rename(
+                self._at(f"{back}{name}"), self._at(f"{to}{name}")
+            ):
+                raise RuntimeError(f"cannot move {self.path}/{back}{name}")
+
     def move(self, name: str, to: str) -> None:
-        """Rename a file or folder; nothing happens where it has been moved before."""
+        """Rename a folder; nothing happens where it has been moved before."""
         if not self.exists(name):
             return
         self._fs.mkdirs(self._at(to).getParent())

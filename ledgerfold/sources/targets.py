@@ -35,13 +35,10 @@ def read_files(
     return reader.parquet(*[f"{location}/{n}" for n in names])
 
 
-def files_below(
-    spark: SparkSession, location: str, schema: T.StructType, folders: list[str]
-) -> list[str]:
-    """Names of the data files in some folders, as Spark lists them."""
+def files_below(spark: SparkSession, location: str, folders: list[str]) -> list[str]:
+    """Names of the data files in folders of an end month."""
     there = Folder(spark, location)
-    held = [f for f in folders if there.exists(f)]
-    return sorted(short(f) for f in read_files(spark, location, schema, held).inputFiles()) if held else []
+    return sorted(short(f) for folder in folders for f in there.files(f"{folder}/*/*"))
 
 
 def open_name(spec: ScdSpec) -> str:
@@ -61,16 +58,12 @@ class _Files:
 
     def retire(self, spark: SparkSession, names: list[str], aside: str, spec: ScdSpec) -> None:
         """Move files aside; those that have been moved before stay there."""
-        folder = Folder(spark, self.location(spark))
-        for name in names:
-            folder.move(name, f"{aside}/{name}")
+        Folder(spark, self.location(spark)).move_all(names, "", f"{aside}/")
         self._tidy(spark, names, spec)
 
     def restore(self, spark: SparkSession, names: list[str], aside: str, spec: ScdSpec) -> None:
         """Bring retired files back."""
-        folder = Folder(spark, self.location(spark))
-        for name in names:
-            folder.move(f"{aside}/{name}", name)
+        Folder(spark, self.location(spark)).move_all(names, f"{aside}/", "")
         self._found(spark, names, spec)
 
     def drop_files(self, spark: SparkSession, names: list[str], spec: ScdSpec) -> None:
