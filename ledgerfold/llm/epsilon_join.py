@@ -16,6 +16,7 @@ rows; a null id takes part but is no component id unless it is alone.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import partial, reduce
 
 import numpy as np
@@ -37,11 +38,15 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _units(vectors: np.ndarray) -> np.ndarray:
-    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    """Unit vectors. The largest component is divided out first, for squares of very large
+    or very small ones are no numbers."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
 def _moments(batches):
-    """Count, sum and products of the unit vectors of a task, as one row."""
+    """Sums of the unit vectors of a task and of their products, a row for each pair of
+    dimensions; those of the vectors themselves have a second dimension of -1, the count -2."""
     n, total, products = 0, None, None
     for batch in batches:
         if batch.num_rows:
@@ -50,25 +55,30 @@ def _moments(batches):
             total = u.sum(axis=0) + (0 if total is None else total)
             products = u.T @ u + (0 if products is None else products)
     if n:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([n]), pa.array([total.tobytes()]), pa.array([products.tobytes()])],
-            ["n", "total", "products"],
-        )
+        i, j = np.triu_indices(len(total))
+        lone = np.arange(len(total))
+        columns = [
+            np.concatenate([i, lone, [0]]).astype(np.int32),
+            np.concatenate([j, lone * 0 - 1, [-2]]).astype(np.int32),
+            np.concatenate([products[i, j], total, [float(n)]]),
+        ]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["i", "j", "value"])
 
 
 def principal(classes: DataFrame, leading: int) -> np.ndarray | None:
-    """Leading principal directions as columns; a row of sums per task comes to the driver."""
-    sums = classes.select("vector").mapInArrow(_moments, "n bigint, total binary, products binary")
-    n, total, products = 0, 0.0, 0.0
-    for row in sums.toLocalIterator():
-        n += row.n
-        total = total + np.frombuffer(row.total)
-        products = products + np.frombuffer(row.products)
-    if not n:
+    """Leading principal directions as columns. Spark adds up the sums of all tasks; what
+    comes to the driver is bounded by the square of the dimensions."""
+    parts = classes.select("vector").mapInArrow(_moments, "i int, j int, value double")
+    sums = parts.groupBy("i", "j").agg(F.sum("value").alias("value")).toPandas()
+    if not len(sums):
         return None
-    mean = total / n
-    covariance = products.reshape(len(mean), -1) / n - np.outer(mean, mean)
-    return np.linalg.eigh(covariance)[1][:, ::-1][:, :leading].copy()
+    i, j, value = (sums[c].to_numpy() for c in ("i", "j", "value"))
+    n, size = value[j == -2][0], int(i.max()) + 1
+    mean, products = np.zeros(size), np.zeros((size, size))
+    mean[i[j == -1]] = value[j == -1] / n
+    both = j >= 0
+    products[i[both], j[both]] = products[j[both], i[both]] = value[both] / n
+    return np.linalg.eigh(products - np.outer(mean, mean))[1][:, ::-1][:, :leading].copy()
 
 
 def _projected(batches, axes: np.ndarray, width: float):
@@ -95,41 +105,60 @@ def _numbered(batches):
         )
 
 
-def sequence_join(
-    a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], cosine: float
-) -> np.ndarray:
-    """Pairs of places, one in each sequence, with at least this cosine.
+Sequence = tuple[np.ndarray, np.ndarray]
+
+
+def near_tiles(a: Sequence, b: Sequence, cosine: float) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Where vectors of two sequences have at least this cosine, tile by tile: the first places
+    of a tile in both, and a matrix of hits.
 
     A sequence is unit vectors and their projections, in grid order.
     """
     # a margin for rounding: projections of close vectors are not further apart
     far = np.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9
-    found: list[np.ndarray] = []
 
-    def join(i: int, j: int, k: int, m: int) -> None:
+    def join(i: int, j: int, k: int, m: int) -> Iterator[tuple[int, int, np.ndarray]]:
         p, q = a[1][i:j], b[1][k:m]
         gap = np.maximum(p.min(axis=0) - q.max(axis=0), q.min(axis=0) - p.max(axis=0))
         if (gap > far).any():
             return
         if j - i <= SMALL and m - k <= SMALL:
-            near = np.argwhere(a[0][i:j] @ b[0][k:m].T >= cosine)
-            if len(near):
-                found.append(near + (i, k))
-            return
-        if j - i >= m - k:
+            near = a[0][i:j] @ b[0][k:m].T >= cosine
+            if near.any():
+                yield i, k, near
+        elif j - i >= m - k:
             cut = (i + j) // 2
-            join(i, cut, k, m)
-            join(cut, j, k, m)
+            yield from join(i, cut, k, m)
+            yield from join(cut, j, k, m)
         else:
             cut = (k + m) // 2
-            join(i, j, k, cut)
-            join(i, j, cut, m)
+            yield from join(i, j, k, cut)
+            yield from join(i, j, cut, m)
 
     if len(a[0]) and len(b[0]):
-        join(0, len(a[0]), 0, len(b[0]))
+        yield from join(0, len(a[0]), 0, len(b[0]))
+
+
+def sequence_join(a: Sequence, b: Sequence, cosine: float) -> np.ndarray:
+    """Pairs of places, one in each sequence, with at least this cosine."""
+    found = [np.argwhere(near) + (i, k) for i, k, near in near_tiles(a, b, cosine)]
     return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
 
 
+def _united(root: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
+    """Join the components of pairs of places; a root is the smallest place of its component."""
+    apart = root[one] != root[two]
+    one, two = one[apart], two[apart]
+    while len(one):
+        low = np.minimum(root[one], root[two])
+        np.minimum.at(root, root[one], low)
+        np.minimum.at(root, root[two], low)
+        while (root[root] != root).any():
+            root[:] = root[root]
+        apart = root[one] != root[two]
+        one, two = one[apart], two[apart]
+
+
 def _joined(key, table: pa.Table, axes: np.ndarray, cosine: float) -> pa.Table:
     """Links between two blocks (or within one): a row per vector with partners there, with
     their number and the smallest node it is connected to there."""
@@ -149,32 +178,24 @@ def _joined(key, table: pa.Table, axes: np.ndarray, cosine: float) -> pa.Table:
 
     at, one = side(left)
     to, two = side(right)
-    pairs = sequence_join(one, two, cosine)
-    pairs = np.stack([at[pairs[:, 0]], to[pairs[:, 1]]], axis=1)
-    if left == right:
-        pairs = pairs[pairs[:, 0] < pairs[:, 1]]
-    n = len(vectors)
-    links = np.bincount(pairs[:, 0], weight[pairs[:, 1]], n) + np.bincount(
-        pairs[:, 1], weight[pairs[:, 0]], n
-    )
     # places by node, so that the smallest root is the smallest node
+    n = len(vectors)
     keys = node.field("id").to_numpy(zero_copy_only=False)
     missing = node.field("no_id").to_numpy(zero_copy_only=False)
     digest = np.array(node.field("digest").to_pylist(), object)
     by_node = sorted(range(n), key=lambda i: (missing[i], keys[i] if not missing[i] else 0, digest[i]))
     place = np.empty(n, np.int64)
     place[by_node] = np.arange(n)
-    root = np.arange(n)
-    while len(pairs):
-        ends = place[pairs]
-        low = np.minimum(root[ends[:, 0]], root[ends[:, 1]])
-        before = root.copy()
-        for side_ends in (ends[:, 0], ends[:, 1]):
-            np.minimum.at(root, root[side_ends], low)
-        while (root[root] != root).any():
-            root = root[root]
-        if (before == root).all():
-            break
+    root, links = np.arange(n), np.zeros(n)
+    # a tile at a time: links are counted and components joined, no pair is kept
+    for i, k, near in near_tiles(one, two, cosine):
+        rows, columns = at[i : i + near.shape[0]], to[k : k + near.shape[1]]
+        if left == right:
+            near = near & (rows[:, None] < columns[None, :])
+        links[rows] += near @ weight[columns].astype(float)
+        links[columns] += weight[rows].astype(float) @ near
+        x, y = np.nonzero(near)
+        _united(root, place[rows[x]], place[columns[y]])
     some = np.flatnonzero(links > 0)
     near = np.array(by_node, np.int64)[root[place[some]]]
     return pa.table(
@@ -313,9 +334,11 @@ def links_sql() -> str:
 WITH RECURSIVE vectors AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
 ), units AS (
-  SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS length FROM vectors
-  WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(v, lambda x: x <> 0)) > 0
+  SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS length FROM (
+    SELECT vec_id, list_transform(v, lambda x: x / list_max(list_transform(v, lambda y: abs(y)))) AS v
+    FROM vectors
+    WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(v, lambda x: x <> 0)) > 0)
 ), links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM units a JOIN units b ON a.vec_id <> b.vec_id
   WHERE list_inner_product(a.v, b.v) / (a.length * b.length) >= {COSINE}

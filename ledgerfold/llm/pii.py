@@ -406,5 +406,5 @@ def redact(docs: DataFrame) -> DataFrame:
         ).otherwise(F.char_length("__text"))
         columns["n_chars"] = changed.cast(docs.schema["n_chars"].dataType)
     return masked.select(
-        *[columns.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
+        *[columns.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]
     )

@@ -208,8 +208,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     rows = labelled_texts(docs, labels, "quality", remainder(4) != 2, per_class)
     once = mapped(_encoded, ("doc_id", "label"))
     coded = rows.mapInArrow(once, "doc_id bigint, label int, bag binary")
-    # a task at a time; by id, so that task order does not change the model
-    got = sorted((r.doc_id, r.label, bytes(r.bag)) for r in coded.toLocalIterator())
+    # at most 2 * per_class rows; by id, so that task order does not change the model
+    got = sorted((r.doc_id, r.label, bytes(r.bag)) for r in coded.collect())
     bags = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for _, _, b in got]
     return fit(bags, np.array([y for _, y, _ in got], float))
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerfold.llm.text import (
     chunked,
@@ -140,8 +141,8 @@ def count_texts(texts: list[str | None]) -> dict[str, np.ndarray]:
 def _counted(docs: DataFrame) -> DataFrame:
     """Whole input rows as ``row`` beside the counts and the vote pattern as a number."""
     rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
-    kind = rows.schema["row"].dataType.simpleString()
-    schema = f"row {kind}, " + ", ".join(f"{c} bigint" for c in COUNTS)
+    counts = [T.StructField(c, T.LongType()) for c in COUNTS]
+    schema = T.StructType([rows.schema["row"], *counts])
     counted = rows.mapInArrow(mapped(count_texts, ("row",)), schema)
     pattern = F.lit(0)
     for vote in rules().values():

@@ -210,3 +210,32 @@ def test_conversations_with_odd_rows(spark):
     assert [(r.conv_id, r.n_convs, r.parent_conv_id) for r in root] == [(0, 4, None)]
     assert prefix_trie.trie_report(turns.limit(0)).collect() == []
     assert prefix_trie.trie_report(turns.filter("conv_id IS NULL")).collect() == []
+
+
+ODD = ("my col", "my-col", "a.b", "a:b", "a,b", "tick`ed", "Ünï")
+
+
+@pytest.mark.parametrize("name", FILTERS)
+def test_a_stage_bears_odd_column_names(spark, name):
+    rows = [(i, f"some words of text {i} " * 30, "en", "s1", 3) for i in range(3)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    docs = docs.select("*", *[F.lit(f"own {c}").alias(c) for c in ODD])
+    made = FILTERS[name](docs)
+    assert made.columns == docs.columns
+    for row in made.collect():
+        assert [row[c] for c in ODD] == [f"own {c}" for c in ODD]
+
+
+def test_vectors_of_extreme_magnitude(spark):
+    rows = [(1, [1e-200, 0.0]), (2, [2e-200, 0.0]), (3, [1.0, 0.0]), (4, [2.0, 0.1]), (5, [0.0, 1e200]),
+            (6, [0.0, 3e300]), (7, [5e-324, 0.0]), (8, [-1e300, 1e-300])]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in epsilon_join.linked_vectors(vectors).collect()}
+    assert got == {1: (4, 1), 2: (4, 1), 3: (4, 1), 4: (4, 1), 7: (4, 1), 5: (1, 5), 6: (1, 5), 8: (0, 8)}
+
+
+@pytest.mark.parametrize("rows", [[(1, [1.0, 2.0])] * 9, [(None, [1.0, 2.0])] * 9])
+def test_one_repeated_vector(spark, rows):
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = epsilon_join.linked_vectors(vectors).collect()
+    assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(rows[0][0], 8, rows[0][0])}

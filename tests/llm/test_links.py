@@ -5,6 +5,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerfold.llm import dart_minhash, epsilon_join, graph, mixing
@@ -165,3 +166,28 @@ def test_entropy(spark, sources):
     assert 0 < a < 1 and abs(-(w * np.log(w)).sum() / np.log(len(w)) - 0.9) < 1e-4
     with pytest.raises(ValueError, match="either"):
         mixing.mixed(docs, repetitions=2, entropy=0.5)
+
+
+def test_close_vectors_take_little_memory():
+    """Two full blocks whose vectors are all close: no list of all pairs is made."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    n = 2 * epsilon_join.BLOCK
+    vectors = np.array([1.0, 0, 0, 0, 0, 0, 0, 0]) + rng.normal(0, 0.01, (n, 8))
+    ids = pa.array(np.arange(n))
+    node = pa.StructArray.from_arrays(
+        [pa.array(np.zeros(n, bool)), ids, pa.array([str(i).encode() for i in range(n)])], ["no_id", "id", "digest"]
+    )
+    offsets = pa.array(np.arange(n + 1, dtype=np.int32) * 8)
+    table = pa.table(
+        [pa.array(np.arange(n) // epsilon_join.BLOCK), node, pa.array(np.ones(n, np.int64)),
+         pa.ListArray.from_arrays(offsets, pa.array(vectors.reshape(-1)))],
+        ["block", "node", "copies", "vector"],
+    )
+    tracemalloc.start()
+    made = epsilon_join._joined((pa.scalar(0), pa.scalar(1)), table, np.eye(8)[:, :6], 0.9)
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+    assert made.column("links").to_pylist() == [epsilon_join.BLOCK] * n
+    assert {r["id"] for r in made.column("near").to_pylist()} == {0}
