@@ -50,7 +50,7 @@ WINDOW, GRAM = 13, 4
 # Stretches of GRAM words in a window: an anchor has at most this many windows.
 _REACH = WINDOW - GRAM + 1
 # Bytes of text in a portion and in what is split at once, and for each group and sieve.
-_PORTION, _SPLIT, _GROUP, _SIEVE = 1 << 23, 1 << 21, 10_000_000, 20_000_000
+_PORTION, _SPLIT, _GROUP, _SIEVE = 5 << 20, 1 << 20, 10_000_000, 20_000_000
 _CODEC = pa.Codec("zstd", compression_level=3)
 _FIELDS = [("doc", np.int64), ("key", np.int64), ("start", np.int32), ("left", np.int8), ("windows", np.int8)]
 
