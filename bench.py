@@ -133,7 +133,7 @@ def main() -> None:
             times[f"merge_{name}{label}"] = timed(
                 lambda: None, lambda _: noop(merge(*frames(paths)))
             )
-    for name in merges:
+    for name in (*merges, "closed_key_by_file"):
         times[f"job_{name}"] = timed(seeded, job(name))
     times["job_closed_key_lines"] = timed(lambda: seeded(lines), job("closed_key", lines))
     times["job_closed_key_table"] = timed(tabled(False), job("closed_key"))
