@@ -1,10 +1,13 @@
 """Byte-level BPE encoding and decoding by corpus-level merge replay.
 
-The distinct words of a block of texts are laid out as one list of symbols. An
-inverted index tells for every rank at which positions its pair stands; ranks
+Texts are cut into words and laid down in blocks: the distinct words of a block and,
+for each text, the numbers of its words. The distinct words of the whole corpus are
+then brought together and each is merged once. Those of a task are laid out as lists of
+symbols; an inverted index tells for every rank at which positions its pair stands; ranks
 are replayed from the lowest, each at all its positions at once, and only the
-neighbours of merged symbols are looked up again. Blocks are bounded, so memory
-is too; a single longer text is a block of its own.
+neighbours of merged symbols are looked up again. Words go back to the blocks that
+hold them, where numbers become ids. Blocks and lists are bounded, so memory is
+too; a single longer text is a block of its own.
 
 Null texts read as empty: no tokens. Repeated rows are encoded alike; an empty
 table gives no rows.
@@ -14,24 +17,31 @@ from __future__ import annotations
 
 import base64
 from collections import defaultdict
+from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 from hashlib import sha256
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgerfold.llm.text import mapped
+from ledgerfold.session import scratch_path
 
-# Code points of text encoded together, and encoded words a task remembers.
-BLOCK, REMEMBERED = 1 << 20, 100_000
+# Code points of a block of texts, what a text counts for besides, and code points of words
+# that are replayed together.
+BLOCK, EACH, REPLAYED = 1 << 20, 16, 1 << 22
 
 
 class Ranks:
     """Tokens by rank; two adjacent tokens merge when their joined bytes are a token."""
 
-    def __init__(self, path: str, pattern: str) -> None:
+    def __init__(self, path: str) -> None:
         with open(path, "rb") as file:
             lines = [line.split() for line in file if line.strip()]
         self.rank = {base64.b64decode(token): int(rank) for token, rank in lines}
@@ -51,10 +61,6 @@ class Ranks:
         pairs.sort()
         self.pair = np.array([p for p, _ in pairs] + [np.iinfo(np.int64).max], np.int64)
         self.made = np.array([r for _, r in pairs] + [-1], np.int64)
-        self.pieces = regex.compile(pattern).findall
-        self.place: dict[str, int] = {}
-        self.ids: np.ndarray = np.zeros(0, np.int64)
-        self.first: np.ndarray = np.zeros(1, np.int64)
 
     def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each joined pair, -1 where it is no token or a side is missing (-1)."""
@@ -164,85 +170,155 @@ class Ranks:
                     heappush(heap, (found, k))
         return [s for s, a in zip(symbols, alive, strict=True) if a]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Token ids of each text."""
-        if len(self.place) > REMEMBERED:
-            self.place, self.ids, self.first = {}, np.zeros(0, np.int64), np.zeros(1, np.int64)
-        place = self.place
-        spoken = [self.pieces(t) for t in texts]
-        fresh = list(dict.fromkeys(p for pieces in spoken for p in pieces if p not in place))
-        if fresh:
-            ids, first = self.replay([p.encode("utf-8") for p in fresh])
-            place.update(zip(fresh, range(len(place), len(place) + len(fresh)), strict=True))
-            self.first = np.concatenate((self.first, first[1:] + self.first[-1]))
-            self.ids = np.concatenate((self.ids, ids))
-        made = []
-        for pieces in spoken:
-            at = np.fromiter(map(place.__getitem__, pieces), np.int64, len(pieces))
-            begin, count = self.first[at], self.first[at + 1] - self.first[at]
-            ends = np.cumsum(count)
-            within = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - count, count)
-            made.append(self.ids[np.repeat(begin, count) + within])
-        return made
-
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.token.__getitem__, ids.tolist()))
 
 
 @lru_cache(maxsize=2)
-def ranks(path: str, pattern: str) -> Ranks:
-    return Ranks(path, pattern)
-
-
-def _blocks(texts: list[str | None]) -> list[list[str]]:
-    made, size = [[]], 0
-    for text in texts:
-        if made[-1] and size + len(text or "") > BLOCK:
-            made.append([])
-            size = 0
-        made[-1].append(text or "")
-        size += len(text or "")
-    return made if texts else []
-
-
-def encode_texts(texts: list[str | None], path: str, pattern: str) -> dict[str, list]:
-    """Ids as little-endian unsigned 32-bit integers."""
-    table = ranks(path, pattern)
-    coded = [ids for block in _blocks(texts) for ids in table.encode(block)]
-    return {"ids": [ids.astype("<u4").tobytes() for ids in coded]}
-
-
-def decode_ids(packed: list[bytes | None], path: str, pattern: str) -> dict[str, list]:
-    table = ranks(path, pattern)
+def ranks(path: str) -> Ranks:
+    return Ranks(path)
+
+
+def _block(number: int, ids: list, texts: list[str], cut: Callable[[str], list[str]]) -> list:
+    spoken = [cut(t) for t in texts]
+    place = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(spoken)))}
+    counts = [len(words) for words in spoken]
+    numbers = np.fromiter(map(place.__getitem__, chain.from_iterable(spoken)), np.uint32, sum(counts))
+    return [number, ids, counts, numbers.astype(_width(len(place))).tobytes(), list(place)]
+
+
+def _width(words: int) -> str:
+    """Type of the numbers of so many words."""
+    return "<u2" if words <= 1 << 16 else "<u4"
+
+
+def lay_down(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[pa.RecordBatch]:
+    """One row for each block of texts, numbered by its task and its place in it."""
+    cut, next_number = regex.compile(pattern).findall, TaskContext.get().partitionId() << 32
+    names = ["block", "doc_id", "counts", "numbers", "words"]
+    ids, texts, size, kind = [], [], 0, None
+
+    def row() -> pa.RecordBatch:
+        values = _block(next_number, ids, texts, cut)
+        kinds = [pa.int64(), pa.list_(kind), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.string())]
+        arrays = [pa.array([v], k) for v, k in zip(values, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names)
+
+    for batch in batches:
+        kind = batch.column("doc_id").type
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            text = text.as_py() or ""
+            if ids and size + len(text) + EACH > BLOCK:
+                yield row()
+                ids, texts, size, next_number = [], [], 0, next_number + 1
+            ids.append(doc_id)
+            texts.append(text)
+            size += len(text) + EACH
+    if ids:
+        yield row()
+
+
+def replayed(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """``word`` and its token ids (packed little-endian unsigned 32-bit integers)."""
+    table, words, size = ranks(path), [], 0
+
+    def rows() -> pa.RecordBatch:
+        ids, first = table.replay([w.encode("utf-8") for w in words])
+        packed, at = ids.astype("<u4").tobytes(), (first * 4).tolist()
+        tokens = [packed[i:j] for i, j in zip(at, at[1:], strict=False)]
+        columns = [pa.array(words, pa.string()), pa.array(tokens, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["word", "ids"])
+
+    for batch in batches:
+        for word in batch.column("word").to_pylist():
+            words.append(word)
+            size += len(word)
+            if size >= REPLAYED:
+                yield rows()
+                words, size = [], 0
+    if words:
+        yield rows()
+
+
+def _packed(block: pa.Table, words: pa.Table) -> Iterator[bytes]:
+    """Packed ids of each text of a block, from the ids of its words."""
+    order = np.argsort(words.column("n").to_numpy())
+    tokens = words.column("ids").take(pa.array(order)).to_pylist()
+    sizes = np.fromiter(map(len, tokens), np.int64, len(tokens)) // 4
+    ids, begin = np.frombuffer(b"".join(tokens), "<u4"), np.cumsum(sizes) - sizes
+    numbers = np.frombuffer(block.column("numbers")[0].as_py(), _width(len(tokens)))
+    count = sizes[numbers]
+    ends = np.concatenate(([0], np.cumsum(count)))
+    within = np.arange(ends[-1]) - np.repeat(ends[:-1], count)
+    whole = ids[np.repeat(begin[numbers], count) + within].tobytes()
+    last = np.cumsum([0, *block.column("counts")[0].as_py()])
+    at = (ends[last] * 4).tolist()
+    return (whole[i:j] for i, j in zip(at, at[1:], strict=False))
+
+
+def _filled(key: tuple, block: pa.Table, words: pa.Table) -> pa.Table:
+    """``doc_id`` and ``ids`` of the texts of a block."""
+    packed = pa.array(list(_packed(block, words)), pa.binary())
+    return pa.table({"doc_id": block.column("doc_id")[0].values, "ids": packed})
+
+
+def _digested(key: tuple, block: pa.Table, words: pa.Table, path: str) -> pa.Table:
+    """Number and digest of the ids of each text, and digest of the bytes they decode to."""
+    table, counts, coded, decoded = ranks(path), [], [], []
+    for packed in _packed(block, words):
+        counts.append(len(packed) // 4)
+        coded.append(sha256(packed).hexdigest())
+        decoded.append(sha256(table.decode(np.frombuffer(packed, "<u4"))).hexdigest())
+    columns = {"n_tokens": pa.array(counts, pa.int64()), "ids_sha256": pa.array(coded, pa.string())}
+    columns["decoded_sha256"] = pa.array(decoded, pa.string())
+    return pa.table({"doc_id": block.column("doc_id")[0].values} | columns)
+
+
+def decode_ids(packed: list[bytes | None], path: str) -> dict[str, list]:
+    table = ranks(path)
     return {"text": [table.decode(np.frombuffer(ids or b"", "<u4")) for ids in packed]}
 
 
-def digests(texts: list[str | None], path: str, pattern: str) -> dict[str, list]:
-    """Number and digest of the ids, and digest of the bytes they decode to."""
-    packed = encode_texts(texts, path, pattern)["ids"]
-    decoded = decode_ids(packed, path, pattern)["text"]
-    return {
-        "n_tokens": np.array([len(p) // 4 for p in packed], np.int64),
-        "ids_sha256": [sha256(p).hexdigest() for p in packed],
-        "decoded_sha256": [sha256(t).hexdigest() for t in decoded],
-    }
+def _coded(docs: DataFrame, path: str, pattern: str, fill: Callable, schema: str) -> DataFrame:
+    """Blocks are written once, as words and numbers; they meet the ids of their words again by block.
+
+    A word that stands in very many blocks makes a hot key of the first join only, which
+    adaptive execution splits; a block's words are bounded by its size.
+    """
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
+    laid = f"block bigint, doc_id array<{kind}>, counts array<int>, numbers binary, words array<string>"
+    at = scratch_path(spark, "blocks")
+    made = docs.select("doc_id", "text").mapInArrow(partial(lay_down, pattern=pattern), laid)
+    made.write.option("compression", "zstd").parquet(at)
+    heard = spark.read.schema(laid).parquet(at).select(
+        F.col("block").alias("of"), F.posexplode("words").alias("n", "word")
+    )
+    known = heard.select("word").distinct().mapInArrow(
+        partial(replayed, path=path), "word string, ids binary"
+    )
+    sent = heard.join(known, "word").select("of", "n", "ids")
+    blocks = spark.read.schema(laid).parquet(at).drop("words")
+    both = blocks.groupBy("block").cogroup(sent.groupBy("of"))
+    return both.applyInArrow(fill, f"doc_id {kind}, {schema}")
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id`` and ``ids`` (packed little-endian unsigned 32-bit integers)."""
-    code = mapped(partial(encode_texts, path=path, pattern=pattern), ("doc_id",))
-    return docs.select("doc_id", "text").mapInArrow(code, "doc_id bigint, ids binary")
+    return _coded(docs, path, pattern, _filled, "ids binary")
 
 
-def decode(coded: DataFrame, path: str, pattern: str) -> DataFrame:
+def decode(coded: DataFrame, path: str) -> DataFrame:
     """``doc_id`` and ``text`` (the decoded bytes) of packed ids."""
-    code = mapped(partial(decode_ids, path=path, pattern=pattern), ("doc_id",), "ids")
-    return coded.select("doc_id", "ids").mapInArrow(code, "doc_id bigint, text binary")
+    code = mapped(partial(decode_ids, path=path), ("doc_id",), "ids")
+    kind = coded.schema["doc_id"].dataType.simpleString()
+    return coded.select("doc_id", "ids").mapInArrow(code, f"doc_id {kind}, text binary")
 
 
 def encoded_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``."""
-    code = mapped(partial(digests, path=path, pattern=pattern), ("doc_id",))
-    return docs.select("doc_id", "text").mapInArrow(
-        code, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    )
+
+    def fill(key: tuple, block: pa.Table, words: pa.Table) -> pa.Table:
+        return _digested(key, block, words, path)
+
+    schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return _coded(docs, path, pattern, fill, schema)

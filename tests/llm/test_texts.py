@@ -42,21 +42,32 @@ def test_token_counts(texts):
     assert got["n_bytes"].tolist() == [len((t or "").encode()) for t in texts]
 
 
-def test_encoding(texts):
+def test_encoding(spark, texts, monkeypatch):
     with open(RANKS, "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
     library = tiktoken.Encoding(
         "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
     )
-    coded = byte_bpe.encode_texts(texts, RANKS, public_tokenizers.PATTERN)["ids"]
-    for text, packed in zip(texts, coded, strict=True):
-        assert np.frombuffer(packed, "<u4").tolist() == library.encode_ordinary(text or "")
-    back = byte_bpe.decode_ids(coded, RANKS, public_tokenizers.PATTERN)["text"]
-    assert [b.decode() for b in back] == [t or "" for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    monkeypatch.setattr(byte_bpe, "BLOCK", 1 << 14)
+    coded = byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN).cache()
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in coded.collect()}
+    assert got == {i: library.encode_ordinary(t or "") for i, t in enumerate(texts)}
+    back = byte_bpe.decode(coded, RANKS).collect()
+    assert {r.doc_id: bytes(r.text).decode() for r in back} == {i: t or "" for i, t in enumerate(texts)}
+    coded.unpersist()
+    # the digests of a report, over blocks of the usual size
+    monkeypatch.undo()
+    report = byte_bpe.encoded_digests(docs, RANKS, public_tokenizers.PATTERN).collect()
+    for r in report:
+        ids = np.array(got[r.doc_id], "<u4").tobytes()
+        assert (r.n_tokens, r.ids_sha256) == (len(ids) // 4, sha256(ids).hexdigest())
+        assert r.decoded_sha256 == sha256((texts[r.doc_id] or "").encode()).hexdigest()
+    assert len(report) == len(texts)
 
 
 def test_replay_is_the_same_as_one_by_one():
-    rng, table = random.Random(5), byte_bpe.ranks(RANKS, public_tokenizers.PATTERN)
+    rng, table = random.Random(5), byte_bpe.ranks(RANKS)
     words = {"".join(rng.choices("aeinorst-=*. ", k=rng.randint(1, 30))) for _ in range(20_000)}
     words = [w.encode() for w in sorted(words)]
     ids, first = table.replay(words)
