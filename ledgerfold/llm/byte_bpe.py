@@ -22,6 +22,7 @@ from functools import lru_cache, partial
 from hashlib import sha256
 from heapq import heapify, heappop, heappush
 from itertools import chain
+from zlib import compress, decompress
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +34,9 @@ from pyspark.sql import functions as F
 from ledgerfold.llm.text import mapped
 from ledgerfold.session import scratch_path
 
-# Code points of a block of texts, what a text counts for besides, and code points of words
-# that are replayed together.
-BLOCK, EACH, REPLAYED = 1 << 20, 16, 1 << 22
+# Code points of a block of texts, what a text counts for besides, and bytes of words (as often
+# as blocks hold them) that are replayed together.
+BLOCK, EACH, REPLAYED = 1 << 22, 16, 1 << 23
 
 
 class Ranks:
@@ -51,6 +52,7 @@ class Ranks:
             self.token[rank] = token
         self.single = np.array([self.rank[bytes([b])] for b in range(256)], np.int64)
         self.width = size
+        self.kind = "<u2" if size <= 1 << 16 else "<u4"
         pairs = [
             (left * size + right, rank)
             for token, rank in self.rank.items()
@@ -184,7 +186,10 @@ def _block(number: int, ids: list, texts: list[str], cut: Callable[[str], list[s
     place = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(spoken)))}
     counts = [len(words) for words in spoken]
     numbers = np.fromiter(map(place.__getitem__, chain.from_iterable(spoken)), np.uint32, sum(counts))
-    return [number, ids, counts, numbers.astype(_width(len(place))).tobytes(), list(place)]
+    # all low bytes, then all high ones: those are mostly zero, as frequent words come early
+    kind = np.dtype(_width(len(place)))
+    planes = numbers.astype(kind).view(np.uint8).reshape(len(numbers), kind.itemsize).T
+    return [number, ids, counts, compress(planes.tobytes(), 1), list(place)]
 
 
 def _width(words: int) -> str:
@@ -218,54 +223,80 @@ def lay_down(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[pa.Rec
         yield row()
 
 
+def _gathered(ids: np.ndarray, first: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the words numbered ``at``, one after another, and where each begins (and the end)."""
+    count = first[at + 1] - first[at]
+    ends = np.concatenate(([0], np.cumsum(count)))
+    within = np.arange(ends[-1]) - np.repeat(ends[:-1], count)
+    return ids[np.repeat(first[at], count) + within], ends
+
+
 def replayed(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """``word`` and its token ids (packed little-endian unsigned 32-bit integers)."""
-    table, words, size = ranks(path), [], 0
+    """Sorted words with their places, to the ids of each block's words.
+
+    One row for each block whose words were replayed together: their numbers, numbers of
+    ids, and ids.
+    """
+    table, held, size = ranks(path), [], 0
 
     def rows() -> pa.RecordBatch:
-        ids, first = table.replay([w.encode("utf-8") for w in words])
-        packed, at = ids.astype("<u4").tobytes(), (first * 4).tolist()
-        tokens = [packed[i:j] for i, j in zip(at, at[1:], strict=False)]
-        columns = [pa.array(words, pa.string()), pa.array(tokens, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["word", "ids"])
+        spots = pa.Table.from_batches(held)
+        coded = spots.column("word").combine_chunks().dictionary_encode()
+        ids, first = table.replay([w.encode("utf-8") for w in coded.dictionary.to_pylist()])
+        block = spots.column("of").to_numpy()
+        order = np.argsort(block, kind="stable")
+        block, n = block[order], spots.column("n").to_numpy()[order].astype("<u4")
+        ids, ends = _gathered(ids, first, coded.indices.to_numpy()[order].astype(np.int64))
+        ids, sizes = ids.astype(table.kind), np.diff(ends).astype("<u4")
+        cuts = np.concatenate((np.flatnonzero(np.diff(block, prepend=-1)), [len(block)])).tolist()
+        parts = list(zip(cuts, cuts[1:], strict=False))
+        columns = {
+            "of": pa.array(block[cuts[:-1]], pa.int64()),
+            "n": pa.array([n[i:j].tobytes() for i, j in parts], pa.binary()),
+            "sizes": pa.array([sizes[i:j].tobytes() for i, j in parts], pa.binary()),
+            "ids": pa.array([ids[ends[i] : ends[j]].tobytes() for i, j in parts], pa.binary()),
+        }
+        return pa.RecordBatch.from_pydict(columns)
 
     for batch in batches:
-        for word in batch.column("word").to_pylist():
-            words.append(word)
-            size += len(word)
-            if size >= REPLAYED:
-                yield rows()
-                words, size = [], 0
-    if words:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.column("word").nbytes
+        if size >= REPLAYED:
+            yield rows()
+            held, size = [], 0
+    if held:
         yield rows()
 
 
-def _packed(block: pa.Table, words: pa.Table) -> Iterator[bytes]:
+def _packed(block: pa.Table, words: pa.Table, table: Ranks) -> Iterator[bytes]:
     """Packed ids of each text of a block, from the ids of its words."""
-    order = np.argsort(words.column("n").to_numpy())
-    tokens = words.column("ids").take(pa.array(order)).to_pylist()
-    sizes = np.fromiter(map(len, tokens), np.int64, len(tokens)) // 4
-    ids, begin = np.frombuffer(b"".join(tokens), "<u4"), np.cumsum(sizes) - sizes
-    numbers = np.frombuffer(block.column("numbers")[0].as_py(), _width(len(tokens)))
-    count = sizes[numbers]
-    ends = np.concatenate(([0], np.cumsum(count)))
-    within = np.arange(ends[-1]) - np.repeat(ends[:-1], count)
-    whole = ids[np.repeat(begin[numbers], count) + within].tobytes()
-    last = np.cumsum([0, *block.column("counts")[0].as_py()])
-    at = (ends[last] * 4).tolist()
-    return (whole[i:j] for i, j in zip(at, at[1:], strict=False))
 
+    def joined(name: str, kind: str) -> np.ndarray:
+        return np.frombuffer(b"".join(words.column(name).to_pylist()), kind)
+
+    n, sizes, ids = joined("n", "<u4"), joined("sizes", "<u4"), joined("ids", table.kind)
+    first, order = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), np.argsort(n)
+    ids, first = _gathered(ids, first, order)
+    kind, bare = np.dtype(_width(len(n))), decompress(block.column("numbers")[0].as_py())
+    planes = np.frombuffer(bare, np.uint8).reshape(kind.itemsize, len(bare) // kind.itemsize)
+    at = np.ascontiguousarray(planes.T).view(kind).ravel().astype(np.int64)
+    whole, ends = _gathered(ids, first, at)
+    packed, last = whole.astype("<u4").tobytes(), np.cumsum([0, *block.column("counts")[0].as_py()])
+    cuts = (ends[last] * 4).tolist()
+    return (packed[i:j] for i, j in zip(cuts, cuts[1:], strict=False))
 
-def _filled(key: tuple, block: pa.Table, words: pa.Table) -> pa.Table:
+
+def _filled(key: tuple, block: pa.Table, words: pa.Table, path: str) -> pa.Table:
     """``doc_id`` and ``ids`` of the texts of a block."""
-    packed = pa.array(list(_packed(block, words)), pa.binary())
+    packed = pa.array(list(_packed(block, words, ranks(path))), pa.binary())
     return pa.table({"doc_id": block.column("doc_id")[0].values, "ids": packed})
 
 
 def _digested(key: tuple, block: pa.Table, words: pa.Table, path: str) -> pa.Table:
     """Number and digest of the ids of each text, and digest of the bytes they decode to."""
     table, counts, coded, decoded = ranks(path), [], [], []
-    for packed in _packed(block, words):
+    for packed in _packed(block, words, table):
         counts.append(len(packed) // 4)
         coded.append(sha256(packed).hexdigest())
         decoded.append(sha256(table.decode(np.frombuffer(packed, "<u4"))).hexdigest())
@@ -282,8 +313,7 @@ def decode_ids(packed: list[bytes | None], path: str) -> dict[str, list]:
 def _coded(docs: DataFrame, path: str, pattern: str, fill: Callable, schema: str) -> DataFrame:
     """Blocks are written once, as words and numbers; they meet the ids of their words again by block.
 
-    A word that stands in very many blocks makes a hot key of the first join only, which
-    adaptive execution splits; a block's words are bounded by its size.
+    However frequent a word is, it takes one row a block, one of thousands; they stream through their task.
     """
     spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     laid = f"block bigint, doc_id array<{kind}>, counts array<int>, numbers binary, words array<string>"
@@ -293,13 +323,16 @@ def _coded(docs: DataFrame, path: str, pattern: str, fill: Callable, schema: str
     heard = spark.read.schema(laid).parquet(at).select(
         F.col("block").alias("of"), F.posexplode("words").alias("n", "word")
     )
-    known = heard.select("word").distinct().mapInArrow(
-        partial(replayed, path=path), "word string, ids binary"
+    known = heard.repartition("word").sortWithinPartitions("word").mapInArrow(
+        partial(replayed, path=path), "of bigint, n binary, sizes binary, ids binary"
     )
-    sent = heard.join(known, "word").select("of", "n", "ids")
     blocks = spark.read.schema(laid).parquet(at).drop("words")
-    both = blocks.groupBy("block").cogroup(sent.groupBy("of"))
-    return both.applyInArrow(fill, f"doc_id {kind}, {schema}")
+    both = blocks.groupBy("block").cogroup(known.groupBy("of"))
+
+    def filled(key: tuple, block: pa.Table, words: pa.Table) -> pa.Table:
+        return fill(key, block, words, path)
+
+    return both.applyInArrow(filled, f"doc_id {kind}, {schema}")
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -316,9 +349,5 @@ def decode(coded: DataFrame, path: str) -> DataFrame:
 
 def encoded_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``."""
-
-    def fill(key: tuple, block: pa.Table, words: pa.Table) -> pa.Table:
-        return _digested(key, block, words, path)
-
     schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return _coded(docs, path, pattern, fill, schema)
+    return _coded(docs, path, pattern, _digested, schema)
