@@ -35,14 +35,23 @@ STRICT = {
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){11,18}+(?![ -]?[0-9])",
     "phone": r"\+[0-9](?:[ ().-]*+[0-9]){8,14}+(?![ ().-]*+[0-9])",
 }
+# Signs of an address that are spelt out: " at ", "(at)", "[dot]". The last label is one of a
+# few, since "at" and "dot" are also plain words.
+_AT, _DOT = (rf"(?i:[ ]?[(\[{{]{w}[)\]}}][ ]?|[ ]{w}[ ])" for w in ("at", "dot"))
+_SPELT = (
+    rf"(?<!{_LOCAL}){_LOCAL}++{_AT}[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)*?"
+    rf"{_DOT}(?i:com|org|net|edu|gov|info|io)(?![A-Za-z0-9-])"
+)
 LOOSE = {
-    "email": r"[^\s@<>\"'(),;:]++@[^\s@<>\"'(),;:]++",
+    "email": rf"[^\s@<>\"'(),;:]++@[^\s@<>\"'(),;:]++|{_SPELT}",
     "ip": r"(?:(?<![0-9])|\G)[0-9]++(?:[.:][0-9]++){3,}+",
     "card": r"(?<![0-9])(?<![0-9][ ./-])[0-9](?:[ ./-]?[0-9]){8,}+",
-    "phone": r"(?<![0-9])\(?[0-9]{2,4}\)?[ ./-]?[0-9]{3,4}[ ./-]?[0-9]{3,4}(?![0-9])",
+    "phone": r"(?<![0-9])(?:(?<!\+)[0-9]{1,2}(?:[ .-][0-9]{2}){4}|"
+    r"\(?[0-9]{2,4}\)?[ ./-]?[0-9]{3,4}[ ./-]?[0-9]{3,4})(?![0-9])",
 }
 # What a text must hold for the patterns of a kind to be tried.
 NEEDS = {"email": "@", "ip": "[0-9][.:][0-9]", "card": "[0-9]", "phone": "[0-9]"}
+LOOSE_NEEDS = NEEDS | {"email": rf"@|{_DOT}"}
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _WORDS = r"(?i)mail|contact|phone|tel|call|mobile|fax|card|visa|credit|host|address|server"
 
@@ -198,8 +207,19 @@ def features(c: Column) -> dict[str, Column]:
     }
 
 
+def _written(match: Column) -> Column:
+    """An address with its spelt-out signs as signs."""
+    signs = F.regexp_replace(F.regexp_replace(match, _AT, "@"), _DOT, ".")
+    return F.when(match.contains("@"), match).otherwise(signs)
+
+
 def _candidate(kind: str, c: Column) -> Column:
-    """A proposed span with its feature code, and whether it holds a strict one."""
+    """A proposed span with its feature code, whether it holds a strict one (spelt-out
+    signs read as signs), and whether that is a base span already."""
+    if kind == "email":
+        spelt, c = ~c["match"].contains("@"), c.withField("match", _written(c["match"]))
+    else:
+        spelt = F.lit(False)
     code = F.lit(0)
     for name, value in features(c).items():
         code = code * FEATURES[name].levels + value
@@ -208,12 +228,14 @@ def _candidate(kind: str, c: Column) -> Column:
         # a candidate is the national number, at the end of a strict one
         seen, pattern = F.concat(c["left"], c["match"]), pattern + "$"
     strict = F.regexp_extract_all(seen, F.lit(pattern), F.lit(0))
+    holds = F.exists(strict, lambda m: valid(kind, m))
     return F.struct(
         F.lit(kind).alias("kind"),
         c["start"].alias("start"),
         c["end"].alias("end"),
         code.alias("code"),
-        F.exists(strict, lambda m: valid(kind, m)).alias("strict"),
+        holds.alias("strict"),
+        (holds & ~spelt).alias("held"),
     )
 
 
@@ -222,7 +244,7 @@ def spotted(docs: DataFrame) -> DataFrame:
     df = docs.select(F.struct("*").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     for kind in KINDS:
         df = _found(df, f"strict_{kind}", STRICT[kind], NEEDS[kind])
-        df = _found(df, f"loose_{kind}", LOOSE[kind], NEEDS[kind])
+        df = _found(df, f"loose_{kind}", LOOSE[kind], LOOSE_NEEDS[kind])
 
     def strict(kind: str) -> Column:
         passed = F.filter(f"strict_{kind}", lambda c: valid(kind, c["match"]))
@@ -345,7 +367,7 @@ def pii_spans(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
         test = F.lit(False)
         for kind, codes in chosen.items():
             test = test | ((c["kind"] == kind) & c["code"].isin(codes))
-        return test & ~c["strict"]
+        return test & ~c["held"]
 
     added = F.transform(
         F.filter("proposed", takes), lambda c: _span(c["start"], c["kind"], c["end"])

@@ -208,6 +208,29 @@ def test_boosting_adds_what_looks_alike(spark):
     assert all(r.n_phone == 0 for r in added) and all("phone:" in r.spans for r in added)
 
 
+def test_boosting_adds_pairs_and_spelt_out_addresses(spark):
+    rng = random.Random(10)
+    rows = []
+    for i in range(900):
+        pairs, name = " ".join(f"{rng.randint(10, 99)}" for _ in range(4)), rng.choice(["ann", "li.b", "me"])
+        country = "" if i % 60 == 0 else "+33 "
+        address = f"{name} at ex dot com" if i % 60 == 0 else f"{name}@ex.com"
+        if i % 60 == 30:
+            address = f"{name} [at] mail (dot) ex DOT org"
+        plain = "look at the dot on it, at noon dot by dot"
+        rows.append((i, f"call {country}06 {pairs} or write to {address} now. {plain} {rng.randint(1, 99)}"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    texts = dict(rows)
+    for r in pii.pii_report(docs).collect():
+        spans = [s.split(":") for s in r.spans.split(",")]
+        found = {(k, texts[r.doc_id][int(a) : int(b)]) for k, a, b in spans}
+        number = re.search(r"06(?: [0-9]{2}){4}", texts[r.doc_id])[0]
+        address = re.search(r"write to (.*) now", texts[r.doc_id])[1]
+        assert ("email", address) in found and r.n_email == (r.doc_id % 30 != 0)
+        assert any(k == "phone" and t.endswith(number) for k, t in found)
+        assert r.n_phone == (r.doc_id % 60 != 0) and not any("look" in t or "noon" in t for _, t in found)
+
+
 def test_redaction(spark):
     text = "mail me@ex.com, +1 (415) 555-2671 or 10.0.0.1; é🙂 4111111111111111."
     docs = spark.createDataFrame([(1, text, len(text)), (2, "nothing", 7)], "doc_id long, text string, n_chars int")
