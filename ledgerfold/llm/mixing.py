@@ -9,7 +9,8 @@ the last pass of a source stops where its budget of tokens ends.
 
 Tokens are words (stretches without white space). Null and empty texts have none;
 a source of such texts alone is passed once. A null source is a source like any
-other. Repeated rows are drawn one by one; an empty table gives no rows.
+other. Repeated rows are drawn one by one, but if a budget ends among rows with one id
+and text, the last pass repeats one of them; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -43,7 +44,9 @@ def _slot(block: Column, turn: Column) -> Column:
 
 def sized(docs: DataFrame, seed: str) -> DataFrame:
     """``row`` (the input row) with source, tokens, hashed order and block."""
-    spread = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
+    # the text too, so that rows which share an id (or have none) are in many blocks
+    spread = F.md5(F.concat(F.lit(f"{seed}:"), name, F.lit(":"), F.coalesce(F.md5("text"), F.lit("-"))))
     rows = docs.select(
         F.struct("*").alias("row"),
         F.col("source").alias("source"),
@@ -146,6 +149,45 @@ def plan(
     )
 
 
+def _edge(rows: DataFrame) -> DataFrame:
+    """Rows of the blocks in which budgets end, with the passes that draw them: ``times``, from
+    ``since`` on.
+
+    Equal rows (of one spread) are counted first, and running sums go by stretches of the spread and
+    then inside one, over counts alone, so no task sorts a block or a group of copies.
+    """
+    stretch = F.substring("spread", 9, 3).alias("stretch")
+    key = F.coalesce(F.md5(F.col("source").cast("string")), F.lit("-")).alias("of_key")
+    keyed = rows.withColumn("of_key", key)
+    groups = keyed.groupBy("of_key", "spread", stretch, "tokens").agg(
+        F.count(F.lit(1)).alias("n"), F.first("left").alias("left")
+    )
+    sums = groups.groupBy("of_key", "stretch").agg(F.sum(F.col("n") * F.col("tokens")).alias("sum"))
+    # at most 4,096 stretches a source
+    earlier = Window.partitionBy("of_key").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    begun = sums.select("of_key", "stretch", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("begin"))
+    inside = (
+        Window.partitionBy("of_key", "stretch").orderBy("spread").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    own = F.coalesce(F.sum(F.col("n") * F.col("tokens")).over(inside), F.lit(0))
+    free = F.col("left") - F.col("begin") - own
+    fit = F.when(F.col("tokens") == 0, F.col("n")).otherwise(F.floor(free / F.col("tokens")))
+    taken = F.when(free < 0, F.lit(0)).otherwise(F.least(fit, F.col("n"))).cast("bigint")
+    fitted = groups.join(begun, ["of_key", "stretch"]).select("of_key", "spread", "n", taken.alias("taken"))
+    placed = keyed.join(fitted, ["of_key", "spread"])
+    full = (F.col("taken") == F.col("n")).cast("bigint")
+    alone = placed.withColumn("times", F.col("passes") + full).withColumn("since", F.lit(0).cast("bigint"))
+    # where only some of several equal rows fit, one stands for them: at most one group a source
+    names = rows.columns
+    split = placed.filter("taken > 0 AND taken < n").groupBy("of_key", "spread").agg(
+        *[F.first(c).alias(c) for c in names if c != "spread"], F.first("taken").alias("taken")
+    )
+    again = split.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "taken")))
+    more = again.withColumn("times", F.col("passes") + 1).withColumn("since", F.col("passes"))
+    columns = [*names, "times", "since"]
+    return alone.select(*columns).unionByName(more.select(*columns))
+
+
 def mixed(
     docs: DataFrame,
     repetitions: float | None = REPETITIONS,
@@ -171,17 +213,9 @@ def mixed(
     edge = F.col("last") == F.col("cut")
     sure = drawn.filter(~edge).withColumn(
         "times", F.col("passes") + (F.col("last") < F.col("cut")).cast("bigint")
-    )
-    # the one block of a source in which its budget ends, document by document
-    order = (
-        Window.partitionBy("source")
-        .orderBy("spread", "tokens", F.md5("row.text"))
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    within = F.sum("tokens").over(order) <= F.col("left")
-    some = drawn.filter(edge).withColumn("times", F.col("passes") + within.cast("bigint"))
-    each = sure.unionByName(some).filter("times > 0")
-    turns = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("times") - 1)).alias("pass")
+    ).withColumn("since", F.lit(0).cast("bigint"))
+    each = sure.unionByName(_edge(drawn.filter(edge)).select(*sure.columns)).filter("times > 0")
+    turns = F.explode(F.sequence("since", F.col("times") - 1)).alias("pass")
     return each.select("row", "source", "tokens", "block", turns).select(
         "row", "source", "tokens", "pass", _slot(F.col("block"), F.col("pass")).alias("slot")
     )
@@ -203,7 +237,7 @@ def mixing_sql() -> str:
     """The report in SQL; with the default settings the exponent has a closed form."""
     return f"""
 WITH sized AS (
-  SELECT doc_id, source, text, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '-')) AS spread,
+  SELECT doc_id, source, text, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || coalesce(md5(text), '-')) AS spread,
          len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens
   FROM documents
 ), rows AS (
@@ -243,7 +277,7 @@ WITH sized AS (
 ), counted AS (
   SELECT *, CASE WHEN last <> cut THEN passes + CAST(last < cut AS BIGINT)
     ELSE passes + CAST(sum(CASE WHEN last = cut THEN tokens ELSE 0 END) OVER (
-      PARTITION BY source, last = cut ORDER BY spread, tokens, md5(text)
+      PARTITION BY source, last = cut ORDER BY spread
       ROWS UNBOUNDED PRECEDING) <= left_over AS BIGINT) END AS times
   FROM drawn
 ), each AS (

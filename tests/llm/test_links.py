@@ -144,6 +144,15 @@ def test_mixing_is_as_in_sql(spark, sources):
     assert got == _mixed_in_sql(sources)
 
 
+def test_mixing_of_copies_is_as_in_sql(spark, sources):
+    # rows of one id, of none, and copies of one row, each many enough to hold the end of a budget
+    rows = sources + [(9, "x y z", "s0")] * 700 + [(None, f"q {'r ' * (i % 5)}", "s3") for i in range(300)]
+    rows += [(8, "u v", "s2")] * 90 + [(8, None, "s2")] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = sorted(map(tuple, mixing.mixing_report(docs).collect()), key=repr)
+    assert got == _mixed_in_sql(rows)
+
+
 def test_repetitions_and_budget(spark, sources):
     docs = spark.createDataFrame(sources, "doc_id long, text string, source string")
     size, drawn = Counter(), Counter()
