@@ -107,7 +107,7 @@ def test_stages_return_the_columns_of_documents(spark):
 @pytest.mark.parametrize("name", sorted(q for q in driver.oracle_sql() if q[:2] == "op" and q[2].isdigit()))
 def test_queries_with_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     want = con.sql(driver.oracle_sql()[name])
     order = sorted(want.columns)
