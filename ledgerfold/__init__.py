@@ -1,6 +1,6 @@
 """Keep a type-2 slowly-changing-dimension replica up to date from increments."""
 
-from ledgerfold.operators.checks import new_entities, reconcile
+from ledgerfold.operators.checks import new_entities, reconcile, reconcile_counts
 from ledgerfold.operators.merge import (
     changes_closed_key,
     changes_closed_key_by_subpartition,
@@ -24,12 +24,14 @@ from ledgerfold.operators.slices import (
 from ledgerfold.operators.fingerprints import differing_months, fingerprint_by_month
 from ledgerfold.plans.jobs import (
     apply_increment,
+    compact_replica,
     declare_schema,
     reconcile_chain,
     rejected_rows,
     resume_run,
     undo_run,
 )
+from ledgerfold.sources.footers import footer_counts
 from ledgerfold.sources.replica import read_increment, read_replica, seed
 from ledgerfold.sources.staging import (
     append_rest,
@@ -53,12 +55,14 @@ __all__ = [
     "changes_latest",
     "closed_keys",
     "closed_slice",
+    "compact_replica",
     "conform",
     "create_replica",
     "declare_schema",
     "differing_months",
     "drop_staging",
     "fingerprint_by_month",
+    "footer_counts",
     "latest_open",
     "merge_closed_key",
     "merge_closed_key_by_subpartition",
@@ -74,6 +78,7 @@ __all__ = [
     "read_replica",
     "reconcile",
     "reconcile_chain",
+    "reconcile_counts",
     "rejected_rows",
     "resume_run",
     "seed",

@@ -61,23 +61,50 @@ def reconcile(
         marked = increment.join(known, spec.key, "left").withColumn(
             "__new", F.col("__known").isNull()
         )
-    counts = (
-        _counts(base, open_expected=F.count(F.lit(1)))
-        .unionByName(
-            _counts(
-                marked,
-                open_expected=F.count_if("__new"),
-                closed_expected=F.count_if(is_closed_date(spec)),
-            )
-        )
-        .unionByName(
-            _counts(
-                result,
-                open_actual=F.count_if(in_open_partition(spec)),
-                closed_actual=F.count_if(in_closed_partition(spec)),
-            )
-        )
-    ).agg(*[F.sum(c).alias(c) for c in _SIDES])
+    of_result = _counts(
+        result,
+        open_actual=F.count_if(in_open_partition(spec)),
+        closed_actual=F.count_if(in_closed_partition(spec)),
+    )
+    return _report(_counts(base, open_expected=F.count(F.lit(1))), marked, of_result, spec)
+
+
+def reconcile_counts(
+    base: DataFrame,
+    increment: DataFrame,
+    result: DataFrame,
+    spec: ScdSpec = DEFAULT,
+    keys: DataFrame | None = None,
+) -> DataFrame:
+    """The same report from rows counted by month (``footer_counts``) of base and result.
+
+    ``keys`` holds the base's entities; without it they are 1..count, and nothing but the
+    increment is read.
+    """
+
+    def rows(test: Column) -> Column:
+        return F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))
+
+    if keys is None:
+        known = base.agg(rows(F.lit(True))).scalar()
+        marked = increment.withColumn("__new", named(spec.key) > known)
+    else:
+        held = _known_keys(keys, spec).withColumn("__known", F.lit(True))
+        marked = increment.join(held, spec.key, "left").withColumn("__new", F.col("__known").isNull())
+    of_result = _counts(
+        result, open_actual=rows(in_open_partition(spec)), closed_actual=rows(in_closed_partition(spec))
+    )
+    return _report(_counts(base, open_expected=rows(F.lit(True))), marked, of_result, spec)
+
+
+def _report(of_base: DataFrame, marked: DataFrame, of_result: DataFrame, spec: ScdSpec) -> DataFrame:
+    of_increment = _counts(
+        marked,
+        open_expected=F.count_if("__new"),
+        closed_expected=F.count_if(is_closed_date(spec)),
+    )
+    all_counts = of_base.unionByName(of_increment).unionByName(of_result)
+    counts = all_counts.agg(*[F.sum(c).alias(c) for c in _SIDES])
     checks = [
         F.struct(
             F.col(f"{kind}_expected").alias("expected"),

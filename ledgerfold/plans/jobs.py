@@ -12,10 +12,12 @@ from pyspark.sql import types as T
 
 from ledgerfold.functions.columns import in_open_partition, named
 from ledgerfold.operators import hits as by_address
+from ledgerfold.operators.bins import FILE_BYTES, MOST_SMALL, dealt, month_name, packed
 from ledgerfold.operators.fingerprints import PARTS, fingerprint
 from ledgerfold.operators.merge import touched_months, unclosed
 from ledgerfold.operators.slices import closed_keys, conform, usable_dates
 from ledgerfold.sources.files import Folder
+from ledgerfold.sources.footers import month_counts
 from ledgerfold.sources.ledger import ABANDONED, FOLDER, PUBLISHED, UNDONE, Ledger, Run
 from ledgerfold.sources.replica import read_increment
 from ledgerfold.sources.staging import (
@@ -24,6 +26,7 @@ from ledgerfold.sources.staging import (
     drop_staged,
     notes_path,
     stage,
+    stage_more,
     staged_path,
 )
 from ledgerfold.sources.targets import (
@@ -33,12 +36,14 @@ from ledgerfold.sources.targets import (
     open_name,
     read_files,
     short,
+    sizes_below,
 )
 from ledgerfold.spec import DEFAULT, ScdSpec
 
 CLOSED_KEY, BY_SUBPARTITION, LATEST = "closed_key", "closed_key_by_subpartition", "latest"
 BY_FILE = "closed_key_by_file"
 STRATEGIES = (CLOSED_KEY, BY_SUBPARTITION, BY_FILE, LATEST)
+COMPACTION = "compaction"
 # Bytes of noted keys or addresses that are broadcast; more of them are shuffled.
 SMALL = 10 << 20
 
@@ -55,6 +60,8 @@ class _Work:
         self.notes = Folder(spark, notes_path(run.root, run.run_id))
         self.aside = f"{FOLDER}/undo/{run.run_id}"
         self.location = target.location(spark)
+        # whether the open partitions are pointed at what the run stages
+        self.swaps = target.attach and run.strategy != COMPACTION
 
     def noted(self, rows: DataFrame, name: str) -> DataFrame:
         """Rows written and read again, so that their size is known; small ones are broadcast."""
@@ -150,15 +157,17 @@ def apply_increment(
     run_id: str | None = None,
     compact: bool = False,
     reject: bool = False,
+    file_bytes: int = FILE_BYTES,
+    most_small: int = MOST_SMALL,
 ) -> DataFrame:
     """Stage the changes of one increment, publish them and scan the new replica.
 
     The replica is a path or a target, and the staging root is its own. By
     sub-partition, only start months with closed keys are read, staged and replaced; by
     file (and always for the latest version) only files that hold a replaced row. Open rows
-    elsewhere stay in place. With ``compact`` all staged rows are brought together by month,
-    which merges the small files that earlier increments left; do so when months have
-    gathered some tens of files. With ``reject`` increment rows without two usable dates
+    elsewhere stay in place. Where a month that gets rows holds more than ``most_small`` small
+    files (below a quarter of ``file_bytes``), these are merged along with the run; see
+    ``compact_replica``. With ``compact`` all staged rows are brought together by month. With ``reject`` increment rows without two usable dates
     are set apart and not applied; see ``rejected_rows``.
 
     Staged rows are compared with the published ones before anything is replaced. Refuses
@@ -172,27 +181,13 @@ def apply_increment(
     target = _target(replica)
     if strategy in (BY_SUBPARTITION, BY_FILE) and target.attach:
         raise ValueError("attaching replaces the open slice as a whole; choose another strategy")
-    target.check(spark)
-    ledger = Ledger(spark, target.location(spark))
-    ledger.free()
-    run_id = run_id or uuid4().hex
-    if ledger.outcome(run_id) not in (None, UNDONE):
-        raise RuntimeError(f"run {run_id} was made before")
-    current = None if ledger.schema() and ledger.has_entries() else target.scan(spark, spec)
-    schema = _schema(spark, target, ledger, spec, current)
     increment = read_increment(spark, increment_path)
+    work, schema = _begun(
+        spark, target, staging_root, strategy, spec, run_id,
+        before=lambda schema: conform(increment, spark.createDataFrame([], schema), spec),
+    )
     empty = spark.createDataFrame([], schema)
-    conform(increment, empty, spec)
-    bind(spark, staging_root, target.identity)
-    run = Run(run_id, target.identity, staging_root.rstrip("/"), strategy, repr(astuple(spec)))
-    number = ledger.take(run)
-    work = _Work(spark, target, ledger, number, run, spec)
-    if not target.attach:
-        _clear(work)  # of a run that the replica does not know any more
     counts: dict[str, int] = {}
-    if not ledger.has_entries():
-        months = _counted(spark, [("added", current if number == 1 else target.scan(spark, spec))], spec)
-        ledger.enter(0, "", months, read=None, rejected=None)
     if reject:
         increment, counts = _sifted(work, increment)
     if strategy == LATEST:
@@ -205,23 +200,113 @@ def apply_increment(
     else:
         changes, files = _closed_key_changes(work, rows, new, strategy, compact)
     seen = _staged(work, changes)
+    merged = packed(_sizes_of_touched(work, files), file_bytes, most_small)
+    if merged:
+        files, more = [*files, *merged], _staged(work, _of_bins(work, schema, merged), more=True)
+        seen = {kind: _together(seen[kind], more[kind]) for kind in seen}
     work.notes.create("staged.json", {"replaced": files, "seen": seen, "counts": counts})
     return _publish(work, schema)
 
 
+def _begun(
+    spark: SparkSession,
+    target: Target,
+    staging_root: str,
+    strategy: str,
+    spec: ScdSpec,
+    run_id: str | None,
+    before: Callable[[T.StructType], object] | None = None,
+) -> tuple[_Work, T.StructType]:
+    """Claim the replica for a new run; ``before`` may refuse it by the replica's schema."""
+    target.check(spark)
+    ledger = Ledger(spark, target.location(spark))
+    ledger.free()
+    run_id = run_id or uuid4().hex
+    if ledger.outcome(run_id) not in (None, UNDONE):
+        raise RuntimeError(f"run {run_id} was made before")
+    current = None if ledger.schema() and ledger.has_entries() else target.scan(spark, spec)
+    schema = _schema(spark, target, ledger, spec, current)
+    if before is not None:
+        before(schema)
+    bind(spark, staging_root, target.identity)
+    run = Run(run_id, target.identity, staging_root.rstrip("/"), strategy, repr(astuple(spec)))
+    work = _Work(spark, target, ledger, ledger.take(run), run, spec)
+    if not target.attach:
+        _clear(work)  # of a run that the replica does not know any more
+    if not ledger.has_entries():
+        ledger.enter(0, "", _months(added=_held_now(work)), read=None, rejected=None)
+    return work, schema
+
+
+def compact_replica(
+    spark: SparkSession,
+    replica: str | Target,
+    staging_root: str,
+    spec: ScdSpec = DEFAULT,
+    run_id: str | None = None,
+    file_bytes: int = FILE_BYTES,
+    most_small: int = MOST_SMALL,
+) -> DataFrame:
+    """Merge the small files of every month that holds more than ``most_small`` of them.
+
+    Files below a quarter of ``file_bytes`` are packed into files of up to that size; all
+    others stay. A run like any other: claimed, compared, entered in the ledger, resumed and
+    undone. Open partitions of an attaching table are passed by, since each run writes
+    them anew. Where no month is due nothing changes.
+    """
+    target = _target(replica)
+    work, schema = _begun(spark, target, staging_root, COMPACTION, spec, run_id)
+    ends = [n for n in Folder(spark, work.location).names() if n.startswith(f"{spec.part_to}=")]
+    merged = packed(_sizes(work, ends), file_bytes, most_small)
+    if not merged:
+        work.ledger.finish(work.number, work.run, ABANDONED)
+        return target.scan(spark, spec, schema)
+    seen = _staged(work, _of_bins(work, schema, merged))
+    work.notes.create("staged.json", {"replaced": sorted(merged), "seen": seen, "counts": {}})
+    return _publish(work, schema)
+
+
+def _sizes(work: _Work, ends: list[str]) -> dict[str, int]:
+    """Bytes of the files below some end months, but for partitions that lie elsewhere."""
+    if work.target.attach:
+        ends = [e for e in ends if e != open_name(work.spec)]
+    return sizes_below(work.spark, work.location, ends)
+
+
+def _sizes_of_touched(work: _Work, replaced: list[str]) -> dict[str, int]:
+    """Bytes of the files that stay in the months for which rows are staged."""
+    ends = [n for n in Folder(work.spark, work.staged_at).names() if "=" in n]
+    months = {month_name(f) for f in files_below(work.spark, work.staged_at, ends)}
+    gone = set(replaced)
+    sizes = _sizes(work, ends)
+    return {f: n for f, n in sizes.items() if month_name(f) in months and f not in gone}
+
+
+def _of_bins(work: _Work, schema: T.StructType, merged: dict[str, int]) -> DataFrame:
+    return dealt(read_files(work.spark, work.location, schema, sorted(merged)), merged, work.spec)
+
+
+def _together(one: list[int], two: list[int]) -> list[int]:
+    """The fingerprint of two bags in one."""
+    return [one[0] + two[0], one[1] ^ two[1], one[2] + two[2]]
+
+
 def _with_address(empty: DataFrame) -> DataFrame:
     return empty.withColumns(
         {by_address.FILE: F.lit("").cast("string"), by_address.ROW: F.lit(0).cast("bigint")}
     )
 
 
-def _staged(work: _Work, changes: DataFrame) -> dict[str, list]:
-    """Write the rows of the run; their fingerprints come with the write."""
+def _staged(work: _Work, changes: DataFrame, more: bool = False) -> dict[str, list]:
+    """Write rows of the run; their fingerprints come with the write."""
     seen = Observation()
     opened = F.coalesce(in_open_partition(work.spec), F.lit(False))
     of_open = [c.alias(f"open_{n}") for c, n in zip(fingerprint(changes, opened), PARTS, strict=True)]
     observed = changes.observe(seen, *fingerprint(changes), *of_open)
-    stage(observed, work.staged_at, work.spec, rebalance=False)
+    if more:
+        stage_more(observed, work.staged_at, work.spec)
+    else:
+        stage(observed, work.staged_at, work.spec, rebalance=False)
     got = seen.get
     return {
         "all": [int(got[p]) for p in PARTS],
@@ -385,13 +470,12 @@ def _publish(work: _Work, schema: T.StructType) -> DataFrame:
     if not held.exists(f"{work.aside}.json"):
         held.create(f"{work.aside}.json", record)
     ledger.check(work.number)
-    if target.attach:
+    if work.swaps:
         own = open_name(spec)
         held.move(own, f"{work.aside}/{own}")
         target.point_at(spark, work.staged_at, spec)
         ledger.folder.put("open.json", {"root": work.staged_at})
-    else:
-        target.retire(spark, replaced, work.aside, spec)
+    target.retire(spark, replaced, work.aside, spec)
     ledger.finish(work.number, work.run, PUBLISHED)
     _let_go(work, keep_before=record["before"])
     return target.scan(spark, spec, schema)
@@ -439,12 +523,13 @@ def _compare(
     # counted once: a resumed attempt may find replaced files moved already
     if work.notes.exists("entered.json"):
         return
-    added, removed = new, read_files(spark, work.location, schema, replaced)
-    if work.target.attach:
+    added = month_counts(spark, work.location, arrived, spec)
+    removed = month_counts(spark, work.location, replaced, spec)
+    if work.swaps:
         staged = spark.read.schema(schema).parquet(work.staged_at)
-        added = new.unionByName(staged.filter(in_open_partition(spec)))
-        removed = work.target.open_rows(spark, schema, spec)
-    months = _counted(spark, [("added", added), ("removed", removed)], spec)
+        added |= _counted(staged.filter(in_open_partition(spec)), spec)
+        removed |= _counted(work.target.open_rows(spark, schema, spec), spec)
+    months = _months(added, removed)
     work.ledger.enter(
         work.number, work.run.run_id, months,
         read=counts.get("read"), rejected=counts.get("rejected"),
@@ -452,21 +537,28 @@ def _compare(
     work.notes.create("entered.json", {})
 
 
-def _counted(spark: SparkSession, sides: list[tuple[str, DataFrame]], spec: ScdSpec) -> list[dict]:
-    """Rows by month, from partition values and footers; months are bounded by the calendar."""
-    rows = None
-    for name, df in sides:
-        one = df.select(
-            named(spec.part_to).cast("string").alias("ends"),
-            named(spec.part_from).cast("string").alias("starts"),
-            F.lit(name).alias("side"),
-        )
-        rows = one if rows is None else rows.unionByName(one)
-    counted = rows.groupBy("ends", "starts").agg(
-        F.count_if(F.col("side") == "added").alias("added"),
-        F.count_if(F.col("side") == "removed").alias("removed"),
-    )
-    return [r.asDict() for r in counted.collect()]
+def _counted(rows: DataFrame, spec: ScdSpec) -> dict[tuple, int]:
+    """Rows by month where partitions may lie anywhere; months are bounded by the calendar."""
+    months = [named(c).cast("string") for c in spec.partitioning]
+    counted = rows.groupBy(*months).agg(F.count(F.lit(1)))
+    return {(ends, starts): n for ends, starts, n in counted.collect()}
+
+
+def _held_now(work: _Work) -> dict[tuple, int]:
+    """Rows by month that the replica holds."""
+    if work.target.attach:
+        return _counted(work.target.scan(work.spark, work.spec), work.spec)
+    if not any("=" in name for name in Folder(work.spark, work.location).names()):
+        return {}
+    return month_counts(work.spark, work.location, None, work.spec)
+
+
+def _months(added: dict[tuple, int], removed: dict[tuple, int] | None = None) -> list[dict]:
+    removed = removed or {}
+    return [
+        {"ends": m[0], "starts": m[1], "added": added.get(m, 0), "removed": removed.get(m, 0)}
+        for m in sorted({*added, *removed}, key=str)
+    ]
 
 
 def undo_run(
@@ -495,13 +587,12 @@ def _undo(work: _Work) -> DataFrame:
     record = held.read(f"{work.aside}.json")
     work.ledger.check(work.number)
     if record is not None:
-        if target.attach:
+        if work.swaps:
             own = open_name(spec)
             held.move(f"{work.aside}/{own}", own)
             target.point_at(spark, record["before"] or work.location, spec)
             work.ledger.folder.put("open.json", {"root": record["before"]})
-        else:
-            target.restore(spark, record["replaced"], work.aside, spec)
+        target.restore(spark, record["replaced"], work.aside, spec)
         target.drop_files(spark, record["arrived"], spec)
         work.ledger.strike(work.run.run_id)
         held.delete(work.aside)

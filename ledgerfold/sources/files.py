@@ -40,9 +40,13 @@ class Folder:
 
     def files(self, pattern: str) -> list[str]:
         """Full names of the files that a pattern meets; hidden ones are left out."""
+        return list(self.sizes(pattern))
+
+    def sizes(self, pattern: str) -> dict[str, int]:
+        """The same files with their bytes."""
         found = self._fs.globStatus(self._at(pattern)) or []
-        names = [status.getPath().toString() for status in found]
-        return [n for n in names if n.rsplit("/", 1)[1][:1] not in "._"]
+        sizes = {status.getPath().toString(): status.getLen() for status in found}
+        return {n: size for n, size in sizes.items() if n.rsplit("/", 1)[1][:1] not in "._"}
 
     def move_all(self, names: list[str], back: str, to: str) -> None:
         """Rename files from one folder to another; those moved before are passed by."""

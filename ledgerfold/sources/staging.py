@@ -36,6 +36,11 @@ def stage(df: DataFrame, path: str, spec: ScdSpec = DEFAULT, rebalance: bool = T
     write_replica(by_month(df, spec) if rebalance else df, path, "errorifexists", spec)
 
 
+def stage_more(df: DataFrame, path: str, spec: ScdSpec = DEFAULT) -> None:
+    """Write further rows of a run beside those staged, as its tasks hold them."""
+    write_replica(df, path, "append", spec)
+
+
 def open_folder(replica_path: str, spec: ScdSpec) -> str:
     return f"{replica_path.rstrip('/')}/{spec.part_to}={spec.open_month}"
 

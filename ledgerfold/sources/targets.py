@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerfold.functions.columns import in_open_partition, named
+from ledgerfold.operators.bins import NO_MONTH
 from ledgerfold.sources.files import Folder
 from ledgerfold.sources.ledger import FOLDER
 from ledgerfold.sources.replica import read_replica
@@ -37,8 +38,13 @@ def read_files(
 
 def files_below(spark: SparkSession, location: str, folders: list[str]) -> list[str]:
     """Names of the data files in folders of an end month."""
+    return sorted(sizes_below(spark, location, folders))
+
+
+def sizes_below(spark: SparkSession, location: str, folders: list[str]) -> dict[str, int]:
+    """The same names with the bytes of each file."""
     there = Folder(spark, location)
-    return sorted(short(f) for folder in folders for f in there.files(f"{folder}/*/*"))
+    return {short(f): n for folder in folders for f, n in there.sizes(f"{folder}/*/*").items()}
 
 
 def open_name(spec: ScdSpec) -> str:
@@ -182,7 +188,7 @@ class TableReplica(_Files):
         spark.catalog.refreshTable(self.name)
 
     def _partition(self, ends: str, starts: str, spec: ScdSpec) -> str:
-        values = ["null" if m == _NO_MONTH else f"DATE'{m}'" for m in (ends, starts)]
+        values = ["null" if m == NO_MONTH else f"DATE'{m}'" for m in (ends, starts)]
         return f"PARTITION (`{spec.part_to}` = {values[0]}, `{spec.part_from}` = {values[1]})"
 
     def _open_months(self, spark: SparkSession, spec: ScdSpec) -> list[str]:
@@ -215,8 +221,6 @@ class TableReplica(_Files):
 
 
 _MODE, _PLAIN, _ATTACHED = "ledgerfold.mode", "overwriting", "attaching"
-# Folder name of the null partition, a fixed value of the Hive layout.
-_NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 
 
 def create_replica(
