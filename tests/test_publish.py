@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 import golden
 import ledgerfold as lf
+from ledgerfold.operators.hits import FILE, ROW
 from ledgerfold.plans import jobs
-from ledgerfold.sources.ledger import Ledger
+from ledgerfold.sources.ledger import Ledger, Run
 from ledgerfold.sources.staging import staged_path, write_replica
 
 COLUMNS = ("id", "payload", "eff_from_dt", "eff_to_dt")
@@ -91,6 +92,19 @@ def test_apply_increment(strategy, limit, stored, monkeypatch):
     assert stored.ledger().current() is None
 
 
+@pytest.mark.parametrize(("rows", "join"), [(40000, "SortMergeJoin"), (100, "BroadcastHashJoin")])
+def test_notes_are_broadcast_by_their_size_in_memory(rows, join, spark, tmp_path, capsys):
+    run = Run("one", f"{tmp_path}/replica", f"{tmp_path}/staging", "latest", "")
+    work = jobs._Work(spark, lf.PathReplica(run.target), None, 1, run, lf.ScdSpec())
+    # the name of one file is stored once on disk, but with each of its rows in memory
+    placed = spark.range(rows).select(F.lit("f" * 200).alias(FILE), F.col("id").alias(ROW))
+    hits = work.noted(placed, "hits")
+    assert work.notes.size("hits") < jobs.SMALL
+    placed.join(hits, [FILE, ROW], "left_anti").explain()
+    assert join in capsys.readouterr().out
+    assert hits.count() == rows and work.is_small("hits") == (rows == 100)
+
+
 @pytest.mark.parametrize("strategy", ["closed_key", "latest"])
 def test_compact_merges_the_files_of_earlier_runs(strategy, stored):
     def most_files():
