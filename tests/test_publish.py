@@ -297,6 +297,31 @@ class Crash(Exception):
     pass
 
 
+@pytest.mark.parametrize("merged", [False, True], ids=["changes", "bins"])
+def test_appended_rows_are_spread_over_tasks_of_even_size(merged, stored):
+    plans = []
+
+    class Breaking(lf.PathReplica):
+        def append(self, added, spec):
+            plans.append(added._jdf.queryExecution().optimizedPlan().toString())
+            raise Crash
+
+    if merged:  # two small files in each closed month that the increment reaches
+        stored.apply()
+        stored.apply()
+    increment = lf.read_increment(stored.spark, stored.increment)
+    want = bag(lf.merge_closed_key(stored.read(), increment))
+    with pytest.raises(Crash):
+        lf.apply_increment(
+            stored.spark, Breaking(stored.replica), stored.increment, stored.staging,
+            run_id="one", most_small=0 if merged else 32,
+        )
+    assert plans[0].count("RebalancePartitions") == 1
+    # bins stay the files they are
+    assert ("Union" in plans[0]) == merged
+    assert bag(lf.resume_run(stored.spark, stored.replica, stored.staging, "one")) == want
+
+
 def _crash(*args, **kwargs):
     raise Crash
 
