@@ -298,8 +298,9 @@ class Crash(Exception):
 
 
 @pytest.mark.parametrize("merged", [False, True], ids=["changes", "bins"])
-def test_appended_rows_are_spread_over_tasks_of_even_size(merged, stored):
+def test_appended_rows_are_spread_over_tasks_of_even_size(merged, stored, monkeypatch):
     plans = []
+    monkeypatch.setattr(jobs, "FEW", 0, raising=False)
 
     class Breaking(lf.PathReplica):
         def append(self, added, spec):
